@@ -24,14 +24,19 @@ def _known(keys: Sequence[str]) -> Column:
 
 
 def _value_class(value: str) -> Column:
-    """Order-preserving integer class of a double, the same scale everywhere."""
+    """Order-preserving integer class of a double, the same scale everywhere.
+
+    Never null (a null value has a class of its own, below all others), so that
+    the optimizer adds no null filter where classes are joined.
+    """
     magnitude = F.floor(F.least(F.log2(F.abs(value)), F.lit(1024.0)) * CLASSES_PER_OCTAVE)
     above_zero = magnitude + F.lit(1076 * CLASSES_PER_OCTAVE)
-    return (
+    return F.coalesce(
         F.when(F.col(value) > 0, above_zero)
         .when(F.col(value) < 0, -above_zero)
         .when(F.col(value) == 0, F.lit(0))
-        .cast("bigint")
+        .cast("bigint"),
+        F.lit(-(2**62)).cast("bigint"),
     )
 
 
@@ -58,6 +63,10 @@ def grouped_median(
     class then tell in which class the middle ranks lie, and only the distinct
     values of that class, a sliver of the group, are put in order. `F.median`
     would instead gather every distinct value of a group in one task's memory.
+
+    The source is read once. Value counts are needed twice, for the classes and
+    for the values of the middle class; both uses take all their columns, so
+    Spark computes that shuffle once and reuses it.
     """
     sums = dict(sums or {})
     spread = dict(spread or {})
@@ -66,12 +75,6 @@ def grouped_median(
         F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double")).alias("_x"),
         *[F.col(c).cast("double").alias(f"_s{i}") for i, c in enumerate(sums.values())],
     )
-    stats = {
-        "mean": F.try_divide(F.sum("_sx"), F.sum("_c")),
-        "min": F.min("_lo"),
-        "max": F.max("_hi"),
-    }
-    carried = [F.sum(f"_s{i}").alias(f"_s{i}") for i in range(len(sums))]
     totals = [
         F.coalesce(F.sum(f"_s{i}"), F.lit(0.0)).alias(name) for i, name in enumerate(sums)
     ]
@@ -82,58 +85,76 @@ def grouped_median(
             *[getattr(F, stat)("_x").alias(name) for stat, name in spread.items()],
         )
 
-    counted = rows.groupBy(*keys, "_x").agg(F.count("_x").alias("_c"), *carried)
-    classed = counted.withColumn("_k", _value_class("_x"))
-    classes = classed.groupBy(*keys, "_k").agg(
+    carried = [f"_s{i}" for i in range(len(sums))]
+    counted = (
+        rows.groupBy(*keys, "_x")
+        .agg(F.count("_x").alias("_c"), *[F.sum(c).alias(c) for c in carried])
+        .withColumn("_k", _value_class("_x"))
+    )
+    classes = counted.groupBy(*keys, "_k").agg(
         F.sum("_c").alias("_c"),
-        F.sum(F.col("_x") * F.col("_c")).alias("_sx"),
-        F.min("_x").alias("_lo"),
-        F.max("_x").alias("_hi"),
-        *carried,
+        F.sum(F.col("_x") * F.col("_c")).alias("_sum"),
+        F.min("_x").alias("_min"),
+        F.max("_x").alias("_max"),
+        *[F.sum(c).alias(c) for c in carried],
     )
 
     group = Window.partitionBy(*keys).orderBy("_k")
-    running = group.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    n = F.sum("_c").over(whole)
-    before = F.sum("_c").over(running) - F.col("_c")
-    # Both middle ranks, counted from the start of their class; for an odd
-    # count they coincide. A rank outside 1.._c lies in another class.
-    middle = (
-        classes.select(
-            *keys,
-            "_k",
-            "_c",
-            (F.floor((n + 1) / 2) - before).alias("_r1"),
-            (F.floor((n + 2) / 2) - before).alias("_r2"),
-        )
-        .where(F.col("_r1").between(1, F.col("_c")) | F.col("_r2").between(1, F.col("_c")))
-        .drop("_c")
+    n = F.sum("_c").over(group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    upto = F.sum("_c").over(group.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    # Both middle ranks, counted from the start of a class; for an odd count
+    # they coincide. A rank outside 1.._c lies in another class.
+    ranked = classes.withColumns({"_n": n, "_upto": upto}).withColumns(
+        {
+            "_r1": F.floor((F.col("_n") + 1) / 2) - F.col("_upto") + F.col("_c"),
+            "_r2": F.floor((F.col("_n") + 2) / 2) - F.col("_upto") + F.col("_c"),
+        }
+    )
+    middle = F.col("_r1").between(1, F.col("_c")) | F.col("_r2").between(1, F.col("_c"))
+    ranked = ranked.withColumn("_open", F.when(middle, F.col("_k"))).drop("_n", "_upto", "_k")
+
+    # A middle class is opened into its values; the other classes stay as they are.
+    values = counted.select(
+        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)],
+        F.col("_k"),
+        F.col("_x").alias("_vx"),
+        F.col("_c").alias("_vc"),
+        *[F.col(c).alias(f"_v{c}") for c in carried],
     )
-    in_class = Window.partitionBy(*keys, "_k").orderBy("_x")
-    upto = F.sum("_c").over(
-        in_class.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    same = F.col("_open") == F.col("_k")
+    for i, k in enumerate(keys):
+        same = same & (F.col(k) == F.col(f"_key{i}"))
+    order = Window.partitionBy(*keys, "_open").orderBy("_vx")
+    opened = F.col("_open").isNotNull()
+    parts = ranked.join(values, same, "left").withColumn(
+        "_vupto",
+        F.when(
+            opened,
+            F.sum("_vc").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        ),
     )
     hits = sum(
-        ((F.col(r) > F.col("_upto") - F.col("_c")) & (F.col(r) <= F.col("_upto"))).cast("int")
+        ((F.col(r) > F.col("_vupto") - F.col("_vc")) & (F.col(r) <= F.col("_vupto"))).cast("int")
         for r in ("_r1", "_r2")
     )
-    halves = (
-        classed.select(*keys, "_k", "_x", "_c")
-        .join(middle, [*keys, "_k"])
-        .withColumn("_upto", upto)
-        .select(*keys, (F.col("_x") * hits / 2).alias("_half"), hits.alias("_hits"))
-        .where(F.col("_hits") > 0)
-        .select(*keys, "_half")
+    parts = parts.select(
+        *keys,
+        F.when(opened & (hits > 0), F.col("_vx") * (hits / 2)).alias("_half"),
+        F.when(opened, F.col("_vc")).otherwise(F.col("_c")).alias("_c"),
+        F.when(opened, F.col("_vx") * F.col("_vc")).otherwise(F.col("_sum")).alias("_sum"),
+        F.when(opened, F.col("_vx")).otherwise(F.col("_min")).alias("_min"),
+        F.when(opened, F.col("_vx")).otherwise(F.col("_max")).alias("_max"),
+        *[F.when(opened, F.col(f"_v{c}")).otherwise(F.col(c)).alias(c) for c in carried],
     )
-    return (
-        classes.unionByName(halves, allowMissingColumns=True)
-        .groupBy(*keys)
-        .agg(
-            F.sum("_half").alias(alias),
-            *totals,
-            *[stats[stat].alias(name) for stat, name in spread.items()],
-        )
+    stats = {
+        "mean": F.try_divide(F.sum("_sum"), F.sum("_c")),
+        "min": F.min("_min"),
+        "max": F.max("_max"),
+    }
+    return parts.groupBy(*keys).agg(
+        F.sum("_half").alias(alias),
+        *totals,
+        *[stats[stat].alias(name) for stat, name in spread.items()],
     )
 
 
