@@ -108,14 +108,17 @@ def monthly_stats(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     f"""WITH {OIL_SQL}
 SELECT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
-       round_even(avg(brent_price) * 100, 0) / 100 AS oil_mean,
-       round_even(min(brent_price) * 100, 0) / 100 AS oil_min,
-       round_even(max(brent_price) * 100, 0) / 100 AS oil_max,
-       round_even(median(brent_price) * 100, 0) / 100 AS oil_median
+       {q("avg(brent_price)", 2)} AS oil_mean,
+       {q("min(brent_price)", 2)} AS oil_min,
+       {q("max(brent_price)", 2)} AS oil_max,
+       {q("median(brent_price)", 2)} AS oil_median
 FROM oil GROUP BY 1, 2"""
 )
 def monthly_stats_rounded(spark: SparkSession, sf: str) -> DataFrame:
-    return A.monthly_spread(oil(spark, sf), "brent_price", "oil")
+    stats = A.monthly_spread(oil(spark, sf), "brent_price", "oil", digits=None)
+    return stats.withColumns(
+        {c: r(c, 2) for c in ("oil_mean", "oil_min", "oil_max", "oil_median")}
+    )
 
 
 # --- station prices --------------------------------------------------------------
@@ -940,14 +943,14 @@ priced AS (
   FROM stations GROUP BY 1, 2, 3)
 SELECT CAST(year(periodo) AS INTEGER) AS year, CAST(month(periodo) AS INTEGER) AS month,
        provincia, producto, {q("precio_ponderado")} AS precio_ponderado
-FROM priced WHERE year(periodo) = 1998 AND provincia = 'NATION_7'
+FROM priced WHERE year(periodo) = 1998 AND provincia = 'NATION_3'
 ORDER BY month DESC, producto LIMIT 20"""
 )
 def region_price_listing(spark: SparkSession, sf: str) -> DataFrame:
     rows = stations(spark, sf, "periodo", "provincia", "producto", "precio_surtidor", "volumen")
     dated = rows.withColumns({"year": F.year("periodo"), "month": F.month("periodo")})
     prices = A.weighted_mean_price(
-        L.matching(dated, year=1998, provincia="NATION_7"),
+        L.matching(dated, year=1998, provincia="NATION_3"),
         keys=("year", "month", "provincia", "producto"),
     ).drop("volumen_total")
     return rounded(

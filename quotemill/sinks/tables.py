@@ -223,15 +223,20 @@ def refresh_partitions(
     The data may come from the table itself: it is first written to the
     session's checkpoint folder, so reading and replacing do not meet.
     """
-    ensure_checkpoint_dir(df.sparkSession)
+    if not table.partition_by:
+        raise ValueError(f"{table.key} has no partitions")
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     rows, seen = counted(_all_columns(stamped(conform(df, table, target)), table, target))
     fixed = rows.checkpoint(eager=True)
-    name = qualified(database, table)
-    (
-        _laid_out(fixed, table)
-        .write.option("partitionOverwriteMode", "dynamic")
-        .insertInto(name, overwrite=True)
-    )
+    # Inserting into a table heeds the session's mode, not a writer option.
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        _laid_out(fixed, table).write.insertInto(qualified(database, table), overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
     return seen.get["rows"]
 
 
