@@ -119,9 +119,9 @@ def unique_batch(
     Rows whose key holds a null equal no other row; they all stay.
     """
     others = [c for c in batch.columns if c not in keys]
-    complete = F.lit(True)
+    incomplete = F.lit(False)
     for key in keys:
-        complete = complete & F.col(key).isNotNull()
+        incomplete = incomplete | F.col(key).isNull()
     row = F.struct(*[F.col(c) for c in others])
     if on_duplicate == "last":
         if order_by is None:
@@ -133,11 +133,11 @@ def unique_batch(
         )
     else:
         raise ValueError(f"unknown on_duplicate: {on_duplicate}")
-    kept = (
-        batch.where(complete)
-        .groupBy(*keys)
+    alone = F.when(incomplete, F.monotonically_increasing_id())
+    return (
+        batch.withColumn("_alone", alone)
+        .groupBy(*keys, "_alone")
         .agg(chosen.alias("_row"))
         .select(*keys, "_row.*")
         .select(*batch.columns)
     )
-    return kept.unionByName(batch.where(~complete))

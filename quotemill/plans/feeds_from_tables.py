@@ -149,18 +149,20 @@ def raw_product() -> Column:
 def raw_month() -> Column:
     """Month text in three accepted spellings and two unreadable ones."""
     line, day = F.col("l_linenumber"), F.col("l_shipdate")
+    year, month = F.year(day), F.month(day)
+    two_digits = F.lpad(month.cast("string"), 2, "0")
     return (
-        F.when(line == 1, F.date_format(day, "yyyy/M"))
+        F.when(line == 1, F.concat_ws("/", year, month))
         .when((line == 2) & (F.col("l_returnflag") == "R"), "x")
-        .when((line == 3) & (F.col("l_returnflag") == "R"), F.date_format(day, "yyyy-MM"))
-        .otherwise(F.date_format(day, "yyyy/MM"))
+        .when((line == 3) & (F.col("l_returnflag") == "R"), F.concat_ws("-", year, two_digits))
+        .otherwise(F.concat_ws("/", year, two_digits))
     )
 
 
 def raw_price() -> Column:
     """Price text; some zero, some unreadable, some missing, by tax class."""
     tax, line = F.col("l_tax"), F.col("l_linenumber")
-    price = list_price().cast("decimal(12,2)").cast("string")
+    price = list_price().cast("string")
     return (
         F.when((line == 4) & (tax == 0.0), "0")
         .when((line == 4) & (tax == 0.01), "s/d")
@@ -175,8 +177,8 @@ def raw_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     Every row that is the first line of its order occurs twice.
     """
     rows = _station_lines(spark, sf_dir, ["producto", "provincia", "operador"])
-    copies = F.when(F.col("l_linenumber") == 1, F.sequence(F.lit(1), F.lit(2))).otherwise(
-        F.sequence(F.lit(1), F.lit(1))
+    copies = F.when(F.col("l_linenumber") == 1, F.array(F.lit(1), F.lit(2))).otherwise(
+        F.array(F.lit(1))
     )
     return rows.withColumn("_copy", F.explode(copies)).select(
         raw_month().alias("Período"),
@@ -186,7 +188,7 @@ def raw_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("Provincia"),
         raw_product().alias("Producto"),
         raw_price().alias("Precio Surtidor"),
-        F.col("l_quantity").cast("decimal(12,2)").cast("string").alias("Volumen"),
+        F.col("l_quantity").cast("string").alias("Volumen"),
         F.col("l_linenumber").cast("string").alias("No.Movimientos"),
     )
 
@@ -211,9 +213,9 @@ landed AS (
          CASE WHEN l_linenumber = 4 AND l_tax = 0.0 THEN '0'
               WHEN l_linenumber = 4 AND l_tax = 0.01 THEN 's/d'
               WHEN l_linenumber = 4 AND l_tax = 0.02 THEN NULL
-              ELSE CAST(CAST(round_even(l_extendedprice / l_quantity * 100, 0) / 100
-                             AS DECIMAL(12,2)) AS VARCHAR) END AS precio_texto,
-         CAST(CAST(l_quantity AS DECIMAL(12,2)) AS VARCHAR) AS volumen_texto,
+              ELSE CAST(round_even(l_extendedprice / l_quantity * 100, 0) / 100 AS VARCHAR)
+              END AS precio_texto,
+         CAST(l_quantity AS VARCHAR) AS volumen_texto,
          CAST(l_linenumber AS VARCHAR) AS no_movimientos
   FROM lineitem
   JOIN part ON l_partkey = p_partkey
