@@ -21,9 +21,17 @@ from quotemill.schemas import (
     DEFAULT_PRICE_FLOOR,
     DEFAULT_START_DATE,
     PRODUCT_NAMES,
+    STAGING_FUEL,
     STATION_REQUIRED,
 )
 
+# Station columns published as numbers, except those this library derives.
+NUMBER_COLUMNS = [
+    f.name
+    for f in STAGING_FUEL.fields
+    if f.warehouse == "double" and f.name != "market_share_pct"
+]
+
 
 def clean_oil(df: DataFrame) -> DataFrame:
     """Typed oil quotes; a value that cannot be read fails the job."""
@@ -51,9 +59,10 @@ def clean_fx(df: DataFrame) -> DataFrame:
 
 
 def typed_stations(raw: DataFrame) -> DataFrame:
-    """Station rows with normalized names, month, price and volume as values.
+    """Station rows with normalized names, the month and all numbers as values.
 
-    Texts that cannot be read become null.
+    Texts that cannot be read become null. Numbers are typed before rows are
+    compared, so that 1 and 1.0 are no difference between two rows.
     """
     df = require_columns(normalize_columns(raw), STATION_REQUIRED)
 
@@ -62,7 +71,7 @@ def typed_stations(raw: DataFrame) -> DataFrame:
 
     month = parse_month("periodo") if text("periodo") else F.col("periodo").cast("date")
     typed = {"periodo": month}
-    for name in ("precio_surtidor", "volumen"):
+    for name in NUMBER_COLUMNS:
         if name in df.columns:
             typed[name] = parse_number(name) if text(name) else F.col(name).cast("double")
     return nan_to_null(df.withColumns(typed))

@@ -40,9 +40,19 @@ def write_parquet(
 
 
 def write_csv(df: DataFrame, path: str) -> int:
-    """Replace the CSV data at a path, header included; returns the rows."""
+    """Replace the CSV data at a path, header included; returns the rows.
+
+    Cells keep their outer blanks, and quotes inside a cell are doubled.
+    """
     df, seen = counted(df)
-    df.write.mode("overwrite").option("header", True).csv(path)
+    (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
     return seen.get["rows"]
 
 

@@ -8,8 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quotemill.functions.naming import require_columns
-from quotemill.operators.combine import upsert, upsert_columns
+from quotemill.functions.naming import columns_of, require_columns
+from quotemill.operators.combine import (
+    concat_batches,
+    distinct_rows,
+    unseen_rows,
+    upsert,
+    upsert_columns,
+)
 from quotemill.operators.quality import constraint_report
 from quotemill.schemas import TABLES, Table
 from quotemill.session import ensure_checkpoint_dir
@@ -250,33 +256,95 @@ def publish_all(
     """Publish tables to several databases; returns rows per target and table.
 
     ``frames`` maps table keys to data, ``targets`` database names to flavours
-    ("relational" or "warehouse"). Each table is persisted while its targets
-    are written. Tables are published one by one: a failure leaves the earlier
-    ones loaded.
+    ("relational" or "warehouse"). Checking and writing each read the data per
+    target, so publish what a pipeline has written, not a plan that would
+    compute it again. Tables are published one by one: a failure leaves the
+    earlier ones loaded.
     """
     unknown = sorted(set(frames) - set(TABLES))
     if unknown:
         raise ValueError(f"unknown tables: {unknown}")
-    loaded: dict[str, dict[str, int]] = {database: {} for database in targets}
-    for key, df in frames.items():
-        kept = df.persist() if len(targets) > 1 else df
-        try:
-            for database, target in targets.items():
-                require_database(df.sparkSession, database)
-                loaded[database][key] = load_table(
-                    kept,
-                    database,
-                    TABLES[key],
-                    target=target,
-                    truncate=truncate,
-                    validate=validate,
-                )
-        finally:
-            if len(targets) > 1:
-                kept.unpersist()
+    loaded: dict[str, dict[str, int]] = {}
+    for database, target in targets.items():
+        loaded[database] = {}
+        for key, df in frames.items():
+            require_database(df.sparkSession, database)
+            loaded[database][key] = load_table(
+                df, database, TABLES[key], target=target, truncate=truncate, validate=validate
+            )
     return loaded
 
 
+def load_unregistered(
+    df: DataFrame, database: str, name: str, truncate: bool = True
+) -> int:
+    """Publish all columns to a table outside the registry; returns the rows."""
+    require_database(df.sparkSession, database)
+    if df.isEmpty():
+        return 0
+    rows, seen = counted(conform(df, None))
+    writer = rows.write.mode("overwrite" if truncate else "append").format("parquet")
+    writer.saveAsTable(qualified(database, name))
+    return seen.get["rows"]
+
+
+# --- accumulation ----------------------------------------------------------------
+
+DISTINCT_PROPERTY = "quotemill.distinct"
+
+
+def _marked_distinct(spark: SparkSession, name: str) -> bool:
+    properties = spark.sql(f"SHOW TBLPROPERTIES {name}")
+    return not properties.where(
+        (F.col("key") == DISTINCT_PROPERTY) & (F.col("value") == "true")
+    ).isEmpty()
+
+
+def accumulate_table(
+    spark: SparkSession,
+    database: str,
+    name: str,
+    batches: Sequence[DataFrame],
+    dedup_first: bool = False,
+) -> bool:
+    """Add landed batches to an accumulated table; whether anything was done.
+
+    The content is that of `quotemill.operators.combine.accumulate`. The first
+    run keeps repeated rows unless ``dedup_first``; the run after it rewrites
+    the table without repeats. From then on the table is marked as distinct and
+    a run only appends the rows it lacks, so its cost follows the batch. Running
+    a batch again adds nothing.
+    """
+    if not batches:
+        return False
+    full = qualified(database, name)
+    new = concat_batches(batches)
+
+    def mark() -> None:
+        spark.sql(f"ALTER TABLE {full} SET TBLPROPERTIES ('{DISTINCT_PROPERTY}'='true')")
+
+    if not spark.catalog.tableExists(f"{database}.{name}"):
+        first = distinct_rows(new) if dedup_first else new
+        first.write.format("parquet").saveAsTable(full)
+        if dedup_first:
+            mark()
+        return True
+    existing = spark.table(full)
+    same_columns = set(existing.columns) == set(new.columns)
+    if same_columns and _marked_distinct(spark, full):
+        added = unseen_rows(existing, batches).select(*columns_of(existing))
+        added.write.insertInto(full)
+        return True
+    combined = distinct_rows(concat_batches([existing, new]))
+    interim = qualified(database, f"{name}__next")
+    spark.sql(f"DROP TABLE IF EXISTS {interim}")
+    combined.write.format("parquet").saveAsTable(interim)
+    spark.sql(f"DROP TABLE {full}")
+    spark.sql(f"ALTER TABLE {interim} RENAME TO {full}")
+    mark()
+    return True
+
+
 def published_columns(df: DataFrame, key: str, target: str) -> Sequence[str]:
     """Names that `conform` would publish for a table key."""
     return conform(df, TABLES.get(key), target).columns

@@ -22,6 +22,7 @@ def read_csv_text(
     pattern: str | None = None,
     name_contains: str | None = None,
     skip_unreadable: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Scan CSV files with a header; every cell is text, null spellings are null.
 
@@ -32,11 +33,16 @@ def read_csv_text(
 
     ``pattern`` is a file-name glob, ``name_contains`` a case-insensitive part
     of the file name. Both act while files are listed, before they are opened.
+
+    Quotes inside a quoted cell are doubled. Cells that contain line breaks need
+    ``multi_line``, at the price of reading each file in one task.
     """
     reader = (
         spark.read.option("header", True)
         .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
+        .option("escape", '"')
+        .option("multiLine", multi_line)
         .option("ignoreCorruptFiles", skip_unreadable)
     )
     if pattern:

@@ -111,3 +111,11 @@ def test_accumulation_audit(spark):
     old = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b")], "i int, s string")
     new = spark.createDataFrame([(2, "b"), (3, None), (3, None)], "i int, s string")
     assert rows(C.accumulation_audit(old, new)) == [(3, 3, 6, 3, 3)]
+
+
+def test_numbers_are_compared_as_numbers(spark):
+    raw = spark.createDataFrame(
+        [("2025/01", "GNC", "10", "1"), ("2025/01", "GNC", "10.0", "1.00")],
+        "periodo string, producto string, precio_surtidor string, iva string",
+    )
+    assert rows(C.clean_stations(raw)) == [(day("2025-01-01"), "GNC", 10.0, 1.0)]

@@ -18,6 +18,7 @@ from quotemill.schemas import (
 from quotemill.session import ensure_checkpoint_dir
 from quotemill.sinks import files, tables
 from quotemill.sources import feeds
+from quotemill.sources.files import read_csv_text
 
 
 @pytest.fixture
@@ -283,3 +284,59 @@ def test_registry_types(spark):
     assert tables.published_columns(frame, "analytics_fuel_prices_monthly", "warehouse") == [
         "producto"
     ]
+
+
+def test_csv_keeps_blanks_and_quotes(spark, tmp_path):
+    path = str(tmp_path / "q")
+    data = [(' gnc', 'Estación "La Paz", ruta 3'), ("a\\b ", "x")]
+    files.write_csv(spark.createDataFrame(data, "k string, v string"), path)
+    assert rows(read_csv_text(spark, path)) == sorted(data)
+
+
+def test_unregistered_table_takes_every_column(spark, database):
+    df = spark.createDataFrame([(1, "2025-01-02 10:00:00")], "a int, t string").withColumn(
+        "t", F.col("t").cast("timestamp")
+    )
+    assert tables.load_unregistered(df, database, "extra") == 1
+    assert tables.load_unregistered(df, database, "extra", truncate=False) == 1
+    assert tables.load_unregistered(df.limit(0), database, "extra") == 0
+    assert rows(spark.table(f"{database}.extra")) == [(1, day("2025-01-02"))] * 2
+
+
+def test_accumulated_table(spark, database):
+    def batch(*data):
+        return spark.createDataFrame(data, "a string, b int")
+
+    def run(*batches):
+        return tables.accumulate_table(spark, database, "landed", batches)
+
+    def stored():
+        return rows(spark.table(f"{database}.landed"), "a", "b")
+
+    assert not run()
+    assert run(batch(("x", 1), ("x", 1), ("y", None)))
+    assert stored() == [("x", 1), ("x", 1), ("y", None)]  # first run keeps repeats
+    assert run(batch(("x", 1), ("z", 3)))
+    assert stored() == [("x", 1), ("y", None), ("z", 3)]
+    files_before = set(spark.table(f"{database}.landed").inputFiles())
+    for _ in range(2):
+        assert run(batch(("y", None), ("w", 4), ("w", 4)), batch(("z", 3)))
+        assert stored() == [("w", 4), ("x", 1), ("y", None), ("z", 3)]
+    assert files_before <= set(spark.table(f"{database}.landed").inputFiles())  # appended
+    # a further column: rewritten, older rows get null
+    wide = spark.createDataFrame([("v", 5, "new")], "a string, b int, c string")
+    assert run(wide)
+    assert rows(spark.table(f"{database}.landed"), "a", "b", "c") == [
+        ("v", 5, "new"),
+        ("w", 4, None),
+        ("x", 1, None),
+        ("y", None, None),
+        ("z", 3, None),
+    ]
+    assert not run()
+
+
+def test_first_accumulation_may_drop_repeats(spark, database):
+    df = spark.createDataFrame([("x", 1), ("x", 1)], "a string, b int")
+    tables.accumulate_table(spark, database, "once", [df], dedup_first=True)
+    assert spark.table(f"{database}.once").count() == 1
