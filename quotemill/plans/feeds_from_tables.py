@@ -74,9 +74,11 @@ _DIMENSION = {
 def _station_lines(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
     """Line items joined with the dimensions that the columns need, no others.
 
-    No join carries a hint: nation is small by its file size, which Spark knows,
-    while part and supplier grow with the data. There Spark picks the strategy
-    and adaptive execution splits a part that holds many of the line items.
+    Each dimension joins the line items directly, as a plain scan whose size
+    Spark knows from its files. So it broadcasts what is below the session's
+    threshold and the line items stay in place; a part or supplier table beyond
+    it is shuffled, and adaptive execution splits a part that holds many lines.
+    (A joined pair of dimensions would have no known size and force a shuffle.)
     """
     needed = {_DIMENSION[c] for c in columns if c in _DIMENSION}
     rows = table(spark, sf_dir, "lineitem")
@@ -85,10 +87,10 @@ def _station_lines(spark: SparkSession, sf_dir: str, columns: list[str]) -> Data
         rows = rows.join(part, rows.l_partkey == part.p_partkey)
     if needed & {"nation", "supplier"}:
         supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-        if "nation" in needed:
-            nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-            supplier = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
         rows = rows.join(supplier, rows.l_suppkey == supplier.s_suppkey)
+    if "nation" in needed:
+        nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+        rows = rows.join(nation, rows.s_nationkey == nation.n_nationkey)
     return rows
 
 
