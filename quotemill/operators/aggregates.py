@@ -66,8 +66,9 @@ def grouped_median(
     would instead gather every distinct value of a group in one task's memory.
 
     The source is read once. Value counts are needed twice, for the classes and
-    for the values of the middle class; both uses take all their columns, so
-    Spark computes that shuffle once and reuses it.
+    for the values of the middle class. Both uses take all their columns, and
+    they are joined on the keys as one struct, which is never null: so the
+    optimizer prunes and filters both alike, and their shuffle is reused.
     """
     sums = dict(sums or {})
     spread = dict(spread or {})
@@ -90,9 +91,11 @@ def grouped_median(
     counted = (
         rows.groupBy(*keys, "_x")
         .agg(F.count("_x").alias("_c"), *[F.sum(c).alias(c) for c in carried])
-        .withColumn("_k", _value_class("_x"))
+        .select(
+            F.struct(*keys).alias("_g"), _value_class("_x").alias("_k"), "_x", "_c", *carried
+        )
     )
-    classes = counted.groupBy(*keys, "_k").agg(
+    classes = counted.groupBy("_g", "_k").agg(
         F.sum("_c").alias("_c"),
         F.sum(F.col("_x") * F.col("_c")).alias("_sum"),
         F.min("_x").alias("_min"),
@@ -100,7 +103,7 @@ def grouped_median(
         *[F.sum(c).alias(c) for c in carried],
     )
 
-    group = Window.partitionBy(*keys).orderBy("_k")
+    group = Window.partitionBy("_g").orderBy("_k")
     n = F.sum("_c").over(group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     upto = F.sum("_c").over(group.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     # Both middle ranks, counted from the start of a class; for an odd count
@@ -116,17 +119,14 @@ def grouped_median(
 
     # A middle class is opened into its values; the other classes stay as they are.
     values = counted.select(
-        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)],
-        F.col("_k"),
+        F.col("_g").alias("_vg"),
+        "_k",
         F.col("_x").alias("_vx"),
         F.col("_c").alias("_vc"),
         *[F.col(c).alias(f"_v{c}") for c in carried],
     )
-    same = F.lit(True)
-    for i, k in enumerate(keys):
-        same = same & (F.col(k) == F.col(f"_key{i}"))
-    same = same & (F.col("_open") == F.col("_k"))
-    order = Window.partitionBy(*keys, "_open").orderBy("_vx")
+    same = (F.col("_g") == F.col("_vg")) & (F.col("_open") == F.col("_k"))
+    order = Window.partitionBy("_g", "_open").orderBy("_vx")
     opened = F.col("_open").isNotNull()
     parts = ranked.join(values, same, "left").withColumn(
         "_vupto",
@@ -140,7 +140,7 @@ def grouped_median(
         for r in ("_r1", "_r2")
     )
     parts = parts.select(
-        *keys,
+        "_g",
         F.when(opened & (hits > 0), F.col("_vx") * (hits / 2)).alias("_half"),
         F.when(opened, F.col("_vc")).otherwise(F.col("_c")).alias("_c"),
         F.when(opened, F.col("_vx") * F.col("_vc")).otherwise(F.col("_sum")).alias("_sum"),
@@ -153,10 +153,15 @@ def grouped_median(
         "min": F.min("_min"),
         "max": F.max("_max"),
     }
-    return parts.groupBy(*keys).agg(
-        F.sum("_half").alias(alias),
-        *totals,
-        *[stats[stat].alias(name) for stat, name in spread.items()],
+    outputs = [alias, *sums, *spread.values()]
+    return (
+        parts.groupBy("_g")
+        .agg(
+            F.sum("_half").alias(alias),
+            *totals,
+            *[stats[stat].alias(name) for stat, name in spread.items()],
+        )
+        .select("_g.*", *outputs)
     )
 
 

@@ -29,6 +29,7 @@ from quotemill.plans.feeds_from_tables import (
     RAW_STATIONS_SQL,
     STATIONS_SQL,
     fx,
+    landed_fx,
     oil,
     raw_stations,
     stations,
@@ -252,7 +253,7 @@ WHERE date BETWEEN DATE '1996-01-01' AND DATE '2000-12-31'
   AND lower(source) IN ('oficial', 'blue')"""
 )
 def source_filter(spark: SparkSession, sf: str) -> DataFrame:
-    quotes = fx_quotes(fx(spark, sf), START, "2000-12-31", ["OFICIAL", "blue"])
+    quotes = fx_quotes(landed_fx(spark, sf), START, "2000-12-31", ["OFICIAL", "blue"])
     return rounded(quotes, "value_sell", "value_buy")
 
 

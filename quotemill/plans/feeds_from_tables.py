@@ -41,10 +41,11 @@ oil AS (
 """
 
 
-def fx(spark: SparkSession, sf_dir: str) -> DataFrame:
+def landed_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exchange quotes as landed: the day is still a timestamp."""
     status = F.col("o_orderstatus")
     return table(spark, sf_dir, "orders").select(
-        F.col("o_orderdate").cast("date").alias("date"),
+        F.col("o_orderdate").alias("date"),
         F.when(status == "F", "Oficial").when(status == "O", "Blue").otherwise("Otro").alias(
             "source"
         ),
@@ -53,6 +54,10 @@ def fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return landed_fx(spark, sf_dir).withColumn("date", F.col("date").cast("date"))
+
+
 FX_SQL = """
 fx AS (
   SELECT CAST(o_orderdate AS DATE) AS date,

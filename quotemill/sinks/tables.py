@@ -185,10 +185,83 @@ def load_table(
     if not truncate and table.unique:
         return upsert_table(spark, database, table, ready, target)
     rows, seen = counted(_all_columns(stamped(ready), table, target))
-    _laid_out(rows, table).write.insertInto(qualified(database, table), overwrite=truncate)
+    if truncate and table.partition_by:
+        replace_partitioned(_laid_out(rows, table), database, table)
+    elif truncate:
+        replace_table(_laid_out(rows, table), database, table.key)
+    else:
+        finish_replacement(spark, database, table.key)
+        _laid_out(rows, table).write.insertInto(qualified(database, table))
     return seen.get["rows"]
 
 
+def interim_name(name: str) -> str:
+    return f"{name}__next"
+
+
+def finish_replacement(spark: SparkSession, database: str, name: str) -> None:
+    """Complete a replacement that was lost between its drop and its rename.
+
+    Spark registers the interim table after its data is committed, so an interim
+    table without the published one is the complete new content.
+    """
+    interim = interim_name(name)
+    if not spark.catalog.tableExists(f"{database}.{name}") and spark.catalog.tableExists(
+        f"{database}.{interim}"
+    ):
+        spark.sql(
+            f"ALTER TABLE {qualified(database, interim)} RENAME TO {qualified(database, name)}"
+        )
+
+
+def replace_table(df: DataFrame, database: str, name: str) -> None:
+    """Replace a table's content; ``df`` may read the table itself.
+
+    Overwriting in place would delete the old files first. Here the new content
+    is written to a table beside the published one, which is then dropped and
+    replaced by rename, so a job lost on the way leaves the old content or the
+    complete new one.
+    """
+    spark = df.sparkSession
+    interim, full = qualified(database, interim_name(name)), qualified(database, name)
+    spark.sql(f"DROP TABLE IF EXISTS {interim}")
+    df.write.format("parquet").saveAsTable(interim)
+    spark.sql(f"DROP TABLE IF EXISTS {full}")
+    spark.sql(f"ALTER TABLE {interim} RENAME TO {full}")
+
+
+def _overwrite_partitions(df: DataFrame, database: str, table: Table) -> None:
+    """Replace the partitions that occur in the data, when the job commits."""
+    # Inserting into a table heeds the session's mode, not a writer option.
+    conf, mode = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(mode)
+    conf.set(mode, "dynamic")
+    try:
+        df.write.insertInto(qualified(database, table), overwrite=True)
+    finally:
+        conf.set(mode, before)
+
+
+def replace_partitioned(df: DataFrame, database: str, table: Table) -> None:
+    """Replace a partitioned table's content.
+
+    Partitions in the data are exchanged at commit, the others are dropped
+    afterwards. Partition values, a calendar's worth at most, are metadata.
+    """
+    spark, full = df.sparkSession, qualified(database, table)
+    (column,) = table.partition_by
+
+    def listed() -> set[str]:
+        return {r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {full}").collect()}
+
+    old = listed()
+    _overwrite_partitions(df, database, table)
+    if old:
+        new = {str(r[0]) for r in df.select(column).distinct().collect()}
+        for value in sorted(old - new):
+            spark.sql(f"ALTER TABLE {full} DROP IF EXISTS PARTITION ({column} = '{value}')")
+
+
 def upsert_table(
     spark: SparkSession,
     database: str,
@@ -196,13 +269,9 @@ def upsert_table(
     batch: DataFrame,
     target: str = "relational",
 ) -> int:
-    """Upsert a conformed batch by the table's unique key.
-
-    The merged content is written to a table beside the published one, which is
-    then dropped and replaced by rename: a job lost on the way leaves the old
-    content, or the complete new one under its interim name.
-    """
+    """Upsert a conformed batch by the table's unique key."""
     require_columns(batch, list(table.unique))
+    finish_replacement(spark, database, table.key)
     current = spark.table(qualified(database, table))
     batch, seen = counted(stamped(batch))
     stored = [n for n, _ in table_columns(table, target)]
@@ -210,14 +279,7 @@ def upsert_table(
         merged = upsert(current, batch, table.unique)
     else:
         merged = upsert_columns(current, batch, table.unique)
-    interim = qualified(database, f"{table.key}__next")
-    spark.sql(f"DROP TABLE IF EXISTS {interim}")
-    writer = _laid_out(merged, table).write.format("parquet")
-    if table.partition_by:
-        writer = writer.partitionBy(*table.partition_by)
-    writer.saveAsTable(interim)
-    spark.sql(f"DROP TABLE {qualified(database, table)}")
-    spark.sql(f"ALTER TABLE {interim} RENAME TO {qualified(database, table)}")
+    replace_table(_laid_out(merged, table), database, table.key)
     return seen.get["rows"]
 
 
@@ -235,14 +297,7 @@ def refresh_partitions(
     ensure_checkpoint_dir(spark)
     rows, seen = counted(_all_columns(stamped(conform(df, table, target)), table, target))
     fixed = rows.checkpoint(eager=True)
-    # Inserting into a table heeds the session's mode, not a writer option.
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
-    try:
-        _laid_out(fixed, table).write.insertInto(qualified(database, table), overwrite=True)
-    finally:
-        spark.conf.set(mode, before)
+    _overwrite_partitions(_laid_out(fixed, table), database, table)
     return seen.get["rows"]
 
 
@@ -318,6 +373,7 @@ def accumulate_table(
     if not batches:
         return False
     full = qualified(database, name)
+    finish_replacement(spark, database, name)
     new = concat_batches(batches)
 
     def mark() -> None:
@@ -335,12 +391,7 @@ def accumulate_table(
         added = unseen_rows(existing, batches).select(*columns_of(existing))
         added.write.insertInto(full)
         return True
-    combined = distinct_rows(concat_batches([existing, new]))
-    interim = qualified(database, f"{name}__next")
-    spark.sql(f"DROP TABLE IF EXISTS {interim}")
-    combined.write.format("parquet").saveAsTable(interim)
-    spark.sql(f"DROP TABLE {full}")
-    spark.sql(f"ALTER TABLE {interim} RENAME TO {full}")
+    replace_table(distinct_rows(concat_batches([existing, new])), database, name)
     mark()
     return True
 

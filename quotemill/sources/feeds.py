@@ -30,17 +30,28 @@ def _day(value: str | Column | None) -> Column:
     return value if isinstance(value, Column) else F.lit(value).cast("date")
 
 
+def _dated(df: DataFrame, column: str) -> Column:
+    """A date or timestamp column as it is, a text strictly read as a date.
+
+    Range filters on it reach the Parquet scan, which they would not through a
+    cast of the column.
+    """
+    if isinstance(df.schema[column].dataType, T.StringType):
+        return strict_cast(column, T.DateType(), column)
+    return F.col(column)
+
+
 def oil_quotes(
     raw: DataFrame, start: str | Column = DEFAULT_START_DATE, end: str | Column | None = None
 ) -> DataFrame:
     """Vendor frame (Date, Close, ...) as (date, brent_price) in [start, end)."""
     require_columns(raw, ["Date", "Close"])
-    date = strict_cast("Date", T.DateType(), "Date")
+    date = _dated(raw, "Date")
     return nan_to_null(
-        raw.select(
-            date.alias("date"),
+        raw.where((date >= _day(start)) & (date < _day(end))).select(
+            date.cast("date").alias("date"),
             strict_cast("Close", T.DoubleType(), "Close").alias("brent_price"),
-        ).where((F.col("date") >= _day(start)) & (F.col("date") < _day(end)))
+        )
     )
 
 
@@ -56,12 +67,11 @@ def fx_quotes(
     Ordering by date belongs to the output: see `quotemill.operators.listing`.
     """
     require_columns(raw, ["date", "source"])
-    quotes = raw.withColumn("date", strict_cast("date", T.DateType(), "date")).where(
-        F.col("date").between(_day(start), _day(end))
-    )
+    date = _dated(raw, "date")
+    quotes = raw.where((date >= _day(start)) & (date < F.date_add(_day(end), 1)))
     if sources:
         quotes = quotes.where(F.lower("source").isin([s.lower() for s in sources]))
-    return nan_to_null(quotes)
+    return nan_to_null(quotes.withColumn("date", date.cast("date")))
 
 
 def load_oil(

@@ -62,3 +62,34 @@ def test_flagship(spark):
         "precio_surtidor_mediana",
         "volumen_total",
     ]
+
+
+def executed(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("name", ["source_filter", "oil_window"])
+def test_date_ranges_reach_the_scan(spark, name):
+    plan = executed(entry.queries()[name](spark, SF_DIR))
+    assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan
+    assert "Exchange" not in plan
+
+
+def test_scans_read_only_what_a_query_needs(spark):
+    plan = executed(entry.queries()["monthly_mean_filled"](spark, SF_DIR))
+    assert "ReadSchema: struct<o_totalprice:double,o_orderdate:timestamp_ntz>" in plan
+
+
+@pytest.mark.parametrize(
+    "name", ["monthly_mean_filled", "fuel_month_product", "fuel_pipeline", "fuel_staging", "cleaning_audit"]
+)
+def test_fact_table_is_read_once(spark, name):
+    plan = executed(entry.queries()[name](spark, SF_DIR))
+    facts = [line for line in plan.splitlines() if re.search(r"FileScan parquet \[[lo]_", line)]
+    assert len(facts) == 1
+
+
+def test_line_items_are_not_shuffled_for_their_dimensions(spark):
+    plan = executed(entry.queries()["whitelist_projection"](spark, SF_DIR))
+    assert "Exchange hashpartitioning" not in plan

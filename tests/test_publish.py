@@ -189,6 +189,20 @@ def test_partition_refresh_touches_only_its_months(spark, database):
     assert ensure_checkpoint_dir(spark)
 
 
+def test_refresh_of_a_partitioned_table_drops_old_months(spark, database):
+    tables.create_tables(spark, database)
+
+    def load(*data):
+        tables.load_table(fuel(spark, *data), database, STAGING_FUEL)
+        return rows(spark.table(f"{database}.staging_fuel_prices"), "periodo", "producto")
+
+    load(("2025-01-01", "GNC", 1.0), ("2025-02-01", "GNC", 2.0))
+    assert load(("2025-02-01", "KEROSENE", 2.0), ("2025-03-01", "GNC", 3.0)) == [
+        (day("2025-02-01"), "KEROSENE"),
+        (day("2025-03-01"), "GNC"),
+    ]
+
+
 def test_append_to_a_table_without_key(spark, database):
     tables.create_tables(spark, database)
     one = fuel(spark, ("2025-01-01", "GNC", 1.0))
@@ -340,3 +354,24 @@ def test_first_accumulation_may_drop_repeats(spark, database):
     df = spark.createDataFrame([("x", 1), ("x", 1)], "a string, b int")
     tables.accumulate_table(spark, database, "once", [df], dedup_first=True)
     assert spark.table(f"{database}.once").count() == 1
+
+
+def test_lost_replacement_is_finished_by_the_next_load(spark, database):
+    tables.create_tables(spark, database)
+    tables.load_table(oil(spark, ("2025-01-01", 1.0)), database, STAGING_OIL)
+    name = f"{database}.staging_brent_price"
+    # as if the job had stopped after the drop
+    spark.sql(f"ALTER TABLE {name} RENAME TO {name}__next")
+    tables.load_table(oil(spark, ("2025-01-02", 2.0)), database, STAGING_OIL, truncate=False)
+    assert rows(spark.table(name), "date") == [(day("2025-01-01"),), (day("2025-01-02"),)]
+
+
+def test_failed_refresh_leaves_the_old_content(spark, database):
+    tables.create_tables(spark, database)
+    tables.load_table(oil(spark, ("2025-01-01", 1.0)), database, STAGING_OIL)
+    broken = oil(spark, ("2025-01-02", 2.0)).withColumn(
+        "brent_price", F.when(F.col("brent_price") > 0, F.raise_error(F.lit("boom")).cast("double"))
+    )
+    with pytest.raises(Exception, match="boom"):
+        tables.load_table(broken, database, STAGING_OIL, validate=False)
+    assert rows(spark.table(f"{database}.staging_brent_price"), "date") == [(day("2025-01-01"),)]
