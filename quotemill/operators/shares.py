@@ -36,19 +36,18 @@ def market_share_rows(
     rows stay where they are. For other types no hint is given, so the session's
     broadcast threshold decides on the totals' measured size, and otherwise the
     join is shuffled with skewed periods split by adaptive execution.
+
+    The join is null-safe, so that no null filter tells the two uses of the rows
+    apart: a shuffle below them, as cleaning has one, is computed once.
     """
     require_columns(df, [*group_by, volume])
     period = group_by[0]
-    totals = (
-        df.where(F.col(period).isNotNull())
-        .groupBy(F.col(period).alias("_period"))
-        .agg(zero_sum(volume).alias("_total"))
-    )
+    totals = df.groupBy(F.col(period).alias("_period")).agg(zero_sum(volume).alias("_total"))
     if _bounded_by_type(df, period):
         totals = F.broadcast(totals)
     return (
-        df.join(totals, F.col(period) == F.col("_period"), "left")
-        .withColumn(alias, percent_of(volume, "_total"))
+        df.join(totals, F.col(period).eqNullSafe(F.col("_period")), "left")
+        .withColumn(alias, F.when(F.col(period).isNotNull(), percent_of(volume, "_total")))
         .drop("_period", "_total")
     )
 
