@@ -17,9 +17,12 @@ from quotemill.schemas import (
     ANALYTICS_OIL,
     DEFAULT_PRICE_FLOOR,
     DEFAULT_START_DATE,
+    FX_FILES,
+    OIL_FILES,
     STAGING_FUEL,
     STAGING_FX,
     STAGING_OIL,
+    STATION_FILES,
 )
 from quotemill.sinks.files import write_parquet
 from quotemill.sinks.tables import publish_all
@@ -52,22 +55,25 @@ def station_pipeline(
     return Staged(market_share_rows(cleaned), product_month(cleaned))
 
 
-def save(staged: Staged, folder: str, name: str, monthly_name: str) -> Staged:
+def save(staged: Staged, folder: str, names: tuple[str, str]) -> Staged:
     """Write both parts as Parquet and go on from the files."""
-    spark = staged.cleaned.sparkSession
-    base = folder.rstrip("/")
-    paths = [f"{base}/{n}.parquet" for n in (name, monthly_name)]
-    write_parquet(staged.cleaned, paths[0])
-    write_parquet(staged.monthly, paths[1])
-    return Staged(*[read_parquet(spark, p) for p in paths])
+    cleaned, monthly = (f"{folder.rstrip('/')}/{n}.parquet" for n in names)
+    write_parquet(staged.cleaned, cleaned)
+    write_parquet(staged.monthly, monthly)
+    return saved(staged.cleaned.sparkSession, folder, names)
+
+
+def saved(spark: SparkSession, folder: str, names: tuple[str, str]) -> Staged:
+    """Both parts as an earlier run left them in a folder."""
+    return Staged(*[read_parquet(spark, f"{folder.rstrip('/')}/{n}.parquet") for n in names])
 
 
 def run_oil(raw: DataFrame, folder: str) -> Staged:
-    return save(oil_pipeline(raw), folder, "brent_price_cleaned", "brent_price_monthly")
+    return save(oil_pipeline(raw), folder, OIL_FILES)
 
 
 def run_fx(raw: DataFrame, folder: str) -> Staged:
-    return save(fx_pipeline(raw), folder, "dollar_price_cleaned", "dollar_price_aggregated")
+    return save(fx_pipeline(raw), folder, FX_FILES)
 
 
 def run_stations(
@@ -86,16 +92,13 @@ def run_stations(
     if not save_staging:
         return station_pipeline(raw, start, floor)
     spark = raw.sparkSession
-    base = folder.rstrip("/")
+    distinct = f"{folder.rstrip('/')}/stations_distinct.parquet"
     write_parquet(
-        clean_stations(raw, start, floor),
-        f"{base}/fuel_price_distinct.parquet",
-        partition_by=["periodo"],
-        cluster=True,
+        clean_stations(raw, start, floor), distinct, partition_by=["periodo"], cluster=True
     )
-    cleaned = read_parquet(spark, f"{base}/fuel_price_distinct.parquet")
+    cleaned = read_parquet(spark, distinct)
     staged = Staged(market_share_rows(cleaned), product_month(cleaned))
-    return save(staged, base, "fuel_price_cleaned", "fuel_price_aggregated")
+    return save(staged, folder, STATION_FILES)
 
 
 def publish(
@@ -115,16 +118,5 @@ def publish(
 
 def staged_files(spark: SparkSession, folder: str) -> tuple[Staged, Staged, Staged]:
     """(oil, stations, fx) as an earlier run left them in a folder."""
-    base = folder.rstrip("/")
-
-    def pair(cleaned: str, monthly: str) -> Staged:
-        return Staged(
-            read_parquet(spark, f"{base}/{cleaned}.parquet"),
-            read_parquet(spark, f"{base}/{monthly}.parquet"),
-        )
-
-    return (
-        pair("brent_price_cleaned", "brent_price_monthly"),
-        pair("fuel_price_cleaned", "fuel_price_aggregated"),
-        pair("dollar_price_cleaned", "dollar_price_aggregated"),
-    )
+    oil, stations, fx = (saved(spark, folder, n) for n in (OIL_FILES, STATION_FILES, FX_FILES))
+    return oil, stations, fx

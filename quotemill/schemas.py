@@ -37,6 +37,12 @@ STATION_AGG_COLUMNS = (
 DEFAULT_START_DATE = "2025-01-01"
 DEFAULT_PRICE_FLOOR = 1.0
 
+# --- Fixed values: names of the processed files, (cleaned rows, monthly table) ----
+
+OIL_FILES = ("brent_price_cleaned", "brent_price_monthly")
+STATION_FILES = ("fuel_price_cleaned", "fuel_price_aggregated")
+FX_FILES = ("dollar_price_cleaned", "dollar_price_aggregated")
+
 # --- Fixed values: raw product spelling (lower case) -> published product ------
 
 PRODUCT_NAMES = {
