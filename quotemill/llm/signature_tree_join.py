@@ -12,9 +12,12 @@ Pairs that remain are verified on the whole texts.
 At scale. Shingles that many documents hold come last in the order, so a common
 passage opens no large node; which they are is only a hint, never a filter. Top
 nodes with the same members are descended once; larger ones are cut into
-blocks, whose pairs are spread over tasks. A first descent links classes that
-stand next to each other; the second leaves out all pairs of nodes that are already in one
-group, so a large group of near copies is not compared pair by pair.
+blocks, whose pairs are spread over tasks. There are three descents. The first
+takes each class in its largest node only and tries the likeliest neighbour of
+each; the second tries, for each class and each other group in its nodes, the
+likeliest member; the last tries all that is left. Each leaves out pairs of
+nodes that are already in one group, so a large group of near copies is not
+compared pair by pair.
 """
 
 from __future__ import annotations
@@ -82,9 +85,9 @@ def hot_shingles(store: Store, docs: DataFrame, text: str, size: int) -> np.ndar
 
 
 def _bitmap(tokens: np.ndarray) -> tuple[bytes, int]:
-    """Token bitmap of two to four bits per token, and how many tokens share bits."""
+    """Token bitmap of eight to sixteen bits per token, and how many tokens share bits."""
     width = 64
-    while width < 2 * len(tokens):
+    while width < 8 * len(tokens):
         width *= 2
     bits = np.zeros(width // 8, dtype=np.uint8)
     place = np.unique(mix(tokens) & np.uint64(width - 1)).astype(np.int64)
@@ -168,6 +171,10 @@ def _possible(a: _Level, b: _Level, i: np.ndarray, j: np.ndarray, percent: int):
     overlap = np.bitwise_count(a.bits[i] & b.bits[j]).sum(axis=1, dtype=np.int64)
     overlap += np.minimum(a.slack[i], b.slack[j])
     overlap = np.minimum(overlap, np.minimum(a.high[i], b.high[j]))
+    if a.step == b.step == 1:
+        # Of two single sets, each bit in which they differ is a token that they don't share.
+        apart = np.bitwise_count(a.bits[i] ^ b.bits[j]).sum(axis=1, dtype=np.int64)
+        overlap = np.minimum(overlap, (a.low[i] + b.low[j] - apart) // 2)
     keep = (100 + percent) * overlap >= percent * (a.low[i] + b.low[j])
     keep &= (100 * a.high[i] >= percent * b.low[j]) & (100 * b.high[j] >= percent * a.low[i])
     one = (a.first[i] == a.last[i]) & (b.first[j] == b.last[j]) & (a.first[i] == b.first[j])
@@ -222,7 +229,18 @@ def _slack(bits, sizes):
     return sizes - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
 
 
-def _bucket_pairs(table: pa.Table, percent: int, near: bool):
+def _likeliest(left, right, overlap, group):
+    """Of each member, the likeliest link to each group of the others."""
+    if not len(left):
+        return left, right, overlap
+    order = np.lexsort((-overlap, group[left], right))
+    left, right, overlap = left[order], right[order], overlap[order]
+    new = np.ones(len(left), dtype=bool)
+    new[1:] = (right[1:] != right[:-1]) | (group[left[1:]] != group[left[:-1]])
+    return left[new], right[new], overlap[new]
+
+
+def _bucket_pairs(table: pa.Table, percent: int, near: bool, likeliest: bool):
     """Positions of the member pairs of one block pair that may be links."""
     group = table["grp"].to_numpy()
     side = table["side"].to_numpy()
@@ -259,23 +277,27 @@ def _bucket_pairs(table: pa.Table, percent: int, near: bool):
                     if not same:
                         b_bits, b_n = bits[theirs], other["n"][theirs]
                         b = _tree(b_bits, b_n, _slack(b_bits, b_n), group[at_b])
+                    kept: list[tuple] = []
                     for i, j, overlap in _descend(a, b, same, percent, near and same):
                         left = at_a[order][i] if same else at_a[i]
                         right = at_b[order][j] if same else at_b[j]
-                        if near and len(i):
-                            # Of each member, the likeliest link to one before it.
-                            best = np.lexsort((-overlap, right))
-                            best = best[np.unique(right[best], return_index=True)[1]]
-                            left, right = left[best], right[best]
-                        yield left, right
-
-
-def _candidates(percent: int, near: bool):
+                        if not likeliest:
+                            yield left, right
+                            continue
+                        among = np.zeros(len(group), dtype=np.int64) if near else group
+                        kept.append(_likeliest(left, right, overlap, among))
+                        if sum(len(x[0]) for x in kept) > 8 * _PAIRS:
+                            kept = [_likeliest(*map(np.concatenate, zip(*kept, strict=True)), among)]
+                    if kept:
+                        yield _likeliest(*map(np.concatenate, zip(*kept, strict=True)), among)[:2]
+
+
+def _candidates(percent: int, near: bool, likeliest: bool):
     schema = pa.schema([(c, t) for s in "ab" for c, t in ((f"doc_{s}", pa.int64()), (f"dig_{s}", pa.binary()))])
 
     def pairs(table: pa.Table) -> Iterator[dict[str, list]]:
         docs, digests = table["doc"].to_numpy(), table["digest"].to_pylist()
-        for left, right in _bucket_pairs(table, percent, near):
+        for left, right in _bucket_pairs(table, percent, near, likeliest):
             out: dict[str, list] = {name: [] for name in schema.names}
             for x, y in zip(left.tolist(), right.tolist(), strict=True):
                 if digests[y] < digests[x]:
@@ -384,27 +406,30 @@ def jaccard_groups(
     members = store.put(tokens.join(nodes.select("token", "members"), "token"), "members")
     carried = classes.select("cid", "doc", "digest", "n", "bits")
 
-    def descent(rows: DataFrame, near: bool) -> DataFrame:
+    def descent(rows: DataFrame, near: bool = False, likeliest: bool = False) -> DataFrame:
         keys = ["token", "x", "y"]
         dealt = _spread(rows, near).select(*keys, "side", "doc", "digest", "n", "bits", "grp")
         parted = dealt.repartition(*keys).sortWithinPartitions(*keys)
         found = parted.mapInArrow(
-            _candidates(percent, near), "doc_a long, dig_a binary, doc_b long, dig_b binary"
+            _candidates(percent, near, likeliest), "doc_a long, dig_a binary, doc_b long, dig_b binary"
         )
-        return store.put(found.distinct(), "pairs")
-
-    alone = members.join(carried, "cid").withColumn("grp", F.col("doc"))
-    linked = store.put(_verified(descent(alone, True), docs, size, percent), "links")
-    groups = store.put(components(store, linked), "groups")
-
-    placed = members.join(carried, "cid").join(groups, F.col("doc") == F.col("node"), "left")
-    placed = store.put(placed.select(*members.columns, F.coalesce("component", "doc").alias("grp")), "placed")
-    open_nodes = (
-        placed.groupBy("token").agg(F.min("grp").alias("_l"), F.max("grp").alias("_h")).where("_l <> _h")
-    ).select("token")
-    again = placed.join(open_nodes, "token").join(carried, "cid")
-    more = store.put(_verified(descent(again, False), docs, size, percent), "links")
-    final = store.put(components(store, linked.union(more)), "groups")
+        pairs = store.put(found.distinct(), "pairs")
+        return store.put(_verified(pairs, docs, size, percent), "links")
+
+    def still_open(groups: DataFrame) -> DataFrame:
+        """Members, with their groups, of the top nodes that hold more than one group."""
+        own = carried.select("cid", "doc").join(groups, F.col("doc") == F.col("node"), "left")
+        own = own.select("cid", F.coalesce("component", "doc").alias("grp"))
+        placed = store.put(members.join(own, "cid"), "placed")
+        apart = placed.groupBy("token").agg(F.min("grp").alias("_l"), F.max("grp").alias("_h"))
+        return placed.join(apart.where("_l <> _h").select("token"), "token").join(carried, "cid")
+
+    first = members.groupBy("cid").agg(F.max(F.struct("members", "token")).alias("_m"))
+    first = first.select("cid", "_m.members", "_m.token").join(carried, "cid").withColumn("grp", F.col("doc"))
+    links = descent(first, near=True, likeliest=True)
+    links = links.union(descent(still_open(components(store, links)), likeliest=True))
+    links = links.union(descent(still_open(components(store, links))))
+    final = store.put(components(store, links), "groups")
 
     named = (
         reps.join(final, F.col("doc") == F.col("node"), "left")
