@@ -37,6 +37,10 @@ def _draws(n: int, seed: int) -> np.ndarray:
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Separators of words that consist of letters: all of ASCII but A-Z and a-z.
+NO_LETTER = np.zeros(256, dtype=bool)
+NO_LETTER[:128] = True
+NO_LETTER[65:91] = NO_LETTER[97:123] = False
 _LOWER = np.arange(256)
 _LOWER[65:91] += 32
 _OF_BYTE = _draws(256, 1)[_LOWER]
@@ -57,8 +61,8 @@ class Slice(NamedTuple):
     first: np.ndarray  # first word of each row, and the end
 
 
-def _hash_words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
-    inside = np.flatnonzero(~_SPACE[data])
+def _hash_words(data: np.ndarray, bounds: np.ndarray, between: np.ndarray) -> tuple[np.ndarray, ...]:
+    inside = np.flatnonzero(~between[data])
     if not len(inside):
         none = np.zeros(0, dtype=np.int64)
         return np.zeros(0, dtype=np.uint64), none, none
@@ -75,8 +79,11 @@ def _hash_words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
     return hashes, starts, starts + lengths
 
 
-def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Slice]:
-    """Hashed words of a text column, in slices of whole rows; null counts as empty."""
+def slices(column: pa.Array, limit: int = SLICE_BYTES, between: np.ndarray = _SPACE) -> Iterator[Slice]:
+    """Hashed words of a text column, in slices of whole rows; null counts as empty.
+
+    ``between`` tells for each byte value whether it separates words.
+    """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = pc.fill_null(column.cast(pa.large_string()), "")
@@ -92,11 +99,22 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Slice]:
         hi = min(n, max(lo + 1, hi))
         part = data[offsets[lo] : offsets[hi]]
         bounds = offsets[lo : hi + 1] - offsets[lo]
-        words, starts, ends = _hash_words(part, bounds)
+        words, starts, ends = _hash_words(part, bounds, between)
         yield Slice(lo, hi, part, bounds, words, starts, ends, np.searchsorted(starts, bounds))
         lo = hi
 
 
+def stems(part: Slice, size: int) -> np.ndarray:
+    """Hash of the first ``size`` bytes of each word, of shorter words as a whole."""
+    total = np.zeros(len(part.words), dtype=np.uint64)
+    last = max(0, len(part.data) - 1)
+    for k in range(size):
+        at = part.starts + k
+        term = _OF_BYTE[part.data[np.minimum(at, last)]] * _OF_POSITION[k] if len(total) else total
+        total += np.where(at < part.ends, term, np.uint64(0))
+    return mix(total + np.uint64(size << 32))
+
+
 def chain(words: np.ndarray, size: int) -> np.ndarray:
     """Hash of each run of ``size`` consecutive words, by its first word."""
     total = np.zeros(max(0, len(words) - size + 1), dtype=np.uint64)
