@@ -172,6 +172,11 @@ def write_archives(pages: DataFrame, store: Store, *, least: int = LEAST_REVISIT
     return store.put(rows.select("page_id", "url", "html", "top").mapInArrow(write, "archive string"), "written")
 
 
+def _one_by_one(archives: DataFrame) -> DataFrame:
+    """Archives dealt out to as many tasks, which adaptive execution doesn't merge: their rows are small, their files aren't."""
+    return archives.repartition(max(1, archives.count()))
+
+
 def normalise(archives: DataFrame, store: Store) -> DataFrame:
     """(archive, index) paths of the same records, a gzip member each, with a sidecar index.
 
@@ -210,8 +215,7 @@ def normalise(archives: DataFrame, store: Store) -> DataFrame:
                     [pa.array([name]), pa.array([f"{name}.idx"])], names=["archive", "index"]
                 )
 
-    spread = archives.repartition(F.xxhash64("archive"))
-    return store.put(spread.mapInArrow(run, "archive string, index string"), "normalised")
+    return store.put(_one_by_one(archives).mapInArrow(run, "archive string, index string"), "normalised")
 
 
 def read_back(archives: DataFrame) -> DataFrame:
@@ -241,7 +245,7 @@ def read_back(archives: DataFrame) -> DataFrame:
                             rows.append(parsed(fields, block))
                         yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    return archives.select("archive", "index").repartition(F.xxhash64("archive")).mapInArrow(
+    return _one_by_one(archives.select("archive", "index")).mapInArrow(
         run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
     )
 
