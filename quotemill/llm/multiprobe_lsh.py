@@ -21,10 +21,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotemill.llm.store import Store, batches_of
+from quotemill.llm.store import Store, batches_of, runs
 from quotemill.llm.words import mix
 
 BLOCK = 4096
@@ -142,7 +142,7 @@ class _Best:
 
     def rows(self) -> Iterator[dict[str, list]]:
         for key, (score, own) in self.found.items():
-            yield {"query": [key] * len(own), "vec": own.tolist(), "score": score.tolist()}
+            yield {"query": [key], "vec": [own], "score": [score]}
         self.found = {}
 
 
@@ -199,9 +199,9 @@ def nearest(
                         cells = np.floor(places)[:, None, :] if stored else _probed(places, sets)
                         keys = Tables.keys(table, cells)
                         n = keys.shape[1]
+                        repeated = pa.array([b for b in blobs for _ in range(n)], pa.binary())
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(keys.ravel()), pa.array(np.repeat(ids, n)), pa.array([b for b in blobs for _ in range(n)], pa.binary())],
-                            schema=schema,
+                            [pa.array(keys.ravel()), pa.array(np.repeat(ids, n)), repeated], schema=schema
                         )
 
         return run
@@ -220,7 +220,12 @@ def nearest(
     )
     keys = ["bucket", "block"]
     parted = dealt.union(asked).repartition(*keys).sortWithinPartitions(*keys, "kind")
-    found_schema = pa.schema([("query", pa.int64()), ("vec", pa.int64()), ("score", pa.float64())])
+    found_schema = pa.schema(
+        [("query", pa.int64()), ("vec", pa.list_(pa.int64())), ("score", pa.list_(pa.float64()))]
+    )
+    ranked_schema = pa.schema(
+        [("query_id", pa.int64()), ("rank", pa.int32()), ("vec_id", pa.int64()), ("score", pa.float64())]
+    )
 
     def unpack(batch: pa.RecordBatch) -> np.ndarray:
         data = b"".join(batch.column("vector").to_pylist())
@@ -252,13 +257,26 @@ def nearest(
                         yield from best.rows()
         yield from best.rows()
 
-    pairs = parted.mapInArrow(
-        lambda batches: batches_of(compared(batches), found_schema), "query long, vec long, score double"
-    )
-    merged = pairs.groupBy("query", "vec").agg(F.max("score").alias("score"))
-    ranked = merged.withColumn(
-        "rank", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec"))
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
+        for table in runs(batches, ["query"]):
+            own, score = (table[c].combine_chunks().flatten().to_numpy() for c in ("vec", "score"))
+            order = np.lexsort((own, -score))
+            order = order[np.sort(np.unique(own[order], return_index=True)[1])][:k]
+            n = len(order)
+            query = table["query"][0].as_py()
+            yield {
+                "query_id": [query] * n,
+                "rank": list(range(1, n + 1)),
+                "vec_id": own[order].tolist(),
+                "score": score[order].tolist(),
+            }
+
+    # A row per query and task, with the best k of it.
+    parts = parted.mapInArrow(
+        lambda batches: batches_of(compared(batches), found_schema), "query long, vec array<long>, score array<double>"
     )
-    return ranked.where(F.col("rank") <= k).select(
-        F.col("query").alias("query_id"), "rank", F.col("vec").alias("vec_id"), "score"
+    parts = parts.repartition("query").sortWithinPartitions("query")
+    return parts.mapInArrow(
+        lambda batches: batches_of(merged(batches), ranked_schema),
+        "query_id long, rank int, vec_id long, score double",
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -13,13 +15,17 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, or the one set on the context.
 
-    An error if there is neither: a machine-local folder would lose interim
+    Where neither is set, a local session gets a temporary folder, as in tests.
+    On a cluster that is an error: a machine-local folder would lose interim
     tables together with the executor that wrote them.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    folder = folder or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="checkpoint-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 

@@ -1,0 +1,6 @@
+import pytest
+
+
+@pytest.fixture(scope="session", autouse=True)
+def checkpoint_folder(spark, tmp_path_factory):
+    spark.sparkContext.setCheckpointDir("file://" + str(tmp_path_factory.mktemp("shared")))
