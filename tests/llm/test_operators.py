@@ -30,6 +30,11 @@ DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 
 
+@pytest.fixture(scope="module", autouse=True)
+def checkpoint_folder(spark, tmp_path_factory):
+    spark.sparkContext.setCheckpointDir("file://" + str(tmp_path_factory.mktemp("shared")))
+
+
 def read(spark, table):
     return spark.read.parquet(f"{SF}/{table}.parquet")
 
