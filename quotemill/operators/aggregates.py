@@ -259,18 +259,21 @@ def daily_rates(
 ) -> DataFrame:
     """Quotes by day, one column per source holding the day's mean.
 
-    The source list fixes the schema, so the data is not read for it, and each
+    Sources match whatever their case. The source list fixes the schema, so the data is not read for it, and each
     column is a conditional mean: one hash aggregate. Days on which no source
     has a value are left out; a source without quotes gives a null column.
     """
+    source = F.lower("source")
     return (
         df.where(
-            F.col(date).isNotNull() & F.col(value).isNotNull() & F.col("source").isin(*sources)
+            F.col(date).isNotNull()
+            & F.col(value).isNotNull()
+            & source.isin(*[s.lower() for s in sources])
         )
         .groupBy(F.col(date).cast("date").alias(date))
         .agg(
             *[
-                F.avg(F.when(F.col("source") == s, F.col(value))).alias(rate_column(s))
+                F.avg(F.when(source == s.lower(), F.col(value))).alias(rate_column(s))
                 for s in sources
             ]
         )

@@ -89,7 +89,9 @@ def upsert_columns(
 ) -> DataFrame:
     """Upsert of the columns the batch has; other columns keep their values.
 
-    A key that is new gets null in the columns the batch lacks.
+    A key that is new gets null in the columns the batch lacks. The target is the
+    left side of a left join and rows of new keys are appended, so that a batch
+    below the broadcast threshold leaves the target's rows in place.
     """
     require_columns(batch, list(keys))
     provided = [c for c in batch.columns if c in target.columns and c not in keys]
@@ -99,13 +101,15 @@ def upsert_columns(
     ).withColumn("_hit", F.lit(True))
     t, b = target.alias("t"), new.alias("b")
     on = [F.col(f"t.{k}") == F.col(f"b.{k}") for k in keys]
-    merged = t.join(b, on, "full_outer")
+    merged = t.join(b, on, "left")
+    added = b.join(target.select(*keys), list(keys), "left_anti")
 
     def pick(name: str):
-        if name in keys:
-            return F.coalesce(F.col(f"t.{name}"), F.col(f"b.{name}"))
         if name in provided:
             return F.when(F.col("b._hit"), F.col(f"b.{name}")).otherwise(F.col(f"t.{name}"))
         return F.col(f"t.{name}")
 
-    return merged.select(*[pick(c).alias(c) for c in target.columns])
+    held = [*keys, *provided]
+    return merged.select(*[pick(c).alias(c) for c in target.columns]).unionByName(
+        added.select(*[F.col(c) for c in target.columns if c in held]), allowMissingColumns=True
+    )

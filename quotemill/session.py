@@ -38,13 +38,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session.
 
     The cluster names it in ``spark.checkpoint.dir``. Only where that is unset
-    is a folder below the SQL warehouse used, which executors can reach too.
+    does a local session use a folder below the SQL warehouse; elsewhere that
+    may be a machine's own disk, so it is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         current = spark.sparkContext.getCheckpointDir()
         if current:
             return current
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)

@@ -64,20 +64,21 @@ def write_jdbc(
     truncate: bool = True,
     properties: Mapping[str, str] | None = None,
     batch_rows: int = 1000,
-    connections: int = 8,
+    connections: int | None = None,
 ) -> int:
     """Load a database table through Spark's JDBC writer; returns the rows.
 
     With ``truncate`` the table is emptied but keeps its definition; otherwise
-    rows are appended. The number of connections is limited for the database's
-    sake.
+    rows are appended. ``connections`` limits how many tasks write at a time; it
+    also limits those of the last computing stage.
     """
     df, seen = counted(df)
     writer = (
         df.write.mode("overwrite" if truncate else "append")
         .option("truncate", truncate)
         .option("batchsize", batch_rows)
-        .option("numPartitions", connections)
     )
+    if connections is not None:
+        writer = writer.option("numPartitions", connections)
     writer.jdbc(url, table, properties=dict(properties or {}))
     return seen.get["rows"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,14 +54,20 @@ def conform(df: DataFrame, table: Table | None, target: str = "relational") -> D
             continue
         if target == "relational" and field.relational is None:
             continue
+        chosen.append(_published(table, target, [field.name])[0].alias(field.name))
+    return df.select(chosen)
+
+
+def _published(table: Table, target: str, names: Sequence[str]) -> list[Column]:
+    """Columns as their table's types; a value that does not fit is null."""
+    out = []
+    for field in (next(f for f in table.fields if f.name == name) for name in names):
         kind = table.type_of(field, target)
         value = F.lit(None) if field.blank else F.col(field.name)
         if isinstance(kind, T.DecimalType):
-            value = value.cast("double").try_cast(kind)
-        else:
-            value = value.try_cast(kind)
-        chosen.append(value.alias(field.name))
-    return df.select(chosen)
+            value = value.try_cast("double")
+        out.append(value.try_cast(kind))
+    return out
 
 
 def stamped(df: DataFrame) -> DataFrame:
@@ -161,6 +167,32 @@ def require_valid(df: DataFrame, table: Table, target: str) -> None:
         raise ValueError(f"{table.key}: constraint violations {found}")
 
 
+def require_published(df: DataFrame, table: Table, target: str) -> None:
+    """ValueError where the published values break what the source's values keep.
+
+    A required column may be absent, a value may not fit its published type, and
+    a rounded number or a time cut to its day may break a rule.
+    """
+    absent = [
+        f.name
+        for f in table.fields
+        if table.requires(f, target) and not f.blank and f.name not in df.columns
+    ]
+    if absent:
+        raise ValueError(f"{table.key}: required columns absent {absent}")
+    ready = conform(df, table, target)
+    checked = [f.name for f in table.fields if f.name in ready.columns and not f.blank]
+    lost = [
+        F.count_if(F.col(c).isNotNull() & value.isNull()).alias(c)
+        for c, value in zip(checked, _published(table, target, checked), strict=True)
+    ]
+    if lost:
+        found = [(f"{c} type", n) for c, n in df.agg(*lost).first().asDict().items() if n]
+        if found:
+            raise ValueError(f"{table.key}: constraint violations {found}")
+    require_valid(ready, table, target)
+
+
 def load_table(
     df: DataFrame,
     database: str,
@@ -181,6 +213,7 @@ def load_table(
         return 0
     if validate:
         require_valid(df, table, target)
+        require_published(df, table, target)
     ready = conform(df, table, target)
     if not truncate and table.unique:
         return upsert_table(spark, database, table, ready, target)

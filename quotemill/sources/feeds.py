@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -96,12 +97,17 @@ def load_fx(
     sources: Sequence[str] = FX_SOURCES,
     json_lines: bool = False,
 ) -> DataFrame:
-    """Exchange quotes from landed JSON; ValueError if unreadable or empty."""
+    """Exchange quotes from landed JSON; ValueError if unreadable, damaged or empty.
+
+    The feed is read once to see that every record is whole.
+    """
     try:
         raw = read_json_records(spark, path, FX_SCHEMA, json_lines=json_lines)
-    except AnalysisException as error:
+        rows = raw.agg(F.count("*"), *[F.count(c) for c in raw.columns]).first()[0]
+    except (PySparkException, Py4JJavaError) as error:  # the latter from tasks
         raise ValueError(f"exchange feed cannot be read: {path}") from error
-    require_rows(raw, "the exchange feed holds no records")
+    if not rows:
+        raise ValueError("the exchange feed holds no records")
     return fx_quotes(raw, start, end, sources)
 
 

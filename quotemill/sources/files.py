@@ -12,6 +12,10 @@ from pyspark.sql import types as T
 from quotemill.functions.parsing import nan_to_null, null_tokens
 
 PRICE_FILE_PATTERN = "*precios*.csv"
+# Holds a CSV row that does not have the header's number of cells.
+_DAMAGED = "_damaged_row"
+# A comma that is not inside quotes.
+_CELL_END = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
 def read_csv_text(
@@ -34,6 +38,9 @@ def read_csv_text(
     ``pattern`` is a file-name glob, ``name_contains`` a case-insensitive part
     of the file name. Both act while files are listed, before they are opened.
 
+    Short rows are padded with nulls. A row with more cells than the header fails
+    the job, as its cells belong to no column.
+
     Quotes inside a quoted cell are doubled. Cells that contain line breaks need
     ``multi_line``, at the price of reading each file in one task.
     """
@@ -44,18 +51,27 @@ def read_csv_text(
         .option("escape", '"')
         .option("multiLine", multi_line)
         .option("ignoreCorruptFiles", skip_unreadable)
+        # Every row is taken apart whole, else surplus cells go unseen.
+        .option("columnPruning", False)
+        .option("columnNameOfCorruptRecord", _DAMAGED)
     )
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    if columns is not None:
-        reader = reader.schema(
-            T.StructType([T.StructField(c, T.StringType()) for c in columns])
-        )
-    df = reader.csv(paths if isinstance(paths, str) else list(paths))
+    listed = paths if isinstance(paths, str) else list(paths)
+    if columns is None:
+        columns = reader.csv(listed).columns
+    fields = [T.StructField(c, T.StringType()) for c in [*columns, _DAMAGED]]
+    df = reader.schema(T.StructType(fields)).csv(listed)
     if name_contains:
         wanted = name_contains.lower()
         df = df.where(F.lower(F.col("_metadata.file_name")).contains(wanted))
-    return null_tokens(df)
+    cells = F.size(F.split(F.col(_DAMAGED), _CELL_END))
+    surplus = F.coalesce(cells > len(columns), F.lit(False))
+    # The message names a cell, too: Spark refuses to read the damaged rows' column alone.
+    told = [F.col(_DAMAGED), F.lit("; first cell: "), F.coalesce(F.col(f"`{columns[0]}`"), F.lit(""))]
+    message = F.concat(F.lit("CSV row with more cells than its header: "), *told)
+    fits = F.when(surplus, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return null_tokens(df.where(fits).drop(_DAMAGED))
 
 
 def read_csv_layouts(
@@ -88,9 +104,13 @@ def read_json_records(
 ) -> DataFrame:
     """Scan JSON records: one array per file, or one record per line.
 
+    A record that is no JSON, or holds a value that is not of its type, fails
+    the job when it is read.
+
     An array file cannot be split between tasks, so land large feeds as lines.
     """
-    return spark.read.schema(schema).option("multiLine", not json_lines).json(
+    reader = spark.read.schema(schema).option("multiLine", not json_lines)
+    return reader.option("mode", "FAILFAST").json(
         paths if isinstance(paths, str) else list(paths)
     )
 

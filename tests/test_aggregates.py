@@ -278,3 +278,12 @@ def test_fact_joins_feeds_on_the_month(spark):
         (day("2025-02-01"), 90.0, None),
     ]
     assert math.isclose(A.fact_correlations(fact).first()["corr_oil"], 1.0)
+
+
+def test_exchange_sources_match_whatever_their_case(spark):
+    df = spark.createDataFrame(
+        [("2025-01-01", "OFICIAL", 100.0), ("2025-01-02", "oficial", 200.0), ("2025-01-01", "BLUE", 300.0)],
+        "date string, source string, value_sell double",
+    ).selectExpr("to_date(date) AS date", "source", "value_sell")
+    got = A.monthly_rates(df).first()
+    assert (got["usd_ars_oficial"], got["usd_ars_blue"], got["brecha_cambiaria_pct"]) == (150.0, 300.0, 100.0)

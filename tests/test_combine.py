@@ -104,3 +104,12 @@ def test_listings(spark):
     assert [r["n"] for r in L.ordered(df, "v", "n").collect()] == [1, 2, 3]
     plan = L.latest(df, 2, ["n"])._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def test_small_column_batch_leaves_the_target_in_place(spark):
+    target = spark.range(1000).selectExpr("id AS k", "id AS v", "id AS n")
+    batch = spark.createDataFrame([(1, 5), (2000, 6)], "k long, v long")
+    merged = U.upsert_columns(target, batch, ["k"])
+    assert rows(merged.where("k in (1, 2, 2000)"), "k", "v", "n") == [(1, 5, 1), (2, 2, 2), (2000, 6, None)]
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "FullOuter" not in plan

@@ -375,3 +375,17 @@ def test_failed_refresh_leaves_the_old_content(spark, database):
     with pytest.raises(Exception, match="boom"):
         tables.load_table(broken, database, STAGING_OIL, validate=False)
     assert rows(spark.table(f"{database}.staging_brent_price"), "date") == [(day("2025-01-01"),)]
+
+
+@pytest.mark.parametrize(
+    "rows, columns, message",
+    [
+        ([(day("2025-01-31"),)], "date date", "required columns absent"),
+        ([("garbage", 1.0)], "date string, brent_price double", "date type"),
+        ([(day("2025-01-31"), 0.001)], "date date, brent_price double", "positive|not null"),
+    ],
+)
+def test_what_would_be_published_is_checked(spark, database, rows, columns, message):
+    df = spark.createDataFrame(rows, columns)
+    with pytest.raises(ValueError, match=message):
+        tables.load_table(df, database, STAGING_OIL)

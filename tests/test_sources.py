@@ -144,3 +144,27 @@ def test_all_feeds_and_their_summary(spark, tmp_path):
     assert summary["fx"]["first_day"] == day("2025-01-02")
     assert (summary["stations"]["rows"], summary["stations"]["products"]) == (3, 2)
     assert summary["stations"]["provinces"] == 2
+
+
+def test_surplus_cells_fail_and_short_rows_are_padded(spark, tmp_path):
+    short = put(tmp_path / "short.csv", 'a,b\n1\n"x, ""y""",2\n')
+    assert rows(files.read_csv_text(spark, short)) == [("1", None), ('x, "y"', "2")]
+    path = put(tmp_path / "long.csv", "a,b\n1,2\n3,4,5,6\n")
+    for df in (files.read_csv_text(spark, path), files.read_csv_text(spark, path).select("a")):
+        with pytest.raises(Exception, match="more cells than its header: 3,4,5,6"):
+            df.collect()
+
+
+@pytest.mark.parametrize(
+    "text, json_lines",
+    [
+        ('[{"date": "2025-01-01", "source": "Blue", "value_sell": 1.0}, {"date": ', False),
+        ("<html><body>busy</body></html>", False),
+        ('{"date": "2025-01-01", "source": "Blue", "value_sell": 1.0}\n{"date": \n', True),
+        ('{"date": "2025-01-01", "source": "Blue", "value_sell": "x"}\n', True),
+    ],
+)
+def test_damaged_exchange_feed(spark, tmp_path, text, json_lines):
+    path = put(tmp_path / "fx.json", text)
+    with pytest.raises(ValueError, match="cannot be read"):
+        feeds.load_fx(spark, path, json_lines=json_lines)
