@@ -309,8 +309,8 @@ def monthly_fact(
     """Station months with that month's oil price and rates, price in dollars.
 
     The feeds label months differently, first day here and last day there, so
-    they meet on the last day. Oil and rates hold one row per month, a number
-    the calendar bounds, and are broadcast for that reason.
+    they meet on the last day. Oil and rates are meant to hold one row per month;
+    no hint is given, so Spark broadcasts them only if their size allows it.
     """
     oil = oil_month.select(month_end("date").alias("_month"), "avg_brent_price")
     rates = rates_month.select(
@@ -321,8 +321,8 @@ def monthly_fact(
     )
     return (
         station_month.withColumn("_month", month_end("periodo"))
-        .join(F.broadcast(oil), "_month", "left")
-        .join(F.broadcast(rates), "_month", "left")
+        .join(oil, "_month", "left")
+        .join(rates, "_month", "left")
         .drop("_month")
         .withColumn(
             "precio_usd", F.try_divide("precio_surtidor_mediana", "usd_ars_oficial")

@@ -33,6 +33,10 @@ NUMBER_COLUMNS = [
 ]
 
 
+# Holds the text of a number that cannot be read, until rows have been compared.
+_UNREAD = "_unread_"
+
+
 def clean_oil(df: DataFrame) -> DataFrame:
     """Typed oil quotes; a value that cannot be read fails the job."""
     require_columns(df, ["date", "brent_price"])
@@ -58,11 +62,14 @@ def clean_fx(df: DataFrame) -> DataFrame:
     return nan_to_null(typed)
 
 
-def typed_stations(raw: DataFrame) -> DataFrame:
+def typed_stations(raw: DataFrame, keep_unread: bool = False) -> DataFrame:
     """Station rows with normalized names, the month and all numbers as values.
 
-    Texts that cannot be read become null. Numbers are typed before rows are
-    compared, so that 1 and 1.0 are no difference between two rows.
+    Texts that cannot be read become null. With ``keep_unread`` those of the
+    numbers are kept in columns of their own: rows are compared by the value of
+    a number that can be read (1 and 1.0 are no difference) and by the text of
+    one that cannot. An unreadable month or price makes its row fall out or
+    counts as null, so their texts are not compared.
     """
     df = require_columns(normalize_columns(raw), STATION_REQUIRED)
 
@@ -74,9 +81,15 @@ def typed_stations(raw: DataFrame) -> DataFrame:
     for name in NUMBER_COLUMNS:
         if name in df.columns:
             typed[name] = parse_number(name) if text(name) else F.col(name).cast("double")
+            if keep_unread and text(name) and name not in ("periodo", "precio_surtidor"):
+                typed[_UNREAD + name] = F.when(typed[name].isNull(), F.col(name))
     return nan_to_null(df.withColumns(typed))
 
 
+def _without_unread(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.startswith(_UNREAD)])
+
+
 def from_month(start: str | Column) -> Column:
     """Rows of the start date or later; a null month fails."""
     return F.col("periodo") >= (F.lit(start).cast("date") if isinstance(start, str) else start)
@@ -98,12 +111,12 @@ def clean_stations(
     two spellings of one product both stay. That is the only shuffle; every
     filter, the product's included, acts before it.
     """
-    kept = typed_stations(raw).where(
+    kept = typed_stations(raw, keep_unread=True).where(
         from_month(start) & F.col("precio_surtidor").isNotNull() & price_at_least(floor)
     )
     mapped = map_values("producto", products)
     return (
-        kept.dropDuplicates()
+        _without_unread(kept.dropDuplicates())
         .withColumn("producto", mapped)
         .where(F.col("producto").isNotNull())
     )
@@ -127,7 +140,7 @@ def cleaning_audit(
     One scan and one wide shuffle. Rows that fall out before the distinct step
     lose their content and collapse to one row per stage on the map side.
     """
-    df = typed_stations(raw)
+    df = typed_stations(raw, keep_unread=True)
     early = F.coalesce(~from_month(start), F.lit(True))
     stage = (
         F.when(early, 1)

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotemill.functions import parsing as P
-from quotemill.functions.naming import require_columns, select_available
 from quotemill.operators import aggregates as A
 from quotemill.operators import cleaning as C
 from quotemill.operators import combine as U
@@ -35,7 +34,7 @@ from quotemill.plans.feeds_from_tables import (
     stations,
     table,
 )
-from quotemill.schemas import ANALYTICS_FUEL, STAGING_FUEL, STAGING_FX, STAGING_OIL, TABLES
+from quotemill.schemas import STAGING_FUEL, STAGING_FX, STAGING_OIL
 from quotemill.sinks.tables import conform
 from quotemill.sources.feeds import fx_quotes, oil_quotes
 
@@ -464,9 +463,6 @@ def price_floor(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-_TOKENS = ", ".join(f"'{t}'" for t in P.NULL_TOKENS)
-
-
 @query(
     """SELECT event_id,
        CASE event_type WHEN 'purchase' THEN 'N/D' WHEN 'signup' THEN '-'
@@ -487,62 +483,64 @@ def null_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- calendar --------------------------------------------------------------------
 
-_DAYS = """
-days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders
-         WHERE o_orderstatus = 'F'),
+_DAYS = f"""
+{FX_SQL},
+days AS (SELECT DISTINCT source, date FROM fx),
+bounds AS (SELECT source, min(date) AS lo, max(date) AS hi FROM days GROUP BY 1),
 span AS (
-  SELECT CAST(unnest(generate_series((SELECT min(date) FROM days), (SELECT max(date) FROM days),
-                                     INTERVAL 1 DAY)) AS DATE) AS date),
+  SELECT source, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date FROM bounds),
 missing AS (
-  SELECT date FROM span WHERE isodow(date) < 6 AND date NOT IN (SELECT date FROM days))
+  SELECT source, date FROM span ANTI JOIN days USING (source, date) WHERE isodow(date) < 6)
 """
 
 
-def _quoted_days(spark: SparkSession, sf: str) -> DataFrame:
-    """Days of the official quotes, which do not cover every business day."""
-    return L.matching(fx(spark, sf), source="Oficial").select("date")
-
-
-@query(f"WITH {_DAYS} SELECT date FROM missing")
+@query(f"WITH {_DAYS} SELECT source, date FROM missing")
 def business_day_gaps(spark: SparkSession, sf: str) -> DataFrame:
-    return G.missing_business_days(_quoted_days(spark, sf))
+    return G.missing_business_days(fx(spark, sf), series=["source"])
 
 
 @query(
-    f"WITH {_DAYS} SELECT dayname(date) AS day_name, CAST(count(*) AS BIGINT) AS days "
-    "FROM missing GROUP BY 1"
+    f"WITH {_DAYS} SELECT source, dayname(date) AS day_name, CAST(count(*) AS BIGINT) AS days "
+    "FROM missing GROUP BY 1, 2"
 )
 def missing_weekdays(spark: SparkSession, sf: str) -> DataFrame:
-    return G.weekday_histogram(G.missing_business_days(_quoted_days(spark, sf)))
+    missing = G.missing_business_days(fx(spark, sf), series=["source"])
+    return G.weekday_histogram(missing, series=["source"])
 
 
-@query(f"WITH {_DAYS} SELECT date FROM missing ORDER BY date LIMIT 10")
+@query(f"WITH {_DAYS} SELECT source, date FROM missing ORDER BY date, source LIMIT 10")
 def first_missing_days(spark: SparkSession, sf: str) -> DataFrame:
-    return L.earliest(G.missing_business_days(_quoted_days(spark, sf)), 10, ["date"])
+    missing = G.missing_business_days(fx(spark, sf), series=["source"])
+    return L.earliest(missing, 10, ["date", "source"])
 
 
 @query(
     f"""WITH {_DAYS}
-SELECT (SELECT min(date) FROM days) AS first_day, (SELECT max(date) FROM days) AS last_day,
-       (SELECT CAST(count(*) AS BIGINT) FROM orders WHERE o_orderstatus = 'F') AS rows,
-       (SELECT CAST(count(*) AS BIGINT) FROM days) AS observed_days,
-       (SELECT CAST(count(*) AS BIGINT) FROM missing) AS missing_days,
-       (SELECT CAST(count(*) AS BIGINT) FROM span WHERE isodow(date) < 6) AS expected_days"""
+SELECT source, lo AS first_day, hi AS last_day,
+       (SELECT CAST(count(*) AS BIGINT) FROM fx WHERE fx.source = bounds.source) AS rows,
+       (SELECT CAST(count(*) AS BIGINT) FROM days WHERE days.source = bounds.source)
+         AS observed_days,
+       (SELECT CAST(count(*) AS BIGINT) FROM missing WHERE missing.source = bounds.source)
+         AS missing_days,
+       (SELECT CAST(count(*) AS BIGINT) FROM span
+        WHERE span.source = bounds.source AND isodow(date) < 6) AS expected_days
+FROM bounds"""
 )
 def business_day_coverage(spark: SparkSession, sf: str) -> DataFrame:
-    return G.business_day_coverage(_quoted_days(spark, sf))
+    return G.business_day_coverage(fx(spark, sf), series=["source"])
 
 
 @query(
     f"""WITH {FX_SQL},
 steps AS (
-  SELECT date_diff('day', lag(date) OVER (ORDER BY date), date) AS gap_days
-  FROM fx WHERE source = 'Oficial')
-SELECT CAST(gap_days AS INTEGER) AS gap_days, CAST(count(*) AS BIGINT) AS occurrences
-FROM steps WHERE gap_days IS NOT NULL GROUP BY 1"""
+  SELECT source, date_diff('day', lag(date) OVER (PARTITION BY source ORDER BY date), date)
+           AS gap_days
+  FROM fx)
+SELECT source, CAST(gap_days AS INTEGER) AS gap_days, CAST(count(*) AS BIGINT) AS occurrences
+FROM steps WHERE gap_days IS NOT NULL GROUP BY 1, 2"""
 )
 def gap_distribution(spark: SparkSession, sf: str) -> DataFrame:
-    return G.gap_distribution(_quoted_days(spark, sf))
+    return G.gap_distribution(fx(spark, sf), series=["source"])
 
 
 @query(

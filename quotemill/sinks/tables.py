@@ -22,6 +22,8 @@ from quotemill.session import ensure_checkpoint_dir
 from quotemill.sinks.files import counted
 
 AUDIT_COLUMN = "load_timestamp"
+# Fixed value: the name under which a catalog lists the partition of null keys.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 # --- projection ----------------------------------------------------------------
@@ -290,9 +292,11 @@ def replace_partitioned(df: DataFrame, database: str, table: Table) -> None:
     old = listed()
     _overwrite_partitions(df, database, table)
     if old:
-        new = {str(r[0]) for r in df.select(column).distinct().collect()}
+        values = df.select(column).distinct().collect()
+        new = {NULL_PARTITION if r[0] is None else str(r[0]) for r in values}
         for value in sorted(old - new):
-            spark.sql(f"ALTER TABLE {full} DROP IF EXISTS PARTITION ({column} = '{value}')")
+            spec = "null" if value == NULL_PARTITION else f"'{value}'"
+            spark.sql(f"ALTER TABLE {full} DROP IF EXISTS PARTITION ({column} = {spec})")
 
 
 def upsert_table(

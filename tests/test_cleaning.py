@@ -119,3 +119,20 @@ def test_numbers_are_compared_as_numbers(spark):
         "periodo string, producto string, precio_surtidor string, iva string",
     )
     assert rows(C.clean_stations(raw)) == [(day("2025-01-01"), "GNC", 10.0, 1.0)]
+
+
+def test_unreadable_numbers_are_told_apart_by_their_text(spark):
+    raw = landed(
+        spark,
+        ("2025/01", "1", "GNC", "10", "s/d"),
+        ("2025/01", "1", "GNC", "10", "n/c"),  # another text
+        ("2025/01", "1", "GNC", "10", "s/d"),  # repeated
+        ("2025/01", "2", "GNC", "10", "3"),
+        ("2025/01", "2", "GNC", "10.0", "3.0"),  # repeated: equal numbers
+    )
+    cleaned = C.clean_stations(raw)
+    assert [r["no_inscripcion"] for r in cleaned.collect()].count("1") == 2
+    assert cleaned.count() == 3
+    assert not [c for c in cleaned.columns if c.startswith("_")]
+    audit = {r["stage"]: r["removed"] for r in C.cleaning_audit(raw).collect()}
+    assert audit["repeated rows"] == 2

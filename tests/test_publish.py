@@ -203,6 +203,22 @@ def test_refresh_of_a_partitioned_table_drops_old_months(spark, database):
     ]
 
 
+def test_refresh_keeps_rows_without_month_and_drops_them_when_gone(spark, database):
+    tables.create_tables(spark, database)
+
+    def load(*months):
+        data = spark.createDataFrame(
+            [(m and day(m), "A", "GNC", 1.0) for m in months],
+            "periodo date, provincia string, producto string, precio_surtidor double",
+        )
+        tables.load_table(data, database, STAGING_FUEL, validate=False)
+        return {r["periodo"] for r in spark.table(f"{database}.staging_fuel_prices").collect()}
+
+    for _ in range(2):
+        assert load("2025-01-01", None) == {day("2025-01-01"), None}
+    assert load("2025-01-01") == {day("2025-01-01")}
+
+
 def test_append_to_a_table_without_key(spark, database):
     tables.create_tables(spark, database)
     one = fuel(spark, ("2025-01-01", "GNC", 1.0))
