@@ -333,9 +333,15 @@ def _spread(rows: DataFrame, near: bool) -> DataFrame:
     ).drop("_own", "_other")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Pairs whose whole texts link. Where an id has several texts, the digests tell which is meant."""
-    texts = docs.where("doc is not null")
+def _verified(store: Store, pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs whose whole texts link. Where an id has several texts, the digests tell which is meant.
+
+    Only texts of some pair are shuffled. Which these are is a table, so Spark knows its
+    size: below its threshold it is broadcast and all other texts stay where they are.
+    """
+    named = pairs.select(F.col("doc_a").alias("doc")).union(pairs.select("doc_b"))
+    wanted = store.put(named.distinct(), "wanted")
+    texts = docs.join(wanted, "doc", "left_semi")
     both = (
         pairs.join(texts.select(F.col("doc").alias("doc_a"), F.col("text").alias("text_a")), "doc_a")
         .join(texts.select(F.col("doc").alias("doc_b"), F.col("text").alias("text_b")), "doc_b")
@@ -414,7 +420,7 @@ def jaccard_groups(
             _candidates(percent, near, likeliest), "doc_a long, dig_a binary, doc_b long, dig_b binary"
         )
         pairs = store.put(found.distinct(), "pairs")
-        return store.put(_verified(pairs, docs, size, percent), "links")
+        return store.put(_verified(store, pairs, docs, size, percent), "links")
 
     def still_open(groups: DataFrame) -> DataFrame:
         """Members, with their groups, of the top nodes that hold more than one group."""
