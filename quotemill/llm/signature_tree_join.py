@@ -18,11 +18,17 @@ each; the second tries, for each class and each other group in its nodes, the
 likeliest member; the last tries all that is left. Each leaves out pairs of
 nodes that are already in one group, so a large group of near copies is not
 compared pair by pair.
+
+Little is shuffled for a member. A pair meets in its first common shingle, which
+is early in the order of the smaller set, so a top node that is late for all of
+its members is left out. Later descents take a member only where another group
+has a set of like size in the same node. Bitmaps have two to four bits per token.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -85,9 +91,9 @@ def hot_shingles(store: Store, docs: DataFrame, text: str, size: int) -> np.ndar
 
 
 def _bitmap(tokens: np.ndarray) -> tuple[bytes, int]:
-    """Token bitmap of eight to sixteen bits per token, and how many tokens share bits."""
+    """Token bitmap of two to four bits per token, and how many tokens share bits."""
     width = 64
-    while width < 8 * len(tokens):
+    while width < 2 * len(tokens):
         width *= 2
     bits = np.zeros(width // 8, dtype=np.uint8)
     place = np.unique(mix(tokens) & np.uint64(width - 1)).astype(np.int64)
@@ -95,6 +101,10 @@ def _bitmap(tokens: np.ndarray) -> tuple[bytes, int]:
     return bits.tobytes(), len(tokens) - len(place)
 
 
+def _cid(digest: bytes) -> int:
+    return int.from_bytes(digest[:8], "little", signed=True)
+
+
 def _fold(bits: np.ndarray) -> np.ndarray:
     half = bits.shape[1] // 2
     return bits[:, :half] | bits[:, half:]
@@ -106,6 +116,7 @@ def _features(size: int, percent: int, hot: np.ndarray):
             ("doc", pa.int64()),
             ("n", pa.int64()),
             ("digest", pa.binary()),
+            ("cid", pa.int64()),
             ("prefix", pa.list_(pa.int64())),
             ("bits", pa.binary()),
         ]
@@ -122,7 +133,9 @@ def _features(size: int, percent: int, hot: np.ndarray):
                     out["n"].append(n)
                     # A row without shingles is like no other, so its digest is its own.
                     content = tokens.tobytes() or b"empty %d" % (doc or 0)
-                    out["digest"].append(hashlib.md5(content, usedforsecurity=False).digest())
+                    digest = hashlib.md5(content, usedforsecurity=False).digest()
+                    out["digest"].append(digest)
+                    out["cid"].append(_cid(digest))
                     if len(hot):
                         at = np.searchsorted(hot, tokens)
                         at[at == len(hot)] = 0
@@ -293,21 +306,17 @@ def _bucket_pairs(table: pa.Table, percent: int, near: bool, likeliest: bool):
 
 
 def _candidates(percent: int, near: bool, likeliest: bool):
-    schema = pa.schema([(c, t) for s in "ab" for c, t in ((f"doc_{s}", pa.int64()), (f"dig_{s}", pa.binary()))])
+    schema = pa.schema([(f"{c}_{s}", pa.int64()) for s in "ab" for c in ("doc", "cid")])
 
     def pairs(table: pa.Table) -> Iterator[dict[str, list]]:
-        docs, digests = table["doc"].to_numpy(), table["digest"].to_pylist()
+        docs, cids = table["doc"].to_numpy(), table["cid"].to_numpy()
         for left, right in _bucket_pairs(table, percent, near, likeliest):
-            out: dict[str, list] = {name: [] for name in schema.names}
-            for x, y in zip(left.tolist(), right.tolist(), strict=True):
-                if digests[y] < digests[x]:
-                    x, y = y, x
-                if digests[x] != digests[y]:
-                    out["doc_a"].append(docs[x])
-                    out["dig_a"].append(digests[x])
-                    out["doc_b"].append(docs[y])
-                    out["dig_b"].append(digests[y])
-            yield out
+            swap = cids[right] < cids[left]
+            left, right = np.where(swap, right, left), np.where(swap, left, right)
+            apart = cids[left] != cids[right]
+            left, right = left[apart], right[apart]
+            out = {"doc_a": docs[left], "cid_a": cids[left], "doc_b": docs[right], "cid_b": cids[right]}
+            yield {name: values.tolist() for name, values in out.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks = (c for table in runs(batches, ["token", "x", "y"]) for c in pairs(table))
@@ -334,7 +343,7 @@ def _spread(rows: DataFrame, near: bool) -> DataFrame:
 
 
 def _verified(store: Store, pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Pairs whose whole texts link. Where an id has several texts, the digests tell which is meant.
+    """Pairs whose whole texts link. Where an id has several texts, the class ids tell which is meant.
 
     Only texts of some pair are shuffled. Which these are is a table, so Spark knows its
     size: below its threshold it is broadcast and all other texts stay where they are.
@@ -345,7 +354,7 @@ def _verified(store: Store, pairs: DataFrame, docs: DataFrame, size: int, percen
     both = (
         pairs.join(texts.select(F.col("doc").alias("doc_a"), F.col("text").alias("text_a")), "doc_a")
         .join(texts.select(F.col("doc").alias("doc_b"), F.col("text").alias("text_b")), "doc_b")
-        .select("doc_a", "doc_b", "dig_a", "dig_b", "text_a", "text_b")
+        .select("doc_a", "doc_b", "cid_a", "cid_b", "text_a", "text_b")
     )
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -358,8 +367,8 @@ def _verified(store: Store, pairs: DataFrame, docs: DataFrame, size: int, percen
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 if 100 * shared >= percent * (len(x) + len(y) - shared):
                     if all(
-                        hashlib.md5(t.tobytes(), usedforsecurity=False).digest() == batch.column(c)[k].as_py()
-                        for t, c in ((x, "dig_a"), (y, "dig_b"))
+                        _cid(hashlib.md5(t.tobytes(), usedforsecurity=False).digest()) == batch.column(c)[k].as_py()
+                        for t, c in ((x, "cid_a"), (y, "cid_b"))
                     ):
                         kept.append(k)
             yield batch.select(["doc_a", "doc_b"]).take(pa.array(kept, type=pa.int64()))
@@ -393,42 +402,52 @@ def jaccard_groups(
         return _features(size, percent, hot.value)(batches)
 
     rows = store.put(
-        docs.mapInArrow(features, "doc long, n long, digest binary, prefix array<long>, bits binary"), "rows"
+        docs.mapInArrow(features, "doc long, n long, digest binary, cid long, prefix array<long>, bits binary"), "rows"
     )
     reps = rows.where("n > 0 and doc is not null").groupBy("digest").agg(F.min("doc").alias("doc"))
-    detail = rows.select("digest", "doc", "n", "prefix", "bits")
-    classes = store.put(
-        reps.join(detail, ["digest", "doc"]).dropDuplicates(["digest"]).withColumn("cid", F.xxhash64("digest")),
-        "classes",
-    )
-
-    tokens = classes.select(F.explode("prefix").alias("token"), "cid")
+    detail = rows.select("digest", "doc", "cid", "n", "prefix", "bits")
+    classes = store.put(reps.join(detail, ["digest", "doc"]).dropDuplicates(["digest"]), "classes")
+
+    # Linked sets overlap by so much of the smaller one that their first common shingle is early in it.
+    late = F.expr(f"_p > n - ({2 * percent} * n + {99 + percent}) div {100 + percent}")
+    # Sizes of linked sets lie in one band or in neighbouring ones; the bands are slightly too wide.
+    band = F.floor(F.log("n") / -math.log(0.99 * percent / 100)).cast("int")
+    tokens = classes.select(F.posexplode("prefix").alias("_p", "token"), "cid", "n")
+    tokens = tokens.select("token", "cid", band.alias("band"), late.alias("late"))
     postings = tokens.groupBy("token").agg(
         F.count("*").alias("members"),
         F.bit_xor("cid").alias("_x"),
         F.bit_xor(F.xxhash64("cid", F.lit(1))).alias("_y"),
+        F.bool_and("late").alias("late"),
+    )
+    nodes = postings.where("members > 1").groupBy("members", "_x", "_y")
+    nodes = nodes.agg(F.min("token").alias("token"), F.bool_and("late").alias("late")).where("not late")
+    members = store.put(
+        tokens.drop("late").join(nodes.select("token", "members"), "token"), "members"
     )
-    nodes = postings.where("members > 1").groupBy("members", "_x", "_y").agg(F.min("token").alias("token"))
-    members = store.put(tokens.join(nodes.select("token", "members"), "token"), "members")
-    carried = classes.select("cid", "doc", "digest", "n", "bits")
+    carried = classes.select("cid", "doc", "n", "bits")
 
     def descent(rows: DataFrame, near: bool = False, likeliest: bool = False) -> DataFrame:
         keys = ["token", "x", "y"]
-        dealt = _spread(rows, near).select(*keys, "side", "doc", "digest", "n", "bits", "grp")
+        dealt = _spread(rows, near).select(*keys, "side", "doc", "cid", "n", "bits", "grp")
         parted = dealt.repartition(*keys).sortWithinPartitions(*keys)
         found = parted.mapInArrow(
-            _candidates(percent, near, likeliest), "doc_a long, dig_a binary, doc_b long, dig_b binary"
+            _candidates(percent, near, likeliest), "doc_a long, cid_a long, doc_b long, cid_b long"
         )
         pairs = store.put(found.distinct(), "pairs")
         return store.put(_verified(store, pairs, docs, size, percent), "links")
 
     def still_open(groups: DataFrame) -> DataFrame:
-        """Members, with their groups, of the top nodes that hold more than one group."""
+        """Members, with their groups, that have another group's member of like size in their top node."""
         own = carried.select("cid", "doc").join(groups, F.col("doc") == F.col("node"), "left")
         own = own.select("cid", F.coalesce("component", "doc").alias("grp"))
         placed = store.put(members.join(own, "cid"), "placed")
-        apart = placed.groupBy("token").agg(F.min("grp").alias("_l"), F.max("grp").alias("_h"))
-        return placed.join(apart.where("_l <> _h").select("token"), "token").join(carried, "cid")
+        ends = [F.min("grp").alias("_l"), F.max("grp").alias("_h")]
+        bands = placed.groupBy("token", "band").agg(*ends)
+        around = F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))
+        around = bands.select("token", around.alias("band"), "_l", "_h").groupBy("token", "band")
+        apart = around.agg(F.min("_l").alias("_l"), F.max("_h").alias("_h")).where("_l <> _h")
+        return placed.join(apart.select("token", "band"), ["token", "band"]).join(carried, "cid")
 
     first = members.groupBy("cid").agg(F.max(F.struct("members", "token")).alias("_m"))
     first = first.select("cid", "_m.members", "_m.token").join(carried, "cid").withColumn("grp", F.col("doc"))
