@@ -22,7 +22,8 @@ compared pair by pair.
 Little is shuffled for a member. A pair meets in its first common shingle, which
 is early in the order of the smaller set, so a top node that is late for all of
 its members is left out. Later descents take a member only where another group
-has a set of like size in the same node. Bitmaps have two to four bits per token.
+has a set of like size in the same node. Bitmaps have two to four bits per token;
+a second map of their parities tells single sets apart as well as a far wider one.
 """
 
 from __future__ import annotations
@@ -90,15 +91,13 @@ def hot_shingles(store: Store, docs: DataFrame, text: str, size: int) -> np.ndar
     return np.sort(table["token"].to_numpy().astype(np.int64).view(np.uint64))
 
 
-def _bitmap(tokens: np.ndarray) -> tuple[bytes, int]:
-    """Token bitmap of two to four bits per token, and how many tokens share bits."""
+def _bitmap(tokens: np.ndarray) -> bytes:
+    """Token bitmap of two to four bits per token, then as wide a map of the parity of each bit's tokens."""
     width = 64
     while width < 2 * len(tokens):
         width *= 2
-    bits = np.zeros(width // 8, dtype=np.uint8)
-    place = np.unique(mix(tokens) & np.uint64(width - 1)).astype(np.int64)
-    np.bitwise_or.at(bits, place >> 3, (1 << (place & 7)).astype(np.uint8))
-    return bits.tobytes(), len(tokens) - len(place)
+    count = np.bincount((mix(tokens) & np.uint64(width - 1)).astype(np.int64), minlength=width)
+    return b"".join(np.packbits(bits, bitorder="little").tobytes() for bits in (count > 0, count % 2 == 1))
 
 
 def _cid(digest: bytes) -> int:
@@ -110,6 +109,11 @@ def _fold(bits: np.ndarray) -> np.ndarray:
     return bits[:, :half] | bits[:, half:]
 
 
+def _fold_parity(bits: np.ndarray) -> np.ndarray:
+    half = bits.shape[1] // 2
+    return bits[:, :half] ^ bits[:, half:]
+
+
 def _features(size: int, percent: int, hot: np.ndarray):
     schema = pa.schema(
         [
@@ -143,18 +147,21 @@ def _features(size: int, percent: int, hot: np.ndarray):
                         tokens = np.concatenate([tokens[~late], tokens[late]])
                     kept = n - -(-percent * n // 100) + 1 if n else 0
                     out["prefix"].append(tokens[:kept].view(np.int64))
-                    out["bits"].append(_bitmap(tokens)[0])
+                    out["bits"].append(_bitmap(tokens))
                 yield pa.RecordBatch.from_pydict(out, schema=schema)
 
     return run
 
 
 class _Level:
-    """The nodes of one level: OR of bitmaps, ranges of sizes and groups, most tokens that share bits."""
+    """The nodes of one level: OR of bitmaps, ranges of sizes and groups, most tokens that share bits.
+
+    Single sets have their parity maps, too.
+    """
 
-    def __init__(self, bits, low, high, slack, first, last, step):
+    def __init__(self, bits, low, high, slack, first, last, step, parity=None):
         self.bits, self.low, self.high, self.slack = bits, low, high, slack
-        self.first, self.last, self.step = first, last, step
+        self.first, self.last, self.step, self.parity = first, last, step, parity
 
     def __len__(self):
         return len(self.low)
@@ -172,8 +179,8 @@ class _Level:
         )
 
 
-def _tree(bits, sizes, slack, group) -> list[_Level]:
-    levels = [_Level(bits, sizes, sizes, slack, group, group, 1)]
+def _tree(bits, parity, sizes, group) -> list[_Level]:
+    levels = [_Level(bits, sizes, sizes, _slack(bits, sizes), group, group, 1, parity)]
     while len(levels[-1]) > 1:
         levels.append(levels[-1].above(LEAF if len(levels) == 1 else FAN))
     return levels
@@ -185,8 +192,8 @@ def _possible(a: _Level, b: _Level, i: np.ndarray, j: np.ndarray, percent: int):
     overlap += np.minimum(a.slack[i], b.slack[j])
     overlap = np.minimum(overlap, np.minimum(a.high[i], b.high[j]))
     if a.step == b.step == 1:
-        # Of two single sets, each bit in which they differ is a token that they don't share.
-        apart = np.bitwise_count(a.bits[i] ^ b.bits[j]).sum(axis=1, dtype=np.int64)
+        # Tokens that two sets share leave both parities alike, so each bit that differs is one they don't share.
+        apart = np.bitwise_count(a.parity[i] ^ b.parity[j]).sum(axis=1, dtype=np.int64)
         overlap = np.minimum(overlap, (a.low[i] + b.low[j] - apart) // 2)
     keep = (100 + percent) * overlap >= percent * (a.low[i] + b.low[j])
     keep &= (100 * a.high[i] >= percent * b.low[j]) & (100 * b.high[j] >= percent * a.low[i])
@@ -233,8 +240,8 @@ def _members(table: pa.Table) -> list[dict]:
         at = np.flatnonzero(widths == width)
         at = at[np.argsort(sizes[at], kind="stable")]
         data = b"".join(table["bits"].take(pa.array(at)).to_pylist())
-        bits = np.frombuffer(data, dtype=np.uint64).reshape(len(at), -1)
-        out.append({"at": at, "width": int(width), "bits": bits, "n": sizes[at]})
+        bits, parity = np.hsplit(np.frombuffer(data, dtype=np.uint64).reshape(len(at), -1), 2)
+        out.append({"at": at, "width": int(width), "bits": bits, "parity": parity, "n": sizes[at]})
     return out
 
 
@@ -265,6 +272,7 @@ def _bucket_pairs(table: pa.Table, percent: int, near: bool, likeliest: bool):
             if other is None:
                 continue
             bits = other["bits"] if other is m else _fold(other["bits"])
+            parity = other["parity"] if other is m else _fold_parity(other["parity"])
             if whole and near and other is not m:
                 # Only the ends meet: the largest of one width and the smallest of the next.
                 choices = [(np.arange(max(0, len(m["n"]) - LEAF), len(m["n"])), np.arange(min(LEAF, len(bits))))]
@@ -285,11 +293,11 @@ def _bucket_pairs(table: pa.Table, percent: int, near: bool, likeliest: bool):
                     orders.append(np.lexsort(m["bits"][:, :3].T))
                 for order in orders:
                     a_bits, a_n = m["bits"][mine][order], m["n"][mine][order]
-                    a = _tree(a_bits, a_n, _slack(a_bits, a_n), group[at_a][order])
+                    a = _tree(a_bits, m["parity"][mine][order], a_n, group[at_a][order])
                     b = a
                     if not same:
                         b_bits, b_n = bits[theirs], other["n"][theirs]
-                        b = _tree(b_bits, b_n, _slack(b_bits, b_n), group[at_b])
+                        b = _tree(b_bits, parity[theirs], b_n, group[at_b])
                     kept: list[tuple] = []
                     for i, j, overlap in _descend(a, b, same, percent, near and same):
                         left = at_a[order][i] if same else at_a[i]
