@@ -1,7 +1,8 @@
 """Licences of texts by rules over known sentences.
 
-Method. A text is cut into sentences, each is normalised and looked up among
-known licence sentences; the identifiers found, in order, are matched against
+Method. Known licence sentences are looked for in the normalised text, from one
+break (a line's end or a mark) to another, whether or not lines are wrapped
+inside them; the identifiers found, in order, are matched against
 licence rules, each a sequence of identifiers that stand next to each other
 among the known sentences. Rules are tried in order, and what a rule
 matches is used up, so full texts go before short notices. All steps are
@@ -76,21 +77,35 @@ RULES = (
 )
 
 
+# Known sentences that the genuine notice sets as two paragraphs: the first word of the second one.
+_PARAGRAPH = {"apache-copy": "http"}
+
+
+def _pattern() -> str:
+    """A known sentence from one break to another, longer ones first; | may stand between its words, ~ may not."""
+    known = []
+    for name, sentence in sorted(SENTENCES.items(), key=lambda x: -len(x[1])):
+        first, *rest = sentence.split(" ")
+        known.append(first + "".join(("[ |~]++" if _PARAGRAPH.get(name) == w else "[ |]++") + w for w in rest))
+    return "(?<![a-z0-9])(?<![a-z0-9] )(" + "|".join(known) + ")(?! ?[a-z0-9])"
+
+
 def sentence_ids(text: Column) -> Column:
     """Identifiers of the known sentences of a text, in order.
 
-    A sentence ends at a line's end, or at . ! ? : or ; before white space; a
-    line's own end may also fall inside a known sentence only if the text breaks
-    it there, which is not repaired.
+    A known sentence begins and ends at a line's end, or at . ! ? : or ; before
+    white space. Ends of lines and : or ; may also stand inside it, as notices
+    are wrapped; blank lines and . ! ? may not, but where the genuine notice has one.
     """
-    # ASCII lower case, so that lengths and matches do not depend on a locale.
-    plain = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    cut = F.split(plain, r"[.!?:;]+[ \t\r]+|[ \t\r]*\n+")
-    normal = F.transform(cut, lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " ")))
-    longest = max(map(len, SENTENCES.values()))
-    normal = F.filter(normal, lambda s: F.length(s).between(1, longest))
+    # ASCII lower case, so that lengths and matches do not depend on a locale. Then ~ is a break that
+    # ends every sentence, and | one that may be a wrapped line's.
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ~|", "abcdefghijklmnopqrstuvwxyz  "
+    plain = F.regexp_replace(F.translate(text, upper, lower), r"[.!?](?=[ \t\r\n])|\n(?=[^a-z0-9\n]*+\n)", "~")
+    plain = F.regexp_replace(plain, r"[:;](?=[ \t\r\n])|\n", "|")
+    plain = F.regexp_replace(plain, "[^a-z0-9~|]++", " ")
     known = F.create_map(*[F.lit(x) for name, words in SENTENCES.items() for x in (words, name)])
-    return F.filter(F.transform(normal, lambda s: F.try_element_at(known, s)), lambda x: x.isNotNull())
+    found = F.regexp_extract_all(plain, F.lit(_pattern()), F.lit(1))
+    return F.transform(found, lambda s: F.element_at(known, F.regexp_replace(s, "[^a-z0-9]+", " ")))
 
 
 def scan_licenses(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -237,6 +237,82 @@ def test_licences(spark):
     }
 
 
+MIT_NOTICE = """MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+GPL_NOTICE = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+
+    You should have received a copy of the GNU General Public License
+    along with this program.  If not, see <https://www.gnu.org/licenses/>.
+"""
+APACHE_NOTICE = """   Copyright 2020 Some One
+
+   Licensed under the Apache License, Version 2.0 (the "License");
+   you may not use this file except in compliance with the License.
+   You may obtain a copy of the License at
+
+       http://www.apache.org/licenses/LICENSE-2.0
+
+   Unless required by applicable law or agreed to in writing, software
+   distributed under the License is distributed on an "AS IS" BASIS,
+   WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+   See the License for the specific language governing permissions and
+   limitations under the License.
+"""
+
+
+def test_wrapped_licence_notices(spark):
+    def comment(text):
+        return "/*\n" + "".join(f" * {line}\n" for line in text.splitlines()) + " */\nint main;\n"
+
+    def unwrapped(text):
+        return "\n".join(" ".join(paragraph.split()) for paragraph in text.split("\n\n"))
+
+    notices = {"MIT": (MIT_NOTICE, 3), "GPL-3.0-or-later": (GPL_NOTICE, 3), "Apache-2.0": (APACHE_NOTICE, 5)}
+    rows, expected = [], {}
+    for name, (text, n) in notices.items():
+        for form in (text, comment(text), text.replace("\n", "\r\n"), unwrapped(text)):
+            expected[len(rows)] = (n, name, 0)
+            rows.append((len(rows), form))
+    others = [
+        "All\n\nrights reserved.",
+        "All. Rights reserved.",
+        "Not all rights reserved.",
+        "All rights reserved by us.",
+        "Released under\nthe MIT License\nLicensed under CC\n  BY 4.0\nand more",
+    ]
+    rows += [(100 + k, text) for k, text in enumerate(others)]
+    expected |= {100 + k: (0, "", 0) for k in range(4)} | {104: (2, "MIT|CC-BY-4.0", 0)}
+    assert {r.doc_id: tuple(r)[1:] for r in scan_licenses(docs_of(spark, rows)).collect()} == expected
+
+
 def test_archives_round_trip(spark):
     long = "é" * 600
     rows = [(1, "u", long), (2, None, long), (3, "a\nb", "short"), (4, "u", "short"), (5, "u", None), (None, "u", long)]
