@@ -1,15 +1,17 @@
 """Benchmark passages in documents, by CGK embedding of windows and bit-sampling LSH.
 
-Method. A document window as long as a benchmark item (in words) and the item
-are walked by the same random functions: at each of 3 L steps the current word
+Method. Items of more than SEGMENT words are cut into equal segments; a shorter
+item is one segment. A document window as long as a segment (in words) and the
+segment are walked by the same random functions: at each of 3 L steps the current word
 is emitted and the walk advances or stays, by a random bit drawn for that step
 and word. Edit distance becomes Hamming distance, and windows at a small one
-agree on all sampled steps in some table. What collides is verified by its
-exact word edit distance.
+agree on all sampled steps in some table. Of what collides the whole item is
+verified by its exact word edit distance. The walks need not be more for long
+items: some segment has at most its own share of the item's edits.
 
-Windows are those that share a run of ``gram`` words with an item, placed where
-that run puts the item. No window within the distance is lost by that: k edits
-leave one of k + 1 stretches of the item untouched (see `distance_limit`).
+Windows are those that share a run of ``gram`` words with a segment, placed where
+that run puts the segment. With k edits one of k + 1 stretches of a segment stays
+untouched (see `distance_limit`), so at 10 % no such window is lost.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ from quotemill.llm.words import chain, mix, slices
 
 WALKS, TABLES_PER_WALK, SAMPLES = 12, 4, 4
 GRAM = 3
+# Longer items are cut into segments of at most so many words.
+SEGMENT = 48
 # All benchmark items of one call, which are broadcast. More are an error: call once per block of items.
 ITEM_BYTES = 64 << 20
 
@@ -81,8 +85,19 @@ def word_distance(item: np.ndarray, region: np.ndarray) -> int:
     return int(above.min())
 
 
+def _joined(spans: set[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans with those that overlap made one."""
+    out: list[tuple[int, int]] = []
+    for lo, hi in sorted(spans):
+        if out and lo < out[-1][1]:
+            out[-1] = (out[-1][0], max(hi, out[-1][1]))
+        else:
+            out.append((lo, hi))
+    return out
+
+
 class Benchmark:
-    """Items as word hashes, with the index of their runs and of their bucket keys."""
+    """Items as word hashes, with the index of their segments' runs and bucket keys."""
 
     def __init__(self, ids: list[int], texts: pa.Array, percent: int):
         words = []
@@ -93,30 +108,39 @@ class Benchmark:
         self.words = [words[k] for k in kept]
         self.lengths = np.array([len(w) for w in self.words], dtype=np.int64)
         self.limits = [distance_limit(len(w), percent) for w in self.words]
-        self.width = int(self.lengths.max(initial=0))
+        # Segments: their item, their first word within it, and their words.
+        self.item_of, self.offsets, segments = [], [], []
+        for k, w in enumerate(self.words):
+            n = -(-len(w) // SEGMENT)
+            cuts = [len(w) * x // n for x in range(n + 1)]
+            self.item_of += [k] * n
+            self.offsets += cuts[:-1]
+            segments += [w[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        sizes = np.array([len(x) for x in segments], dtype=np.int64)
+        self.width = int(sizes.max(initial=0))
         self.grams: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-        for size in sorted({min(GRAM, int(n)) for n in self.lengths}):
-            chosen = [k for k, w in enumerate(self.words) if min(GRAM, len(w)) == size]
-            runs = [chain(self.words[k], size) for k in chosen]
+        for size in sorted({min(GRAM, int(n)) for n in sizes}):
+            chosen = [k for k, w in enumerate(segments) if min(GRAM, len(w)) == size]
+            runs = [chain(segments[k], size) for k in chosen]
             keys = np.concatenate(runs)
             places = np.concatenate([np.arange(len(r)) for r in runs])
-            lengths = np.concatenate([np.full(len(r), self.lengths[k]) for k, r in zip(chosen, runs, strict=True)])
+            lengths = np.concatenate([np.full(len(r), sizes[k]) for k, r in zip(chosen, runs, strict=True)])
             entry = np.unique(np.stack([keys.view(np.int64), places, lengths]), axis=1)
             order = np.argsort(entry[0].view(np.uint64), kind="stable")
             entry = entry[:, order]
             self.grams[size] = (entry[0].view(np.uint64), entry[1], entry[2])
         if self.words:
-            stacked = np.zeros((len(self.words), self.width), dtype=np.uint64)
-            for k, w in enumerate(self.words):
+            stacked = np.zeros((len(segments), self.width), dtype=np.uint64)
+            for k, w in enumerate(segments):
                 stacked[k, : len(w)] = w
-            keys = list(_walks(stacked, self.lengths))
-            items = np.tile(np.arange(len(self.words)), len(keys))
+            keys = list(_walks(stacked, sizes))
+            owners = np.tile(np.arange(len(segments)), len(keys))
             keys = np.concatenate(keys)
             order = np.argsort(keys, kind="stable")
-            self.keys, self.items = keys[order], items[order]
+            self.keys, self.segments = keys[order], owners[order]
 
     def windows(self, part) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(row, first word, length) of the windows of a slice that share a run with an item."""
+        """(row, first word, length) of the windows of a slice that share a run with a segment."""
         found = []
         for size, (keys, places, lengths) in self.grams.items():
             runs = chain(part.words, size)
@@ -143,29 +167,36 @@ class Benchmark:
     def matches(self, part) -> dict[tuple[int, int], int]:
         """(row, item) to the least distance found, of verified candidates only."""
         rows, starts, lengths = self.windows(part)
-        best: dict[tuple[int, int], int] = {}
+        regions: dict[tuple[int, int], set[tuple[int, int]]] = {}
         for a in range(0, len(rows), 1 << 14):
             r, s, n = rows[a : a + (1 << 14)], starts[a : a + (1 << 14)], lengths[a : a + (1 << 14)]
             offsets = np.arange(self.width)
             inside = (offsets < n[:, None]) & (s[:, None] + offsets < part.first[r + 1][:, None])
             place = np.minimum(s[:, None] + offsets, len(part.words) - 1)
             stacked = np.where(inside, part.words[place], np.uint64(0))
-            tried = set()
             for keys in _walks(stacked, n):
                 low = np.searchsorted(self.keys, keys)
                 hit = np.flatnonzero(self.keys[np.minimum(low, len(self.keys) - 1)] == keys)
                 for w in hit.tolist():
-                    k = int(low[w])
+                    k, row = int(low[w]), int(r[w])
                     while k < len(self.keys) and self.keys[k] == keys[w]:
-                        tried.add((w, int(self.items[k])))
+                        # Where the whole item can lie if its segment begins at the window.
+                        segment = int(self.segments[k])
+                        item = self.item_of[segment]
+                        begin = int(s[w]) - self.offsets[segment]
+                        lo = max(int(part.first[row]), begin - self.limits[item])
+                        hi = min(int(part.first[row + 1]), begin + int(self.lengths[item]) + self.limits[item])
+                        regions.setdefault((row, item), set()).add((lo, hi))
                         k += 1
-            for w, item in sorted(tried):
-                limit, row = self.limits[item], int(r[w])
-                if best.get((row, item)) == 0:
+        best: dict[tuple[int, int], int] = {}
+        for (row, item), found in sorted(regions.items()):
+            words, limit = self.words[item], self.limits[item]
+            for lo, hi in _joined(found):
+                region = part.words[lo:hi]
+                # Each word of the item that the region lacks costs an edit.
+                if np.count_nonzero(~np.isin(words, region)) > limit:
                     continue
-                lo = max(int(part.first[row]), int(s[w]) - limit)
-                hi = min(int(part.first[row + 1]), int(s[w] + n[w]) + limit)
-                distance = word_distance(self.words[item], part.words[lo:hi])
+                distance = word_distance(words, region)
                 if distance <= min(limit, best.get((row, item), limit)):
                     best[row, item] = distance
         return best

@@ -388,6 +388,28 @@ def test_edited_items_are_found_and_clean_texts_are_left(spark):
     assert contamination(docs, bench.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("length", [60, 120, 300, 1000])
+@pytest.mark.parametrize("kind", ["insert", "delete", "mixed"])
+def test_long_edited_items_are_found(spark, length, kind):
+    draw = random.Random(f"{length} {kind}")
+    vocabulary = [f"v{k}" for k in range(2000)]
+    items = [draw.choices(vocabulary, k=length) for _ in range(30)]
+    rows = []
+    for k, item in enumerate(items):
+        text = list(item)
+        places = sorted(draw.sample(range(length), distance_limit(length, 10)), reverse=True)
+        for at in places:
+            text[at : at + 1] = {"insert": ["new", text[at]], "delete": []}.get(kind, draw.choice([[], ["new"], ["new", text[at]]]))
+        around = [draw.choices(vocabulary, k=draw.randrange(40)) for _ in range(2)]
+        rows.append((k, " ".join([*around[0], *text, *around[1]])))
+        # Half of an item is not the item.
+        rows.append((1000 + k, " ".join(item[: length // 2])))
+    bench = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.distance for r in contamination(docs_of(spark, rows), bench).collect()}
+    assert set(got) <= {(k, k) for k in range(30)} and len(got) >= 0.95 * 30
+    assert all(d <= distance_limit(length, 10) for d in got.values())
+
+
 def test_language_model(spark):
     draw = random.Random(1)
     rows = [(k, " ".join(draw.choice(["a b c", "a b D", "x y"]) for _ in range(draw.randrange(1, 30)))) for k in range(80)]
