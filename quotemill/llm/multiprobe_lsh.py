@@ -10,8 +10,9 @@ brings every stored vector to the same norm.
 
 At scale. Only vectors in visited buckets are compared, inside the task that
 holds the bucket; what leaves a task are the best ``k`` of each query. Buckets
-over BLOCK vectors are cut into blocks by a hash of the id, and their queries
-go to every block, so a very common vector spreads over tasks.
+over BLOCK vectors are cut into blocks by a hash of id and vector, and their
+queries go to every block, so a very common vector or id spreads over tasks.
+Rows of one id are one candidate before the best are taken in a block.
 """
 
 from __future__ import annotations
@@ -120,10 +121,14 @@ class _Best:
         self.k, self.found = k, {}
 
     def add(self, queries, q_ids, ids, matrix) -> None:
+        """``ids`` in order: rows of equal id stand together."""
         products = queries @ matrix.T
         products[q_ids[:, None] == ids[None, :]] = -np.inf
-        k = min(self.k, products.shape[1])
-        least = np.partition(products, -k, axis=1)[:, -k]
+        # The k-th best of different ids.
+        first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+        each = products if len(first) == len(ids) else np.maximum.reduceat(products, first, axis=1)
+        k = min(self.k, each.shape[1])
+        least = np.partition(each, -k, axis=1)[:, -k]
         for row, key in enumerate(q_ids.tolist()):
             best = self.found.get(key)
             at = least[row]
@@ -213,7 +218,7 @@ def nearest(
     large = large.withColumnRenamed("bucket", "_b")
     many = F.col("bucket") == F.col("_b")
     dealt = rows.join(large, many).select(
-        "bucket", F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("block"), F.lit(0).alias("kind"), "id", "vector"
+        "bucket", F.pmod(F.xxhash64("id", "vector"), "blocks").cast("int").alias("block"), F.lit(0).alias("kind"), "id", "vector"
     )
     asked = asked.join(large, many).select(
         "bucket", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("kind"), "id", "vector"
@@ -232,7 +237,7 @@ def nearest(
         return np.frombuffer(data, dtype=packed).reshape(batch.num_rows, dim).astype(np.float64)
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
-        best, held, current = _Best(k), [], None
+        best, held, in_order, current = _Best(k), [], False, None
         for batch in batches:
             own = [batch.column(c).to_numpy() for c in ("bucket", "block", "kind")]
             change = np.zeros(max(0, batch.num_rows - 1), dtype=bool)
@@ -244,12 +249,14 @@ def nearest(
                     continue
                 part = batch.slice(a, b - a)
                 if (own[0][a], own[1][a]) != current:
-                    current, held = (own[0][a], own[1][a]), []
+                    current, held, in_order = (own[0][a], own[1][a]), [], False
                 if own[2][a] == 0:
                     held.append((part.column("id").to_numpy(), unpack(part)))
                 elif held:
-                    if len(held) > 1:
-                        held = [(np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held]))]
+                    if not in_order:
+                        ids, matrix = (np.concatenate([x[c] for x in held]) for c in (0, 1))
+                        order = np.argsort(ids, kind="stable")
+                        held, in_order = [(ids[order], matrix[order])], True
                     for c in range(0, part.num_rows, 512):
                         some = part.slice(c, 512)
                         best.add(unpack(some), some.column("id").to_numpy(), *held[0])

@@ -146,6 +146,20 @@ def test_neighbours_of_odd_vectors(spark):
     assert nearest(df.where("false"), F.lit(True)).count() == 0
 
 
+def test_a_repeated_id_displaces_no_neighbour(spark):
+    draw = np.random.default_rng(2)
+    other = [(k, [1.0, *(0.01 * draw.normal(size=3)).tolist()]) for k in range(60)]
+    hot = [(1000, [1.5, *(0.01 * draw.normal(size=3)).tolist()]) for _ in range(200)]
+    df = spark.createDataFrame([*other, *hot], "vec_id long, embedding array<double>")
+    score = {k: float(np.dot(v, other[0][1])) for k, v in other[1:]}
+    score[1000] = max(float(np.dot(v, other[0][1])) for _, v in hot)
+    expected = sorted(score, key=lambda k: (-score[k], k))[:20]
+    # One bucket holds all.
+    options = {"tables": 1, "hashes": 1, "width": 1000.0, "probes": 3}
+    got = nearest(df, F.col("vec_id") == 0, **options).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == expected
+
+
 def test_a_period_stays_within_one_block():
     weights = {0: 4, 1: 2, 2: 2, 3: 1, 4: 7, 5: 1}
     total, sent = sum(weights.values()), collections.Counter()
