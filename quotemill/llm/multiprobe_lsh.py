@@ -6,7 +6,10 @@ its own bucket and those next to it in the order in which they are likely to
 hold a near vector: by the sum of squared distances from the query's place to
 the boundaries crossed. Candidates of all tables merge, and are ranked by their
 exact inner product. Inner products become distances by one more component that
-brings every stored vector to the same norm.
+brings every stored vector to the same norm: the largest of its range of norms,
+which spans a factor of two at most. A range has buckets of its own, and queries
+visit those of all ranges. A query with fewer than ``k`` candidates is compared
+with all vectors.
 
 At scale. Only vectors in visited buckets are compared, inside the task that
 holds the bucket; what leaves a task are the best ``k`` of each query. Buckets
@@ -35,9 +38,9 @@ _QUERIES = 20_000
 class Tables:
     """The random functions of all tables."""
 
-    def __init__(self, dim: int, scale: float, tables: int, hashes: int, width: float, seed: int = 7):
+    def __init__(self, dim: int, scales: list[float], tables: int, hashes: int, width: float, seed: int = 7):
         draws = np.random.default_rng(seed)
-        self.scale, self.width = scale, width
+        self.scales, self.width = np.sort(np.array(scales, dtype=np.float64)), width
         self.directions = draws.normal(size=(tables, dim + 1, hashes))
         self.offsets = draws.uniform(0, width, size=(tables, 1, hashes))
 
@@ -45,13 +48,24 @@ class Tables:
         """Place of each vector in each table, in units of the width: (table, row, hash)."""
         norm = np.linalg.norm(vectors, axis=1)
         if stored:
-            unit = vectors / self.scale
-            extra = np.sqrt(np.clip(1 - (norm / self.scale) ** 2, 0, None))
+            scale = self.scales[self.ranges(vectors)]
+            unit = vectors / scale[:, None]
+            extra = np.sqrt(np.clip(1 - (norm / scale) ** 2, 0, None))
         else:
             unit, extra = vectors / norm[:, None], np.zeros(len(norm))
         full = np.concatenate([unit, extra[:, None]], axis=1)
         return (full @ self.directions + self.offsets) / self.width
 
+    def ranges(self, vectors: np.ndarray) -> np.ndarray:
+        """Number of the range of each vector: the least whose scale reaches its norm."""
+        norm = np.linalg.norm(vectors, axis=1) * (1 - 1e-9)
+        return np.minimum(np.searchsorted(self.scales, norm), len(self.scales) - 1)
+
+    @staticmethod
+    def of_range(keys: np.ndarray, ranges: np.ndarray) -> np.ndarray:
+        """Keys that tell ranges apart, too."""
+        return mix(keys.view(np.uint64) ^ mix(ranges.astype(np.uint64) + np.uint64(1 << 50))).view(np.int64)
+
     @staticmethod
     def keys(table: int, cells: np.ndarray) -> np.ndarray:
         key = np.full(cells.shape[:-1], table + 1, dtype=np.uint64)
@@ -88,6 +102,15 @@ def visits(hashes: int, count: int) -> np.ndarray:
     return sets
 
 
+def range_scales(norms: list[float]) -> list[float]:
+    """The largest norm of each range: a range begins where a norm is less than half of the last one's largest."""
+    scales: list[float] = []
+    for norm in sorted(norms, reverse=True):
+        if not scales or norm < scales[-1] / 2:
+            scales.append(norm)
+    return scales
+
+
 def _probed(places: np.ndarray, sets: np.ndarray) -> np.ndarray:
     """Cells to visit of each row: (row, visit, hash)."""
     base = np.floor(places)
@@ -161,7 +184,7 @@ def nearest(
     tables: int = 4,
     hashes: int = 6,
     width: float = 2.0,
-    probes: int = 56,
+    probes: int = 96,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` largest inner products found for each query row.
 
@@ -169,7 +192,8 @@ def nearest(
     those of its own id. Ties go to the smaller id. Vectors that are null, zero,
     hold null or non-finite components, have a null id, or have another length
     than most take no part. Rows that repeat an id are one candidate, with the
-    best score of them. Other columns are ignored; empty input, empty result.
+    best score of them. Every query gets ``k`` rows if there are so many other ids,
+    and all of them if not. Other columns are ignored; empty input, empty result.
     """
     spark = vectors.sparkSession
     store = Store(spark, "neighbours")
@@ -180,19 +204,25 @@ def nearest(
     )
     squares = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     finite = ~F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    sizes = (
+    # Norms in classes by a sixteenth of a power of two: few rows whatever the number of vectors.
+    classes = (
         vectors.where(F.col("id").isNotNull() & finite & (F.size("vector") > 0) & (squares > 0))
-        .groupBy(F.size("vector").alias("dim"))
+        .groupBy(F.size("vector").alias("dim"), F.floor(F.log2(squares) * 8).alias("class"))
         .agg(F.count("*").alias("n"), F.max(F.sqrt(squares)).alias("norm"))
-        .orderBy(F.desc("n"), "dim")
-        .first()
+        .collect()
     )
-    dim, scale = (sizes["dim"], sizes["norm"]) if sizes else (1, 1.0)
-    functions = spark.sparkContext.broadcast(Tables(dim, scale, tables, hashes, width))
+    rows_of: dict[int, int] = {}
+    for c in classes:
+        rows_of[c["dim"]] = rows_of.get(c["dim"], 0) + c["n"]
+    dim = min(rows_of, key=lambda d: (-rows_of[d], d), default=1)
+    scales = range_scales([c["norm"] for c in classes if c["dim"] == dim]) or [1.0]
+    functions = spark.sparkContext.broadcast(Tables(dim, scales, tables, hashes, width))
     sets = visits(hashes, probes)
     schema = pa.schema([("bucket", pa.int64()), ("id", pa.int64()), ("vector", pa.binary())])
 
-    def hashed(stored: bool):
+    def hashed(stored: bool | None):
+        """Rows of all buckets of the vectors, if stored, or of a query; with None, of one bucket for all."""
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for whole in batches:
                 for a in range(0, whole.num_rows, 256):
@@ -200,9 +230,18 @@ def nearest(
                     if not len(ids):
                         continue
                     blobs = [row.tobytes() for row in matrix.astype(packed)]
+                    if stored is None:
+                        columns = [pa.array(np.zeros(len(ids), dtype=np.int64)), pa.array(ids), pa.array(blobs, pa.binary())]
+                        yield pa.RecordBatch.from_arrays(columns, schema=schema)
+                        continue
                     for table, places in enumerate(functions.value.places(matrix, stored)):
                         cells = np.floor(places)[:, None, :] if stored else _probed(places, sets)
                         keys = Tables.keys(table, cells)
+                        if stored:
+                            keys = Tables.of_range(keys, functions.value.ranges(matrix)[:, None])
+                        else:
+                            every = np.arange(len(functions.value.scales))
+                            keys = Tables.of_range(keys[:, :, None], every).reshape(len(ids), -1)
                         n = keys.shape[1]
                         repeated = pa.array([b for b in blobs for _ in range(n)], pa.binary())
                         yield pa.RecordBatch.from_arrays(
@@ -213,18 +252,21 @@ def nearest(
 
     columns = "bucket long, id long, vector binary"
     rows = store.put(vectors.select("id", "vector").mapInArrow(hashed(True), columns), "stored")
-    asked = vectors.where("is_query").select("id", "vector").mapInArrow(hashed(False), columns)
+    queries = vectors.where("is_query").select("id", "vector")
+    asked = queries.mapInArrow(hashed(False), columns)
     large = rows.groupBy("bucket").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
     large = large.withColumnRenamed("bucket", "_b")
     many = F.col("bucket") == F.col("_b")
-    dealt = rows.join(large, many).select(
-        "bucket", F.pmod(F.xxhash64("id", "vector"), "blocks").cast("int").alias("block"), F.lit(0).alias("kind"), "id", "vector"
-    )
-    asked = asked.join(large, many).select(
-        "bucket", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("kind"), "id", "vector"
-    )
     keys = ["bucket", "block"]
-    parted = dealt.union(asked).repartition(*keys).sortWithinPartitions(*keys, "kind")
+
+    def dealt(rows: DataFrame, asked: DataFrame) -> DataFrame:
+        """Both with ``blocks``: a stored vector in one of its bucket's blocks, a query in all of them."""
+        block = F.pmod(F.xxhash64("id", "vector"), "blocks").cast("int").alias("block")
+        rows = rows.select("bucket", block, F.lit(0).alias("kind"), "id", "vector")
+        block = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+        asked = asked.select("bucket", block, F.lit(1).alias("kind"), "id", "vector")
+        return rows.union(asked).repartition(*keys).sortWithinPartitions(*keys, "kind")
+
     found_schema = pa.schema(
         [("query", pa.int64()), ("vec", pa.list_(pa.int64())), ("score", pa.list_(pa.float64()))]
     )
@@ -278,12 +320,25 @@ def nearest(
                 "score": score[order].tolist(),
             }
 
-    # A row per query and task, with the best k of it.
-    parts = parted.mapInArrow(
-        lambda batches: batches_of(compared(batches), found_schema), "query long, vec array<long>, score array<double>"
-    )
-    parts = parts.repartition("query").sortWithinPartitions("query")
-    return parts.mapInArrow(
-        lambda batches: batches_of(merged(batches), ranked_schema),
-        "query_id long, rank int, vec_id long, score double",
-    )
+    def ranked(parted: DataFrame) -> DataFrame:
+        # A row per query and task, with the best k of it.
+        parts = parted.mapInArrow(
+            lambda batches: batches_of(compared(batches), found_schema),
+            "query long, vec array<long>, score array<double>",
+        )
+        parts = parts.repartition("query").sortWithinPartitions("query")
+        return parts.mapInArrow(
+            lambda batches: batches_of(merged(batches), ranked_schema),
+            "query_id long, rank int, vec_id long, score double",
+        )
+
+    found = store.put(ranked(dealt(rows.join(large, many), asked.join(large, many))), "found")
+    full = found.where(F.col("rank") == k).select("query_id")
+    short = queries.join(full, F.col("id") == F.col("query_id"), "left_anti").mapInArrow(hashed(None), columns)
+    short = store.put(short, "short")
+    if short.isEmpty():
+        return found
+    blocks = F.lit(-(-rows_of[dim] // BLOCK)).alias("blocks")
+    everything = vectors.select("id", "vector").mapInArrow(hashed(None), columns)
+    more = ranked(dealt(everything.select("*", blocks), short.select("*", blocks)))
+    return found.join(full, "query_id", "left_semi").select(more.columns).union(more)

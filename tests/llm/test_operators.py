@@ -160,6 +160,35 @@ def test_a_repeated_id_displaces_no_neighbour(spark):
     assert [r.vec_id for r in got] == expected
 
 
+def exact_neighbours(rows, key, k):
+    score = {i: float(np.dot(v, dict(rows)[key])) for i, v in rows if i != key}
+    return sorted(score, key=lambda i: (-score[i], i))[:k]
+
+
+def test_few_candidates_are_all_returned(spark):
+    draw = np.random.default_rng(3)
+    rows = [(k, draw.normal(size=32).tolist()) for k in range(15)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = collections.defaultdict(list)
+    for r in nearest(df, F.col("vec_id") < 3, probes=1, tables=1).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    assert dict(got) == {q: exact_neighbours(rows, q, 20) for q in range(3)}
+
+
+def test_one_long_vector_costs_no_recall(spark):
+    draw = np.random.default_rng(4)
+    rows = []
+    for k in range(600):
+        v = draw.normal(size=64)
+        rows.append((k, (v / np.linalg.norm(v) * (5 if k == 599 else 1)).tolist()))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = collections.defaultdict(set)
+    for r in nearest(df, F.col("vec_id") % 20 == 0).collect():
+        got[r.query_id].add(r.vec_id)
+    assert all(len(x) == 20 for x in got.values()) and len(got) == 30
+    assert sum(len(got[q] & set(exact_neighbours(rows, q, 20))) for q in got) >= 0.9 * 600
+
+
 def test_a_period_stays_within_one_block():
     weights = {0: 4, 1: 2, 2: 2, 3: 1, 4: 7, 5: 1}
     total, sent = sum(weights.values()), collections.Counter()
