@@ -2,7 +2,9 @@
 
 Method. A text is described by its letter runs of one to three letters. One
 linear support vector machine per family tells families apart; within a family
-one for each pair of languages decides by votes, ties by the sum of margins.
+one for each pair of languages decides by votes, ties by the sum of margins. As
+machines only compare learned languages, the score is also bounded by an absolute
+measure: how like the text is to what was learned of the language.
 
 Training takes a bounded sample of labelled rows per language; prediction
 covers every row, reads the whole text, and needs no shuffle.
@@ -28,6 +30,9 @@ SAMPLE_ROWS = 4000
 DIM = 4096
 UNKNOWN = "und"
 _PIECE = 1 << 18
+# The score of a text that is just as like its language as CUT_SHARE of what all but
+# CUT_QUANTILE of the training texts with as many different letter runs are.
+CUT_SCORE, CUT_SHARE, CUT_QUANTILE = 0.3, 0.9, 0.005
 
 # Families of languages by ISO 639-1 code. A language not listed is a family of its own.
 FAMILIES = {
@@ -97,6 +102,45 @@ class Languages:
                 use = (known == a) | (known == b)
                 self.pairs[a, b] = self._fit(matrix[use], np.where(known[use] == a, 1.0, -1.0))
 
+        self._calibrate(matrix, known)
+
+    def _calibrate(self, matrix: np.ndarray, known: np.ndarray) -> None:
+        """Mean profiles of languages, and the least likeness by size class of a text."""
+        self.means, found = {}, {}
+        for a in self.languages:
+            own = matrix[known == a].astype(np.float64)
+            total = own.sum(axis=0)
+            self.means[a] = total / np.linalg.norm(total)
+            if len(own) < 2:
+                continue
+            # A training text is compared with the others of its language.
+            dots = own @ total
+            others = np.sqrt(np.clip(total @ total - 2 * dots + (own * own).sum(axis=1), 1e-12, None))
+            for x, likeness in zip(own, (dots - (own * own).sum(axis=1)) / others, strict=True):
+                found.setdefault(self._size(x), []).append(likeness)
+        self.cuts, least = {}, np.inf
+        for size in range(max(found, default=-1), -1, -1):
+            if size in found:
+                least = min(least, CUT_SHARE * float(np.quantile(found[size], CUT_QUANTILE)))
+            elif size < min(found):
+                # Likeness falls with the root of the number of letter runs.
+                least /= np.sqrt(2)
+            self.cuts[size] = least
+
+    @staticmethod
+    def _size(x: np.ndarray) -> int:
+        return int(np.log2(np.count_nonzero(x)))
+
+    def _likeness_score(self, x: np.ndarray, language: str) -> float:
+        """CUT_SCORE at the cut, below it for texts less like the language; 1 if nothing was calibrated."""
+        if not self.cuts:
+            return 1.0
+        cut = self.cuts[min(self._size(x), max(self.cuts))]
+        if cut <= 0:
+            return 1.0
+        excess = np.clip(float(x @ self.means[language]) / cut - 1, -1, 1)
+        return float(sigmoid(np.array(np.log(CUT_SCORE / (1 - CUT_SCORE)) + 30 * excess)))
+
     @staticmethod
     def _fit(matrix: np.ndarray, y: np.ndarray):
         return fit(matrix, y, DIM, loss="hinge", l2=1e-4, steps=120)
@@ -125,6 +169,7 @@ class Languages:
         for (a, b), m in margin.items():
             if best in (a, b):
                 score = min(score, float(sigmoid(np.array(4 * (m if a == best else -m)))))
+        score = min(score, self._likeness_score(x, best))
         return best, min(1.0, max(0.0, score))
 
 

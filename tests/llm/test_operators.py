@@ -260,6 +260,24 @@ def test_language_of_odd_texts(spark):
     assert {r.lang_pred for r in identify(df, train_languages(df.where("false"))).collect()} == {"und"}
 
 
+@needs_tables
+def test_unlearned_languages_and_junk_are_rejected(spark):
+    foreign = [
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja "
+        "omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i "
+        "sumieniem i powinni postępować wobec innych w duchu braterstwa.",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+        "xqzv kkjw 8832 zzqx wvvq jjxk qqpz xxkw zvbq ## kwqj ",
+        "a8#f kq 99 zx;; 77 vvq " * 40,
+    ]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    planted = spark.createDataFrame([(-1 - k, t, None, "s", 0) for k, t in enumerate(foreign)], DOCS)
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, docs.union(planted), SF).select("doc_id").collect()}
+    assert not {k for k in kept if k < 0}
+    assert len(kept) >= 0.99 * docs.count()
+
+
 def test_licences(spark):
     full = ". ".join(SENTENCES[k] for k in ("mit-grant", "mit-notice", "mit-asis")) + "."
     rows = [
