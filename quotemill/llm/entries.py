@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quotemill.llm import chat_snapshots, license_rules, warc_normalise
+from quotemill.llm import chat_snapshots, fill_in_middle, license_rules, warc_normalise
 from quotemill.llm.cgk_decontaminate import contamination
 from quotemill.llm.language_hierarchy import identify, train_languages
 from quotemill.llm.multiprobe_lsh import nearest
@@ -81,6 +81,11 @@ def op10_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(_read(spark, sf_dir, "documents"), _remainder(7))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in its fill-in-middle form and rebuilt from it, as digests."""
+    return fill_in_middle.round_trip(_read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -99,6 +104,7 @@ QUERIES = {
         op8_language_hierarchy,
         op9_cgk_decontaminate,
         op10_suffix_tree_lm,
+        op11_fill_in_middle,
         pipeline,
     )
 }
@@ -107,4 +113,5 @@ ORACLES: dict[str, str] = {
     "op1_chat_snapshots": chat_snapshots.ORACLE,
     "op6_license_rules": license_rules.oracle_sql(),
     "op7_warc_normalise": warc_normalise.ORACLE,
+    "op11_fill_in_middle": fill_in_middle.ORACLE,
 }
