@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+import public_tokenizers
 from quotemill.llm import chat_snapshots, fill_in_middle, license_rules, warc_normalise
 from quotemill.llm.cgk_decontaminate import contamination
 from quotemill.llm.language_hierarchy import identify, train_languages
@@ -13,6 +14,7 @@ from quotemill.llm.multiprobe_lsh import nearest
 from quotemill.llm.pfair_mix import interleave
 from quotemill.llm.signature_tree_join import jaccard_groups
 from quotemill.llm.suffix_tree_lm import score_texts
+from quotemill.llm.token_transducer import count_tokens
 from quotemill.llm.toxicity_chain import label_categories, score_toxicity, train_chain
 
 
@@ -86,6 +88,11 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.round_trip(_read(spark, sf_dir, "documents"))
 
 
+def op12_token_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document by a public vocabulary."""
+    return count_tokens(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -105,6 +112,7 @@ QUERIES = {
         op9_cgk_decontaminate,
         op10_suffix_tree_lm,
         op11_fill_in_middle,
+        op12_token_transducer,
         pipeline,
     )
 }
