@@ -9,6 +9,7 @@ import corpus_pipeline
 import public_tokenizers
 from quotemill.llm import chat_snapshots, fill_in_middle, license_rules, warc_normalise
 from quotemill.llm.cgk_decontaminate import contamination
+from quotemill.llm.exact_whitening import whiten
 from quotemill.llm.language_hierarchy import identify, train_languages
 from quotemill.llm.multiprobe_lsh import nearest
 from quotemill.llm.pfair_mix import interleave
@@ -93,6 +94,11 @@ def op12_token_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op13_exact_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the first four whitened components."""
+    return whiten(_read(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -113,6 +119,7 @@ QUERIES = {
         op10_suffix_tree_lm,
         op11_fill_in_middle,
         op12_token_transducer,
+        op13_exact_whitening,
         pipeline,
     )
 }
