@@ -2,169 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotemill.functions.naming import select_available
 from quotemill.functions.parsing import percent_of, round_half_even, zero_sum
+from quotemill.operators.median import grouped_median, known
 from quotemill.operators.timegrid import fill_months, month_end, month_start
 from quotemill.schemas import FX_SOURCES, STATION_AGG_COLUMNS
 
-# Value classes per factor of two: a class spans 0.27% of its values. Of prices in
-# cents it can hold 270 distinct ones around 1,000.00, whatever the number of rows.
-CLASSES_PER_OCTAVE = 256
-
-
-def _known(keys: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & F.col(key).isNotNull()
-    return condition
-
-
-def _value_class(value: str) -> Column:
-    """Order-preserving integer class of a double, the same scale everywhere.
-
-    Never null (a null value has a class of its own, below all others), so that
-    the optimizer adds no null filter where classes are joined.
-    """
-    magnitude = F.floor(F.least(F.log2(F.abs(value)), F.lit(1024.0)) * CLASSES_PER_OCTAVE)
-    above_zero = magnitude + F.lit(1076 * CLASSES_PER_OCTAVE)
-    return F.coalesce(
-        F.when(F.col(value) > 0, above_zero)
-        .when(F.col(value) < 0, -above_zero)
-        .when(F.col(value) == 0, F.lit(0))
-        .cast("bigint"),
-        F.lit(-(2**62)).cast("bigint"),
-    )
-
-
-def grouped_median(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    alias: str,
-    *,
-    sums: Mapping[str, str] | None = None,
-    spread: Mapping[str, str] | None = None,
-    approx: bool = False,
-) -> DataFrame:
-    """Exact median per group, with sums and mean/min/max alongside.
-
-    Rows with a null key are dropped. Null values do not count for the median,
-    which is null for a group without values; sums over nothing give 0.0.
-
-    ``sums`` maps output names to columns; ``spread`` maps any of "mean", "min",
-    "max" to output names. With ``approx`` the median is a `percentile_approx`.
-
-    How a hot group is spread: rows are first counted per (keys, value), which
-    combines on the map side and hashes a group over all tasks. Counts per value
-    class then tell in which class the middle ranks lie, and only the distinct
-    values of that class, a sliver of the group, are put in order. `F.median`
-    would instead gather every distinct value of a group in one task's memory.
-
-    The source is read once. Value counts are needed twice, for the classes and
-    for the values of the middle class. Both uses take all their columns, and
-    they are joined on the keys as one struct, which is never null: so the
-    optimizer prunes and filters both alike, and their shuffle is reused.
-    """
-    sums = dict(sums or {})
-    spread = dict(spread or {})
-    rows = df.where(_known(keys)).select(
-        *keys,
-        F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double")).alias("_x"),
-        *[F.col(c).cast("double").alias(f"_s{i}") for i, c in enumerate(sums.values())],
-    )
-    totals = [
-        F.coalesce(F.sum(f"_s{i}"), F.lit(0.0)).alias(name) for i, name in enumerate(sums)
-    ]
-    if approx:
-        return rows.groupBy(*keys).agg(
-            F.percentile_approx("_x", 0.5, 10000).alias(alias),
-            *totals,
-            *[getattr(F, stat)("_x").alias(name) for stat, name in spread.items()],
-        )
-
-    carried = [f"_s{i}" for i in range(len(sums))]
-    counted = (
-        rows.groupBy(*keys, "_x")
-        .agg(F.count("_x").alias("_c"), *[F.sum(c).alias(c) for c in carried])
-        .select(
-            F.struct(*keys).alias("_g"), _value_class("_x").alias("_k"), "_x", "_c", *carried
-        )
-    )
-    classes = counted.groupBy("_g", "_k").agg(
-        F.sum("_c").alias("_c"),
-        F.sum(F.col("_x") * F.col("_c")).alias("_sum"),
-        F.min("_x").alias("_min"),
-        F.max("_x").alias("_max"),
-        *[F.sum(c).alias(c) for c in carried],
-    )
-
-    group = Window.partitionBy("_g").orderBy("_k")
-    n = F.sum("_c").over(group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    upto = F.sum("_c").over(group.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # Both middle ranks, counted from the start of a class; for an odd count
-    # they coincide. A rank outside 1.._c lies in another class.
-    ranked = classes.withColumns({"_n": n, "_upto": upto}).withColumns(
-        {
-            "_r1": F.floor((F.col("_n") + 1) / 2) - F.col("_upto") + F.col("_c"),
-            "_r2": F.floor((F.col("_n") + 2) / 2) - F.col("_upto") + F.col("_c"),
-        }
-    )
-    middle = F.col("_r1").between(1, F.col("_c")) | F.col("_r2").between(1, F.col("_c"))
-    ranked = ranked.withColumn("_open", F.when(middle, F.col("_k"))).drop("_n", "_upto", "_k")
-
-    # A middle class is opened into its values; the other classes stay as they are.
-    values = counted.select(
-        F.col("_g").alias("_vg"),
-        "_k",
-        F.col("_x").alias("_vx"),
-        F.col("_c").alias("_vc"),
-        *[F.col(c).alias(f"_v{c}") for c in carried],
-    )
-    same = (F.col("_g") == F.col("_vg")) & (F.col("_open") == F.col("_k"))
-    order = Window.partitionBy("_g", "_open").orderBy("_vx")
-    opened = F.col("_open").isNotNull()
-    parts = ranked.join(values, same, "left").withColumn(
-        "_vupto",
-        F.when(
-            opened,
-            F.sum("_vc").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-        ),
-    )
-    hits = sum(
-        ((F.col(r) > F.col("_vupto") - F.col("_vc")) & (F.col(r) <= F.col("_vupto"))).cast("int")
-        for r in ("_r1", "_r2")
-    )
-    parts = parts.select(
-        "_g",
-        F.when(opened & (hits > 0), F.col("_vx") * (hits / 2)).alias("_half"),
-        F.when(opened, F.col("_vc")).otherwise(F.col("_c")).alias("_c"),
-        F.when(opened, F.col("_vx") * F.col("_vc")).otherwise(F.col("_sum")).alias("_sum"),
-        F.when(opened, F.col("_vx")).otherwise(F.col("_min")).alias("_min"),
-        F.when(opened, F.col("_vx")).otherwise(F.col("_max")).alias("_max"),
-        *[F.when(opened, F.col(f"_v{c}")).otherwise(F.col(c)).alias(c) for c in carried],
-    )
-    stats = {
-        "mean": F.try_divide(F.sum("_sum"), F.sum("_c")),
-        "min": F.min("_min"),
-        "max": F.max("_max"),
-    }
-    outputs = [alias, *sums, *spread.values()]
-    return (
-        parts.groupBy("_g")
-        .agg(
-            F.sum("_half").alias(alias),
-            *totals,
-            *[stats[stat].alias(name) for stat, name in spread.items()],
-        )
-        .select("_g.*", *outputs)
-    )
-
-
 def product_month(
     df: DataFrame,
     keys: Sequence[str] = ("periodo", "producto"),
@@ -192,7 +40,7 @@ def weighted_mean_price(
     """Volume-weighted mean price; rows lacking price or volume have no weight."""
     weight = F.when(F.col(price).isNotNull(), F.col(volume))
     return (
-        df.where(_known(keys))
+        df.where(known(keys))
         .groupBy(*keys)
         .agg(
             F.try_divide(F.sum(F.col(price) * F.col(volume)), F.sum(weight)).alias(alias),
