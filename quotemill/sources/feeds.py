@@ -19,6 +19,7 @@ from quotemill.schemas import DEFAULT_START_DATE, FX_SCHEMA, FX_SOURCES
 from quotemill.sources.files import (
     PRICE_FILE_PATTERN,
     path_missing,
+    read_csv_folder,
     read_csv_text,
     read_json_records,
 )
@@ -111,29 +112,35 @@ def load_fx(
     return fx_quotes(raw, start, end, sources)
 
 
-def load_station_prices(
+def load_station_files(
     spark: SparkSession,
     path: str,
     *,
     pattern: str | None = PRICE_FILE_PATTERN,
     name_contains: str | None = None,
     skip_unreadable: bool = False,
-) -> DataFrame:
-    """Station prices as landed, all text; FileNotFoundError if there is none."""
+) -> tuple[DataFrame, DataFrame]:
+    """Station prices as landed, all text, and the report of their files.
+
+    Files may have different headers; they are aligned by column name. A file that
+    cannot be read is an error, or with ``skip_unreadable`` left out whole and named
+    in the report. FileNotFoundError if there is none.
+    """
     try:
-        return read_csv_text(
-            spark,
-            path,
-            pattern=pattern,
-            name_contains=name_contains,
-            skip_unreadable=skip_unreadable,
+        return read_csv_folder(
+            spark, path, pattern=pattern, name_contains=name_contains, skip_unreadable=skip_unreadable
         )
     except AnalysisException as error:
-        if path_missing(error) or error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+        if path_missing(error):
             raise FileNotFoundError(f"no station price file below {path}") from error
         raise
 
 
+def load_station_prices(spark: SparkSession, path: str, **options) -> DataFrame:
+    """The rows of `load_station_files`."""
+    return load_station_files(spark, path, **options)[0]
+
+
 @dataclass(frozen=True)
 class Feeds:
     oil: DataFrame

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import csv
+from collections import defaultdict
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+from pyarrow import csv as arrow_csv
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +19,31 @@ from quotemill.functions.parsing import nan_to_null, null_tokens
 PRICE_FILE_PATTERN = "*precios*.csv"
 # Holds a CSV row that does not have the header's number of cells.
 _DAMAGED = "_damaged_row"
-# A comma that is not inside quotes.
-_CELL_END = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+# A null spelling that no file uses, so that an empty cell is told from a missing one.
+_NO_NULL = "\u0000"
+# Bytes of a file that are read for its header, and at once when it is read to its end.
+HEADER_BYTES = 1 << 16
+BLOCK_BYTES = 1 << 22
+
+_REPORT = "file string, length bigint, header array<string>, rows bigint, error string"
+
+
+def list_files(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    *,
+    pattern: str | None = None,
+    name_contains: str | None = None,
+) -> DataFrame:
+    """Files below the paths with their length, by name alone: none is opened."""
+    reader = spark.read.format("binaryFile")
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    df = reader.load(paths if isinstance(paths, str) else list(paths)).select(F.col("path").alias("file"), "length")
+    if name_contains:
+        name = F.lower(F.regexp_extract("file", "[^/]*$", 0))
+        df = df.where(name.contains(name_contains.lower()))
+    return df
 
 
 def read_csv_text(
@@ -58,15 +86,20 @@ def read_csv_text(
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     listed = paths if isinstance(paths, str) else list(paths)
+    if name_contains:
+        files = list_files(spark, paths, pattern=pattern, name_contains=name_contains)
+        listed = sorted(row["file"] for row in files.collect())
+        if not listed:
+            raise FileNotFoundError(f"no file name contains {name_contains!r}: {paths}")
     if columns is None:
         columns = reader.csv(listed).columns
     fields = [T.StructField(c, T.StringType()) for c in [*columns, _DAMAGED]]
     df = reader.schema(T.StructType(fields)).csv(listed)
-    if name_contains:
-        wanted = name_contains.lower()
-        df = df.where(F.lower(F.col("_metadata.file_name")).contains(wanted))
-    cells = F.size(F.split(F.col(_DAMAGED), _CELL_END))
-    surplus = F.coalesce(cells > len(columns), F.lit(False))
+    # The parser itself tells a row with a cell too many from a short one.
+    spare = f"c{len(columns)}"
+    cells = ", ".join(f"c{k} string" for k in range(len(columns) + 1))
+    parsed = F.from_csv(_DAMAGED, cells, {"escape": '"', "nullValue": _NO_NULL, "emptyValue": ""})
+    surplus = F.when(F.col(_DAMAGED).isNotNull(), parsed[spare].isNotNull()).otherwise(F.lit(False))
     # The message names a cell, too: Spark refuses to read the damaged rows' column alone.
     told = [F.col(_DAMAGED), F.lit("; first cell: "), F.coalesce(F.col(f"`{columns[0]}`"), F.lit(""))]
     message = F.concat(F.lit("CSV row with more cells than its header: "), *told)
@@ -74,6 +107,119 @@ def read_csv_text(
     return null_tokens(df.where(fits).drop(_DAMAGED))
 
 
+def _look_at(file: str, whole: bool, multi_line: bool) -> tuple[list[str] | None, int | None, str | None]:
+    """Header, data rows (if read whole) and what is wrong with a CSV file, compressed or not."""
+    header = None
+    try:
+        store, path = fs.FileSystem.from_uri(file)
+        with store.open_input_stream(path, buffer_size=HEADER_BYTES) as stream:
+            head = stream.read(HEADER_BYTES)
+        if not head.strip():
+            return None, 0, "empty"
+        first = head.decode("utf-8", errors="replace").lstrip("\r\n").splitlines()[0]
+        header = next(csv.reader([first]))
+        if not whole:
+            return header, None, None
+        short = 0
+
+        def odd(row: arrow_csv.InvalidRow) -> str:
+            nonlocal short
+            if row.actual_columns > row.expected_columns:
+                return "error"
+            short += 1
+            return "skip"
+
+        with store.open_input_stream(path, buffer_size=BLOCK_BYTES) as stream:
+            reader = arrow_csv.open_csv(
+                stream,
+                read_options=arrow_csv.ReadOptions(use_threads=False, block_size=BLOCK_BYTES),
+                parse_options=arrow_csv.ParseOptions(newlines_in_values=multi_line, invalid_row_handler=odd),
+                convert_options=arrow_csv.ConvertOptions(column_types={c: pa.string() for c in header}),
+            )
+            count = sum(batch.num_rows for batch in reader)
+        return header, count + short, None
+    except (OSError, pa.ArrowInvalid, UnicodeError, csv.Error) as error:
+        return header, None, str(error).splitlines()[0][:500] or type(error).__name__
+
+
+def check_files(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    *,
+    pattern: str | None = None,
+    name_contains: str | None = None,
+    whole: bool = False,
+    multi_line: bool = False,
+) -> DataFrame:
+    """A row for each CSV file: file, length, header, rows, error.
+
+    Only the first bytes are read, of many files at once, and rows is null. With
+    ``whole`` each file is read to its end, in blocks: ``error`` then names a
+    compressed file that breaks off, text that is not UTF-8 and rows with more
+    cells than the header. A file is read in one task.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                header, count, error = _look_at(row["file"], whole, multi_line)
+                found = {**row, "header": header, "rows": count, "error": error}
+                yield pa.RecordBatch.from_pylist([found], schema=schema)
+
+    schema = pa.schema(
+        [("file", pa.string()), ("length", pa.int64()), ("header", pa.list_(pa.string())), ("rows", pa.int64()), ("error", pa.string())]
+    )
+    files = list_files(spark, paths, pattern=pattern, name_contains=name_contains)
+    return files.repartition(4 * spark.sparkContext.defaultParallelism).mapInArrow(run, _REPORT)
+
+
+def read_csv_folder(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    *,
+    pattern: str | None = None,
+    name_contains: str | None = None,
+    skip_unreadable: bool = False,
+    multi_line: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of all CSV files, whatever their headers, and the report of `check_files`.
+
+    Files are grouped by their header and each group is one scan; groups are
+    aligned by column name, and a column that a file lacks is null. The name
+    filter acts first, so a file of another kind beside them is not opened.
+
+    A file that cannot be read is an error that names it. With
+    ``skip_unreadable`` every file is first read to its end, and a bad one gives no
+    row at all; the report names it. A blank file is in the report only, and
+    Spark does not list files of no bytes.
+
+    The report has a row for each file, which the file system lists on the driver
+    anyway.
+    """
+    found = check_files(
+        spark, paths, pattern=pattern, name_contains=name_contains, whole=skip_unreadable, multi_line=multi_line
+    ).collect()
+    report = spark.createDataFrame(sorted(found, key=lambda row: row["file"]), _REPORT)
+    bad = [row for row in found if row["error"] not in (None, "empty")]
+    if bad and not skip_unreadable:
+        raise ValueError("CSV files cannot be read: " + "; ".join(f"{row['file']}: {row['error']}" for row in bad))
+    layouts: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    for row in sorted(found, key=lambda row: row["file"]):
+        if row["error"] is None:
+            layouts[tuple(row["header"])].append(row["file"])
+    if not layouts:
+        raise FileNotFoundError(f"no readable CSV file: {paths}")
+    frames = [read_csv_text(spark, files, columns=header, multi_line=multi_line) for header, files in layouts.items()]
+    return _aligned(frames), report
+
+
+def _aligned(frames: Sequence[DataFrame]) -> DataFrame:
+    combined = frames[0]
+    for frame in frames[1:]:
+        combined = combined.unionByName(frame, allowMissingColumns=True)
+    return combined
+
+
 def read_csv_layouts(
     spark: SparkSession, layouts: Sequence[str | Sequence[str]], **options
 ) -> DataFrame:
@@ -81,10 +227,7 @@ def read_csv_layouts(
     frames = [read_csv_text(spark, paths, **options) for paths in layouts]
     if not frames:
         raise ValueError("no CSV layouts given")
-    combined = frames[0]
-    for frame in frames[1:]:
-        combined = combined.unionByName(frame, allowMissingColumns=True)
-    return combined
+    return _aligned(frames)
 
 
 def read_parquet(

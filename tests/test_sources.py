@@ -168,3 +168,67 @@ def test_damaged_exchange_feed(spark, tmp_path, text, json_lines):
     path = put(tmp_path / "fx.json", text)
     with pytest.raises(ValueError, match="cannot be read"):
         feeds.load_fx(spark, path, json_lines=json_lines)
+
+
+def test_folder_of_differing_headers(spark, tmp_path):
+    """An added column, another order, and a foreign file that is listed first."""
+    put(tmp_path / "a_foreign_precios.csv", "this is,no,price,file\n1,2,3,4,5,6\n")
+    put(tmp_path / "precios_public_1.csv", "a,b\n1,2\n")
+    put(tmp_path / "precios_PUBLIC_2.csv", "b,a,c\n4,3,5\n")
+    put(tmp_path / "precios_public_3.csv", 'a,"b"\n6,\n')
+    got, report = files.read_csv_folder(spark, str(tmp_path), pattern="*.csv", name_contains="public")
+    assert rows(got, "a", "b", "c") == [("1", "2", None), ("3", "4", "5"), ("6", None, None)]
+    assert sorted(r.file.rsplit("/", 1)[1] for r in report.collect()) == [
+        "precios_PUBLIC_2.csv", "precios_public_1.csv", "precios_public_3.csv"
+    ]
+    one = files.read_csv_text(spark, str(tmp_path), pattern="*.csv", name_contains="PUBLIC_2")
+    assert one.columns == ["b", "a", "c"]
+    with pytest.raises(FileNotFoundError, match="nowhere"):
+        files.read_csv_text(spark, str(tmp_path), name_contains="nowhere")
+
+
+def test_bad_files_are_left_out_whole(spark, tmp_path):
+    """Half a gzip file, a surplus cell late in a file, text that is not UTF-8, an empty file."""
+    whole = gzip.compress("\n".join(["a,b", *[f"{k},{k * 7919 % 1000003}" for k in range(60_000)]]).encode())
+    (tmp_path / "half.csv.gz").write_bytes(whole[: len(whole) // 2])
+    (tmp_path / "whole.csv.gz").write_bytes(whole)
+    (tmp_path / "zeros.csv.gz").write_bytes(b"\x1f\x8b" + b"\x00" * 40)
+    put(tmp_path / "good.csv", 'a,b\n1,"x, ""y"""\n2\n')
+    put(tmp_path / "surplus.csv", "a,b\n" + "1,2\n" * 20_000 + "1,2,3\n")
+    (tmp_path / "latin.csv").write_bytes("a,b\ncaf\xe9,1\n".encode("latin-1"))
+    put(tmp_path / "empty.csv", "\n \n")
+    put(tmp_path / "nothing.csv", "")
+    got, report = files.read_csv_folder(spark, str(tmp_path), skip_unreadable=True)
+    assert got.count() == 60_002
+    state = {r.file.rsplit("/", 1)[1]: r for r in report.collect()}
+    assert {name for name, r in state.items() if r.error is None} == {"whole.csv.gz", "good.csv"}
+    assert (state["whole.csv.gz"].rows, state["good.csv"].rows) == (60_000, 2)
+    assert state["empty.csv"].error == "empty"
+    assert len(state) == 7
+    with pytest.raises(ValueError, match="zeros.csv.gz"):
+        files.read_csv_folder(spark, str(tmp_path))
+
+
+def test_report_without_reading_whole_files(spark, tmp_path):
+    put(tmp_path / "1.csv", "a,b\n1,2\n")
+    (row,) = files.check_files(spark, str(tmp_path)).collect()
+    assert (row.header, row.rows, row.error) == (["a", "b"], None, None)
+
+
+def test_station_folder_with_an_added_column(spark, tmp_path):
+    put(tmp_path / "precios_1.csv", "Período,Producto\n2025/01,GNC\n")
+    put(tmp_path / "precios_2.csv", "Período,Producto,Provincia\n2025/02,GNC,A\n")
+    (tmp_path / "precios_3.csv").write_bytes(b"Per\xedodo,Producto\n\xff,GNC\n")
+    loaded, report = feeds.load_station_files(spark, str(tmp_path), skip_unreadable=True)
+    assert rows(loaded) == [("2025/01", "GNC", None), ("2025/02", "GNC", "A")]
+    assert report.where("error is not null").count() == 1
+
+
+def test_surplus_cells_are_told_apart_by_the_parser(spark, tmp_path):
+    """Empty surplus cells, commas in quotes, and a very long short row."""
+    put(tmp_path / "1.csv", 'a,b,c\n"x,y"\n' + "z" * 200_000 + "\n")
+    assert files.read_csv_text(spark, str(tmp_path)).count() == 2
+    for text in ("1,2,3,\n", '1,2,3,""\n', "1,2,3,4,5\n", ",,,\n"):
+        path = put(tmp_path / "bad" / "2.csv", "a,b,c\n" + text)
+        with pytest.raises(Exception, match="more cells than its header"):
+            files.read_csv_text(spark, path).collect()
