@@ -19,8 +19,8 @@ from quotemill.functions.parsing import nan_to_null, null_tokens
 PRICE_FILE_PATTERN = "*precios*.csv"
 # Holds a CSV row that does not have the header's number of cells.
 _DAMAGED = "_damaged_row"
-# A null spelling that no file uses, so that an empty cell is told from a missing one.
-_NO_NULL = "\u0000"
+# A cell put after the last one of a damaged row, to see which place that has.
+_LAST = "\u0001"
 # Bytes of a file that are read for its header, and at once when it is read to its end.
 HEADER_BYTES = 1 << 16
 BLOCK_BYTES = 1 << 22
@@ -95,11 +95,13 @@ def read_csv_text(
         columns = reader.csv(listed).columns
     fields = [T.StructField(c, T.StringType()) for c in [*columns, _DAMAGED]]
     df = reader.schema(T.StructType(fields)).csv(listed)
-    # The parser itself tells a row with a cell too many from a short one.
-    spare = f"c{len(columns)}"
+    # The parser itself tells a row with a cell too many from a short one: in a short
+    # row an appended cell takes one of the places that the header has, or the next.
     cells = ", ".join(f"c{k} string" for k in range(len(columns) + 1))
-    parsed = F.from_csv(_DAMAGED, cells, {"escape": '"', "nullValue": _NO_NULL, "emptyValue": ""})
-    surplus = F.when(F.col(_DAMAGED).isNotNull(), parsed[spare].isNotNull()).otherwise(F.lit(False))
+    parsed = F.from_csv(F.concat(F.col(_DAMAGED), F.lit("," + _LAST)), cells, {"escape": '"'})
+    places = F.array(*[parsed[f"c{k}"] for k in range(len(columns) + 1)])
+    surplus = F.when(F.col(_DAMAGED).isNotNull(), ~F.coalesce(F.array_contains(F.array_compact(places), _LAST), F.lit(False)))
+    surplus = F.coalesce(surplus, F.lit(False))
     # The message names a cell, too: Spark refuses to read the damaged rows' column alone.
     told = [F.col(_DAMAGED), F.lit("; first cell: "), F.coalesce(F.col(f"`{columns[0]}`"), F.lit(""))]
     message = F.concat(F.lit("CSV row with more cells than its header: "), *told)
@@ -116,8 +118,8 @@ def _look_at(file: str, whole: bool, multi_line: bool) -> tuple[list[str] | None
             head = stream.read(HEADER_BYTES)
         if not head.strip():
             return None, 0, "empty"
-        first = head.decode("utf-8", errors="replace").lstrip("\r\n").splitlines()[0]
-        header = next(csv.reader([first]))
+        first = head.lstrip(b"\r\n").splitlines()[0]
+        header = next(csv.reader([first.decode("utf-8")]))
         if not whole:
             return header, None, None
         short = 0
