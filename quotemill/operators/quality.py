@@ -21,29 +21,42 @@ def require_rows(df: DataFrame, message: str) -> DataFrame:
 def table_rules(df: DataFrame, table: Table, target: str = "relational") -> dict[str, Column]:
     """Row rules of a table as violation predicates over the columns present.
 
-    A null passes every rule except NOT NULL, as in SQL.
+    A null passes every rule except NOT NULL, as in SQL. Text must have the form
+    of its column's type, and a number that a type cannot hold, NaN included,
+    breaks a rule of its own.
     """
+    types = {f.name: f.dataType for f in df.schema.fields}
     rules: dict[str, Column] = {}
     for field in table.fields:
-        if field.name not in df.columns or field.blank:
+        if field.name not in types or field.blank:
             continue
-        column = F.col(field.name)
+        column, source = F.col(f"`{field.name}`"), types[field.name]
+        kind = table.type_of(field, target)
         if table.requires(field, target):
             rules[f"{field.name} not null"] = column.isNull()
-        if target == "relational" and field.positive:
-            rules[f"{field.name} positive"] = column <= 0
         if field.max_length is not None:
             rules[f"{field.name} length"] = F.length(column) > field.max_length
-        kind = table.type_of(field, target)
+        if isinstance(source, T.StringType) and not isinstance(kind, T.StringType):
+            read = "double" if isinstance(kind, T.NumericType) else kind
+            rules[f"{field.name} type"] = column.isNotNull() & column.try_cast(read).isNull()
+        if not isinstance(kind, T.NumericType):
+            continue
+        number = column.try_cast("double")
+        if target == "relational" and field.positive:
+            rules[f"{field.name} positive"] = number <= 0
+        if isinstance(source, (T.StringType, T.FractionalType)) and not isinstance(source, T.DecimalType):
+            rules[f"{field.name} nan"] = F.isnan(number)
         if isinstance(kind, T.DecimalType):
             limit = float(10 ** (kind.precision - kind.scale))
-            number = column.cast("double")
-            rules[f"{field.name} overflow"] = (
-                F.abs(F.round(number, kind.scale)) >= limit
-            ) | F.isnan(number)
+            rules[f"{field.name} overflow"] = ~F.isnan(number) & (F.abs(F.round(number, kind.scale)) >= limit)
     return rules
 
 
+def violation_counts(rules: dict[str, Column]) -> list[Column]:
+    """Counts of the rows that break each rule, named by its place."""
+    return [F.count_if(F.coalesce(rule, F.lit(False))).alias(f"_v{i}") for i, rule in enumerate(rules.values())]
+
+
 def constraint_report(
     df: DataFrame, table: Table, target: str = "relational"
 ) -> DataFrame:
@@ -55,10 +68,7 @@ def constraint_report(
     """
     rules = table_rules(df, table, target)
     names = list(rules)
-    counts = [
-        F.count_if(F.coalesce(rule, F.lit(False))).alias(f"_v{i}")
-        for i, rule in enumerate(rules.values())
-    ]
+    counts = violation_counts(rules)
     if table.unique and all(c in df.columns for c in table.unique):
         complete = F.lit(True)
         for key in table.unique:

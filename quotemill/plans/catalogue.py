@@ -854,38 +854,48 @@ def typed_publish(spark: SparkSession, sf: str) -> DataFrame:
 
 _FX_CHECKED = """
 checked AS (
-  SELECT CAST(ts AS DATE) AS date,
+  SELECT CASE WHEN event_id % 97 = 0 THEN 'no day' ELSE CAST(CAST(ts AS DATE) AS VARCHAR) END AS date,
          CASE event_type WHEN 'error' THEN NULL WHEN 'signup' THEN 'a source name far too long'
               ELSE event_type END AS source,
-         value * 1000000 AS value_buy, value - 1 AS value_sell
+         CASE WHEN event_id % 89 = 0 THEN CAST('NaN' AS DOUBLE) ELSE value * 1000000 END AS value_buy,
+         value - 1 AS value_sell
   FROM events)
 """
+# The rules in the order of the table's columns, as SQL conditions.
+_FX_RULES = {
+    "date not null": "date IS NULL",
+    "date type": "date IS NOT NULL AND TRY_CAST(date AS DATE) IS NULL",
+    "source not null": "source IS NULL",
+    "source length": "length(source) > 20",
+    "value_buy nan": "isnan(value_buy)",
+    "value_buy overflow": "NOT isnan(value_buy) AND abs(round(value_buy, 2)) >= 1e8",
+    "value_sell not null": "value_sell IS NULL",
+    "value_sell positive": "value_sell <= 0",
+    "value_sell nan": "isnan(value_sell)",
+    "value_sell overflow": "NOT isnan(value_sell) AND abs(round(value_sell, 2)) >= 1e8",
+}
 
 
 def _checked(spark: SparkSession, sf: str) -> DataFrame:
     kind = F.col("event_type")
     return table(spark, sf, "events").select(
-        F.col("ts").cast("date").alias("date"),
+        F.when(F.col("event_id") % 97 == 0, "no day")
+        .otherwise(F.col("ts").cast("date").cast("string"))
+        .alias("date"),
         F.when(kind == "error", None)
         .when(kind == "signup", "a source name far too long")
         .otherwise(kind)
         .alias("source"),
-        (F.col("value") * 1000000).alias("value_buy"),
+        F.when(F.col("event_id") % 89 == 0, float("nan"))
+        .otherwise(F.col("value") * 1000000)
+        .alias("value_buy"),
         (F.col("value") - 1).alias("value_sell"),
     )
 
 
 @query(
     f"""WITH {_FX_CHECKED}, rules AS (
-  SELECT 'date not null' AS rule, count(*) FILTER (date IS NULL) AS n FROM checked
-  UNION ALL SELECT 'source not null', count(*) FILTER (source IS NULL) FROM checked
-  UNION ALL SELECT 'source length', count(*) FILTER (length(source) > 20) FROM checked
-  UNION ALL SELECT 'value_buy overflow', count(*) FILTER (abs(round(value_buy, 2)) >= 1e8)
-    FROM checked
-  UNION ALL SELECT 'value_sell not null', count(*) FILTER (value_sell IS NULL) FROM checked
-  UNION ALL SELECT 'value_sell positive', count(*) FILTER (value_sell <= 0) FROM checked
-  UNION ALL SELECT 'value_sell overflow', count(*) FILTER (abs(round(value_sell, 2)) >= 1e8)
-    FROM checked
+  {" UNION ALL ".join(f"SELECT '{n}' AS rule, count(*) FILTER ({c}) AS n FROM checked" for n, c in _FX_RULES.items())}
   UNION ALL SELECT 'unique (date, source)', count(*) - count(DISTINCT (date, source))
     FROM checked WHERE source IS NOT NULL)
 SELECT 'staging_usd_ars_rates' AS "table", rule, CAST(n AS BIGINT) AS violations FROM rules"""
@@ -896,13 +906,14 @@ def constraint_report(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"""WITH {_FX_CHECKED}
-SELECT date, source, value_buy, value_sell FROM checked
-WHERE source IS NULL OR length(source) > 20 OR value_sell <= 0
-   OR abs(round(value_buy, 2)) >= 1e8"""
+SELECT date, source, value_buy, value_sell,
+       concat_ws('; ', {", ".join(f"CASE WHEN {c} THEN '{n}' END" for n, c in _FX_RULES.items())}) AS violations
+FROM checked
+WHERE {" OR ".join(f"coalesce({c}, false)" for c in _FX_RULES.values())}"""
 )
 def rejected_rows(spark: SparkSession, sf: str) -> DataFrame:
     _, rejected = V.split_valid(_checked(spark, sf), STAGING_FX)
-    return rejected.drop("violations")
+    return rejected.withColumn("violations", F.array_join("violations", "; "))
 
 
 # --- listings ----------------------------------------------------------------------

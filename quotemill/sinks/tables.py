@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,14 +17,12 @@ from quotemill.operators.combine import (
     upsert,
     upsert_columns,
 )
-from quotemill.operators.quality import constraint_report
+from quotemill.operators.quality import table_rules, violation_counts
 from quotemill.schemas import TABLES, Table
 from quotemill.session import ensure_checkpoint_dir
 from quotemill.sinks.files import counted
 
 AUDIT_COLUMN = "load_timestamp"
-# Fixed value: the name under which a catalog lists the partition of null keys.
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 # --- projection ----------------------------------------------------------------
@@ -66,8 +65,8 @@ def _published(table: Table, target: str, names: Sequence[str]) -> list[Column]:
     for field in (next(f for f in table.fields if f.name == name) for name in names):
         kind = table.type_of(field, target)
         value = F.lit(None) if field.blank else F.col(field.name)
-        if isinstance(kind, T.DecimalType):
-            value = value.try_cast("double")
+        if isinstance(kind, (T.DecimalType, T.DoubleType)):
+            value = F.nanvl(value.try_cast("double"), F.lit(None).cast("double"))
         out.append(value.try_cast(kind))
     return out
 
@@ -100,14 +99,24 @@ def table_columns(table: Table, target: str) -> list[tuple[str, T.DataType]]:
 def create_table(
     spark: SparkSession, database: str, table: Table, target: str = "relational"
 ) -> None:
-    """Drop the table if present and create it empty, partitioned as registered."""
+    """Drop the table if present and create it empty, partitioned as registered.
+
+    Partitions are those of the table's folder and not listed in the catalog, so
+    that a refresh can change all of them by pointing the table to a new folder.
+    """
     name = qualified(database, table)
     columns = ", ".join(f"`{n}` {k.simpleString()}" for n, k in table_columns(table, target))
     layout = (
         f"PARTITIONED BY ({', '.join(table.partition_by)})" if table.partition_by else ""
     )
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {layout}")
+    listed = "spark.sql.hive.manageFilesourcePartitions"
+    before = spark.conf.get(listed)
+    spark.conf.set(listed, "false")
+    try:
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {layout}")
+    finally:
+        spark.conf.set(listed, before)
 
 
 def create_tables(spark: SparkSession, database: str, target: str = "relational") -> None:
@@ -161,38 +170,86 @@ def _all_columns(df: DataFrame, table: Table, target: str) -> DataFrame:
     return df.select(*[by_name[n] for n in order])
 
 
-def require_valid(df: DataFrame, table: Table, target: str) -> None:
-    """ValueError naming the rules that rows of this load break."""
-    broken = constraint_report(df, table, target).where("violations > 0")
-    found = [(r["rule"], r["violations"]) for r in broken.collect()]  # a row per rule
-    if found:
-        raise ValueError(f"{table.key}: constraint violations {found}")
+def _location(spark: SparkSession, database: str, name: str | None = None) -> str:
+    """Folder of a database, or of one of its tables."""
+    described = f"TABLE EXTENDED {qualified(database, name)}" if name else f"DATABASE `{database}`"
+    rows = spark.sql(f"DESCRIBE {described}").collect()
+    return next(row[1] for row in rows if row[0] == "Location").rstrip("/")
+
 
+def _delete_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
-def require_published(df: DataFrame, table: Table, target: str) -> None:
-    """ValueError where the published values break what the source's values keep.
 
-    A required column may be absent, a value may not fit its published type, and
-    a rounded number or a time cut to its day may break a rule.
+def stage_table(
+    df: DataFrame,
+    database: str,
+    table: Table,
+    *,
+    target: str = "relational",
+    complete: bool = True,
+    validate: bool = True,
+) -> tuple[int, str]:
+    """Write the rows as published to a new folder beside the tables, checked on the way.
+
+    Returns their number and the folder. The input is evaluated once: the rules are
+    counted on the source's values and on the published ones, which rounding or a
+    cut to the day may change, while the rows are written. Uniqueness is counted on
+    what was written. ValueError names the broken rules, and then no folder is left,
+    nor without rows. With ``complete`` columns that the data lacks are written as
+    nulls.
     """
-    absent = [
-        f.name
-        for f in table.fields
-        if table.requires(f, target) and not f.blank and f.name not in df.columns
-    ]
-    if absent:
-        raise ValueError(f"{table.key}: required columns absent {absent}")
-    ready = conform(df, table, target)
-    checked = [f.name for f in table.fields if f.name in ready.columns and not f.blank]
-    lost = [
-        F.count_if(F.col(c).isNotNull() & value.isNull()).alias(c)
-        for c, value in zip(checked, _published(table, target, checked), strict=True)
-    ]
-    if lost:
-        found = [(f"{c} type", n) for c, n in df.agg(*lost).first().asDict().items() if n]
+    spark = df.sparkSession
+    rules = table_rules(df, table, target) if validate else {}
+    source, published = Observation(), Observation()
+    observed = df.observe(source, F.count(F.lit(1)).alias("rows"), *violation_counts(rules))
+    ready = conform(observed, table, target)
+    ready_rules = table_rules(ready, table, target) if validate else {}
+    if ready_rules:
+        ready = ready.observe(published, *violation_counts(ready_rules))
+    ready = stamped(ready)
+    if complete:
+        ready = _all_columns(ready, table, target)
+    path = f"{_location(spark, database)}/{table.key}__{uuid.uuid4().hex}"
+    found: list = []
+    try:
+        _write(_laid_out(ready, table), path, table.partition_by)
+        counts = source.get
+        broken = {name: counts[f"_v{i}"] for i, name in enumerate(rules)}
+        for i, name in enumerate(ready_rules):
+            broken[name] = max(broken.get(name, 0), published.get[f"_v{i}"])
+        if validate and counts["rows"]:
+            absent = [
+                f.name for f in table.fields if table.requires(f, target) and not f.blank and f.name not in df.columns
+            ]
+            if absent:
+                raise ValueError(f"{table.key}: required columns absent {absent}")
+            if table.unique and all(c in ready.columns for c in table.unique):
+                written = spark.read.schema(ready.schema).parquet(path).dropna(subset=list(table.unique))
+                repeated = written.groupBy(*table.unique).count().agg(F.sum(F.col("count") - 1)).first()[0]
+                broken[f"unique ({', '.join(table.unique)})"] = repeated or 0
+        found = [(name, n) for name, n in broken.items() if n]
         if found:
             raise ValueError(f"{table.key}: constraint violations {found}")
-    require_valid(ready, table, target)
+    except Exception:
+        _delete_folder(spark, path)
+        raise
+    if not counts["rows"]:
+        _delete_folder(spark, path)
+    return counts["rows"], path
+
+
+def point_to(spark: SparkSession, database: str, name: str, path: str) -> None:
+    """Let the table's content be that of a folder: one change in the catalog.
+
+    Before it the table has its old content, after it the new one, with all
+    partitions at once. The folder it had is deleted last.
+    """
+    before = _location(spark, database, name)
+    spark.sql(f"ALTER TABLE {qualified(database, name)} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(f"{database}.{name}")
+    _delete_folder(spark, before)
 
 
 def load_table(
@@ -209,25 +266,38 @@ def load_table(
     ``truncate`` replaces the content. Otherwise tables with a unique key are
     upserted and the others appended. Without rows nothing is written and the
     old content stays.
+
+    The input is evaluated once, into a folder of its own, and checked on the way. A
+    refresh then points the table to that folder, whether partitioned or not: stale
+    months and rows without a month need no step of their own, and a load that fails
+    anywhere leaves the old content or the new one.
     """
     spark = df.sparkSession
-    if df.isEmpty():
+    finish_replacement(spark, database, table.key)
+    keyed = bool(table.unique) and not truncate
+    if keyed:
+        require_columns(df, list(table.unique))
+    rows, path = stage_table(df, database, table, target=target, complete=not keyed, validate=validate)
+    if not rows:
         return 0
-    if validate:
-        require_valid(df, table, target)
-        require_published(df, table, target)
-    ready = conform(df, table, target)
-    if not truncate and table.unique:
-        return upsert_table(spark, database, table, ready, target)
-    rows, seen = counted(_all_columns(stamped(ready), table, target))
-    if truncate and table.partition_by:
-        replace_partitioned(_laid_out(rows, table), database, table)
-    elif truncate:
-        replace_table(_laid_out(rows, table), database, table.key)
+    if truncate:
+        point_to(spark, database, table.key, path)
+        return rows
+    if keyed:
+        stored = dict(table_columns(table, target))
+        held = [c for c in stored if c in (*df.columns, AUDIT_COLUMN)]
+        schema = T.StructType([T.StructField(c, stored[c]) for c in held])
+        _merge_batch(spark, database, table, spark.read.schema(schema).parquet(path), target)
     else:
-        finish_replacement(spark, database, table.key)
-        _laid_out(rows, table).write.insertInto(qualified(database, table))
-    return seen.get["rows"]
+        batch = spark.read.schema(spark.table(qualified(database, table)).schema).parquet(path)
+        batch.write.insertInto(qualified(database, table))
+    _delete_folder(spark, path)
+    return rows
+
+
+def _write(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(path)
 
 
 def interim_name(name: str) -> str:
@@ -250,7 +320,7 @@ def finish_replacement(spark: SparkSession, database: str, name: str) -> None:
 
 
 def replace_table(df: DataFrame, database: str, name: str) -> None:
-    """Replace a table's content; ``df`` may read the table itself.
+    """Replace a table's content and columns; ``df`` may read the table itself.
 
     Overwriting in place would delete the old files first. Here the new content
     is written to a table beside the published one, which is then dropped and
@@ -277,26 +347,37 @@ def _overwrite_partitions(df: DataFrame, database: str, table: Table) -> None:
         conf.set(mode, before)
 
 
-def replace_partitioned(df: DataFrame, database: str, table: Table) -> None:
-    """Replace a partitioned table's content.
+def _merge_batch(
+    spark: SparkSession, database: str, table: Table, batch: DataFrame, target: str
+) -> None:
+    """Merge a staged batch into the table by the unique key.
 
-    Partitions in the data are exchanged at commit, the others are dropped
-    afterwards. Partition values, a calendar's worth at most, are metadata.
+    Where the table is partitioned by a part of its key, a row can only replace one
+    of its own partition: only partitions that the batch has rows of are read, merged
+    into a folder and exchanged, and the files of all others stay as they are. The
+    partition values, a calendar's worth at most, are metadata. Other tables are
+    pointed to a folder with all merged rows.
     """
-    spark, full = df.sparkSession, qualified(database, table)
-    (column,) = table.partition_by
-
-    def listed() -> set[str]:
-        return {r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {full}").collect()}
-
-    old = listed()
-    _overwrite_partitions(df, database, table)
-    if old:
-        values = df.select(column).distinct().collect()
-        new = {NULL_PARTITION if r[0] is None else str(r[0]) for r in values}
-        for value in sorted(old - new):
-            spec = "null" if value == NULL_PARTITION else f"'{value}'"
-            spark.sql(f"ALTER TABLE {full} DROP IF EXISTS PARTITION ({column} = {spec})")
+    current = spark.table(qualified(database, table))
+    stored = [n for n, _ in table_columns(table, target)]
+    merge = upsert if all(c in batch.columns for c in stored) else upsert_columns
+    path = f"{_location(spark, database)}/{table.key}__{uuid.uuid4().hex}"
+    if not table.partition_by or not set(table.partition_by) <= set(table.unique):
+        merged = merge(current, batch, table.unique).select(*current.columns)
+        _write(_laid_out(merged, table), path, table.partition_by)
+        point_to(spark, database, table.key, path)
+        return
+    touched = F.lit(False)
+    for value in batch.select(*table.partition_by).distinct().collect():
+        same = F.lit(True)
+        for column in table.partition_by:
+            same = same & F.col(column).eqNullSafe(F.lit(value[column]))
+        touched = touched | same
+    merged = merge(current.where(touched), batch, table.unique).select(*current.columns)
+    _write(merged, path, table.partition_by)
+    fixed = spark.read.schema(current.schema).parquet(path).select(*current.columns)
+    _overwrite_partitions(_laid_out(fixed, table), database, table)
+    _delete_folder(spark, path)
 
 
 def upsert_table(
@@ -306,18 +387,8 @@ def upsert_table(
     batch: DataFrame,
     target: str = "relational",
 ) -> int:
-    """Upsert a conformed batch by the table's unique key."""
-    require_columns(batch, list(table.unique))
-    finish_replacement(spark, database, table.key)
-    current = spark.table(qualified(database, table))
-    batch, seen = counted(stamped(batch))
-    stored = [n for n, _ in table_columns(table, target)]
-    if all(c in batch.columns for c in stored):
-        merged = upsert(current, batch, table.unique)
-    else:
-        merged = upsert_columns(current, batch, table.unique)
-    replace_table(_laid_out(merged, table), database, table.key)
-    return seen.get["rows"]
+    """Upsert a batch by the table's unique key, unchecked; returns its rows."""
+    return load_table(batch, database, table, target=target, truncate=False, validate=False)
 
 
 def refresh_partitions(
@@ -348,9 +419,8 @@ def publish_all(
     """Publish tables to several databases; returns rows per target and table.
 
     ``frames`` maps table keys to data, ``targets`` database names to flavours
-    ("relational" or "warehouse"). Checking and writing each read the data per
-    target, so publish what a pipeline has written, not a plan that would
-    compute it again. Tables are published one by one: a failure leaves the
+    ("relational" or "warehouse"). Each target evaluates the data once, so with
+    several targets publish what a pipeline has written. Tables are published one by one: a failure leaves the
     earlier ones loaded.
     """
     unknown = sorted(set(frames) - set(TABLES))

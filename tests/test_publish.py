@@ -405,3 +405,128 @@ def test_what_would_be_published_is_checked(spark, database, rows, columns, mess
     df = spark.createDataFrame(rows, columns)
     with pytest.raises(ValueError, match=message):
         tables.load_table(df, database, STAGING_OIL)
+
+
+def evaluated(spark, df):
+    """The data behind a step that counts the rows it hands on, and the counter."""
+    counter = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            counter.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(count, df.schema), counter
+
+
+@pytest.mark.parametrize("truncate", [True, False])
+def test_a_load_evaluates_its_input_once(spark, database, truncate):
+    tables.create_tables(spark, database)
+    days = [(f"2025-01-{d:02d}", float(d)) for d in range(1, 21)]
+    for table, df in (
+        (STAGING_OIL, oil(spark, *days)),
+        (STAGING_FUEL, fuel(spark, *[(d, "GNC", p) for d, p in days])),
+    ):
+        df, counter = evaluated(spark, df)
+        assert tables.load_table(df, database, table, truncate=truncate) == 20
+        assert counter.value == 20
+        assert spark.table(f"{database}.{table.key}").count() == 20
+
+
+def test_all_broken_rules_are_named_and_nothing_is_left(spark, database):
+    tables.create_tables(spark, database)
+    tables.load_table(oil(spark, ("2025-01-01", 1.0)), database, STAGING_OIL)
+    folder = spark.sql(f"DESCRIBE DATABASE {database}").where("info_name = 'Location'").first()[1]
+    before = sorted(folders(folder))
+    bad = spark.createDataFrame(
+        [("2025-01-02", "0.001"), ("2025-01-02", "nan"), ("no day", "x"), (None, "1e12")], "date string, brent_price string"
+    )
+    with pytest.raises(ValueError) as error:
+        tables.load_table(bad, database, STAGING_OIL)
+    for rule in ("date not null", "date type", "brent_price type", "brent_price nan", "brent_price overflow",
+                 "brent_price positive", "unique (date)"):
+        assert rule in str(error.value)
+    assert sorted(folders(folder)) == before
+    assert rows(spark.table(f"{database}.staging_brent_price"), "date") == [(day("2025-01-01"),)]
+
+
+def folders(location):
+    from pathlib import Path
+
+    return [p.name for p in Path(location.removeprefix("file:")).iterdir()]
+
+
+def test_nan_is_not_published_into_the_warehouse(spark, database):
+    tables.create_tables(spark, database, "warehouse")
+    nan = oil(spark, ("2025-01-01", float("nan")))
+    with pytest.raises(ValueError, match="brent_price nan"):
+        tables.load_table(nan, database, STAGING_OIL, target="warehouse")
+    tables.load_table(nan, database, STAGING_OIL, target="warehouse", validate=False)
+    assert rows(spark.table(f"{database}.staging_brent_price"), "brent_price") == [(None,)]
+
+
+@pytest.mark.parametrize("step", ["write", "pointer", "clean"])
+def test_a_failure_at_any_step_leaves_old_or_new_content(spark, database, monkeypatch, step):
+    """A refresh of a partitioned table with a stale month and a row without a month."""
+    tables.create_tables(spark, database)
+
+    def load(*months, **options):
+        data = [(m and day(m), "A", "GNC", 1.0) for m in months]
+        df = spark.createDataFrame(data, "periodo date, provincia string, producto string, precio_surtidor double")
+        return tables.load_table(df, database, STAGING_FUEL, validate=False, **options)
+
+    def stored():
+        return {r["periodo"] for r in spark.table(f"{database}.staging_fuel_prices").collect()}
+
+    def fail(*args):
+        raise RuntimeError("lost")
+
+    load("2025-01-01", "2025-02-01", None)
+    old, new = {day("2025-01-01"), day("2025-02-01"), None}, {day("2025-02-01"), day("2025-03-01")}
+    assert stored() == old
+    name = {"write": "_write", "pointer": "point_to", "clean": "_delete_folder"}[step]
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, name, fail)
+        with pytest.raises(RuntimeError, match="lost"):
+            load("2025-02-01", "2025-03-01")
+    assert stored() == (new if step == "clean" else old)
+    load("2025-02-01", "2025-03-01")
+    assert stored() == new
+
+
+def test_upsert_leaves_other_partitions_alone(spark, database):
+    """Files of days that the batch does not touch keep their names and times."""
+    from pathlib import Path
+
+    field = STAGING_FX.fields
+    quotes = type(STAGING_FX)("staging", "quotes", field, unique=("date", "source"), partition_by=("date",))
+    tables.create_table(spark, database, quotes)
+
+    def load(*data, truncate=False, columns="date date, source string, value_buy double, value_sell double"):
+        df = spark.createDataFrame([(d and day(d), *rest) for d, *rest in data], columns)
+        return tables.load_table(df, database, quotes, truncate=truncate, validate=False)
+
+    def stored():
+        return rows(spark.table(f"{database}.staging_quotes"), "date", "source", "value_buy", "value_sell")
+
+    def files_of():
+        paths = [Path(f.removeprefix("file:")) for f in spark.table(f"{database}.staging_quotes").inputFiles()]
+        return {(str(p), p.stat().st_mtime_ns) for p in paths}
+
+    load(("2025-01-01", "a", 1.0, 2.0), ("2025-01-02", "a", 1.0, 2.0), ("2025-01-03", "a", 1.0, 2.0), (None, "a", 1.0, 2.0), truncate=True)
+    before = files_of()
+    assert load(("2025-01-02", "a", 5.0, 6.0), ("2025-01-02", "b", 7.0, 8.0), ("2025-01-04", "a", 9.0, 9.0)) == 3
+    assert len(before & files_of()) == 3
+    one, two = Decimal("1.00"), Decimal("2.00")
+    assert stored() == [
+        (None, "a", one, two),
+        (day("2025-01-01"), "a", one, two),
+        (day("2025-01-02"), "a", Decimal("5.00"), Decimal("6.00")),
+        (day("2025-01-02"), "b", Decimal("7.00"), Decimal("8.00")),
+        (day("2025-01-03"), "a", one, two),
+        (day("2025-01-04"), "a", Decimal("9.00"), Decimal("9.00")),
+    ]
+    # A column that the batch lacks keeps its value.
+    load(("2025-01-01", "a", 3.0), columns="date date, source string, value_sell double")
+    assert (day("2025-01-01"), "a", one, Decimal("3.00")) in stored()
+    assert len(before & files_of()) == 2
