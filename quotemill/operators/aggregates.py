@@ -99,6 +99,28 @@ def rate_column(source: str) -> str:
     return f"usd_ars_{source.lower()}"
 
 
+def discover_sources(df: DataFrame, most: int = 64) -> list[str]:
+    """The sources that a feed holds, lower-cased and sorted; more than ``most`` are an error.
+
+    For `daily_rates` of whatever is there, the two that the gap needs put first.
+    """
+    found = df.select(F.lower("source").alias("source")).dropna().distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} sources: a pivot needs a list of them")
+    return sorted(row["source"] for row in found)
+
+
+def unlisted_sources(df: DataFrame, sources: Sequence[str] = FX_SOURCES, value: str = "value_sell") -> DataFrame:
+    """Rows and quotes that `daily_rates` leaves out, by source; null is a source here."""
+    source = F.lower("source")
+    listed = F.coalesce(source.isin(*[s.lower() for s in sources]), F.lit(False))
+    return (
+        df.where(~listed)
+        .groupBy(source.alias("source"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.count(value).alias("quotes"))
+    )
+
+
 def daily_rates(
     df: DataFrame,
     sources: Sequence[str] = FX_SOURCES,

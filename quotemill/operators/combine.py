@@ -42,21 +42,35 @@ def accumulate(
     return distinct_rows(concat_batches([existing, new]))
 
 
+def with_digest(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Add _d1 and _d2, 128 bits of digest of the columns; where nulls are counts."""
+    nulls = F.concat(*[F.when(F.col(f"`{c}`").isNull(), "1").otherwise("0") for c in columns])
+    values = [F.col(f"`{c}`") for c in columns]
+    return df.select("*", F.xxhash64(nulls, *values).alias("_d1"), F.xxhash64(*reversed(values), nulls).alias("_d2"))
+
+
 def unseen_rows(existing: DataFrame, batches: Sequence[DataFrame]) -> DataFrame:
     """The rows that `accumulate` would add to an existing result without repeats.
 
-    Appending them gives the same table as rewriting it. Rows are compared on
-    all columns by a null-safe key, and only rows the batch touches are looked
-    up, so a small batch leaves the large side in place.
+    Appending them gives the same table as rewriting it. Both sides are keyed by a
+    128-bit digest of all columns: the existing rows that share a digest with the
+    batch are found by a semi join on its two numbers, and only these hits are
+    compared column by column, null equal to null, as digests could collide. A small
+    batch leaves the large side in place; a large one moves it by two numbers, not
+    by whole rows as keys. The batch is read once, as its distinct step is reused.
     """
     new = distinct_rows(concat_batches(batches))
     require_columns(existing, new.columns)
-    left = new.select(F.struct(*columns_of(new)).alias("_row"))
-    right = existing.select(F.struct(*columns_of(new)).alias("_seen"))
-    touched = right.join(left, F.col("_seen").eqNullSafe(F.col("_row")), "left_semi")
-    return left.join(
-        touched, F.col("_row").eqNullSafe(F.col("_seen")), "left_anti"
-    ).select("_row.*")
+    columns = new.columns
+    batch = with_digest(new, columns)
+    keys = batch.select(F.col("_d1").alias("_n1"), F.col("_d2").alias("_n2"))
+    stored = with_digest(existing.select(*[F.col(f"`{c}`") for c in columns]), columns)
+    hits = stored.join(keys, (F.col("_d1") == F.col("_n1")) & (F.col("_d2") == F.col("_n2")), "left_semi")
+    hits = hits.select(*[F.col(f"`{c}`").alias(f"_h{i}") for i, c in enumerate(columns)], F.col("_d1").alias("_h"), F.col("_d2").alias("_hh"))
+    same = (F.col("_d1") == F.col("_h")) & (F.col("_d2") == F.col("_hh"))
+    for i, c in enumerate(columns):
+        same = same & F.col(f"`{c}`").eqNullSafe(F.col(f"_h{i}"))
+    return batch.join(hits, same, "left_anti").select(*[F.col(f"`{c}`") for c in columns])
 
 
 def upsert(

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quotemill.functions import parsing as P
 from quotemill.operators import aggregates as A
@@ -37,6 +38,7 @@ from quotemill.plans.feeds_from_tables import (
 from quotemill.schemas import STAGING_FUEL, STAGING_FX, STAGING_OIL
 from quotemill.sinks.tables import conform
 from quotemill.sources.feeds import fx_quotes, oil_quotes
+from quotemill.sources.files import parse_json_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -213,6 +215,27 @@ fx_monthly AS (
 """
 
 
+@query(
+    f"""WITH {FX_SQL}
+SELECT lower(source) AS source, count(*) AS rows, count(value_sell) AS quotes
+FROM fx WHERE lower(source) NOT IN ('oficial', 'blue') GROUP BY 1"""
+)
+def fx_unlisted(spark: SparkSession, sf: str) -> DataFrame:
+    return A.unlisted_sources(fx(spark, sf))
+
+
+@query(
+    f"""WITH {FX_SQL}
+SELECT date, {", ".join(f"{q(f"avg(value_sell) FILTER (source = '{s}')")} AS usd_ars_{s.lower()}" for s in ("Blue", "Oficial", "Otro"))}
+FROM fx WHERE value_sell IS NOT NULL GROUP BY 1"""
+)
+def fx_open_pivot(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily rates of whatever sources the feed holds."""
+    quotes = fx(spark, sf)
+    rates = A.daily_rates(quotes, A.discover_sources(quotes))
+    return rounded(rates, *[c for c in rates.columns if c != "date"])
+
+
 @query(
     f"""WITH {_FX_MONTHLY}
 SELECT date, {q("usd_ars_oficial")} AS usd_ars_oficial, {q("usd_ars_blue")} AS usd_ars_blue
@@ -916,6 +939,51 @@ def rejected_rows(spark: SparkSession, sf: str) -> DataFrame:
     return rejected.withColumn("violations", F.array_join("violations", "; "))
 
 
+# --- JSON records -------------------------------------------------------------------
+
+# Texts as they might land: cut off, of a wrong type, an array, blank, null, or whole.
+_LANDED_JSON = """
+landed AS (
+  SELECT event_id, CASE event_id % 13 WHEN 1 THEN left(props, 5) WHEN 2 THEN '{"k": "many"}'
+         WHEN 3 THEN '[' || props || ']' WHEN 4 THEN '' WHEN 5 THEN NULL WHEN 6 THEN '{}'
+         ELSE props END AS props
+  FROM events),
+readable AS (
+  SELECT event_id, props, props IS NULL OR CASE WHEN json_valid(props) AND left(props, 1) = '{'
+         THEN coalesce(json_type(props, '$.k') IN ('UBIGINT', 'BIGINT'), true) ELSE false END AS fits
+  FROM landed)
+"""
+
+
+def _landed_json(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    props, kind = F.col("props"), F.col("event_id") % 13
+    landed = table(spark, sf, "events").select(
+        "event_id",
+        F.when(kind == 1, F.substring(props, 1, 5))
+        .when(kind == 2, '{"k": "many"}')
+        .when(kind == 3, F.concat(F.lit("["), props, F.lit("]")))
+        .when(kind == 4, "")
+        .when(kind == 5, None)
+        .when(kind == 6, "{}")
+        .otherwise(props)
+        .alias("props"),
+    )
+    return parse_json_records(landed, "props", T.StructType([T.StructField("k", T.LongType())]))
+
+
+@query(
+    f"""WITH {_LANDED_JSON}
+SELECT event_id, CAST(json_extract(CASE WHEN fits THEN props END, '$.k') AS BIGINT) AS k FROM readable WHERE fits"""
+)
+def json_records(spark: SparkSession, sf: str) -> DataFrame:
+    return _landed_json(spark, sf)[0]
+
+
+@query(f"WITH {_LANDED_JSON} SELECT event_id, props FROM readable WHERE NOT fits")
+def json_rejected(spark: SparkSession, sf: str) -> DataFrame:
+    return _landed_json(spark, sf)[1]
+
+
 # --- listings ----------------------------------------------------------------------
 
 

@@ -65,7 +65,8 @@ def save(staged: Staged, folder: str, names: tuple[str, str]) -> Staged:
 
 def saved(spark: SparkSession, folder: str, names: tuple[str, str]) -> Staged:
     """Both parts as an earlier run left them in a folder."""
-    return Staged(*[read_parquet(spark, f"{folder.rstrip('/')}/{n}.parquet") for n in names])
+    paths = [f"{folder.rstrip('/')}/{n}.parquet" for n in names]
+    return Staged(*[read_parquet(spark, path, staged=True) for path in paths])
 
 
 def run_oil(raw: DataFrame, folder: str) -> Staged:
@@ -96,7 +97,7 @@ def run_stations(
     write_parquet(
         clean_stations(raw, start, floor), distinct, partition_by=["periodo"], cluster=True
     )
-    cleaned = read_parquet(spark, distinct)
+    cleaned = read_parquet(spark, distinct, staged=True)
     staged = Staged(market_share_rows(cleaned), product_month(cleaned))
     return save(staged, folder, STATION_FILES)
 

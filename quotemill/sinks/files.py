@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from quotemill.functions.parsing import nan_to_null
+
 
 def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     """The DataFrame with a row count that the next action over it fills in."""
@@ -23,11 +25,13 @@ def write_parquet(
 ) -> int:
     """Replace the Parquet data at a path (snappy); returns the rows written.
 
+    NaN is written as null, so that filters on numbers can be left to the scan.
+
     ``cluster`` first brings the rows of a partition value together, so a run
     does not leave one small file per task and value. Adaptive execution splits
     a value that outgrows one task, so a hot month still writes in parallel.
     """
-    df, seen = counted(df)
+    df, seen = counted(nan_to_null(df))
     if cluster and partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     if sort_by:

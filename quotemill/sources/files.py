@@ -233,11 +233,35 @@ def read_csv_layouts(
 
 
 def read_parquet(
-    spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None
+    spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None, *, staged: bool = False
 ) -> DataFrame:
-    """Scan Parquet; NaN, which Parquet keeps apart from null, becomes null."""
+    """Scan Parquet; NaN, which Parquet keeps apart from null, becomes null.
+
+    Files ``staged`` by `quotemill.sinks.files.write_parquet` hold no NaN: they are
+    read as they are, so that filters on numbers reach the scan and skip row groups.
+    """
     df = spark.read.parquet(*([paths] if isinstance(paths, str) else paths))
-    return nan_to_null(df.select(*columns) if columns else df)
+    df = df.select(*columns) if columns else df
+    return df if staged else nan_to_null(df)
+
+
+def parse_json_records(df: DataFrame, column: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """Rows with a JSON text taken apart: (readable rows, rejected rows as they are).
+
+    A readable row has the record's fields in place of the text. A text is rejected
+    that is no JSON object, or holds a value that is not of its field's type. A null
+    text gives null fields; an absent field is null.
+    """
+    damaged = "_damaged_record"
+    read = T.StructType([*schema.fields, T.StructField(damaged, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": damaged}
+    parsed = df.withColumn("_record", F.from_json(F.col(f"`{column}`"), read, options))
+    # An array, a bare value or a blank text gives no record.
+    object_ = F.coalesce(F.ltrim(F.col(f"`{column}`")).startswith("{"), F.col(f"`{column}`").isNull())
+    fits = object_ & F.col(f"_record.{damaged}").isNull()
+    others = [F.col(f"`{c}`") for c in df.columns if c != column]
+    fields = [F.col("_record").getField(f.name).alias(f.name) for f in schema.fields]
+    return parsed.where(fits).select(*others, *fields), parsed.where(~fits).drop("_record")
 
 
 def read_json_records(

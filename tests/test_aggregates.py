@@ -287,3 +287,12 @@ def test_exchange_sources_match_whatever_their_case(spark):
     ).selectExpr("to_date(date) AS date", "source", "value_sell")
     got = A.monthly_rates(df).first()
     assert (got["usd_ars_oficial"], got["usd_ars_blue"], got["brecha_cambiaria_pct"]) == (150.0, 300.0, 100.0)
+
+
+def test_sources_outside_the_list_are_counted(spark):
+    df = fx(spark, [("2022-01-01", "Oficial", 1.0), ("2022-01-01", "MEP", 2.0), ("2022-01-02", "mep", None), (None, None, 3.0)])
+    assert rows(A.unlisted_sources(df)) == [(None, 1, 1), ("mep", 2, 1)]
+    assert A.discover_sources(df) == ["mep", "oficial"]
+    assert rows(A.daily_rates(df, A.discover_sources(df))) == [(day("2022-01-01"), 2.0, 1.0)]
+    with pytest.raises(ValueError, match="more than 1 sources"):
+        A.discover_sources(df, most=1)

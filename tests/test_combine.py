@@ -113,3 +113,24 @@ def test_small_column_batch_leaves_the_target_in_place(spark):
     assert rows(merged.where("k in (1, 2, 2000)"), "k", "v", "n") == [(1, 5, 1), (2, 2, 2), (2000, 6, None)]
     plan = merged._jdf.queryExecution().executedPlan().toString()
     assert "FullOuter" not in plan
+
+
+def test_unseen_rows_have_no_wide_key(spark, tmp_path):
+    """The existing side is keyed by two numbers; the batch's distinct step is shared."""
+    schema = "a string, b string, c double"
+    spark.createDataFrame([("x", None, 1.0), (None, "x", 1.0), ("z", "z", None)], schema).write.parquet(str(tmp_path / "e"))
+    data = [(None, "x", 1.0), ("x", None, 1.0), ("x", None, None), ("x", None, None), ("y", "y", 0.0), (None, None, None)]
+    spark.createDataFrame(data, schema).write.parquet(str(tmp_path / "b"))
+    added = U.unseen_rows(spark.read.parquet(str(tmp_path / "e")), [spark.read.parquet(str(tmp_path / "b"))])
+    assert rows(added) == rows(spark.createDataFrame([("x", None, None), ("y", "y", 0.0), (None, None, None)], schema))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        added = U.unseen_rows(spark.read.parquet(str(tmp_path / "e")), [spark.read.parquet(str(tmp_path / "b"))])
+        assert added.count() == 3
+        added.collect()
+        plan = added._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "Reused" not in line]
+    assert all("struct" not in line for line in exchanges)
+    assert plan.count("FileScan") == 2

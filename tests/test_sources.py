@@ -232,3 +232,28 @@ def test_surplus_cells_are_told_apart_by_the_parser(spark, tmp_path):
         path = put(tmp_path / "bad" / "2.csv", "a,b,c\n" + text)
         with pytest.raises(Exception, match="more cells than its header"):
             files.read_csv_text(spark, path).collect()
+
+
+def test_staged_parquet_lets_filters_reach_the_scan(spark, tmp_path):
+    from quotemill.sinks.files import write_parquet
+
+    path = str(tmp_path / "staged")
+    data = [(1, float("nan"), 2.0), (2, 1.5, None), (3, 9.0, float("nan")), (4, None, 1.0)]
+    write_parquet(spark.createDataFrame(data, "a int, x double, y float"), path)
+    df = files.read_parquet(spark, path, staged=True)
+    assert rows(df) == [(1, None, 2.0), (2, 1.5, None), (3, 9.0, None), (4, None, 1.0)]
+    plan = df.where("x > 2")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(x,2.0)" in plan.split("PushedFilters")[1]
+    assert rows(df.where("x > 2"), "a") == [(3,)]
+
+
+def test_json_records_and_rejects(spark):
+    from pyspark.sql import types as T
+
+    texts = ['{"a": 1, "b": "x"}', '{"a": "no"}', "[1]", '[{"a": 1}]', "", "  ", None, "{}", '{"a": 1', "nonsense", '{"b": null, "c": 3}']
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+    good, bad = files.parse_json_records(df, "t", schema)
+    assert rows(good) == [(0, 1, "x"), (6, None, None), (7, None, None), (10, None, None)]
+    assert [r[0] for r in rows(bad)] == [1, 2, 3, 4, 5, 8, 9]
+    assert bad.columns == ["id", "t"]
