@@ -202,6 +202,16 @@ class Benchmark:
         return best
 
 
+def _shared_benchmark(items: DataFrame, item_col: str, item_text: str, percent: int):
+    """The searchable benchmark on all executors; more than ITEM_BYTES of text are an error."""
+    chosen = items.select(F.col(item_col).cast("long").alias("i"), F.col(item_text).alias("t"))
+    total = chosen.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    if total > ITEM_BYTES:
+        raise ValueError(f"{total} bytes of benchmark items; search in blocks of at most {ITEM_BYTES}")
+    table = chosen.dropDuplicates().toArrow().sort_by("i")
+    return items.sparkSession.sparkContext.broadcast(Benchmark(table["i"].to_pylist(), table["t"], percent))
+
+
 def contamination(
     docs: DataFrame,
     items: DataFrame,
@@ -221,13 +231,7 @@ def contamination(
     Rows with a null id are searched too and returned with it. Other columns are
     ignored. ``items`` is broadcast: over ITEM_BYTES of text are an error.
     """
-    spark = docs.sparkSession
-    chosen = items.select(F.col(item_col).cast("long").alias("i"), F.col(item_text).alias("t"))
-    total = chosen.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    if total > ITEM_BYTES:
-        raise ValueError(f"{total} bytes of benchmark items; search in blocks of at most {ITEM_BYTES}")
-    table = chosen.dropDuplicates().toArrow().sort_by("i")
-    index = spark.sparkContext.broadcast(Benchmark(table["i"].to_pylist(), table["t"], percent))
+    index = _shared_benchmark(items, item_col, item_text, percent)
     schema = pa.schema([("doc", pa.int64()), ("item", pa.int64()), ("distance", pa.int32())])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,11 +261,30 @@ def contamination(
     )
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
+def decontaminate(
+    docs: DataFrame,
+    items: DataFrame,
+    *,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text: str = "text",
+    percent: int = 10,
+) -> DataFrame:
     """Documents in which `contamination` finds no item, with all their columns.
 
-    A row with a null id goes only if its own text matches.
+    Every row is judged by its own text in the task that reads it: rows that share an
+    id, or have none, go or stay one by one, and nothing is shuffled.
     """
-    found = contamination(docs, items, id_col=id_col, **options).select(id_col).distinct()
-    bad = found.select(F.col(id_col).alias("_bad"))
-    return docs.join(bad, docs[id_col].eqNullSafe(F.col("_bad")), "left_anti")
+    index = _shared_benchmark(items, item_col, item_text, percent)
+    at = docs.columns.index(text_col)
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bench = index.value
+        for batch in batches:
+            stays = np.ones(batch.num_rows, dtype=bool)
+            if bench.words:
+                for part in slices(batch.column(at)):
+                    stays[[part.lo + row for row, _ in bench.matches(part)]] = False
+            yield batch.filter(pa.array(stays))
+
+    return docs.mapInArrow(clean, docs.schema)

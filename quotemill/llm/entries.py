@@ -12,11 +12,11 @@ from quotemill.llm.cgk_decontaminate import contamination
 from quotemill.llm.exact_whitening import whiten
 from quotemill.llm.language_hierarchy import identify, train_languages
 from quotemill.llm.multiprobe_lsh import nearest
-from quotemill.llm.pfair_mix import interleave
+from quotemill.llm.pfair_mix import TARGET_WEIGHTS, interleave
 from quotemill.llm.signature_tree_join import jaccard_groups
 from quotemill.llm.suffix_tree_lm import score_texts
 from quotemill.llm.token_transducer import count_tokens
-from quotemill.llm.toxicity_chain import label_categories, score_toxicity, train_chain
+from quotemill.llm.toxicity_chain import TOXIC, label_categories, score_toxicity, train_chain
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -40,7 +40,7 @@ def op2_multiprobe_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The place of every document in the mixture."""
     documents = _read(spark, sf_dir, "documents").select("doc_id", "source")
-    return interleave(documents, corpus_pipeline.TARGET_WEIGHTS)
+    return interleave(documents, TARGET_WEIGHTS)
 
 
 def op4_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +48,7 @@ def op4_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _read(spark, sf_dir, "documents").select("doc_id", "text")
     chain = train_chain(documents, _read(spark, sf_dir, "labels"), label_categories())
     scored = score_toxicity(documents, chain).drop("text")
-    return scored.withColumn("toxic", F.col("p_toxic") > corpus_pipeline.TOXIC)
+    return scored.withColumn("toxic", F.col("p_toxic") > TOXIC)
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

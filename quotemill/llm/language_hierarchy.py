@@ -174,23 +174,25 @@ class Languages:
 
 
 def train_languages(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS
+    docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS
 ) -> Languages:
     """Learned from a sample of the rows of ``docs`` with a language and a letter.
 
-    The share taken of a language is that which gives it its part of
-    ``sample_rows``, by a hash of the text and id; rare languages are taken whole.
+    Each text of a language is one candidate, however often it is repeated. The share
+    taken of a language is that which gives it its part of ``sample_rows``, by a hash
+    of the text; rare languages are taken whole. Shares are a literal of one number a
+    language, so no text is moved to look them up.
     """
-    told = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = told.groupBy(lang_col).count()
-    n = counts.count()
+    digest = F.xxhash64(F.col(text_col))
+    told = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(text_col, lang_col)
+    counts = told.select(lang_col, digest.alias("_h")).distinct().groupBy(lang_col).count().collect()
+    n = len(counts)
     if not n:
         return Languages(np.zeros((0, DIM)), [])
-    share = counts.select(
-        F.col(lang_col).alias("_lang"), (F.lit(sample_rows / n) / F.col("count")).alias("_share")
-    )
-    draw = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = told.join(share, F.col(lang_col) == F.col("_lang")).where(draw < F.col("_share"))
+    shares = F.create_map(*[F.lit(v) for row in counts for v in (row[lang_col], sample_rows / n / row["count"])])
+    draw = F.pmod(digest, F.lit(1 << 30)) / F.lit(float(1 << 30))
+    drawn = told.where(draw < F.element_at(shares, F.col(lang_col)))
+    sample = drawn.withColumn("_h", digest).dropDuplicates([lang_col, "_h"])
 
     def profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

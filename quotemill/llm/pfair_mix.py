@@ -25,6 +25,8 @@ from quotemill.llm.store import Store
 
 BLOCK_ROWS = 64
 DEFAULT_WEIGHT = 1
+# Target weights of the sources in the query and the pipeline; those not named have DEFAULT_WEIGHT.
+TARGET_WEIGHTS = {"src0": 4, "src1": 2, "src2": 2}
 #: Sources and the sum of their weights, at most: the schedule of one period is made by the driver.
 MOST_SLOTS = 100_000
 _BUCKET_ROWS = 2000
@@ -105,55 +107,55 @@ def interleave(
     columns = df.columns
     source = F.col(source_col).cast("string")
     # A source key that is never null, for joins.
-    keyed = df.withColumn("_s", F.coalesce(F.concat(F.lit("="), source), F.lit("")))
-    counts = keyed.groupBy("_s").agg(F.count("*").alias("n")).orderBy("_s").limit(MOST_SLOTS + 1).collect()
+    keyed = df.withColumn("__mix_s", F.coalesce(F.concat(F.lit("="), source), F.lit("")))
+    counts = keyed.groupBy("__mix_s").agg(F.count("*").alias("n")).orderBy("__mix_s").limit(MOST_SLOTS + 1).collect()
     given = {"" if s is None else f"={s}": int(w) for s, w in weights.items()}
-    weight = {k: given.get(r["_s"], DEFAULT_WEIGHT) for k, r in enumerate(counts)}
+    weight = {k: given.get(r["__mix_s"], DEFAULT_WEIGHT) for k, r in enumerate(counts)}
     if sum(weight.values()) > MOST_SLOTS:
         raise ValueError(f"the weights of all sources sum to more than {MOST_SLOTS}")
     blocks = {k: -(-r["n"] // block_rows) for k, r in enumerate(counts)}
-    plan = [(counts[s]["_s"], *rest) for s, *rest in phases(weight, blocks)]
+    plan = [(counts[s]["__mix_s"], *rest) for s, *rest in phases(weight, blocks)]
     plan_df = spark.createDataFrame(
-        plan, "_ps string, _first long, _n long, _start long, _period long, _slots array<long>"
+        plan, "__mix_ps string, __mix_first long, __mix_n long, __mix_start long, __mix_period long, __mix_slots array<long>"
     )
     sizes = spark.createDataFrame(
-        [(r["_s"], -(-r["n"] // _BUCKET_ROWS)) for r in counts], "_bs string, _buckets long"
+        [(r["__mix_s"], -(-r["n"] // _BUCKET_ROWS)) for r in counts], "__mix_bs string, __mix_buckets long"
     )
     # Both tables have at most MOST_SLOTS entries.
     mark = F.xxhash64(id_col)
-    dealt = keyed.join(F.broadcast(sizes), F.col("_s") == F.col("_bs")).withColumns(
-        {"_h": mark, "_bucket": F.pmod(F.xxhash64(mark, F.lit(1)), "_buckets")}
+    dealt = keyed.join(F.broadcast(sizes), F.col("__mix_s") == F.col("__mix_bs")).withColumns(
+        {"__mix_h": mark, "__mix_bucket": F.pmod(F.xxhash64(mark, F.lit(1)), "__mix_buckets")}
     )
     whole = F.xxhash64(*[F.col(c) for c in columns])
-    local = Window.partitionBy("_s", "_bucket").orderBy("_h", id_col, whole)
-    per_bucket = store.put(dealt.groupBy("_s", "_bucket").agg(F.count("*").alias("_c")), "buckets")
+    local = Window.partitionBy("__mix_s", "__mix_bucket").orderBy("__mix_h", id_col, whole)
+    per_bucket = store.put(dealt.groupBy("__mix_s", "__mix_bucket").agg(F.count("*").alias("__mix_c")), "buckets")
     # Numbers of earlier buckets of the source, added up in two steps: within a thousand, and over thousands.
-    per_bucket = per_bucket.withColumn("_k", F.floor(F.col("_bucket") / 1000))
-    thousands = per_bucket.groupBy("_s", "_k").agg(F.sum("_c").alias("_tc"))
-    before = Window.orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
+    per_bucket = per_bucket.withColumn("__mix_k", F.floor(F.col("__mix_bucket") / 1000))
+    thousands = per_bucket.groupBy("__mix_s", "__mix_k").agg(F.sum("__mix_c").alias("__mix_tc"))
+    before = Window.orderBy("__mix_k").rowsBetween(Window.unboundedPreceding, -1)
     thousands = thousands.withColumn(
-        "_base", F.coalesce(F.sum("_tc").over(before.partitionBy("_s")), F.lit(0))
-    ).select(F.col("_s").alias("_ts"), F.col("_k").alias("_tk"), "_base")
-    within = Window.partitionBy("_s", "_k").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.withColumn("_o", F.coalesce(F.sum("_c").over(within), F.lit(0)))
-    offsets = offsets.join(thousands, (F.col("_s") == F.col("_ts")) & (F.col("_k") == F.col("_tk"))).select(
-        F.col("_s").alias("_os"), F.col("_bucket").alias("_ob"), (F.col("_o") + F.col("_base")).alias("_offset")
+        "__mix_base", F.coalesce(F.sum("__mix_tc").over(before.partitionBy("__mix_s")), F.lit(0))
+    ).select(F.col("__mix_s").alias("__mix_ts"), F.col("__mix_k").alias("__mix_tk"), "__mix_base")
+    within = Window.partitionBy("__mix_s", "__mix_k").orderBy("__mix_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_bucket.withColumn("__mix_o", F.coalesce(F.sum("__mix_c").over(within), F.lit(0)))
+    offsets = offsets.join(thousands, (F.col("__mix_s") == F.col("__mix_ts")) & (F.col("__mix_k") == F.col("__mix_tk"))).select(
+        F.col("__mix_s").alias("__mix_os"), F.col("__mix_bucket").alias("__mix_ob"), (F.col("__mix_o") + F.col("__mix_base")).alias("__mix_offset")
     )
-    numbered = dealt.withColumn("_row", F.row_number().over(local) - 1)
+    numbered = dealt.withColumn("__mix_row", F.row_number().over(local) - 1)
     numbered = numbered.join(
-        offsets, (F.col("_s") == F.col("_os")) & (F.col("_bucket") == F.col("_ob"))
-    ).withColumn("_row", F.col("_row") + F.col("_offset"))
-    placed = numbered.withColumn("block", F.floor(F.col("_row") / block_rows)).join(
+        offsets, (F.col("__mix_s") == F.col("__mix_os")) & (F.col("__mix_bucket") == F.col("__mix_ob"))
+    ).withColumn("__mix_row", F.col("__mix_row") + F.col("__mix_offset"))
+    placed = numbered.withColumn("block", F.floor(F.col("__mix_row") / block_rows)).join(
         F.broadcast(plan_df),
-        (F.col("_s") == F.col("_ps"))
-        & (F.col("block") >= F.col("_first"))
-        & (F.col("block") < F.col("_first") + F.col("_n")),
+        (F.col("__mix_s") == F.col("__mix_ps"))
+        & (F.col("block") >= F.col("__mix_first"))
+        & (F.col("block") < F.col("__mix_first") + F.col("__mix_n")),
     )
-    own = F.size("_slots")
-    place = F.col("block") - F.col("_first")
-    slot = F.col("_start") + F.floor(place / own) * F.col("_period") + F.element_at(
-        "_slots", (place % own + 1).cast("int")
+    own = F.size("__mix_slots")
+    place = F.col("block") - F.col("__mix_first")
+    slot = F.col("__mix_start") + F.floor(place / own) * F.col("__mix_period") + F.element_at(
+        "__mix_slots", (place % own + 1).cast("int")
     )
     return placed.withColumn("slot", slot).select(
-        *columns, "block", "slot", (F.col("slot") * block_rows + F.col("_row") % block_rows).alias("position")
+        *columns, "block", "slot", (F.col("slot") * block_rows + F.col("__mix_row") % block_rows).alias("position")
     )

@@ -22,6 +22,8 @@ from pyspark.sql import types as T
 from quotemill.llm.linear import Rows, fit, sigmoid
 from quotemill.llm.words import NO_LETTER, slices, stems
 
+# A document is toxic above this probability.
+TOXIC = 0.5
 # Labelled rows to learn from: at most so many of either value of the last category.
 SAMPLE_ROWS = 6000
 # Words that the models may use: the most telling of the sample, with at least this chi-square and,
