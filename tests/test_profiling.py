@@ -84,9 +84,11 @@ def test_constraint_report(spark):
         "date not null": 2,
         "source not null": 1,
         "source length": 1,
+        "value_buy nan": 0,
         "value_buy overflow": 1,
         "value_sell not null": 1,
         "value_sell positive": 2,
+        "value_sell nan": 0,
         "value_sell overflow": 1,
         "unique (date, source)": 1,
     }
