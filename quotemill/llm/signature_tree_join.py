@@ -9,8 +9,9 @@ sizes. Two trees are descended together, and a pair of nodes is left as soon as
 the largest overlap their bitmaps and sizes allow is too small for a link.
 Pairs that remain are verified on the whole texts.
 
-At scale. Shingles that many documents hold come last in the order, so a common
-passage opens no large node; which they are is only a hint, never a filter. Top
+At scale. Shingles that many documents hold come last in the order, the most
+frequent at the end, so a common passage opens no large node; how frequent they
+are is only a hint for the order, never a filter. Top
 nodes with the same members are descended once; larger ones are cut into
 blocks, whose pairs are spread over tasks. There are three descents. The first
 takes each class in its largest node only and tries the likeliest neighbour of
@@ -22,8 +23,10 @@ compared pair by pair.
 Little is shuffled for a member. A pair meets in its first common shingle, which
 is early in the order of the smaller set, so a top node that is late for all of
 its members is left out. Later descents take a member only where another group
-has a set of like size in the same node. Bitmaps have two to four bits per token;
+has a set of like size in the same node. Bitmaps have one or two bits per token;
 a second map of their parities tells single sets apart as well as a far wider one.
+Shingles are counted before they are joined with their nodes, and only those that
+two classes share carry more than their count.
 """
 
 from __future__ import annotations
@@ -44,15 +47,17 @@ from quotemill.llm.words import mix, shingle_sets, slices
 LEAF, FAN = 16, 8
 # Classes of one block of a top node.
 BLOCK = 4096
-# Shingles put last in the order, at most: those in a share of 1/HOT_LIMIT of all.
+# Shingles put last in the order, at most; each occurs HOT_LEAST times or more.
 HOT_LIMIT = 1 << 20
-HOT_LEAST = 32
+HOT_LEAST = 8
+# Shingles that a task counts at once, and how often it must see one to report it.
 _COUNTED = 1 << 22
+_REPORTED = 3
 _PAIRS = 1 << 15
 
 
-def hot_shingles(store: Store, docs: DataFrame, text: str, size: int) -> np.ndarray:
-    """Shingles that many documents share, sorted; at most HOT_LIMIT.
+def hot_shingles(store: Store, docs: DataFrame, text: str, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that many documents share, sorted, at most HOT_LIMIT; and the binary logarithms of their counts.
 
     Tasks report what repeats among their own rows, with counts, and sums of
     those decide. A shingle that is missed only makes a top node larger.
@@ -60,15 +65,10 @@ def hot_shingles(store: Store, docs: DataFrame, text: str, size: int) -> np.ndar
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def summed(held: list[np.ndarray]) -> pa.RecordBatch:
-            tokens = np.concatenate(held) if held else np.zeros(0, dtype=np.uint64)
-            values, n = np.unique(tokens, return_counts=True)
-            often = n >= 4
-            values = np.append(values[often].view(np.int64), 0)
-            n = np.append(n[often], 0)
-            total = np.zeros(len(n), dtype=np.int64)
-            total[-1] = len(tokens)
+            values, n = np.unique(np.concatenate(held), return_counts=True)
+            often = n >= _REPORTED
             return pa.RecordBatch.from_arrays(
-                [pa.array(values), pa.array(n.astype(np.int64)), pa.array(total)], names=["token", "n", "total"]
+                [pa.array(values[often].view(np.int64)), pa.array(n[often].astype(np.int64))], names=["token", "n"]
             )
 
         held, rows = [], 0
@@ -80,21 +80,29 @@ def hot_shingles(store: Store, docs: DataFrame, text: str, size: int) -> np.ndar
                 if rows >= _COUNTED:
                     yield summed(held)
                     held, rows = [], 0
-        yield summed(held)
-
-    seen = docs.select(text).mapInArrow(counted, "token long, n long, total long")
-    sums = seen.groupBy("token").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
-    sums = store.put(sums.where((F.col("n") >= HOT_LEAST) | (F.col("total") > 0)), "often")
-    total = sums.agg(F.sum("total")).first()[0] or 0
-    least = max(HOT_LEAST, -(-total // HOT_LIMIT))
-    table = sums.where(F.col("n") >= least).select("token").toArrow()
-    return np.sort(table["token"].to_numpy().astype(np.int64).view(np.uint64))
+        if held:
+            yield summed(held)
+
+    seen = docs.select(text).mapInArrow(counted, "token long, n long")
+    sums = seen.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= HOT_LEAST)
+    sums = store.put(sums.select("token", F.floor(F.log2("n")).cast("int").alias("level")), "often")
+    # The levels from the top of which no more than HOT_LIMIT shingles are.
+    total, least = 0, 64
+    for level, n in sorted(sums.groupBy("level").count().collect(), reverse=True):
+        total += n
+        if total > HOT_LIMIT:
+            break
+        least = level
+    table = sums.where(F.col("level") >= least).toArrow()
+    tokens = table["token"].to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(tokens)
+    return tokens[order], table["level"].to_numpy().astype(np.int8)[order]
 
 
 def _bitmap(tokens: np.ndarray) -> bytes:
-    """Token bitmap of two to four bits per token, then as wide a map of the parity of each bit's tokens."""
+    """Token bitmap of one or two bits per token, then as wide a map of the parity of each bit's tokens."""
     width = 64
-    while width < 2 * len(tokens):
+    while width < len(tokens):
         width *= 2
     count = np.bincount((mix(tokens) & np.uint64(width - 1)).astype(np.int64), minlength=width)
     return b"".join(np.packbits(bits, bitorder="little").tobytes() for bits in (count > 0, count % 2 == 1))
@@ -114,7 +122,7 @@ def _fold_parity(bits: np.ndarray) -> np.ndarray:
     return bits[:, :half] ^ bits[:, half:]
 
 
-def _features(size: int, percent: int, hot: np.ndarray):
+def _features(size: int, percent: int, hot: np.ndarray, levels: np.ndarray):
     schema = pa.schema(
         [
             ("doc", pa.int64()),
@@ -143,8 +151,8 @@ def _features(size: int, percent: int, hot: np.ndarray):
                     if len(hot):
                         at = np.searchsorted(hot, tokens)
                         at[at == len(hot)] = 0
-                        late = hot[at] == tokens
-                        tokens = np.concatenate([tokens[~late], tokens[late]])
+                        level = np.where(hot[at] == tokens, levels[at], 0)
+                        tokens = tokens[np.argsort(level, kind="stable")]
                     kept = n - -(-percent * n // 100) + 1 if n else 0
                     out["prefix"].append(tokens[:kept].view(np.int64))
                     out["bits"].append(_bitmap(tokens))
@@ -407,14 +415,16 @@ def jaccard_groups(
     hot = spark.sparkContext.broadcast(hot_shingles(store, docs, "text", size))
 
     def features(batches):
-        return _features(size, percent, hot.value)(batches)
+        return _features(size, percent, *hot.value)(batches)
 
     rows = store.put(
         docs.mapInArrow(features, "doc long, n long, digest binary, cid long, prefix array<long>, bits binary"), "rows"
     )
-    reps = rows.where("n > 0 and doc is not null").groupBy("digest").agg(F.min("doc").alias("doc"))
-    detail = rows.select("digest", "doc", "cid", "n", "prefix", "bits")
-    classes = store.put(reps.join(detail, ["digest", "doc"]).dropDuplicates(["digest"]), "classes")
+    # Copies combine on the map side, so each class is shuffled about once.
+    detail = F.struct("doc", "cid", "n", "prefix", "bits")
+    classes = rows.where("n > 0 and doc is not null").groupBy("digest").agg(F.min(detail).alias("_m"))
+    classes = store.put(classes.select("digest", "_m.*"), "classes")
+    reps = classes.select("digest", "doc")
 
     # Linked sets overlap by so much of the smaller one that their first common shingle is early in it.
     late = F.expr(f"_p > n - ({2 * percent} * n + {99 + percent}) div {100 + percent}")
@@ -422,17 +432,15 @@ def jaccard_groups(
     band = F.floor(F.log("n") / -math.log(0.99 * percent / 100)).cast("int")
     tokens = classes.select(F.posexplode("prefix").alias("_p", "token"), "cid", "n")
     tokens = tokens.select("token", "cid", band.alias("band"), late.alias("late"))
-    postings = tokens.groupBy("token").agg(
-        F.count("*").alias("members"),
-        F.bit_xor("cid").alias("_x"),
-        F.bit_xor(F.xxhash64("cid", F.lit(1))).alias("_y"),
-        F.bool_and("late").alias("late"),
-    )
-    nodes = postings.where("members > 1").groupBy("members", "_x", "_y")
-    nodes = nodes.agg(F.min("token").alias("token"), F.bool_and("late").alias("late")).where("not late")
-    members = store.put(
-        tokens.drop("late").join(nodes.select("token", "members"), "token"), "members"
+    # Most shingles are in one class only: counts come first, and only shared ones are told apart by their members.
+    counts = tokens.groupBy("token").agg(F.count("*").alias("members"), F.bool_and("late").alias("late"))
+    counts = counts.where("members > 1 and not late").select("token", "members")
+    shared = store.put(tokens.drop("late").join(counts, "token"), "shared")
+    postings = shared.groupBy("token", "members").agg(
+        F.bit_xor("cid").alias("_x"), F.bit_xor(F.xxhash64("cid", F.lit(1))).alias("_y")
     )
+    nodes = postings.groupBy("members", "_x", "_y").agg(F.min("token").alias("token"))
+    members = store.put(shared.join(nodes.select("token"), "token", "left_semi"), "members")
     carried = classes.select("cid", "doc", "n", "bits")
 
     def descent(rows: DataFrame, near: bool = False, likeliest: bool = False) -> DataFrame:
