@@ -23,8 +23,10 @@ compared pair by pair.
 Little is shuffled for a member. A pair meets in its first common shingle, which
 is early in the order of the smaller set, so a top node that is late for all of
 its members is left out. Later descents take a member only where another group
-has a set of like size in the same node. Bitmaps have one or two bits per token;
-a second map of their parities tells single sets apart as well as a far wider one.
+has a set of like size in the same node, and leave out a pair that has met in
+another node, as a member names the first nodes it belongs to. Bitmaps have one or
+two bits per token; a second map, twice as wide, of their parities tells single
+sets apart as well as a far wider one.
 Shingles are counted before they are joined with their nodes, and only those that
 two classes share carry more than their count.
 """
@@ -52,6 +54,11 @@ HOT_LIMIT = 1 << 20
 HOT_LEAST = 8
 # Shingles that a task counts at once, and how often it must see one to report it.
 _COUNTED = 1 << 22
+# Top nodes that a member names, the first by token, and what stands for none.
+HEADS = 4
+_NO_HEAD = (1 << 63) - 1
+# Bits of the narrowest bitmap.
+_LEAST_WIDTH = 256
 _REPORTED = 3
 _PAIRS = 1 << 15
 
@@ -100,12 +107,14 @@ def hot_shingles(store: Store, docs: DataFrame, text: str, size: int) -> tuple[n
 
 
 def _bitmap(tokens: np.ndarray) -> bytes:
-    """Token bitmap of one or two bits per token, then as wide a map of the parity of each bit's tokens."""
-    width = 64
+    """Token bitmap of one or two bits per token, then a map, twice as wide, of the parity of each bit's tokens."""
+    width = _LEAST_WIDTH
     while width < len(tokens):
         width *= 2
-    count = np.bincount((mix(tokens) & np.uint64(width - 1)).astype(np.int64), minlength=width)
-    return b"".join(np.packbits(bits, bitorder="little").tobytes() for bits in (count > 0, count % 2 == 1))
+    mixed = mix(tokens)
+    wide = np.bincount((mixed & np.uint64(2 * width - 1)).astype(np.int64), minlength=2 * width)
+    narrow = wide[:width] + wide[width:]
+    return b"".join(np.packbits(bits, bitorder="little").tobytes() for bits in (narrow > 0, wide % 2 == 1))
 
 
 def _cid(digest: bytes) -> int:
@@ -248,7 +257,8 @@ def _members(table: pa.Table) -> list[dict]:
         at = np.flatnonzero(widths == width)
         at = at[np.argsort(sizes[at], kind="stable")]
         data = b"".join(table["bits"].take(pa.array(at)).to_pylist())
-        bits, parity = np.hsplit(np.frombuffer(data, dtype=np.uint64).reshape(len(at), -1), 2)
+        both = np.frombuffer(data, dtype=np.uint64).reshape(len(at), -1)
+        bits, parity = np.hsplit(both, [both.shape[1] // 3])
         out.append({"at": at, "width": int(width), "bits": bits, "parity": parity, "n": sizes[at]})
     return out
 
@@ -268,10 +278,22 @@ def _likeliest(left, right, overlap, group):
     return left[new], right[new], overlap[new]
 
 
+def _met_before(heads: np.ndarray, token: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which pairs both name a node before this one. There they are a pair, too, whatever the descent."""
+    found = np.zeros(len(left), dtype=bool)
+    for x in range(HEADS):
+        mine = heads[left, x]
+        for y in range(HEADS):
+            found |= (mine == heads[right, y]) & (mine < token)
+    return found
+
+
 def _bucket_pairs(table: pa.Table, percent: int, near: bool, likeliest: bool):
     """Positions of the member pairs of one block pair that may be links."""
     group = table["grp"].to_numpy()
     side = table["side"].to_numpy()
+    heads = table["heads"].combine_chunks().flatten().to_numpy().reshape(-1, HEADS)
+    token = table["token"][0].as_py()
     whole = not side.any()
     members = _members(table)
     for k, m in enumerate(members):
@@ -310,6 +332,8 @@ def _bucket_pairs(table: pa.Table, percent: int, near: bool, likeliest: bool):
                     for i, j, overlap in _descend(a, b, same, percent, near and same):
                         left = at_a[order][i] if same else at_a[i]
                         right = at_b[order][j] if same else at_b[j]
+                        new = ~_met_before(heads, token, left, right)
+                        left, right, overlap = left[new], right[new], overlap[new]
                         if not likeliest:
                             yield left, right
                             continue
@@ -445,7 +469,7 @@ def jaccard_groups(
 
     def descent(rows: DataFrame, near: bool = False, likeliest: bool = False) -> DataFrame:
         keys = ["token", "x", "y"]
-        dealt = _spread(rows, near).select(*keys, "side", "doc", "cid", "n", "bits", "grp")
+        dealt = _spread(rows, near).select(*keys, "side", "doc", "cid", "n", "bits", "grp", "heads")
         parted = dealt.repartition(*keys).sortWithinPartitions(*keys)
         found = parted.mapInArrow(
             _candidates(percent, near, likeliest), "doc_a long, cid_a long, doc_b long, cid_b long"
@@ -456,7 +480,7 @@ def jaccard_groups(
     def still_open(groups: DataFrame) -> DataFrame:
         """Members, with their groups, that have another group's member of like size in their top node."""
         own = carried.select("cid", "doc").join(groups, F.col("doc") == F.col("node"), "left")
-        own = own.select("cid", F.coalesce("component", "doc").alias("grp"))
+        own = own.select("cid", F.coalesce("component", "doc").alias("grp")).join(named.select("cid", "heads"), "cid")
         placed = store.put(members.join(own, "cid"), "placed")
         ends = [F.min("grp").alias("_l"), F.max("grp").alias("_h")]
         bands = placed.groupBy("token", "band").agg(*ends)
@@ -465,18 +489,23 @@ def jaccard_groups(
         apart = around.agg(F.min("_l").alias("_l"), F.max("_h").alias("_h")).where("_l <> _h")
         return placed.join(apart.select("token", "band"), ["token", "band"]).join(carried, "cid")
 
-    first = members.groupBy("cid").agg(F.max(F.struct("members", "token")).alias("_m"))
-    first = first.select("cid", "_m.members", "_m.token").join(carried, "cid").withColumn("grp", F.col("doc"))
+    none = F.array(*[F.lit(_NO_HEAD)] * HEADS)
+    named = members.groupBy("cid").agg(
+        F.max(F.struct("members", "token")).alias("_m"), F.sort_array(F.collect_set("token")).alias("_t")
+    )
+    named = store.put(named.select("cid", "_m.*", F.slice(F.concat("_t", none), 1, HEADS).alias("heads")), "named")
+    first = named.select("cid", "members", "token", none.alias("heads")).join(carried, "cid")
+    first = first.withColumn("grp", F.col("doc"))
     links = descent(first, near=True, likeliest=True)
     links = links.union(descent(still_open(components(store, links)), likeliest=True))
     links = links.union(descent(still_open(components(store, links))))
     final = store.put(components(store, links), "groups")
 
-    named = (
+    grouped = (
         reps.join(final, F.col("doc") == F.col("node"), "left")
         .select(F.col("digest"), F.coalesce("component", "doc").alias("_c"))
     )
-    return rows.select("doc", "n", "digest").join(named, "digest", "left").select(
+    return rows.select("doc", "n", "digest").join(grouped, "digest", "left").select(
         F.col("doc").alias(id_col),
         F.col("n").alias("n_shingles"),
         F.when(F.col("doc").isNotNull(), F.coalesce("_c", "doc")).alias("component_id"),
