@@ -1,22 +1,34 @@
 """Word language model: a probabilistic suffix tree, learned and applied as Spark jobs.
 
-Method. States are contexts of at most two words. A context is a candidate if
-its probability and that of what follows it reach ``p_min``, and it is retained
-if its next-word distribution diverges from that of its suffix by at least
-``divergence`` nats (with a retained context its suffixes stay, too). A state
-gives a next word seen often after it its relative frequency, and shares out
-what is left, with ``kappa`` pseudo-counts, as its suffix does; at the root
-stands the add-one estimate of single words. Each distribution sums to one. A
-text is scored from the longest state that is a suffix of what was read.
-
-At scale. By the bound on probabilities a level has at most 1 / p_min entries
-at any size of the corpus, so these tables are broadcast, as are the counts of words
-above ``p_head``. Counts of all other words stay in a table, and the documents'
-rare words are joined with it. Each level is counted over the whole corpus.
+Method. States are contexts: the words before a token, as many as the tree asks
+for. A context is tried if its suffix (without its first word) is a state, and is
+a state if its next-word distribution diverges from that of its suffix by at
+least ``divergence`` nats. Of each next word's count a state gives one away; these
+and ``kappa`` pseudo-counts are shared out as its suffix does. At the root stands
+the add-one estimate of single words. Each distribution sums to one. A text is
+scored from the longest state that is a suffix of what was read.
+
+No count is too small and no context too long to be tried. A next word that was
+seen once has nothing left after the one given away, so its probability is just
+its share, and a context seen once is equal to its suffix, with a divergence of
+zero: leaving both out of the tables changes no result.
+
+At scale. Levels are counted in passes over the whole corpus, for contexts that
+extend a state, and tested by joins; after the third level a pass counts several. The
+logarithm of a probability is a sum: the root's, that of the share of every state
+on the way, and for every next word that is known there what it has above its
+share. So a text's score is a sum over the states and next words it holds, and
+they are joined with the table of these values. Words above ``p_head``, and states
+and next words above ``p_min``, of which a level has at most 1 / p_min, are broadcast
+and not joined; the result is the same at any bound. Bits of the other keys are
+broadcast to keep most absent ones out of the shuffle; a key let through by
+mistake finds nothing in the table.
 """
 
 from __future__ import annotations
 
+import contextlib
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,12 +37,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotemill.llm.store import Store
-from quotemill.llm.words import Slice, slices
+from quotemill.llm.words import Slice, mix, slices
 
 P_HEAD, P_MIN, DIVERGENCE, KAPPA = 1e-6, 1e-5, 0.01, 5.0
 # Stands for the end of a text; no word hashes to it but by chance.
 END = np.uint64(0x9E6C63D0676A9A99)
 _COUNTED = 1 << 22
+_MOST_BITS = 1 << 27
+_CONTEXT, _NEXT = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
 
 def _tokens(part: Slice) -> tuple[np.ndarray, np.ndarray]:
@@ -83,7 +97,7 @@ def _counted(docs: DataFrame, keys_of) -> DataFrame:
 
 
 class Tree:
-    """The broadcast part of the model: frequent words, states and their next words."""
+    """Frequent words with their root probabilities; also a tree of two levels over them, in memory."""
 
     def __init__(self, heads: np.ndarray, counts: np.ndarray, total: int, distinct: int, p_min: float):
         order = np.argsort(heads)
@@ -100,6 +114,7 @@ class Tree:
         self.f2 = np.zeros(0)
         self.kept1 = np.zeros(len(self.heads), dtype=bool)
         self.kept2 = np.zeros(0, dtype=bool)
+        self.depth, self.bound, self.values, self.others = 0, np.zeros(0, dtype=np.uint64), np.zeros(0), None
 
     def ids(self, tokens: np.ndarray) -> np.ndarray:
         return _find(self.heads, tokens)
@@ -197,126 +212,349 @@ class Tree:
         return root, score
 
 
+    def parts(self, tokens: np.ndarray, ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of each token, log10 of its root probability and of what the broadcast states make of it; and the
+        places and keys of words, states and next words that may stand in the tables. A word that is no head
+        has the root probability of an unknown one here."""
+        unknown = -np.log10(self.total + self.distinct + 1)
+        root = np.full(len(tokens), unknown)
+        root[ids >= 0] = np.log10(self.root[ids[ids >= 0]])
+        more = np.zeros(len(tokens))
+        rare = np.flatnonzero(ids < 0)
+        places, keys = [rare], [tokens[rare]]
+        age = np.arange(len(tokens)) - np.repeat(first[:-1], np.diff(first))
+        at, context = np.arange(len(tokens)), np.zeros(len(tokens), dtype=np.uint64)
+        known = np.ones(len(tokens), dtype=bool)
+
+        def looked_up(at: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+            own = _find(self.bound, wanted)
+            near = own >= 0
+            more[at[near]] += self.values[own[near]]
+            far = ~near & self.others(wanted)
+            places.append(at[far])
+            keys.append(wanted[far])
+            return near | far
+
+        for k in range(1, self.depth + 1):
+            usable = age[at] >= k
+            at, context = at[usable], context[usable]
+            context = _longer(context, tokens[at - k])
+            state = looked_up(at, context)
+            at, context = at[state], context[state]
+            if not len(at):
+                break
+            # Next words that are known after a context are known after its suffixes.
+            open_ = known[at]
+            known[at[open_]] = looked_up(at[open_], _next(context[open_], tokens[at[open_]]))
+        return root, more, np.concatenate(places), np.concatenate(keys)
+
+
 def _bounded(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     table = df.toArrow()
     return table["key"].to_numpy().astype(np.int64), table["n"].to_numpy().astype(np.int64)
 
 
-def score_texts(
-    docs: DataFrame,
-    held_out: F.Column,
-    *,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    p_head: float = P_HEAD,
-    p_min: float = P_MIN,
-    divergence: float = DIVERGENCE,
-    kappa: float = KAPPA,
-) -> DataFrame:
-    """Scores of all texts by a model learned from the rows that are not held out.
+class Bits:
+    """A set of keys by two bits each: all members are found, and some others."""
 
-    Returns id, held_out, n_tokens, n_known, train_tokens, base_score (add-one
-    estimate of single words) and score (the suffix tree), both log10. A null
-    text counts as empty, so it consists of the end alone; a null ``held_out``
-    counts as false. Every row is returned, also where ids and texts repeat or ids
-    are null. Without training rows every token is unknown. Extra columns are
-    ignored; an empty input gives no rows.
-    """
-    if not 0 < p_head <= p_min:
-        raise ValueError("p_head must be positive and not above p_min")
+    def __init__(self, keys: DataFrame, size: int):
+        self.width = min(_MOST_BITS, 1 << max(10, int(16 * size).bit_length()))
+        mask = F.lit(self.width - 1)
+        places = F.explode(F.array(F.col("key").bitwiseAND(mask), F.shiftrightunsigned("key", 32).bitwiseAND(mask)))
+        bits = (
+            keys.select(places.alias("at"))
+            .groupBy(F.shiftright("at", 6).alias("word"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits"))
+            .toArrow()
+        )
+        self.bits = np.zeros(self.width >> 6, dtype=np.uint64)
+        self.bits[bits["word"].to_numpy()] = bits["bits"].to_numpy().view(np.uint64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        found = np.ones(len(keys), dtype=bool)
+        for shift in (0, 32):
+            at = (keys >> np.uint64(shift)) & np.uint64(self.width - 1)
+            found &= (self.bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) != 0
+        return found
+
+
+def _longer(context: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return mix(context * _CONTEXT + words)
+
+
+def _next(context: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return mix(context * _NEXT + words)
+
+
+def _candidates(docs: DataFrame, levels: range, states: list, repeated: Bits | None) -> DataFrame:
+    """(level, key, ctx, up, n): counts of 2 or more of contexts and of their next words, where a context
+    extends one of ``states``. A context has its own key as ``ctx``; ``up`` of a next word is its key after the
+    context's suffix. ``repeated``, if given, holds the keys of the level before, to leave out contexts seen once."""
     spark = docs.sparkSession
-    store = Store(spark, "suffixes")
-    docs = docs.select(
-        F.col(id_col).alias("id"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-        F.coalesce(held_out, F.lit(False)).alias("held"),
+    shared = spark.sparkContext.broadcast((states, repeated))
+    names = ["level", "key", "ctx", "up", "n"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        states, repeated = shared.value
+        held = {k: [] for k in levels}
+        size = 0
+
+        def summed():
+            for k, parts in held.items():
+                if not parts:
+                    continue
+                keys, ctx, up = (np.concatenate(x) for x in zip(*parts, strict=True))
+                values, at, n = np.unique(keys, return_index=True, return_counts=True)
+                contexts, times = np.unique(ctx, return_counts=True)
+                columns = [
+                    np.concatenate([values, contexts]),
+                    np.concatenate([ctx[at], contexts]),
+                    np.concatenate([up[at], np.zeros_like(contexts)]),
+                ]
+                n = np.concatenate([n, times])
+                for a in range(0, len(n), 1 << 17):
+                    b = a + (1 << 17)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.full(len(n[a:b]), k, dtype=np.int32)),
+                            *[pa.array(c[a:b].view(np.int64)) for c in columns],
+                            pa.array(n[a:b]),
+                        ],
+                        names=names,
+                    )
+
+        for batch in batches:
+            for part in slices(batch.column(0)):
+                tokens, first = _tokens(part)
+                age = np.arange(len(tokens)) - np.repeat(first[:-1], np.diff(first))
+                at, context = np.arange(len(tokens)), np.zeros(len(tokens), dtype=np.uint64)
+                again = np.ones(len(tokens), dtype=bool)
+                for k in range(1, levels[-1] + 1):
+                    if k == levels[0] and repeated is not None:
+                        # A context was counted before, a token earlier, as a next word of its own first words.
+                        again[at] = repeated(_next(context, tokens[at]))
+                    usable = age[at] >= k
+                    at, context = at[usable], context[usable]
+                    if 1 < k <= levels[0]:
+                        usable = states[k - 2](context)
+                        if k == levels[0]:
+                            usable &= again[at - 1]
+                        at, context = at[usable], context[usable]
+                    suffix, context = context, _longer(context, tokens[at - k])
+                    if k >= levels[0] and len(at):
+                        up = _next(suffix, tokens[at]) if k > 1 else tokens[at]
+                        held[k].append((_next(context, tokens[at]), context, up))
+                        size += len(at)
+                if size >= _COUNTED // 2:
+                    yield from summed()
+                    held, size = {k: [] for k in levels}, 0
+        if size:
+            yield from summed()
+
+    rows = docs.mapInArrow(run, "level int, key long, ctx long, up long, n long")
+    counts = rows.groupBy("key").agg(
+        F.min("level").alias("level"), F.min("ctx").alias("ctx"), F.min("up").alias("up"), F.sum("n").alias("n")
     )
-    training = docs.where(~F.col("held")).select("text")
-    counts = store.put(_counted(training, lambda tokens, first: tokens), "words")
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    # At most 1 / p_head words reach this.
-    heads, n = _bounded(counts.where(F.col("n") >= F.lit(p_head * total)))
-    tree = Tree(heads.view(np.uint64), n, total, distinct, p_min)
+    return counts.where("n > 1")
 
-    shared = spark.sparkContext.broadcast(tree)
 
-    def pair_keys(tokens, first):
-        keys = shared.value.bigrams(shared.value.ids(tokens), first)
-        return keys[keys >= 0].view(np.uint64)
+@contextlib.contextmanager
+def _freed(spark):
+    """Within, a query's shuffle files are removed when it ends; its results are in the store by then."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
-    tree.grow_pairs(*_bounded(_counted(training, pair_keys).where(F.col("n") >= F.lit(tree.least))))
-    paired = spark.sparkContext.broadcast(tree)
 
-    def triple_keys(tokens, first):
-        ids = paired.value.ids(tokens)
-        keys = paired.value.trigrams(paired.value.bigrams(ids, first), ids, first)
-        return keys[keys >= 0].view(np.uint64)
+def _tested(store: Store, rows: DataFrame, above: DataFrame, divergence: float, kappa: float) -> DataFrame | None:
+    """The states of a level and what is known after them, or None: (key, is_state, value, logp, n).
 
-    triples = _bounded(_counted(training, triple_keys).where(F.col("n") >= F.lit(tree.least)))
-    tree.fit(*triples, divergence, kappa)
-    model = spark.sparkContext.broadcast(tree)
+    ``rows`` are counts of `_candidates`; ``above`` gives the log probability of next words after the suffixes,
+    as (up, logq). It lacks those of contexts that extend no state, so they go here.
+    """
+    e = rows.where("key != ctx").join(above, "up")
+    c = rows.where("key = ctx").select("ctx", F.col("n").alias("c"))
+    share = (F.col("c") - F.col("given") + kappa) / (F.col("c") + kappa)
+    shares = e.groupBy("ctx").agg(F.sum(F.col("n") - 1).alias("given")).join(c, "ctx")
+    e = e.join(shares.select("ctx", "c", share.alias("f")), "ctx")
+    p = (F.col("n") - 1) / (F.col("c") + kappa) + F.col("f") * F.exp("logq")
+    e = store.put(e.select("key", "ctx", "n", "c", "f", "logq", F.log(p).alias("logp")), "smoothed")
+    gained = F.sum(F.exp("logp") * (F.col("logp") - F.col("logq")))
+    left = F.greatest(F.lit(0.0), 1 - F.sum(F.exp("logq")))
+    states = (
+        e.groupBy("ctx", "c", "f")
+        .agg((gained + left * F.col("f") * F.log("f")).alias("d"))
+        .where(F.col("d") >= divergence)
+    )
+    states = store.put(states.select("ctx", "c", "f"), "states")
+    known = e.join(states.select("ctx"), "ctx", "left_semi")
+    ln10 = float(np.log(10))
+    level = states.select(
+        F.col("ctx").alias("key"), F.lit(True).alias("is_state"), (F.log("f") / ln10).alias("value"),
+        F.lit(None).cast("double").alias("logp"), F.col("c").alias("n"),
+    ).unionAll(
+        known.select("key", F.lit(False), (F.col("logp") - F.col("logq") - F.log("f")) / ln10, "logp", "n")
+    )
+    level = store.put(level, "level")
+    store.drop(e)
+    store.drop(states)
+    return level
+
+
+def _learned(
+    store: Store, training: DataFrame, counts: DataFrame, tree: Tree, divergence: float, kappa: float
+) -> DataFrame | None:
+    """All states of the tree and what is known after them, as of `_tested`, to any depth; None without states.
+
+    Sets what is broadcast of them: ``tree.bound`` and ``tree.values`` of those with ``tree.least`` or more
+    occurrences, ``tree.others``, the bits of the other keys.
+    """
+    found, bits, repeated = [], [], None
+    above = counts.select(F.col("key").alias("up"), F.log((F.col("n") + 1) / F.lit(float(tree.total + tree.distinct + 1))).alias("logq"))
+    first = 1
+    while first == 1 or len(bits) == first - 1:
+        # Three levels by themselves, then 4 to 7, 8 to 15, and so on.
+        levels = range(first, first + 1 if first < 4 else 2 * first)
+        rows = store.put(_candidates(training, levels, bits, repeated), "candidates")
+        for k in levels:
+            level = _tested(store, rows.where(F.col("level") == k), above, divergence, kappa)
+            states = level.where("is_state")
+            size = states.count()
+            if not size:
+                store.drop(level)
+                break
+            found.append(level)
+            bits.append(Bits(states, size))
+            above = level.where("not is_state").select(F.col("key").alias("up"), F.col("logp").alias("logq"))
+        first = levels[-1] + 1
+        if len(bits) == first - 1 and len(levels) == 1:
+            again = rows.where("key != ctx")
+            repeated = Bits(again, again.count())
+        else:
+            repeated = None
+        store.drop(rows)
+    tree.depth = len(found)
+    if not found:
+        return None
+    model = functools.reduce(DataFrame.unionAll, found)
+    frequent = model.where(F.col("n") >= F.lit(tree.least)).select("key", "value").orderBy("key").toArrow()
+    bound = frequent["key"].to_numpy().view(np.uint64)
+    order = np.argsort(bound)
+    tree.bound, tree.values = bound[order], frequent["value"].to_numpy()[order]
+    others = model.where(F.col("n") < F.lit(tree.least))
+    tree.others = Bits(others, others.count())
+    return model
+
+
+def _scored(docs: DataFrame, tree: Tree, model: DataFrame | None) -> DataFrame:
+    """Of each row the sums of what is broadcast, and the keys whose values are not, with how often it holds them."""
+    shared = docs.sparkSession.sparkContext.broadcast(tree)
     schema = pa.schema(
         [
             ("n_tokens", pa.int64()),
             ("known", pa.int64()),
             ("root", pa.float64()),
             ("score", pa.float64()),
-            ("words", pa.list_(pa.int64())),
+            ("keys", pa.list_(pa.int64())),
             ("times", pa.list_(pa.int32())),
         ]
     )
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = model.value
+        tree = shared.value
         for batch in batches:
             for part in slices(batch.column("text")):
                 tokens, first = _tokens(part)
                 ids = tree.ids(tokens)
-                root, score = tree.log_probabilities(ids, first)
-                words, times = [], []
-                for a, b in zip(first[:-1], first[1:], strict=True):
-                    rare = tokens[a:b][ids[a:b] < 0]
-                    values, n = np.unique(rare.view(np.int64), return_counts=True)
-                    words.append(values)
-                    times.append(n.astype(np.int32))
+                root, more, places, keys = tree.parts(tokens, ids, first)
+                row = np.repeat(np.arange(len(first) - 1), np.diff(first))[places]
+                order = np.lexsort((keys, row))
+                row, keys = row[order], keys[order]
+                opens = np.ones(len(row), dtype=bool)
+                opens[1:] = (row[1:] != row[:-1]) | (keys[1:] != keys[:-1])
+                begin = np.flatnonzero(opens)
+                times = np.diff(np.append(begin, len(row))).astype(np.int32)
+                bounds = pa.array(np.searchsorted(row[begin], np.arange(len(first))).astype(np.int32))
+                root = np.add.reduceat(root, first[:-1])
                 columns = [
                     pa.array(np.diff(first)),
                     pa.array(np.add.reduceat((ids >= 0).astype(np.int64), first[:-1])),
-                    pa.array(np.add.reduceat(root, first[:-1])),
-                    pa.array(np.add.reduceat(score, first[:-1])),
-                    pa.array(words, type=schema.field("words").type),
-                    pa.array(times, type=schema.field("times").type),
+                    pa.array(root),
+                    pa.array(root + np.add.reduceat(more, first[:-1])),
+                    pa.ListArray.from_arrays(bounds, pa.array(keys[begin].view(np.int64))),
+                    pa.ListArray.from_arrays(bounds, pa.array(times)),
                 ]
                 given = [batch.column(c).slice(part.lo, part.hi - part.lo) for c in ("id", "held", "mark")]
                 yield pa.RecordBatch.from_arrays([*given, *columns], names=["id", "held", "mark", *schema.names])
 
     id_type = docs.schema["id"].dataType.simpleString()
-    rows = store.put(
-        docs.withColumn("mark", F.xxhash64("text")).mapInArrow(
-            scored,
-            f"id {id_type}, held boolean, mark long, n_tokens long, known long, root double, score double, "
-            "words array<long>, times array<int>",
-        ),
-        "scored",
+    return docs.withColumn("mark", F.xxhash64("text")).mapInArrow(
+        scored,
+        f"id {id_type}, held boolean, mark long, n_tokens long, known long, root double, score double, "
+        "keys array<long>, times array<int>",
     )
-    rare = rows.select("id", "mark", F.explode(F.arrays_zip("words", "times")).alias("w"))
-    rare = rare.select("id", "mark", F.col("w.words").alias("key"), F.col("w.times").alias("times"))
-    c = F.coalesce("n", F.lit(0))
+
+
+def score_texts(
+    docs: DataFrame,
+    held_out: F.Column,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    p_head: float = P_HEAD,
+    p_min: float = P_MIN,
+    divergence: float = DIVERGENCE,
+    kappa: float = KAPPA,
+) -> DataFrame:
+    """Scores of all texts by a model learned from the rows that are not held out.
+
+    Returns id, held_out, n_tokens, n_known, train_tokens, base_score (add-one
+    estimate of single words) and score (the suffix tree), both log10. A null
+    text counts as empty, so it consists of the end alone; a null ``held_out``
+    counts as false. Every row is returned, also where ids and texts repeat or ids
+    are null. Without training rows every token is unknown. Extra columns are
+    ignored; an empty input gives no rows.
+    """
+    if not 0 < p_head <= p_min:
+        raise ValueError("p_head must be positive and not above p_min")
+    spark = docs.sparkSession
+    store = Store(spark, "suffixes")
+    docs = docs.select(
+        F.col(id_col).alias("id"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        F.coalesce(held_out, F.lit(False)).alias("held"),
+    )
+    training = docs.where(~F.col("held")).select("text")
+    with _freed(spark):
+        counts = store.put(_counted(training, lambda tokens, first: tokens), "words")
+        total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+        # At most 1 / p_head words reach this.
+        heads, n = _bounded(counts.where(F.col("n") >= F.lit(p_head * total)))
+        tree = Tree(heads.view(np.uint64), n, total, distinct, p_min)
+        model = _learned(store, training, counts, tree, divergence, kappa)
+        rows = store.put(_scored(docs, tree, model), "scored")
+    values = counts.select("key", F.log10(F.col("n") + 1).alias("root"), F.lit(1).alias("known"), F.lit(0.0).alias("more"))
+    if model is not None:
+        rest = model.where(F.col("n") < F.lit(tree.least))
+        values = values.unionAll(rest.select("key", F.lit(0.0), F.lit(0), F.col("value")))
+    parts = rows.select("id", "mark", F.explode(F.arrays_zip("keys", "times")).alias("w"))
+    parts = parts.select("id", "mark", F.col("w.keys").alias("key"), F.col("w.times").alias("times"))
     sums = (
-        rare.join(counts, "key", "left")
+        parts.join(values, "key")
         .groupBy("id", "mark")
-        .agg(
-            F.sum(F.col("times") * F.log10((c + 1) / F.lit(float(total + distinct + 1)))).alias("_root"),
-            F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("_known"),
-        )
-        .select(F.col("id").alias("_id"), F.col("mark").alias("_mark"), "_root", "_known")
+        .agg(*[F.sum(F.col("times") * F.col(c)).alias(f"_{c}") for c in ("root", "known", "more")])
+        .select(F.col("id").alias("_id"), F.col("mark").alias("_mark"), "_root", "_known", "_more")
     )
     once = rows.groupBy("id", "mark").agg(
         F.count("*").alias("copies"),
         *[F.first(x).alias(x) for x in ("held", "n_tokens", "known", "root", "score")],
     )
     joined = once.join(sums, F.col("id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")), "left")
-    more = F.coalesce(F.col("_root") / F.col("copies"), F.lit(0.0))
+    root, more = (F.coalesce(F.col(c) / F.col("copies"), F.lit(0.0)) for c in ("_root", "_more"))
     # A row for each copy, made in two steps so that no array is long.
     thousands = F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / 1000))
     within = F.sequence(F.lit(1), F.least(F.lit(1000), F.col("copies") - 1000 * F.col("_k")).cast("int"))
@@ -327,6 +565,6 @@ def score_texts(
         "n_tokens",
         (F.col("known") + F.coalesce((F.col("_known") / F.col("copies")).cast("long"), F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("root") + more).alias("base_score"),
-        (F.col("score") + more).alias("score"),
+        (F.col("root") + root).alias("base_score"),
+        (F.col("score") + root + more).alias("score"),
     )
