@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotemill.llm.store import Store
@@ -44,7 +44,7 @@ P_HEAD, P_MIN, DIVERGENCE, KAPPA = 1e-6, 1e-5, 0.01, 5.0
 END = np.uint64(0x9E6C63D0676A9A99)
 _COUNTED = 1 << 22
 _MOST_BITS = 1 << 27
-_CONTEXT, _NEXT = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
+_CONTEXT = np.uint64(0xD6E8FEB86659FD93)
 
 
 def _tokens(part: Slice) -> tuple[np.ndarray, np.ndarray]:
@@ -114,7 +114,6 @@ class Tree:
         self.f2 = np.zeros(0)
         self.kept1 = np.zeros(len(self.heads), dtype=bool)
         self.kept2 = np.zeros(0, dtype=bool)
-        self.depth, self.bound, self.values, self.others = 0, np.zeros(0, dtype=np.uint64), np.zeros(0), None
 
     def ids(self, tokens: np.ndarray) -> np.ndarray:
         return _find(self.heads, tokens)
@@ -212,43 +211,6 @@ class Tree:
         return root, score
 
 
-    def parts(self, tokens: np.ndarray, ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Of each token, log10 of its root probability and of what the broadcast states make of it; and the
-        places and keys of words, states and next words that may stand in the tables. A word that is no head
-        has the root probability of an unknown one here."""
-        unknown = -np.log10(self.total + self.distinct + 1)
-        root = np.full(len(tokens), unknown)
-        root[ids >= 0] = np.log10(self.root[ids[ids >= 0]])
-        more = np.zeros(len(tokens))
-        rare = np.flatnonzero(ids < 0)
-        places, keys = [rare], [tokens[rare]]
-        age = np.arange(len(tokens)) - np.repeat(first[:-1], np.diff(first))
-        at, context = np.arange(len(tokens)), np.zeros(len(tokens), dtype=np.uint64)
-        known = np.ones(len(tokens), dtype=bool)
-
-        def looked_up(at: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-            own = _find(self.bound, wanted)
-            near = own >= 0
-            more[at[near]] += self.values[own[near]]
-            far = ~near & self.others(wanted)
-            places.append(at[far])
-            keys.append(wanted[far])
-            return near | far
-
-        for k in range(1, self.depth + 1):
-            usable = age[at] >= k
-            at, context = at[usable], context[usable]
-            context = _longer(context, tokens[at - k])
-            state = looked_up(at, context)
-            at, context = at[state], context[state]
-            if not len(at):
-                break
-            # Next words that are known after a context are known after its suffixes.
-            open_ = known[at]
-            known[at[open_]] = looked_up(at[open_], _next(context[open_], tokens[at[open_]]))
-        return root, more, np.concatenate(places), np.concatenate(keys)
-
-
 def _bounded(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     table = df.toArrow()
     return table["key"].to_numpy().astype(np.int64), table["n"].to_numpy().astype(np.int64)
@@ -267,14 +229,15 @@ class Bits:
             .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits"))
             .toArrow()
         )
-        self.bits = np.zeros(self.width >> 6, dtype=np.uint64)
-        self.bits[bits["word"].to_numpy()] = bits["bits"].to_numpy().view(np.uint64)
+        words = np.zeros(self.width >> 6, dtype=np.uint64)
+        words[bits["word"].to_numpy()] = bits["bits"].to_numpy().view(np.uint64)
+        self.shared = keys.sparkSession.sparkContext.broadcast(words)
 
     def __call__(self, keys: np.ndarray) -> np.ndarray:
-        found = np.ones(len(keys), dtype=bool)
+        words, found = self.shared.value, np.ones(len(keys), dtype=bool)
         for shift in (0, 32):
             at = (keys >> np.uint64(shift)) & np.uint64(self.width - 1)
-            found &= (self.bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) != 0
+            found &= (words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) != 0
         return found
 
 
@@ -282,20 +245,49 @@ def _longer(context: np.ndarray, words: np.ndarray) -> np.ndarray:
     return mix(context * _CONTEXT + words)
 
 
-def _next(context: np.ndarray, words: np.ndarray) -> np.ndarray:
-    return mix(context * _NEXT + words)
-
-
-def _candidates(docs: DataFrame, levels: range, states: list, repeated: Bits | None) -> DataFrame:
-    """(level, key, ctx, up, n): counts of 2 or more of contexts and of their next words, where a context
-    extends one of ``states``. A context has its own key as ``ctx``; ``up`` of a next word is its key after the
-    context's suffix. ``repeated``, if given, holds the keys of the level before, to leave out contexts seen once."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((states, repeated))
-    names = ["level", "key", "ctx", "up", "n"]
+def _next(context: np.ndarray, up: np.ndarray) -> np.ndarray:
+    """Key of a next word after a context, from that after the context's suffix; after no word it is the word."""
+    return context ^ (up << np.uint64(21) | up >> np.uint64(43))
+
+
+def _next_key() -> Column:
+    """The same of columns ``ctx`` and ``up``; with an ``up`` of 0 the key of the context itself."""
+    turned = F.shiftleft("up", 21).bitwiseOR(F.shiftrightunsigned("up", 43))
+    return F.col("ctx").bitwiseXOR(turned)
+
+
+def _walk(tokens: np.ndarray, first: np.ndarray, states: list[Bits], k: int, again=None) -> Iterator[tuple]:
+    """Places of tokens, their keys after the contexts' suffixes, and the contexts, for lengths from ``k`` on, where
+    the suffixes are in ``states`` as far as that goes. ``again``, if given, holds the keys of next words after
+    ``k`` - 1 words, to leave out contexts that are not among them though they were counted."""
+    age = np.arange(len(tokens)) - np.repeat(first[:-1], np.diff(first))
+    at, context, up = np.arange(len(tokens)), np.zeros(len(tokens), dtype=np.uint64), tokens
+    repeated = np.ones(len(tokens), dtype=bool)
+    length = 1
+    while len(at):
+        if length == k and again is not None:
+            # A context was counted before, a token earlier, as a next word of its own first words.
+            repeated[at] = again(up)
+        usable = age[at] >= length
+        at, context, up = at[usable], context[usable], up[usable]
+        if 1 < length < len(states) + 2:
+            usable = states[length - 2](context)
+            if length == k:
+                usable &= repeated[at - 1]
+            at, context, up = at[usable], context[usable], up[usable]
+        context = _longer(context, tokens[at - length])
+        if length >= k:
+            yield at, up, context
+        up = _next(context, up)
+        length += 1
+
+
+def _candidates(docs: DataFrame, levels: range, states: list[Bits]) -> DataFrame:
+    """(level, ctx, up, n): counts of 2 or more of contexts and of their next words, where a context
+    extends one of ``states``. ``up`` of a next word is its key after the context's suffix, of a context 0."""
+    names = ["level", "ctx", "up", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        states, repeated = shared.value
         held = {k: [] for k in levels}
         size = 0
 
@@ -303,14 +295,10 @@ def _candidates(docs: DataFrame, levels: range, states: list, repeated: Bits | N
             for k, parts in held.items():
                 if not parts:
                     continue
-                keys, ctx, up = (np.concatenate(x) for x in zip(*parts, strict=True))
-                values, at, n = np.unique(keys, return_index=True, return_counts=True)
+                ctx, up = (np.concatenate(x) for x in zip(*parts, strict=True))
+                _, at, n = np.unique(_next(ctx, up), return_index=True, return_counts=True)
                 contexts, times = np.unique(ctx, return_counts=True)
-                columns = [
-                    np.concatenate([values, contexts]),
-                    np.concatenate([ctx[at], contexts]),
-                    np.concatenate([up[at], np.zeros_like(contexts)]),
-                ]
+                columns = [np.concatenate([ctx[at], contexts]), np.concatenate([up[at], np.zeros_like(contexts)])]
                 n = np.concatenate([n, times])
                 for a in range(0, len(n), 1 << 17):
                     b = a + (1 << 17)
@@ -326,36 +314,18 @@ def _candidates(docs: DataFrame, levels: range, states: list, repeated: Bits | N
         for batch in batches:
             for part in slices(batch.column(0)):
                 tokens, first = _tokens(part)
-                age = np.arange(len(tokens)) - np.repeat(first[:-1], np.diff(first))
-                at, context = np.arange(len(tokens)), np.zeros(len(tokens), dtype=np.uint64)
-                again = np.ones(len(tokens), dtype=bool)
-                for k in range(1, levels[-1] + 1):
-                    if k == levels[0] and repeated is not None:
-                        # A context was counted before, a token earlier, as a next word of its own first words.
-                        again[at] = repeated(_next(context, tokens[at]))
-                    usable = age[at] >= k
-                    at, context = at[usable], context[usable]
-                    if 1 < k <= levels[0]:
-                        usable = states[k - 2](context)
-                        if k == levels[0]:
-                            usable &= again[at - 1]
-                        at, context = at[usable], context[usable]
-                    suffix, context = context, _longer(context, tokens[at - k])
-                    if k >= levels[0] and len(at):
-                        up = _next(suffix, tokens[at]) if k > 1 else tokens[at]
-                        held[k].append((_next(context, tokens[at]), context, up))
-                        size += len(at)
+                walked = _walk(tokens, first, states, levels[0], states[-1] if states else None)
+                for k, (at, up, context) in zip(levels, walked, strict=False):
+                    held[k].append((context, up))
+                    size += len(at)
                 if size >= _COUNTED // 2:
                     yield from summed()
                     held, size = {k: [] for k in levels}, 0
         if size:
             yield from summed()
 
-    rows = docs.mapInArrow(run, "level int, key long, ctx long, up long, n long")
-    counts = rows.groupBy("key").agg(
-        F.min("level").alias("level"), F.min("ctx").alias("ctx"), F.min("up").alias("up"), F.sum("n").alias("n")
-    )
-    return counts.where("n > 1")
+    rows = docs.mapInArrow(run, "level int, ctx long, up long, n long")
+    return rows.groupBy("ctx", "up").agg(F.min("level").alias("level"), F.sum("n").alias("n")).where("n > 1")
 
 
 @contextlib.contextmanager
@@ -376,13 +346,13 @@ def _tested(store: Store, rows: DataFrame, above: DataFrame, divergence: float,
     ``rows`` are counts of `_candidates`; ``above`` gives the log probability of next words after the suffixes,
     as (up, logq). It lacks those of contexts that extend no state, so they go here.
     """
-    e = rows.where("key != ctx").join(above, "up")
-    c = rows.where("key = ctx").select("ctx", F.col("n").alias("c"))
+    e = rows.where("up != 0").join(above, "up")
+    c = rows.where("up = 0").select("ctx", F.col("n").alias("c"))
     share = (F.col("c") - F.col("given") + kappa) / (F.col("c") + kappa)
     shares = e.groupBy("ctx").agg(F.sum(F.col("n") - 1).alias("given")).join(c, "ctx")
     e = e.join(shares.select("ctx", "c", share.alias("f")), "ctx")
     p = (F.col("n") - 1) / (F.col("c") + kappa) + F.col("f") * F.exp("logq")
-    e = store.put(e.select("key", "ctx", "n", "c", "f", "logq", F.log(p).alias("logp")), "smoothed")
+    e = store.put(e.select("ctx", "up", "n", "c", "f", "logq", F.log(p).alias("logp")), "smoothed")
     gained = F.sum(F.exp("logp") * (F.col("logp") - F.col("logq")))
     left = F.greatest(F.lit(0.0), 1 - F.sum(F.exp("logq")))
     states = (
@@ -390,76 +360,127 @@ def _tested(store: Store, rows: DataFrame, above: DataFrame, divergence: float,
         .agg((gained + left * F.col("f") * F.log("f")).alias("d"))
         .where(F.col("d") >= divergence)
     )
-    states = store.put(states.select("ctx", "c", "f"), "states")
+    states = states.select("ctx", "c", "f")
     known = e.join(states.select("ctx"), "ctx", "left_semi")
     ln10 = float(np.log(10))
     level = states.select(
         F.col("ctx").alias("key"), F.lit(True).alias("is_state"), (F.log("f") / ln10).alias("value"),
         F.lit(None).cast("double").alias("logp"), F.col("c").alias("n"),
     ).unionAll(
-        known.select("key", F.lit(False), (F.col("logp") - F.col("logq") - F.log("f")) / ln10, "logp", "n")
+        known.select(_next_key(), F.lit(False), (F.col("logp") - F.col("logq") - F.log("f")) / ln10, "logp", "n")
     )
     level = store.put(level, "level")
     store.drop(e)
-    store.drop(states)
     return level
 
 
-def _learned(
-    store: Store, training: DataFrame, counts: DataFrame, tree: Tree, divergence: float, kappa: float
-) -> DataFrame | None:
-    """All states of the tree and what is known after them, as of `_tested`, to any depth; None without states.
+def _level_sums(docs: DataFrame, levels: range, states: list[Bits], level: DataFrame, least: float) -> DataFrame:
+    """(id, mark, more): what states of ``levels`` and next words after them add to log10 of the texts'
+    probabilities. Those with ``least`` or more occurrences are broadcast, the others joined."""
+    frequent = level.where(F.col("n") >= F.lit(least)).select("key", "value").toArrow()
+    bound = frequent["key"].to_numpy().view(np.uint64)
+    order = np.argsort(bound)
+    shared = docs.sparkSession.sparkContext.broadcast((bound[order], frequent["value"].to_numpy()[order]))
+    names = ["key", "times", "base"]
 
-    Sets what is broadcast of them: ``tree.bound`` and ``tree.values`` of those with ``tree.least`` or more
-    occurrences, ``tree.others``, the bits of the other keys.
-    """
-    found, bits, repeated = [], [], None
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bound, values = shared.value
+        for batch in batches:
+            for part in slices(batch.column("text")):
+                tokens, first = _tokens(part)
+                row = np.repeat(np.arange(len(first) - 1), np.diff(first))
+                base = np.zeros(len(first) - 1)
+                rows, keys = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.uint64)]
+                for k, (at, up, context) in zip(levels, _walk(tokens, first, states, levels[0]), strict=False):
+                    for following in (False, True):
+                        key = _next(context, up) if following else context
+                        own = _find(bound, key)
+                        near = own >= 0
+                        base += np.bincount(row[at[near]], values[own[near]], minlength=len(base))
+                        far = ~near & states[k - 1](key)
+                        rows.append(row[at[far]])
+                        keys.append(key[far])
+                        # What stands nowhere as a state has no next words.
+                        at, up, context = at[near | far], up[near | far], context[near | far]
+                rows, keys = np.concatenate(rows), np.concatenate(keys)
+                order = np.lexsort((keys, rows))
+                rows, keys = rows[order], keys[order]
+                opens = np.ones(len(rows), dtype=bool)
+                opens[1:] = (rows[1:] != rows[:-1]) | (keys[1:] != keys[:-1])
+                begin = np.flatnonzero(opens)
+                times = np.diff(np.append(begin, len(rows)))
+                # A row with the broadcast part stands for each document, by a key of its own and 0 times.
+                every = np.arange(len(base))
+                marks = batch.column("mark").slice(part.lo, part.hi - part.lo).to_numpy(zero_copy_only=False)
+                which = np.concatenate([every, rows[begin]])
+                columns = [
+                    pa.array(np.concatenate([marks, keys[begin].view(np.int64)])),
+                    pa.array(np.concatenate([np.zeros_like(every), times])),
+                    pa.array(np.concatenate([base, np.zeros(len(begin))])),
+                ]
+                whole = pa.array(which + part.lo)
+                given = [batch.column(c).take(whole) for c in ("id", "mark")]
+                made = pa.RecordBatch.from_arrays([*given, *columns], names=["id", "mark", *names])
+                for a in range(0, made.num_rows, 1 << 17):
+                    yield made.slice(a, 1 << 17)
+
+    id_type = docs.schema["id"].dataType.simpleString()
+    parts = docs.mapInArrow(run, f"id {id_type}, mark long, key long, times long, base double")
+    rest = level.where(F.col("n") < F.lit(least)).select("key", "value")
+    more = F.col("base") + F.col("times") * F.coalesce("value", F.lit(0.0))
+    return parts.join(rest, "key", "left").groupBy("id", "mark").agg(F.sum(more).alias("more"))
+
+
+def _tree_sums(
+    store: Store, docs: DataFrame, training: DataFrame, counts: DataFrame, tree: Tree, least: float, divergence: float, kappa: float
+) -> DataFrame | None:
+    """(id, mark, more), several rows a document: what all states, to any depth, add to the root; None without
+    states. Levels are learned, applied to the texts, and dropped once the next ones are tested."""
+    sums, states, former = [], [], None
     above = counts.select(F.col("key").alias("up"), F.log((F.col("n") + 1) / F.lit(float(tree.total + tree.distinct + 1))).alias("logq"))
     first = 1
-    while first == 1 or len(bits) == first - 1:
-        # Three levels by themselves, then 4 to 7, 8 to 15, and so on.
-        levels = range(first, first + 1 if first < 4 else 2 * first)
-        rows = store.put(_candidates(training, levels, bits, repeated), "candidates")
+    while len(states) == first - 1:
+        # Three levels by themselves, then 4 and 5, 6 and 7, 8 to 15, 16 to 31, and so on.
+        levels = range(first, first + (1 if first < 4 else 2 if first < 8 else first))
+        rows = store.put(_candidates(training, levels, states), "candidates")
+        group = []
         for k in levels:
-            level = _tested(store, rows.where(F.col("level") == k), above, divergence, kappa)
-            states = level.where("is_state")
-            size = states.count()
-            if not size:
+            own = rows.where(F.col("level") == k)
+            level = _tested(store, own, above, divergence, kappa)
+            found, following = level.where("is_state").select("key"), own.where("up != 0").select(_next_key())
+            n_states, n_following = found.count(), following.count()
+            if not n_states:
                 store.drop(level)
                 break
-            found.append(level)
-            bits.append(Bits(states, size))
+            states.append(Bits(found.unionAll(following), n_states + n_following))
+            group.append(level)
             above = level.where("not is_state").select(F.col("key").alias("up"), F.col("logp").alias("logq"))
-        first = levels[-1] + 1
-        if len(bits) == first - 1 and len(levels) == 1:
-            again = rows.where("key != ctx")
-            repeated = Bits(again, again.count())
-        else:
-            repeated = None
         store.drop(rows)
-    tree.depth = len(found)
-    if not found:
-        return None
-    model = functools.reduce(DataFrame.unionAll, found)
-    frequent = model.where(F.col("n") >= F.lit(tree.least)).select("key", "value").orderBy("key").toArrow()
-    bound = frequent["key"].to_numpy().view(np.uint64)
-    order = np.argsort(bound)
-    tree.bound, tree.values = bound[order], frequent["value"].to_numpy()[order]
-    others = model.where(F.col("n") < F.lit(tree.least))
-    tree.others = Bits(others, others.count())
-    return model
+        if former is not None:
+            store.drop(former)
+        if group:
+            level = functools.reduce(DataFrame.unionAll, group)
+            sums.append(store.put(_level_sums(docs, levels[: len(group)], states, level, least), "sums"))
+            for level in group[:-1]:
+                store.drop(level)
+            # The last level is needed for testing the next.
+            former = group[-1]
+        first = levels[-1] + 1
+    for part in states:
+        part.shared.destroy()
+    return functools.reduce(DataFrame.unionAll, sums) if sums else None
 
 
-def _scored(docs: DataFrame, tree: Tree, model: DataFrame | None) -> DataFrame:
-    """Of each row the sums of what is broadcast, and the keys whose values are not, with how often it holds them."""
+def _scored(docs: DataFrame, tree: Tree) -> DataFrame:
+    """Of each row the sum of its frequent words' root probabilities, and its other words with their numbers."""
     shared = docs.sparkSession.sparkContext.broadcast(tree)
+    unknown = float(-np.log10(tree.total + tree.distinct + 1))
     schema = pa.schema(
         [
             ("n_tokens", pa.int64()),
             ("known", pa.int64()),
             ("root", pa.float64()),
-            ("score", pa.float64()),
-            ("keys", pa.list_(pa.int64())),
+            ("words", pa.list_(pa.int64())),
             ("times", pa.list_(pa.int32())),
         ]
     )
@@ -470,32 +491,28 @@ def _scored(docs: DataFrame, tree: Tree, model: DataFrame | None) -> DataFrame:
             for part in slices(batch.column("text")):
                 tokens, first = _tokens(part)
                 ids = tree.ids(tokens)
-                root, more, places, keys = tree.parts(tokens, ids, first)
-                row = np.repeat(np.arange(len(first) - 1), np.diff(first))[places]
-                order = np.lexsort((keys, row))
-                row, keys = row[order], keys[order]
-                opens = np.ones(len(row), dtype=bool)
-                opens[1:] = (row[1:] != row[:-1]) | (keys[1:] != keys[:-1])
-                begin = np.flatnonzero(opens)
-                times = np.diff(np.append(begin, len(row))).astype(np.int32)
-                bounds = pa.array(np.searchsorted(row[begin], np.arange(len(first))).astype(np.int32))
-                root = np.add.reduceat(root, first[:-1])
+                root = np.full(len(tokens), unknown)
+                root[ids >= 0] = np.log10(tree.root[ids[ids >= 0]])
+                words, times = [], []
+                for a, b in zip(first[:-1], first[1:], strict=True):
+                    rare = tokens[a:b][ids[a:b] < 0]
+                    values, n = np.unique(rare.view(np.int64), return_counts=True)
+                    words.append(values)
+                    times.append(n.astype(np.int32))
                 columns = [
                     pa.array(np.diff(first)),
                     pa.array(np.add.reduceat((ids >= 0).astype(np.int64), first[:-1])),
-                    pa.array(root),
-                    pa.array(root + np.add.reduceat(more, first[:-1])),
-                    pa.ListArray.from_arrays(bounds, pa.array(keys[begin].view(np.int64))),
-                    pa.ListArray.from_arrays(bounds, pa.array(times)),
+                    pa.array(np.add.reduceat(root, first[:-1])),
+                    pa.array(words, type=schema.field("words").type),
+                    pa.array(times, type=schema.field("times").type),
                 ]
                 given = [batch.column(c).slice(part.lo, part.hi - part.lo) for c in ("id", "held", "mark")]
                 yield pa.RecordBatch.from_arrays([*given, *columns], names=["id", "held", "mark", *schema.names])
 
     id_type = docs.schema["id"].dataType.simpleString()
-    return docs.withColumn("mark", F.xxhash64("text")).mapInArrow(
+    return docs.mapInArrow(
         scored,
-        f"id {id_type}, held boolean, mark long, n_tokens long, known long, root double, score double, "
-        "keys array<long>, times array<int>",
+        f"id {id_type}, held boolean, mark long, n_tokens long, known long, root double, words array<long>, times array<int>",
     )
 
 
@@ -516,7 +533,8 @@ def score_texts(
     estimate of single words) and score (the suffix tree), both log10. A null
     text counts as empty, so it consists of the end alone; a null ``held_out``
     counts as false. Every row is returned, also where ids and texts repeat or ids
-    are null. Without training rows every token is unknown. Extra columns are
+    are null. ``p_head`` says only what is broadcast; ``p_min``, once a least
+    probability of contexts, changes nothing. Without training rows every token is unknown. Extra columns are
     ignored; an empty input gives no rows.
     """
     if not 0 < p_head <= p_min:
@@ -529,29 +547,31 @@ def score_texts(
         F.coalesce(held_out, F.lit(False)).alias("held"),
     )
     training = docs.where(~F.col("held")).select("text")
+    docs = docs.withColumn("mark", F.xxhash64("text"))
     with _freed(spark):
         counts = store.put(_counted(training, lambda tokens, first: tokens), "words")
         total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
         # At most 1 / p_head words reach this.
         heads, n = _bounded(counts.where(F.col("n") >= F.lit(p_head * total)))
         tree = Tree(heads.view(np.uint64), n, total, distinct, p_min)
-        model = _learned(store, training, counts, tree, divergence, kappa)
-        rows = store.put(_scored(docs, tree, model), "scored")
-    values = counts.select("key", F.log10(F.col("n") + 1).alias("root"), F.lit(1).alias("known"), F.lit(0.0).alias("more"))
-    if model is not None:
-        rest = model.where(F.col("n") < F.lit(tree.least))
-        values = values.unionAll(rest.select("key", F.lit(0.0), F.lit(0), F.col("value")))
-    parts = rows.select("id", "mark", F.explode(F.arrays_zip("keys", "times")).alias("w"))
-    parts = parts.select("id", "mark", F.col("w.keys").alias("key"), F.col("w.times").alias("times"))
+        more = _tree_sums(store, docs, training, counts, tree, p_head * total, divergence, kappa)
+        rows = store.put(_scored(docs, tree), "scored")
+    rare = rows.select("id", "mark", F.explode(F.arrays_zip("words", "times")).alias("w"))
+    rare = rare.select("id", "mark", F.col("w.words").alias("key"), F.col("w.times").alias("times"))
+    # Words that are no heads count as unknown in the rows; this is what the known ones have above that.
+    parts = rare.join(counts, "key").select(
+        "id", "mark", (F.col("times") * F.log10(F.col("n") + 1)).alias("root"), F.col("times").alias("known"), F.lit(0.0).alias("more")
+    )
+    if more is not None:
+        parts = parts.unionAll(more.select("id", "mark", F.lit(0.0), F.lit(0), "more"))
     sums = (
-        parts.join(values, "key")
-        .groupBy("id", "mark")
-        .agg(*[F.sum(F.col("times") * F.col(c)).alias(f"_{c}") for c in ("root", "known", "more")])
+        parts.groupBy("id", "mark")
+        .agg(*[F.sum(c).alias(f"_{c}") for c in ("root", "known", "more")])
         .select(F.col("id").alias("_id"), F.col("mark").alias("_mark"), "_root", "_known", "_more")
     )
     once = rows.groupBy("id", "mark").agg(
         F.count("*").alias("copies"),
-        *[F.first(x).alias(x) for x in ("held", "n_tokens", "known", "root", "score")],
+        *[F.first(x).alias(x) for x in ("held", "n_tokens", "known", "root")],
     )
     joined = once.join(sums, F.col("id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")), "left")
     root, more = (F.coalesce(F.col(c) / F.col("copies"), F.lit(0.0)) for c in ("_root", "_more"))
@@ -566,5 +586,5 @@ def score_texts(
         (F.col("known") + F.coalesce((F.col("_known") / F.col("copies")).cast("long"), F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("root") + root).alias("base_score"),
-        (F.col("score") + root + more).alias("score"),
+        (F.col("root") + root + more).alias("score"),
     )
