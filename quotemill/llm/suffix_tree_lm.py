@@ -18,8 +18,8 @@ extend a state, and tested by joins; after the third level a pass counts several
 logarithm of a probability is a sum: the root's, that of the share of every state
 on the way, and for every next word that is known there what it has above its
 share. So a text's score is a sum over the states and next words it holds, and
-they are joined with the table of these values. Words above ``p_head``, and states
-and next words above ``p_min``, of which a level has at most 1 / p_min, are broadcast
+they are joined, some levels at a time, with the table of these values. Those above
+``p_head``, at most 1 / p_head words, contexts or next words of a level, are broadcast
 and not joined; the result is the same at any bound. Bits of the other keys are
 broadcast to keep most absent ones out of the shuffle; a key let through by
 mistake finds nothing in the table.
