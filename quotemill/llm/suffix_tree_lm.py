@@ -340,8 +340,8 @@ def _freed(spark):
         spark.conf.set(name, before)
 
 
-def _tested(store: Store, rows: DataFrame, above: DataFrame, divergence: float, kappa: float) -> DataFrame | None:
-    """The states of a level and what is known after them, or None: (key, is_state, value, logp, n).
+def _tested(store: Store, rows: DataFrame, above: DataFrame, divergence: float, kappa: float) -> DataFrame:
+    """The states of a level and what is known after them: (key, is_state, value, logp, n).
 
     ``rows`` are counts of `_candidates`; ``above`` gives the log probability of next words after the suffixes,
     as (up, logq). It lacks those of contexts that extend no state, so they go here.

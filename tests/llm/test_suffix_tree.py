@@ -93,3 +93,11 @@ def test_bounds_of_the_broadcast_change_no_score(spark):
         by_id = {r.doc_id: r.score for r in got}
         assert len(got) == len(rows)
         assert all(abs(by_id[key] - w) < 1e-9 for (key, _), w in zip(rows, want, strict=True))
+
+
+def test_texts_without_words(spark):
+    df = spark.createDataFrame([(1, None), (2, ""), (None, " ")], "doc_id long, text string")
+    got = score_texts(df, F.col("doc_id") == 2).collect()
+    assert [(r.n_tokens, r.n_known, r.train_tokens) for r in got] == [(1, 1, 2)] * 3
+    assert all(abs(r.score - math.log10(3 / 4)) < 1e-9 for r in got)
+    assert score_texts(df.where("false"), F.col("doc_id") == 2).collect() == []
