@@ -13,16 +13,15 @@ seen once has nothing left after the one given away, so its probability is just
 its share, and a context seen once is equal to its suffix, with a divergence of
 zero: leaving both out of the tables changes no result.
 
-At scale. Levels are counted in passes over the whole corpus, for contexts that
-extend a state, and tested by joins; after the third level a pass counts several. The
-logarithm of a probability is a sum: the root's, that of the share of every state
-on the way, and for every next word that is known there what it has above its
-share. So a text's score is a sum over the states and next words it holds, and
-they are joined, some levels at a time, with the table of these values. Those above
-``p_head``, at most 1 / p_head words, contexts or next words of a level, are broadcast
-and not joined; the result is the same at any bound. Bits of the other keys are
-broadcast to keep most absent ones out of the shuffle; a key let through by
-mistake finds nothing in the table.
+At scale. The suffix of a context ends with the same word, so all contexts that end with a word form a subtree, which
+needs nothing of the others. Each token is sent, with the three words before it, to the bucket of the word before
+it, where three levels of its subtree are counted, tested and applied. Tokens that are still in a state are sent
+there again with the next six words, and so on until none is left, so a context's length has no bound. What states
+and next words add to log10 of the texts' probabilities is summed by document. Buckets are made of words of similar
+frequency. A context with more than ``most`` tokens is not left to one bucket: its next words are counted
+and tested by aggregation and joins, what is known after it is joined to the parts of the corpus that need it, and
+the contexts that extend it have buckets of their own. The most frequent words, at most 1 / p_head of them, are
+broadcast as numbers; others are sent as hashes with their counts. The result is the same at any of these bounds.
 """
 
 from __future__ import annotations
@@ -33,6 +32,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,10 +41,14 @@ from quotemill.llm.store import Store
 from quotemill.llm.words import Slice, mix, slices
 
 P_HEAD, P_MIN, DIVERGENCE, KAPPA = 1e-6, 1e-5, 0.01, 5.0
+# Tokens of a context that is still learned in one bucket, and of a bucket without its last context.
+MOST, BUCKET_SIZE = 1 << 20, 3 << 18
 # Stands for the end of a text; no word hashes to it but by chance.
 END = np.uint64(0x9E6C63D0676A9A99)
 _COUNTED = 1 << 22
-_MOST_BITS = 1 << 27
+# Tokens of a chunk, and levels that the first pass learns; later ones learn twice as many each, 16 at most.
+_CHUNK = 1 << 19
+_FIRST_LEVELS = 3
 _CONTEXT = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -216,31 +221,6 @@ def _bounded(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return table["key"].to_numpy().astype(np.int64), table["n"].to_numpy().astype(np.int64)
 
 
-class Bits:
-    """A set of keys by two bits each: all members are found, and some others."""
-
-    def __init__(self, keys: DataFrame, size: int):
-        self.width = min(_MOST_BITS, 1 << max(10, int(16 * size).bit_length()))
-        mask = F.lit(self.width - 1)
-        places = F.explode(F.array(F.col("key").bitwiseAND(mask), F.shiftrightunsigned("key", 32).bitwiseAND(mask)))
-        bits = (
-            keys.select(places.alias("at"))
-            .groupBy(F.shiftright("at", 6).alias("word"))
-            .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits"))
-            .toArrow()
-        )
-        words = np.zeros(self.width >> 6, dtype=np.uint64)
-        words[bits["word"].to_numpy()] = bits["bits"].to_numpy().view(np.uint64)
-        self.shared = keys.sparkSession.sparkContext.broadcast(words)
-
-    def __call__(self, keys: np.ndarray) -> np.ndarray:
-        words, found = self.shared.value, np.ones(len(keys), dtype=bool)
-        for shift in (0, 32):
-            at = (keys >> np.uint64(shift)) & np.uint64(self.width - 1)
-            found &= (words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) != 0
-        return found
-
-
 def _longer(context: np.ndarray, words: np.ndarray) -> np.ndarray:
     return mix(context * _CONTEXT + words)
 
@@ -256,78 +236,6 @@ def _next_key() -> Column:
     return F.col("ctx").bitwiseXOR(turned)
 
 
-def _walk(tokens: np.ndarray, first: np.ndarray, states: list[Bits], k: int, again=None) -> Iterator[tuple]:
-    """Places of tokens, their keys after the contexts' suffixes, and the contexts, for lengths from ``k`` on, where
-    the suffixes are in ``states`` as far as that goes. ``again``, if given, holds the keys of next words after
-    ``k`` - 1 words, to leave out contexts that are not among them though they were counted."""
-    age = np.arange(len(tokens)) - np.repeat(first[:-1], np.diff(first))
-    at, context, up = np.arange(len(tokens)), np.zeros(len(tokens), dtype=np.uint64), tokens
-    repeated = np.ones(len(tokens), dtype=bool)
-    length = 1
-    while len(at):
-        if length == k and again is not None:
-            # A context was counted before, a token earlier, as a next word of its own first words.
-            repeated[at] = again(up)
-        usable = age[at] >= length
-        at, context, up = at[usable], context[usable], up[usable]
-        if 1 < length < len(states) + 2:
-            usable = states[length - 2](context)
-            if length == k:
-                usable &= repeated[at - 1]
-            at, context, up = at[usable], context[usable], up[usable]
-        context = _longer(context, tokens[at - length])
-        if length >= k:
-            yield at, up, context
-        up = _next(context, up)
-        length += 1
-
-
-def _candidates(docs: DataFrame, levels: range, states: list[Bits]) -> DataFrame:
-    """(level, ctx, up, n): counts of 2 or more of contexts and of their next words, where a context
-    extends one of ``states``. ``up`` of a next word is its key after the context's suffix, of a context 0."""
-    names = ["level", "ctx", "up", "n"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = {k: [] for k in levels}
-        size = 0
-
-        def summed():
-            for k, parts in held.items():
-                if not parts:
-                    continue
-                ctx, up = (np.concatenate(x) for x in zip(*parts, strict=True))
-                _, at, n = np.unique(_next(ctx, up), return_index=True, return_counts=True)
-                contexts, times = np.unique(ctx, return_counts=True)
-                columns = [np.concatenate([ctx[at], contexts]), np.concatenate([up[at], np.zeros_like(contexts)])]
-                n = np.concatenate([n, times])
-                for a in range(0, len(n), 1 << 17):
-                    b = a + (1 << 17)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(len(n[a:b]), k, dtype=np.int32)),
-                            *[pa.array(c[a:b].view(np.int64)) for c in columns],
-                            pa.array(n[a:b]),
-                        ],
-                        names=names,
-                    )
-
-        for batch in batches:
-            for part in slices(batch.column(0)):
-                tokens, first = _tokens(part)
-                walked = _walk(tokens, first, states, levels[0], states[-1] if states else None)
-                for k, (at, up, context) in zip(levels, walked, strict=False):
-                    held[k].append((context, up))
-                    size += len(at)
-                if size >= _COUNTED // 2:
-                    yield from summed()
-                    held, size = {k: [] for k in levels}, 0
-        if size:
-            yield from summed()
-
-    rows = docs.mapInArrow(run, "level int, ctx long, up long, n long")
-    return rows.groupBy("ctx", "up").agg(F.min("level").alias("level"), F.sum("n").alias("n")).where("n > 1")
-
-
 @contextlib.contextmanager
 def _freed(spark):
     """Within, a query's shuffle files are removed when it ends; its results are in the store by then."""
@@ -374,146 +282,532 @@ def _tested(store: Store, rows: DataFrame, above: DataFrame, divergence: float,
     return level
 
 
-def _level_sums(docs: DataFrame, levels: range, states: list[Bits], level: DataFrame, least: float) -> DataFrame:
-    """(id, mark, more): what states of ``levels`` and next words after them add to log10 of the texts'
-    probabilities. Those with ``least`` or more occurrences are broadcast, the others joined."""
-    frequent = level.where(F.col("n") >= F.lit(least)).select("key", "value").toArrow()
-    bound = frequent["key"].to_numpy().view(np.uint64)
-    order = np.argsort(bound)
-    shared = docs.sparkSession.sparkContext.broadcast((bound[order], frequent["value"].to_numpy()[order]))
-    names = ["key", "times", "base"]
+def _packed(*columns: np.ndarray) -> bytes:
+    """Columns of fixed width compressed together, all first bytes of a column before its second ones."""
+    planes = [np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1).T.tobytes() for c in columns if len(c)]
+    return pa.compress(b"".join(planes), codec="zstd", asbytes=True) if planes else b""
+
+
+def _unpacked(data: bytes, columns: list[tuple[type, int]]) -> list[np.ndarray]:
+    """The columns that `_packed` was given, of these types and lengths."""
+    sizes = [np.dtype(kind).itemsize * n for kind, n in columns]
+    raw = np.frombuffer(pa.decompress(data, sum(sizes), codec="zstd", asbytes=True) if sum(sizes) else b"", np.uint8)
+    out, at = [], 0
+    for (kind, n), size in zip(columns, sizes, strict=True):
+        part = raw[at : at + size].reshape(np.dtype(kind).itemsize, n).T
+        out.append(part.copy(order="C").view(kind).reshape(n))
+        at += size
+    return out
+
+
+class Words:
+    """Numbers of the broadcast words, 1 for the most frequent; 0 for what a context or next word need not tell."""
+
+    def __init__(self, tree: Tree, least: int, hot: np.ndarray, bucket_size: int):
+        self.heads, self.least = tree.heads, least
+        order = np.argsort(-tree.counts, kind="stable")
+        self.number = np.empty(len(order), dtype=np.int32)
+        self.number[order] = np.arange(1, len(order) + 1)
+        self.keys = np.concatenate([np.zeros(1, dtype=np.uint64), tree.heads[order]])
+        self.counts = np.concatenate([[0], tree.counts[order]]).astype(np.int64)
+        self.total, self.size = tree.total, tree.total + tree.distinct + 1
+        # Words of similar frequency share a bucket of about so many tokens.
+        own = np.where(np.isin(self.keys, hot), 0, self.counts)
+        self.n_buckets = max(1, -(-int(tree.total - self.counts[np.isin(self.keys, hot)].sum()) // bucket_size))
+        before = np.cumsum(own) - own
+        self.bucket = (before * self.n_buckets // max(1, int(own.sum()))).clip(0, self.n_buckets - 1).astype(np.int32)
+
+    def ids(self, tokens: np.ndarray) -> np.ndarray:
+        values, inverse = np.unique(tokens, return_inverse=True)
+        at = _find(self.heads, values)
+        found = np.where(at >= 0, self.number[at] if len(self.number) else 0, 0)
+        return found.astype(np.int32)[inverse]
+
+
+def _chunks(docs: DataFrame, words: Words) -> DataFrame:
+    """Two kinds of rows. Documents (doc >= 0) with the sum of their broadcast words' root probabilities, and their
+    other words with their numbers; and chunks (doc < 0) of whole documents' tokens as word numbers."""
+    shared = docs.sparkSession.sparkContext.broadcast(words)
+    id_type = docs.schema["id"].dataType.simpleString()
+    schema = (
+        f"id {id_type}, held boolean, chunk long, doc int, n_tokens long, known long, root double, "
+        "words array<long>, times array<int>, tokens binary, rare array<long>"
+    )
+
+    def lists(values: np.ndarray, sizes: np.ndarray, kind) -> pa.Array:
+        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, type=kind))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bound, values = shared.value
+        words, task, n_chunks = shared.value, TaskContext.get().partitionId(), 0
+        unknown, roots = -np.log10(words.size), np.log10((words.counts + 1) / words.size)
+        held, size, n_docs = [], 0, 0
+
+        def closed():
+            ids, lengths, train, rare = (np.concatenate(x) for x in zip(*held, strict=True))
+            names, place = np.unique(rare, return_inverse=True)
+            if words.least > 2:
+                ids = ids.copy()
+                ids[ids < 0] = len(words.counts) + place.astype(np.int32)
+            else:
+                # Every word seen twice is broadcast.
+                ids, names = np.maximum(ids, 0), names[:0]
+            return [(task << 32) + n_chunks, len(ids), len(lengths), _packed(ids, lengths, train), names.view(np.int64)]
+
+        def chunk(number, n, known, tokens, rare):
+            return pa.RecordBatch.from_pydict(
+                {"id": pa.nulls(1, id_kind), "held": [None], "chunk": [number], "doc": pa.array([-1], pa.int32()), "n_tokens": [n],
+                 "known": [known], "root": [0.0], "words": pa.array([None], pa.list_(pa.int64())),
+                 "times": pa.array([None], pa.list_(pa.int32())), "tokens": [tokens], "rare": pa.array([rare], pa.list_(pa.int64()))},
+                schema=out_schema,
+            )
+
+        id_kind = out_schema = None
         for batch in batches:
+            id_kind = batch.schema.field("id").type
+            out_schema = pa.schema(
+                [("id", id_kind), ("held", pa.bool_()), ("chunk", pa.int64()), ("doc", pa.int32()), ("n_tokens", pa.int64()),
+                 ("known", pa.int64()), ("root", pa.float64()), ("words", pa.list_(pa.int64())), ("times", pa.list_(pa.int32())),
+                 ("tokens", pa.binary()), ("rare", pa.list_(pa.int64()))]
+            )
             for part in slices(batch.column("text")):
                 tokens, first = _tokens(part)
-                row = np.repeat(np.arange(len(first) - 1), np.diff(first))
-                base = np.zeros(len(first) - 1)
-                rows, keys = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.uint64)]
-                for k, (at, up, context) in zip(levels, _walk(tokens, first, states, levels[0]), strict=False):
-                    for following in (False, True):
-                        key = _next(context, up) if following else context
-                        own = _find(bound, key)
-                        near = own >= 0
-                        base += np.bincount(row[at[near]], values[own[near]], minlength=len(base))
-                        far = ~near & states[k - 1](key)
-                        rows.append(row[at[far]])
-                        keys.append(key[far])
-                        # What stands nowhere as a state has no next words.
-                        at, up, context = at[near | far], up[near | far], context[near | far]
-                rows, keys = np.concatenate(rows), np.concatenate(keys)
-                order = np.lexsort((keys, rows))
-                rows, keys = rows[order], keys[order]
+                n_rows, lengths = part.hi - part.lo, np.diff(first)
+                row = np.repeat(np.arange(n_rows), lengths)
+                ids = words.ids(tokens)
+                known = np.bincount(row, ids > 0, minlength=n_rows).astype(np.int64)
+                root = np.bincount(row, np.where(ids > 0, roots[ids], unknown), minlength=n_rows)
+                far = ids == 0
+                values, rows = tokens[far], row[far]
+                order = np.lexsort((values, rows))
+                values, rows = values[order], rows[order]
                 opens = np.ones(len(rows), dtype=bool)
-                opens[1:] = (rows[1:] != rows[:-1]) | (keys[1:] != keys[:-1])
+                opens[1:] = (rows[1:] != rows[:-1]) | (values[1:] != values[:-1])
                 begin = np.flatnonzero(opens)
-                times = np.diff(np.append(begin, len(rows)))
-                # A row with the broadcast part stands for each document, by a key of its own and 0 times.
-                every = np.arange(len(base))
-                marks = batch.column("mark").slice(part.lo, part.hi - part.lo).to_numpy(zero_copy_only=False)
-                which = np.concatenate([every, rows[begin]])
+                times = np.diff(np.append(begin, len(rows))).astype(np.int32)
+                sizes = np.bincount(rows[begin], minlength=n_rows)
+                doc = np.arange(n_docs, n_docs + n_rows, dtype=np.int32)
+                given = [batch.column(c).slice(part.lo, n_rows) for c in ("id", "held")]
+                none = [pa.nulls(n_rows, pa.binary()), pa.nulls(n_rows, pa.list_(pa.int64()))]
                 columns = [
-                    pa.array(np.concatenate([marks, keys[begin].view(np.int64)])),
-                    pa.array(np.concatenate([np.zeros_like(every), times])),
-                    pa.array(np.concatenate([base, np.zeros(len(begin))])),
-                ]
-                whole = pa.array(which + part.lo)
-                given = [batch.column(c).take(whole) for c in ("id", "mark")]
-                made = pa.RecordBatch.from_arrays([*given, *columns], names=["id", "mark", *names])
-                for a in range(0, made.num_rows, 1 << 17):
-                    yield made.slice(a, 1 << 17)
+                    pa.array(np.full(n_rows, (task << 32) + n_chunks)), pa.array(doc), pa.array(lengths), pa.array(known), pa.array(root),
+                    lists(values[begin].view(np.int64), sizes, pa.int64()), lists(times, sizes, pa.int32()),
+                ]
+                yield pa.RecordBatch.from_arrays([*given, *columns, *none], schema=out_schema)
+                train = ~given[1].to_numpy(zero_copy_only=False).astype(bool)
+                ids[far] = -1
+                held.append((ids, lengths.astype(np.int32), train, tokens[far]))
+                size, n_docs = size + len(tokens), n_docs + n_rows
+                if size >= _CHUNK:
+                    yield chunk(*closed())
+                    held, size, n_docs, n_chunks = [], 0, 0, n_chunks + 1
+        if held:
+            yield chunk(*closed())
 
-    id_type = docs.schema["id"].dataType.simpleString()
-    parts = docs.mapInArrow(run, f"id {id_type}, mark long, key long, times long, base double")
-    rest = level.where(F.col("n") < F.lit(least)).select("key", "value")
-    more = F.col("base") + F.col("times") * F.coalesce("value", F.lit(0.0))
-    return parts.join(rest, "key", "left").groupBy("id", "mark").agg(F.sum(more).alias("more"))
+    return docs.mapInArrow(run, schema)
 
 
-def _tree_sums(
-    store: Store, docs: DataFrame, training: DataFrame, counts: DataFrame, tree: Tree, least: float, divergence: float, kappa: float
-) -> DataFrame | None:
-    """(id, mark, more), several rows a document: what all states, to any depth, add to the root; None without
-    states. Levels are learned, applied to the texts, and dropped once the next ones are tested."""
-    sums, states, former = [], [], None
-    above = counts.select(F.col("key").alias("up"), F.log((F.col("n") + 1) / F.lit(float(tree.total + tree.distinct + 1))).alias("logq"))
-    first = 1
-    while len(states) == first - 1:
-        # Three levels by themselves, then 4 and 5, 6 and 7, 8 to 15, 16 to 31, and so on.
-        levels = range(first, first + (1 if first < 4 else 2 if first < 8 else first))
-        rows = store.put(_candidates(training, levels, states), "candidates")
-        group = []
-        for k in levels:
-            own = rows.where(F.col("level") == k)
-            level = _tested(store, own, above, divergence, kappa)
-            found, following = level.where("is_state").select("key"), own.where("up != 0").select(_next_key())
-            n_states, n_following = found.count(), following.count()
-            if not n_states:
-                store.drop(level)
-                break
-            states.append(Bits(found.unionAll(following), n_states + n_following))
-            group.append(level)
-            above = level.where("not is_state").select(F.col("key").alias("up"), F.col("logp").alias("logq"))
+class Chunk:
+    """A chunk's tokens: word numbers, the place of each in its document, the document, and whether it is learned."""
+
+    def __init__(self, row: dict, words: Words):
+        self.number = row["chunk"]
+        self.ids, lengths, train = _unpacked(
+            row["tokens"], [(np.int32, row["n_tokens"]), (np.int32, row["known"]), (np.bool_, row["known"])]
+        )
+        self.doc = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+        self.train = np.repeat(train, lengths)
+        starts = np.cumsum(lengths) - lengths
+        self.age = (np.arange(len(self.ids)) - np.repeat(starts, lengths)).astype(np.int32)
+        # Words that are not broadcast have the numbers above; those seen less than twice tell nothing.
+        self.first = len(words.counts)
+        self.rare = row["rare"].to_numpy().view(np.uint64)
+        self.rare_n = np.zeros(len(self.rare), dtype=np.int64)
+        if len(self.rare):
+            if row["counted"] is not None:
+                key, n = (row["counted"].field(c).to_numpy() for c in ("key", "n"))
+                self.rare_n[_find(self.rare, key.view(np.uint64))] = n
+            far = self.ids >= self.first
+            self.ids[far] = np.where(self.rare_n[self.ids[far] - self.first] > 1, self.ids[far], 0)
+
+    def before(self, at: np.ndarray, distance: np.ndarray | int) -> np.ndarray:
+        """The word so far before each token, 0 where the text begins after it."""
+        return np.where(self.age[at] >= distance, self.ids[np.maximum(at - distance, 0)], np.int32(0))
+
+    def messages(self, bucket: np.ndarray, at: np.ndarray, root, x: np.ndarray, depth, n_words: int, first: bool, q=None) -> list[dict]:
+        """A message for each bucket with the tokens that it takes: their state so far, and the next words of their
+        contexts. ``x`` is the next word in ``first`` messages, and then the number of what was known of it."""
+        if not len(at):
+            return []
+        order = np.argsort(bucket.astype(np.uint16) if bucket.max() < 1 << 16 else bucket, kind="stable")
+        bucket, at, root, x = bucket[order], at[order], root[order].astype(np.int32), x[order].astype(np.int32)
+        depth = depth if np.ndim(depth) == 0 else depth[order]
+        columns = [at.astype(np.int32), self.doc[at], self.train[at], root, np.broadcast_to(np.asarray(depth, dtype=np.int32), len(at)), x]
+        columns += [self.before(at, depth + 1 + k) for k in range(n_words)]
+        edges = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
+        out = []
+        for a, b in zip(edges, [*edges[1:], len(at)], strict=True):
+            own = [c[a:b] for c in columns]
+            own[0], own[1] = np.diff(own[0], prepend=np.int32(0)), np.diff(own[1], prepend=np.int32(0))
+            sent = np.zeros(0, dtype=np.int64)
+            if len(self.rare):
+                from_ = 5 if first else 6
+                sent = np.unique(np.concatenate([c[c >= self.first] for c in own[from_:]]))
+                own[from_:] = [np.where(c >= self.first, self.first + np.searchsorted(sent, c), c).astype(np.int32) for c in own[from_:]]
+                sent = sent - self.first
+            more = [] if q is None else [q[order[a:b]]]
+            payload = _packed(*own, self.rare[sent], self.rare_n[sent], *more)
+            out.append({"bucket": int(bucket[a]), "chunk": self.number, "n": b - a, "r": len(sent), "payload": payload})
+        return out
+
+
+_MESSAGE = "bucket int, chunk long, n long, r long, payload binary"
+_RESULT = f"kind int, doc int, more double, {_MESSAGE}"
+
+
+def _sent_rows(rows: list[dict]) -> pa.RecordBatch:
+    schema = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("n", pa.int64()), ("r", pa.int64()), ("payload", pa.binary())])
+    return pa.RecordBatch.from_pylist(rows, schema=schema)
+
+
+class Hot:
+    """Contexts with more tokens than a bucket takes, level by level: their keys, and of the states their value."""
+
+    def __init__(self, n_buckets: int):
+        self.keys, self.states, self.values, self.n_buckets = [], [], [], n_buckets
+
+    def walk(self, chunk: Chunk, words: Words, known=None) -> Iterator[tuple]:
+        """For each level the tokens whose context so far is a state: their places, contexts, keys of next words after
+        the suffix, which of them are hot, and the states above: number, word and log probability known there."""
+        at = np.flatnonzero(chunk.before(np.arange(len(chunk.ids)), 1))
+        root, x, q = np.zeros(len(at), dtype=np.int32), chunk.ids[at], np.zeros(len(at))
+        context = np.zeros(len(at), dtype=np.uint64)
+        if not self.keys:
+            yield at, context, context, np.zeros(len(at), dtype=bool), root, x, q
+            return
+        keys = np.concatenate([words.keys, chunk.rare])[chunk.ids]
+        up = keys[at]
+        for level in range(len(self.keys) + 1):
+            usable = chunk.before(at, level + 1) > 0
+            at, context, up, root, x, q = (c[usable] for c in (at, context, up, root, x, q))
+            context = _longer(context, keys[at - level - 1])
+            hot = _find(self.keys[level], context) >= 0 if level < len(self.keys) else np.zeros(len(at), dtype=bool)
+            yield at, context, up, hot, root, x, q
+            if level >= len(self.states):
+                return
+            own = np.where(hot, _find(self.states[level], context), -1)
+            state = own >= 0
+            at, context, up, own, x = (c[state] for c in (at, context, up, own, x))
+            root = own + sum(len(s) for s in self.states[:level])
+            up = np.where(up != 0, _next(context, up), np.uint64(0))
+            q = np.full(len(at), np.nan)
+            if known is not None:
+                found = np.where(up != 0, _find(known[0], up), -1)
+                x = np.where(found >= 0, x, 0)
+                q[found >= 0] = known[2][found[found >= 0]]
+
+
+def _known(row: dict) -> tuple[np.ndarray, ...]:
+    """What a chunk was given of the tables of hot states: sorted keys, values and log probabilities."""
+    if row["hot"] is None:
+        return np.zeros(0, dtype=np.uint64), np.zeros(0), np.zeros(0)
+    key, value, logp = (row["hot"].field(c).to_numpy() for c in ("key", "value", "logp"))
+    order = np.argsort(key.view(np.uint64))
+    return key.view(np.uint64)[order], value[order], logp[order]
+
+
+def _over_chunks(chunks: DataFrame, words, made, schema: str) -> DataFrame:
+    """The batches that ``made`` gives for each chunk and its row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                # Lists stay Arrow arrays.
+                row = {name: batch.column(name)[k] for name in batch.schema.names}
+                row = {name: x.values if isinstance(x, pa.ListScalar) else x.as_py() for name, x in row.items()}
+                yield from made(Chunk(row, words.value), row)
+
+    return chunks.mapInArrow(run, schema)
+
+
+def _hot_levels(store: Store, chunks: DataFrame, counts: DataFrame, words: Words, shared, most: int, bucket_size: int, kappa: float, divergence: float, own_table: bool):
+    """States among contexts that more than ``most`` tokens follow, and the chunks with what is known after them."""
+    hot = Hot(0)
+    end = int(END.view(np.int64))
+    above = counts.select(F.col("key").alias("up"), F.log((F.col("n") + 1) / F.lit(float(words.size))).alias("logq"))
+    found = _bounded(counts.where((F.col("n") > most) & (F.col("key") != F.lit(end))))
+    keys = np.sort(_longer(np.zeros(len(found[0]), dtype=np.uint64), found[0].view(np.uint64)))
+    asked, spread, former = [], 0, None
+
+    def rows_of(kind: str):
+        def made(chunk: Chunk, row: dict) -> Iterator[pa.RecordBatch]:
+            at, context, up, is_hot, *_ = list(hot.walk(chunk, shared.value))[level]
+            if kind == "asked":
+                keys = np.unique(_next(context, up)[np.where(is_hot, _find(hot.states[level], context), -1) >= 0])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), chunk.number)), pa.array(keys.view(np.int64))], names=["chunk", "key"])
+                return
+            learned = chunk.train[at] if kind == "longer" else chunk.train[at] & is_hot
+            context, up = context[learned], up[learned]
+            contexts, n = np.unique(context, return_counts=True)
+            columns = [contexts, np.zeros_like(contexts), n]
+            if kind == "pairs":
+                context, up = context[up != 0], up[up != 0]
+                _, first, n = np.unique(_next(context, up), return_index=True, return_counts=True)
+                columns = [np.concatenate(c) for c in zip(columns, (context[first], up[first], n), strict=True)]
+            arrays = [pa.array(c.view(np.int64)) for c in columns]
+            yield pa.RecordBatch.from_arrays(arrays, names=["ctx", "up", "n"])
+
+        return made
+
+    while len(keys):
+        level = len(hot.keys)
+        hot.keys.append(keys)
+        rows = _over_chunks(chunks, shared, rows_of("pairs"), "ctx long, up long, n long")
+        rows = store.put(rows.groupBy("ctx", "up").agg(F.sum("n").alias("n")).where("n > 1"), "hot")
+        table = _tested(store, rows, above, divergence, kappa)
         store.drop(rows)
+        states = table.where("is_state").select("key", "value", "n").toArrow()
+        own = states["key"].to_numpy().view(np.uint64)
+        order = np.argsort(own)
+        hot.states.append(own[order])
+        hot.values.append(states["value"].to_numpy()[order])
+        spread = max(spread, int(states["n"].to_numpy().sum()))
+        if not len(own):
+            break
+        ask = _over_chunks(chunks, shared, rows_of("asked"), "chunk long, key long")
+        given = table.where("not is_state").select("key", "value", "logp")
+        asked.append(store.put(ask.join(given, "key"), "asked"))
         if former is not None:
             store.drop(former)
-        if group:
-            level = functools.reduce(DataFrame.unionAll, group)
-            sums.append(store.put(_level_sums(docs, levels[: len(group)], states, level, least), "sums"))
-            for level in group[:-1]:
-                store.drop(level)
-            # The last level is needed for testing the next.
-            former = group[-1]
-        first = levels[-1] + 1
-    for part in states:
-        part.shared.destroy()
-    return functools.reduce(DataFrame.unionAll, sums) if sums else None
-
-
-def _scored(docs: DataFrame, tree: Tree) -> DataFrame:
-    """Of each row the sum of its frequent words' root probabilities, and its other words with their numbers."""
-    shared = docs.sparkSession.sparkContext.broadcast(tree)
-    unknown = float(-np.log10(tree.total + tree.distinct + 1))
-    schema = pa.schema(
-        [
-            ("n_tokens", pa.int64()),
-            ("known", pa.int64()),
-            ("root", pa.float64()),
-            ("words", pa.list_(pa.int64())),
-            ("times", pa.list_(pa.int32())),
-        ]
-    )
+        former = table
+        above = given.select(F.col("key").alias("up"), F.col("logp").alias("logq"))
+        level += 1
+        longer = _over_chunks(chunks, shared, rows_of("longer"), "ctx long, up long, n long").groupBy(F.col("ctx").alias("key"))
+        keys = np.sort(_bounded(longer.agg(F.sum("n").alias("n")).where(F.col("n") > most))[0].view(np.uint64))
+    hot.n_buckets = -(-spread // bucket_size)
+    if asked:
+        parts = functools.reduce(DataFrame.unionAll, asked).groupBy("chunk")
+        former = chunks
+        chunks = store.put(chunks.join(parts.agg(F.collect_list(F.struct("key", "value", "logp")).alias("hot")), "chunk", "left"), "chunks")
+        for table in asked:
+            store.drop(table)
+        if own_table:
+            store.drop(former)
+    else:
+        chunks = chunks.withColumn("hot", F.lit(None).cast("array<struct<key:long,value:double,logp:double>>"))
+    return hot, chunks
+
+
+def _hot_sums(chunks: DataFrame, shared, hot: Hot) -> DataFrame:
+    """(chunk, doc, more): what hot states and known next words after them add to the documents."""
+
+    def made(chunk: Chunk, row: dict) -> Iterator[pa.RecordBatch]:
+        known = _known(row)
+        more = np.zeros(int(chunk.doc[-1]) + 1)
+        for level, (at, context, up, is_hot, *_) in zip(range(len(hot.states)), hot.walk(chunk, shared.value, known)):
+            own = np.where(is_hot, _find(hot.states[level], context), -1)
+            more += np.bincount(chunk.doc[at[own >= 0]], hot.values[level][own[own >= 0]], minlength=len(more))
+            pair = np.where((own >= 0) & (up != 0), _find(known[0], _next(context, up)), -1)
+            more += np.bincount(chunk.doc[at[pair >= 0]], known[1][pair[pair >= 0]], minlength=len(more))
+        docs = np.flatnonzero(more)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(docs), chunk.number)), pa.array(docs.astype(np.int32)), pa.array(more[docs])], names=["chunk", "doc", "more"]
+        )
 
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = shared.value
-        for batch in batches:
-            for part in slices(batch.column("text")):
-                tokens, first = _tokens(part)
-                ids = tree.ids(tokens)
-                root = np.full(len(tokens), unknown)
-                root[ids >= 0] = np.log10(tree.root[ids[ids >= 0]])
-                words, times = [], []
-                for a, b in zip(first[:-1], first[1:], strict=True):
-                    rare = tokens[a:b][ids[a:b] < 0]
-                    values, n = np.unique(rare.view(np.int64), return_counts=True)
-                    words.append(values)
-                    times.append(n.astype(np.int32))
-                columns = [
-                    pa.array(np.diff(first)),
-                    pa.array(np.add.reduceat((ids >= 0).astype(np.int64), first[:-1])),
-                    pa.array(np.add.reduceat(root, first[:-1])),
-                    pa.array(words, type=schema.field("words").type),
-                    pa.array(times, type=schema.field("times").type),
-                ]
-                given = [batch.column(c).slice(part.lo, part.hi - part.lo) for c in ("id", "held", "mark")]
-                yield pa.RecordBatch.from_arrays([*given, *columns], names=["id", "held", "mark", *schema.names])
+    return _over_chunks(chunks, shared, made, "chunk long, doc int, more double")
+
+
+def _first_messages(chunks: DataFrame, shared, hot: Hot, n_words: int) -> DataFrame:
+    """Each token to the bucket of the word before it, or of its shortest context that is not hot."""
+
+    def made(chunk: Chunk, row: dict) -> Iterator[pa.RecordBatch]:
+        words, out = shared.value, []
+        of_word = np.concatenate([words.bucket, (chunk.rare % np.uint64(words.n_buckets)).astype(np.int32)])
+        for level, (at, context, _, is_hot, root, x, q) in enumerate(hot.walk(chunk, words, _known(row))):
+            if is_hot.any():
+                at, context, root, x, q = (c[~is_hot] for c in (at, context, root, x, q))
+            if level:
+                bucket = words.n_buckets + (context % np.uint64(max(1, hot.n_buckets))).astype(np.int64)
+            else:
+                bucket = of_word[chunk.ids[at - 1]]
+            out += chunk.messages(bucket, at, root, x, level, n_words, True, q if level else None)
+        yield _sent_rows(out)
+
+    return _over_chunks(chunks, shared, made, _MESSAGE)
+
+
+def _next_messages(chunks: DataFrame, shared, left: DataFrame, n_words: int) -> DataFrame:
+    """The tokens that are ``left`` to the same buckets, with what is known there and the next words of their contexts."""
+    columns = [c for c in _MESSAGE.replace(",", "").split()[::2] if c != "chunk"]
+    each = left.where("kind = 1").groupBy("chunk").agg(F.collect_list(F.struct(*columns)).alias("left"))
+
+    def made(chunk: Chunk, row: dict) -> Iterator[pa.RecordBatch]:
+        out = []
+        for part in row["left"].to_pylist():
+            n = part["n"]
+            at, root, x, depth = _unpacked(part["payload"], [(np.int32, n)] * 4)
+            at = np.cumsum(at)
+            going = chunk.before(at, depth + 1) > 0
+            bucket = np.full(int(going.sum()), part["bucket"])
+            out += chunk.messages(bucket, at[going], root[going], x[going], depth[going], n_words, False)
+        if out:
+            yield _sent_rows(out)
+
+    sent = _over_chunks(chunks.join(each, "chunk"), shared, made, _MESSAGE)
+    return sent.unionAll(left.where("kind = 2").select(*sent.columns))
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], words: Words, n_words: int, first: bool):
+    """The tokens of a bucket as columns, their chunks, and the log probability of next words after the suffix."""
+    parts, chunks, rare, n_rare, qs, given = [], [], [], [], [], None
+    above, offset, words_from = len(words.counts), 0, 5 if first else 6
+    for batch in batches:
+        for row in batch.to_pylist():
+            n, r = row["n"], row["r"]
+            if row["chunk"] < 0:
+                (given,) = _unpacked(row["payload"], [(np.float64, n)])
+                continue
+            hot = first and row["bucket"] >= words.n_buckets
+            kinds = [(np.int32, n)] * 2 + [(np.bool_, n)] + [(np.int32, n)] * (3 + n_words)
+            *columns, names, counts = _unpacked(row["payload"], [*kinds, (np.uint64, r), (np.int64, r), *[(np.float64, n)] * hot])[: len(kinds) + 2]
+            if hot:
+                qs.append(_unpacked(row["payload"], [*kinds, (np.uint64, r), (np.int64, r), (np.float64, n)])[-1])
+            columns[0], columns[1] = np.cumsum(columns[0], dtype=np.int32), np.cumsum(columns[1], dtype=np.int32)
+            for c in columns[words_from:] if r else []:
+                c[c >= above] += offset
+            offset += r
+            parts.append(columns)
+            rare.append(names)
+            n_rare.append(counts)
+            chunks.append((row["chunk"], n))
+    if not parts:
+        return None
+    columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+    parts.clear()
+    names, inverse = np.unique(np.concatenate(rare), return_inverse=True)
+    if len(names):
+        for k in range(words_from, len(columns)):
+            far = columns[k] >= above
+            columns[k][far] = above + inverse[columns[k][far] - above]
+    x = columns[5]
+    q = np.full(len(x), np.nan)
+    if qs:
+        q = np.concatenate(qs)
+    elif first:
+        counts = np.concatenate([words.counts, np.zeros(len(names), dtype=np.int64)])
+        counts[above + inverse] = np.concatenate(n_rare)
+        q = np.where(x > 0, np.log((counts[x] + 1) / words.size), np.nan)
+    elif given is not None:
+        q[x > 0] = given[x[x > 0] - 1]
+    return columns, chunks, q
+
+
+def _grown(sent: DataFrame, shared, n_buckets: int, n_words: int, first: bool, divergence: float, kappa: float) -> DataFrame:
+    """Learns ``n_words`` levels below the states that tokens are in, and applies them, each bucket by itself.
+
+    kind 0: (chunk, doc, more), what the levels add to documents; kind 1: tokens that are in a state of the
+    last level; kind 2: log probabilities of what is known after those."""
 
-    id_type = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(
-        scored,
-        f"id {id_type}, held boolean, mark long, n_tokens long, known long, root double, words array<long>, times array<int>",
-    )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbered = [(k, b) for b in batches for k in pc.unique(b.column("bucket")).to_pylist()]
+        for bucket in sorted({k for k, _ in numbered}):
+            own = [b.filter(pc.equal(b.column("bucket"), bucket)) for k, b in numbered if k == bucket]
+            yield from grown(bucket, own)
+
+    def grown(bucket: int, batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gathered = _gathered(batches, shared.value, n_words, first)
+        if gathered is None:
+            return
+        (pos, doc, train, root, depth, x, *before), chunks, q = gathered
+        more = np.zeros(len(pos))
+        at, logp = np.arange(len(pos)), np.zeros(0)
+        for word in before:
+            usable = word[at] > 0
+            at, root, x, q = at[usable], root[usable], x[usable], q[usable]
+            _, context = np.unique(root.astype(np.int64) << 32 | word[at], return_inverse=True)
+            c = np.bincount(context, train[at]).astype(np.float64)
+            again = c[context] > 1
+            at, context, x, q = at[again], context[again], x[again], q[again]
+            has = np.flatnonzero(x > 0)
+            pairs, pair = np.unique(context[has].astype(np.int64) << 32 | x[has], return_inverse=True)
+            one = np.empty(len(pairs), dtype=np.int64)
+            one[pair] = has
+            n = np.bincount(pair, train[at[has]], minlength=len(pairs))
+            known = np.flatnonzero(n > 1)
+            n, logq, state = n[known], q[one[known]], pairs[known] >> 32
+            size = len(c)
+            share = (c - np.bincount(state, n - 1, minlength=size) + kappa) / (c + kappa)
+            logp = np.log((n - 1) / (c[state] + kappa) + share[state] * np.exp(logq))
+            gained = np.bincount(state, np.exp(logp) * (logp - logq), minlength=size)
+            rest = np.maximum(0.0, 1 - np.bincount(state, np.exp(logq), minlength=size))
+            kept = gained + rest * share * np.log(share) >= divergence
+            kept &= np.bincount(state, minlength=size) > 0
+            # From here on a next word is the number of its pair, 0 if it is not known after this context.
+            number = np.zeros(len(pairs), dtype=np.int64)
+            number[known] = np.arange(1, len(known) + 1)
+            x = np.zeros(len(at), dtype=np.int64)
+            x[has] = number[pair]
+            inside = kept[context]
+            at, root, x = at[inside], context[inside], x[inside]
+            more[at] += np.log10(share[root])
+            seen = x > 0
+            value = (logp - logq - np.log(share[state])) / np.log(10)
+            more[at[seen]] += value[x[seen] - 1]
+            q = np.full(len(at), np.nan)
+            q[seen] = logp[x[seen] - 1]
+        sizes = [n for _, n in chunks]
+        which = np.repeat(np.arange(len(chunks)), sizes)
+        opens = np.ones(len(pos), dtype=bool)
+        opens[1:] = (which[1:] != which[:-1]) | (doc[1:] != doc[:-1])
+        begin = np.flatnonzero(opens)
+        sums = np.add.reduceat(more, begin)
+        begin, sums = begin[sums != 0], sums[sums != 0]
+        names = np.array([c for c, _ in chunks])
+        for a in range(0, len(begin), 1 << 17):
+            own = begin[a : a + (1 << 17)]
+            yield rows(kind=0, doc=doc[own], more=sums[a : a + (1 << 17)], chunk=names[which[own]], n_rows=len(own))
+        if not len(at):
+            return
+        used, place = np.unique(x, return_inverse=True)
+        if used[0] > 0:
+            used, place = np.append(0, used), place + 1
+        _, root = np.unique(root, return_inverse=True)
+        yield rows(kind=2, bucket=[bucket], chunk=[-1], n=[len(used) - 1], r=[0], payload=[_packed(logp[used[1:] - 1])], n_rows=1)
+        edges = np.flatnonzero(np.diff(which[at], prepend=-1))
+        for a, b in zip(edges, [*edges[1:], len(at)], strict=True):
+            own = at[a:b]
+            payload = _packed(
+                np.diff(pos[own], prepend=0).astype(np.int32), root[a:b].astype(np.int32), place[a:b].astype(np.int32), depth[own] + np.int32(n_words)
+            )
+            yield rows(kind=1, bucket=[bucket], chunk=[names[which[own[0]]]], n=[b - a], r=[0], payload=[payload], n_rows=1)
+
+    kinds = {"kind": pa.int32(), "doc": pa.int32(), "more": pa.float64(), "bucket": pa.int32(), "chunk": pa.int64(), "n": pa.int64(), "r": pa.int64(), "payload": pa.binary()}
+
+    def rows(kind: int, n_rows: int, **given) -> pa.RecordBatch:
+        given["kind"] = np.full(n_rows, kind)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(given[c], type=t) if c in given else pa.nulls(n_rows, t) for c, t in kinds.items()], names=list(kinds)
+        )
+
+    return sent.repartitionById(n_buckets, "bucket").mapInArrow(run, _RESULT)
+
+
+def _tree_sums(
+    store: Store, chunks: DataFrame, counts: DataFrame, words: Words, shared, most: int, bucket_size: int, divergence: float, kappa: float
+) -> DataFrame:
+    """(chunk, doc, more), several rows a document: what all states, to any depth, add to the root."""
+    hot, chunks = _hot_levels(store, chunks, counts, words, shared, most, bucket_size, kappa, divergence, words.least > 2)
+    n_buckets, n_words = words.n_buckets + hot.n_buckets, _FIRST_LEVELS
+    sums = [store.put(_hot_sums(chunks, shared, hot), "sums")] if hot.states else []
+    left, first = None, True
+    while first or left.where("kind = 1").limit(1).count():
+        sent = _first_messages(chunks, shared, hot, n_words) if first else _next_messages(chunks, shared, left, n_words)
+        grown = store.put(_grown(sent, shared, n_buckets, n_words, first, divergence, kappa), "grown")
+        sums.append(store.put(grown.where("kind = 0").select("chunk", "doc", "more"), "sums"))
+        if left is not None:
+            store.drop(left)
+        left, first, n_words = grown, False, min(16, 2 * n_words)
+    return functools.reduce(DataFrame.unionAll, sums)
 
 
 def score_texts(
@@ -526,6 +820,8 @@ def score_texts(
     p_min: float = P_MIN,
     divergence: float = DIVERGENCE,
     kappa: float = KAPPA,
+    most: int = MOST,
+    bucket_size: int = BUCKET_SIZE,
 ) -> DataFrame:
     """Scores of all texts by a model learned from the rows that are not held out.
 
@@ -546,44 +842,52 @@ def score_texts(
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
         F.coalesce(held_out, F.lit(False)).alias("held"),
     )
-    training = docs.where(~F.col("held")).select("text")
-    docs = docs.withColumn("mark", F.xxhash64("text"))
     with _freed(spark):
-        counts = store.put(_counted(training, lambda tokens, first: tokens), "words")
+        counts = store.put(_counted(docs.where(~F.col("held")).select("text"), lambda tokens, first: tokens), "words")
         total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-        # At most 1 / p_head words reach this.
-        heads, n = _bounded(counts.where(F.col("n") >= F.lit(p_head * total)))
+        # At most 1 / p_head words are broadcast, of those seen twice or more; frequent ones first.
+        sizes = counts.where("n > 1").groupBy(F.least("n", F.lit(1 << 14)).alias("n")).count().orderBy(F.desc("n")).collect()
+        least, held_words = 1 << 14, 0
+        for row in sizes:
+            held_words += row["count"]
+            if held_words > 1 / p_head:
+                break
+            least = row["n"]
+        else:
+            least = 2
+        heads, n = _bounded(counts.where(F.col("n") >= F.lit(max(least, p_head * total) if least == 1 << 14 else least)))
         tree = Tree(heads.view(np.uint64), n, total, distinct, p_min)
-        more = _tree_sums(store, docs, training, counts, tree, p_head * total, divergence, kappa)
-        rows = store.put(_scored(docs, tree), "scored")
-    rare = rows.select("id", "mark", F.explode(F.arrays_zip("words", "times")).alias("w"))
-    rare = rare.select("id", "mark", F.col("w.words").alias("key"), F.col("w.times").alias("times"))
-    # Words that are no heads count as unknown in the rows; this is what the known ones have above that.
+        hot = _bounded(counts.where(F.col("n") > most))[0].view(np.uint64)
+        words = Words(tree, least, hot, bucket_size)
+        rows = store.put(_chunks(docs, words), "rows")
+        texts = rows.where("doc >= 0")
+        chunks = rows.where("doc < 0").select("chunk", "n_tokens", "known", "tokens", "rare")
+        if least > 2:
+            # Each chunk gets the counts of its words that are not broadcast.
+            asked = chunks.select("chunk", F.explode("rare").alias("key")).join(counts.where("n > 1"), "key")
+            asked = asked.groupBy("chunk").agg(F.collect_list(F.struct("key", "n")).alias("counted"))
+            chunks = store.put(chunks.join(asked, "chunk", "left"), "chunks")
+            texts = store.put(texts, "texts")
+            store.drop(rows)
+        else:
+            chunks = chunks.withColumn("counted", F.lit(None).cast("array<struct<key:long,n:long>>"))
+        shared = spark.sparkContext.broadcast(words)
+        more = _tree_sums(store, chunks, counts, words, shared, most, bucket_size, divergence, kappa)
+    rare = texts.select("chunk", "doc", F.explode(F.arrays_zip("words", "times")).alias("w"))
+    rare = rare.select("chunk", "doc", F.col("w.words").alias("key"), F.col("w.times").alias("times"))
+    # Words that are not broadcast count as unknown in the rows; this is what the known ones have above that.
     parts = rare.join(counts, "key").select(
-        "id", "mark", (F.col("times") * F.log10(F.col("n") + 1)).alias("root"), F.col("times").alias("known"), F.lit(0.0).alias("more")
-    )
-    if more is not None:
-        parts = parts.unionAll(more.select("id", "mark", F.lit(0.0), F.lit(0), "more"))
-    sums = (
-        parts.groupBy("id", "mark")
-        .agg(*[F.sum(c).alias(f"_{c}") for c in ("root", "known", "more")])
-        .select(F.col("id").alias("_id"), F.col("mark").alias("_mark"), "_root", "_known", "_more")
-    )
-    once = rows.groupBy("id", "mark").agg(
-        F.count("*").alias("copies"),
-        *[F.first(x).alias(x) for x in ("held", "n_tokens", "known", "root")],
+        "chunk", "doc", (F.col("times") * F.log10(F.col("n") + 1)).alias("_root"), F.col("times").cast("long").alias("_known"), F.lit(0.0).alias("_more")
     )
-    joined = once.join(sums, F.col("id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")), "left")
-    root, more = (F.coalesce(F.col(c) / F.col("copies"), F.lit(0.0)) for c in ("_root", "_more"))
-    # A row for each copy, made in two steps so that no array is long.
-    thousands = F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / 1000))
-    within = F.sequence(F.lit(1), F.least(F.lit(1000), F.col("copies") - 1000 * F.col("_k")).cast("int"))
-    joined = joined.withColumn("_k", F.explode(thousands)).withColumn("_k", F.explode(within))
+    parts = parts.unionAll(more.select("chunk", "doc", F.lit(0.0), F.lit(0).cast("long"), "more"))
+    sums = parts.groupBy("chunk", "doc").agg(*[F.sum(c).alias(c) for c in ("_root", "_known", "_more")])
+    joined = texts.select("id", "held", "chunk", "doc", "n_tokens", "known", "root").join(sums, ["chunk", "doc"], "left")
+    root, known, more = (F.coalesce(F.col(c), F.lit(0)) for c in ("_root", "_known", "_more"))
     return joined.select(
         F.col("id").alias(id_col),
         F.col("held").alias("held_out"),
         "n_tokens",
-        (F.col("known") + F.coalesce((F.col("_known") / F.col("copies")).cast("long"), F.lit(0))).alias("n_known"),
+        (F.col("known") + known).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("root") + root).alias("base_score"),
         (F.col("root") + root + more).alias("score"),

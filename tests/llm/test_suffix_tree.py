@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from quotemill.llm.store import Store
 from quotemill.llm.suffix_tree_lm import score_texts
 
 
@@ -101,3 +102,25 @@ def test_texts_without_words(spark):
     assert [(r.n_tokens, r.n_known, r.train_tokens) for r in got] == [(1, 1, 2)] * 3
     assert all(abs(r.score - math.log10(3 / 4)) < 1e-9 for r in got)
     assert score_texts(df.where("false"), F.col("doc_id") == 2).collect() == []
+
+
+def test_contexts_with_more_tokens_than_a_bucket_takes(spark):
+    rows = corpus(7) + [(100 + k, "so it goes on and on and on") for k in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want, _ = tree_scores(rows, lambda key: key % 5 == 2)
+    # Three levels or more of contexts are too large for a bucket, and for the others there are many buckets.
+    for p_head, most, bucket_size in ((1e-6, 20, 50), (0.1, 20, 50), (1e-6, 5, 1 << 20)):
+        got = score_texts(df, F.col("doc_id") % 5 == 2, p_head=p_head, p_min=1.0, most=most, bucket_size=bucket_size).collect()
+        by_id = {r.doc_id: r.score for r in got}
+        assert len(got) == len(rows)
+        assert all(abs(by_id[key] - w) < 1e-9 for (key, _), w in zip(rows, want, strict=True))
+
+
+def test_several_levels_in_one_pass(spark, monkeypatch):
+    """A tree as deep as this took three tables or more a level."""
+    rows = corpus(5)
+    _, longest = tree_scores(rows, lambda key: key % 5 == 2)
+    tables, put = [], Store.put
+    monkeypatch.setattr(Store, "put", lambda self, df, name: tables.append(name) or put(self, df, name))
+    score_texts(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") % 5 == 2).collect()
+    assert longest >= 6 and len(tables) <= 8
