@@ -301,22 +301,37 @@ def _unpacked(data: bytes, columns: list[tuple[type, int]]) -> list[np.ndarray]:
 
 
 class Words:
-    """Numbers of the broadcast words, 1 for the most frequent; 0 for what a context or next word need not tell."""
+    """Words by number, in the order of their counts, 1 for the most frequent; 0 for what a context or next word need not
+    tell, as it is seen less than twice. The first ones are broadcast; of the others it knows how many have each count."""
 
-    def __init__(self, tree: Tree, least: int, hot: np.ndarray, bucket_size: int):
-        self.heads, self.least = tree.heads, least
+    def __init__(self, tree: Tree, sizes: list[tuple[int, int]], hot: np.ndarray, bucket_size: int):
+        self.heads = tree.heads
         order = np.argsort(-tree.counts, kind="stable")
         self.number = np.empty(len(order), dtype=np.int32)
         self.number[order] = np.arange(1, len(order) + 1)
         self.keys = np.concatenate([np.zeros(1, dtype=np.uint64), tree.heads[order]])
-        self.counts = np.concatenate([[0], tree.counts[order]]).astype(np.int64)
-        self.total, self.size = tree.total, tree.total + tree.distinct + 1
+        self.head_counts = np.concatenate([[0], tree.counts[order]]).astype(np.int64)
+        self.first = len(self.head_counts)
+        others = sorted(((n, size) for n, size in sizes), reverse=True)
+        self.values = np.array([n for n, _ in others], dtype=np.int64)
+        self.starts = self.first + np.cumsum([0, *(size for _, size in others)])[:-1]
+        self.size = tree.total + tree.distinct + 1
         # Words of similar frequency share a bucket of about so many tokens.
-        own = np.where(np.isin(self.keys, hot), 0, self.counts)
-        self.n_buckets = max(1, -(-int(tree.total - self.counts[np.isin(self.keys, hot)].sum()) // bucket_size))
+        is_hot = np.isin(self.keys, hot)
+        own = np.where(is_hot, 0, self.head_counts)
+        self.n_buckets = max(1, -(-int(tree.total - self.head_counts[is_hot].sum()) // bucket_size))
         before = np.cumsum(own) - own
         self.bucket = (before * self.n_buckets // max(1, int(own.sum()))).clip(0, self.n_buckets - 1).astype(np.int32)
 
+    def counts(self, ids: np.ndarray) -> np.ndarray:
+        out = self.head_counts[np.minimum(ids, self.first - 1)]
+        far = np.flatnonzero(ids >= self.first)
+        out[far] = self.values[np.searchsorted(self.starts, ids[far], side="right") - 1] if len(far) else 0
+        return out
+
+    def buckets(self, ids: np.ndarray) -> np.ndarray:
+        return np.where(ids < self.first, self.bucket[np.minimum(ids, self.first - 1)], ids % self.n_buckets)
+
     def ids(self, tokens: np.ndarray) -> np.ndarray:
         values, inverse = np.unique(tokens, return_inverse=True)
         at = _find(self.heads, values)
@@ -340,15 +355,15 @@ def _chunks(docs: DataFrame, words: Words) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, task, n_chunks = shared.value, TaskContext.get().partitionId(), 0
-        unknown, roots = -np.log10(words.size), np.log10((words.counts + 1) / words.size)
+        unknown, roots = -np.log10(words.size), np.log10((words.head_counts + 1) / words.size)
         held, size, n_docs = [], 0, 0
 
         def closed():
             ids, lengths, train, rare = (np.concatenate(x) for x in zip(*held, strict=True))
             names, place = np.unique(rare, return_inverse=True)
-            if words.least > 2:
+            if len(words.values):
                 ids = ids.copy()
-                ids[ids < 0] = len(words.counts) + place.astype(np.int32)
+                ids[ids < 0] = words.first + place.astype(np.int32)
             else:
                 # Every word seen twice is broadcast.
                 ids, names = np.maximum(ids, 0), names[:0]
@@ -407,6 +422,18 @@ def _chunks(docs: DataFrame, words: Words) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+def _numbered(store: Store, counts: DataFrame, words: Words) -> DataFrame:
+    """(key, number) of the words that are not broadcast, by falling count."""
+    placed = store.put(counts.orderBy(F.desc("n")).select("key", F.monotonically_increasing_id().alias("at")), "numbers")
+    part = F.shiftright("at", 33)
+    sizes = placed.groupBy(part.alias("part")).count().orderBy("part").collect()
+    starts = words.first + np.cumsum([0, *(r["count"] for r in sizes)])
+    starts = [(r["part"], int(start)) for r, start in zip(sizes, starts, strict=False)]
+    starts = placed.sparkSession.createDataFrame(starts, "part long, start long")
+    placed = placed.join(F.broadcast(starts), part == F.col("part"))
+    return placed.select("key", (F.col("start") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).cast("int").alias("number"))
+
+
 class Chunk:
     """A chunk's tokens: word numbers, the place of each in its document, the document, and whether it is learned."""
 
@@ -419,24 +446,33 @@ class Chunk:
         self.train = np.repeat(train, lengths)
         starts = np.cumsum(lengths) - lengths
         self.age = (np.arange(len(self.ids)) - np.repeat(starts, lengths)).astype(np.int32)
-        # Words that are not broadcast have the numbers above; those seen less than twice tell nothing.
-        self.first = len(words.counts)
-        self.rare = row["rare"].to_numpy().view(np.uint64)
-        self.rare_n = np.zeros(len(self.rare), dtype=np.int64)
-        if len(self.rare):
+        if len(row["rare"]):
+            # The tokens tell the place in the chunk's list of words that are not broadcast; the number was joined.
+            place = self.ids - words.first
+            far = place >= 0
+            rare = row["rare"].to_numpy().view(np.uint64)
+            number = np.zeros(len(rare), dtype=np.int32)
             if row["counted"] is not None:
-                key, n = (row["counted"].field(c).to_numpy() for c in ("key", "n"))
-                self.rare_n[_find(self.rare, key.view(np.uint64))] = n
-            far = self.ids >= self.first
-            self.ids[far] = np.where(self.rare_n[self.ids[far] - self.first] > 1, self.ids[far], 0)
+                key, given = (row["counted"].field(c).to_numpy() for c in ("key", "number"))
+                number[_find(rare, key.view(np.uint64))] = given
+            self.ids[far] = number[place[far]]
+            self.far, self.far_keys = far, rare[place[far]]
+        else:
+            self.far, self.far_keys = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+
+    def keys(self, words: Words) -> np.ndarray:
+        """Hash of each token, 0 if it is seen less than twice."""
+        keys = words.keys[np.minimum(self.ids, words.first - 1)]
+        keys[self.far] = np.where(self.ids[self.far] > 0, self.far_keys, np.uint64(0))
+        return keys
 
     def before(self, at: np.ndarray, distance: np.ndarray | int) -> np.ndarray:
         """The word so far before each token, 0 where the text begins after it."""
         return np.where(self.age[at] >= distance, self.ids[np.maximum(at - distance, 0)], np.int32(0))
 
-    def messages(self, bucket: np.ndarray, at: np.ndarray, root, x: np.ndarray, depth, n_words: int, first: bool, q=None) -> list[dict]:
+    def messages(self, bucket: np.ndarray, at: np.ndarray, root, x: np.ndarray, depth, n_words: int, q=None) -> list[dict]:
         """A message for each bucket with the tokens that it takes: their state so far, and the next words of their
-        contexts. ``x`` is the next word in ``first`` messages, and then the number of what was known of it."""
+        contexts. ``x`` is the next word in the first messages, and then the number of what was known of it."""
         if not len(at):
             return []
         order = np.argsort(bucket.astype(np.uint16) if bucket.max() < 1 << 16 else bucket, kind="stable")
@@ -449,32 +485,36 @@ class Chunk:
         for a, b in zip(edges, [*edges[1:], len(at)], strict=True):
             own = [c[a:b] for c in columns]
             own[0], own[1] = np.diff(own[0], prepend=np.int32(0)), np.diff(own[1], prepend=np.int32(0))
-            sent = np.zeros(0, dtype=np.int64)
-            if len(self.rare):
-                from_ = 5 if first else 6
-                sent = np.unique(np.concatenate([c[c >= self.first] for c in own[from_:]]))
-                own[from_:] = [np.where(c >= self.first, self.first + np.searchsorted(sent, c), c).astype(np.int32) for c in own[from_:]]
-                sent = sent - self.first
             more = [] if q is None else [q[order[a:b]]]
-            payload = _packed(*own, self.rare[sent], self.rare_n[sent], *more)
-            out.append({"bucket": int(bucket[a]), "chunk": self.number, "n": b - a, "r": len(sent), "payload": payload})
+            out.append({"bucket": int(bucket[a]), "chunk": self.number, "n": b - a, "payload": _packed(*own, *more)})
         return out
 
 
-_MESSAGE = "bucket int, chunk long, n long, r long, payload binary"
-_RESULT = f"kind int, doc int, more double, {_MESSAGE}"
+_MESSAGE = "bucket int, chunk long, n long, payload binary"
+_RESULT = f"kind int, {_MESSAGE}"
 
 
 def _sent_rows(rows: list[dict]) -> pa.RecordBatch:
-    schema = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("n", pa.int64()), ("r", pa.int64()), ("payload", pa.binary())])
+    schema = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("n", pa.int64()), ("payload", pa.binary())])
     return pa.RecordBatch.from_pylist(rows, schema=schema)
 
 
 class Hot:
-    """Contexts with more tokens than a bucket takes, level by level: their keys, and of the states their value."""
-
-    def __init__(self, n_buckets: int):
-        self.keys, self.states, self.values, self.n_buckets = [], [], [], n_buckets
+    """Contexts with more tokens than a bucket takes, level by level: their keys, of the states their value, and of
+    what is known after those the most frequent: keys, values and log probabilities."""
+
+    def __init__(self):
+        self.keys, self.states, self.values, self.tables, self.n_buckets = [], [], [], [], 0
+
+    def known(self, level: int, keys: np.ndarray, own: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which next words are known, their values and log probabilities; ``own`` is what `_known` gives."""
+        found, value, logp = np.zeros(len(keys), dtype=bool), np.zeros(len(keys)), np.full(len(keys), np.nan)
+        for names, values, logps in (self.tables[level].value, own):
+            at = np.where(keys != 0, _find(names, keys), -1)
+            new = at >= 0
+            found |= new
+            value[new], logp[new] = values[at[new]], logps[at[new]]
+        return found, value, logp
 
     def walk(self, chunk: Chunk, words: Words, known=None) -> Iterator[tuple]:
         """For each level the tokens whose context so far is a state: their places, contexts, keys of next words after
@@ -485,7 +525,7 @@ class Hot:
         if not self.keys:
             yield at, context, context, np.zeros(len(at), dtype=bool), root, x, q
             return
-        keys = np.concatenate([words.keys, chunk.rare])[chunk.ids]
+        keys = chunk.keys(words)
         up = keys[at]
         for level in range(len(self.keys) + 1):
             usable = chunk.before(at, level + 1) > 0
@@ -502,9 +542,8 @@ class Hot:
             up = np.where(up != 0, _next(context, up), np.uint64(0))
             q = np.full(len(at), np.nan)
             if known is not None:
-                found = np.where(up != 0, _find(known[0], up), -1)
-                x = np.where(found >= 0, x, 0)
-                q[found >= 0] = known[2][found[found >= 0]]
+                found, _, q = self.known(level, up, known)
+                x = np.where(found, x, 0)
 
 
 def _known(row: dict) -> tuple[np.ndarray, ...]:
@@ -530,9 +569,19 @@ def _over_chunks(chunks: DataFrame, words, made, schema: str) -> DataFrame:
     return chunks.mapInArrow(run, schema)
 
 
-def _hot_levels(store: Store, chunks: DataFrame, counts: DataFrame, words: Words, shared, most: int, bucket_size: int, kappa: float, divergence: float, own_table: bool):
+def _least(counted: DataFrame, limit: float) -> tuple[int, list[tuple[int, int]]]:
+    """The least ``n``, of 2 or more, that at most ``limit`` rows reach, and how many rows have each one below."""
+    sizes = sorted((tuple(r) for r in counted.where("n > 1").groupBy("n").count().collect()), reverse=True)
+    total = np.cumsum([size for _, size in sizes])
+    near = int(np.searchsorted(total, limit, side="right"))
+    if near == len(sizes):
+        return 2, []
+    return sizes[near][0] + 1, sizes[near:]
+
+
+def _hot_levels(store: Store, chunks: DataFrame, counts: DataFrame, words: Words, shared, most: int, bucket_size: int, kappa: float, divergence: float, own_table: bool, n_known: float):
     """States among contexts that more than ``most`` tokens follow, and the chunks with what is known after them."""
-    hot = Hot(0)
+    hot = Hot()
     end = int(END.view(np.int64))
     above = counts.select(F.col("key").alias("up"), F.log((F.col("n") + 1) / F.lit(float(words.size))).alias("logq"))
     found = _bounded(counts.where((F.col("n") > most) & (F.col("key") != F.lit(end))))
@@ -543,7 +592,9 @@ def _hot_levels(store: Store, chunks: DataFrame, counts: DataFrame, words: Words
         def made(chunk: Chunk, row: dict) -> Iterator[pa.RecordBatch]:
             at, context, up, is_hot, *_ = list(hot.walk(chunk, shared.value))[level]
             if kind == "asked":
-                keys = np.unique(_next(context, up)[np.where(is_hot, _find(hot.states[level], context), -1) >= 0])
+                inside = np.where(is_hot & (up != 0), _find(hot.states[level], context), -1) >= 0
+                keys = np.unique(_next(context[inside], up[inside]))
+                keys = keys[_find(hot.tables[level].value[0], keys) < 0]
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), chunk.number)), pa.array(keys.view(np.int64))], names=["chunk", "key"])
                 return
             learned = chunk.train[at] if kind == "longer" else chunk.train[at] & is_hot
@@ -559,7 +610,7 @@ def _hot_levels(store: Store, chunks: DataFrame, counts: DataFrame, words: Words
 
         return made
 
-    while len(keys):
+    while len(keys) and (not hot.states or len(hot.states[-1])):
         level = len(hot.keys)
         hot.keys.append(keys)
         rows = _over_chunks(chunks, shared, rows_of("pairs"), "ctx long, up long, n long")
@@ -572,11 +623,16 @@ def _hot_levels(store: Store, chunks: DataFrame, counts: DataFrame, words: Words
         hot.states.append(own[order])
         hot.values.append(states["value"].to_numpy()[order])
         spread = max(spread, int(states["n"].to_numpy().sum()))
-        if not len(own):
-            break
-        ask = _over_chunks(chunks, shared, rows_of("asked"), "chunk long, key long")
-        given = table.where("not is_state").select("key", "value", "logp")
-        asked.append(store.put(ask.join(given, "key"), "asked"))
+        given = table.where("not is_state").select("key", "value", "logp", "n")
+        least, n_rest = _least(given, n_known)
+        near = given.where(F.col("n") >= least).select("key", "value", "logp").toArrow()
+        names = near["key"].to_numpy().view(np.uint64)
+        order = np.argsort(names)
+        near = (names[order], near["value"].to_numpy()[order], near["logp"].to_numpy()[order])
+        hot.tables.append(chunks.sparkSession.sparkContext.broadcast(near))
+        if n_rest:
+            ask = _over_chunks(chunks, shared, rows_of("asked"), "chunk long, key long")
+            asked.append(store.put(ask.join(given.where(F.col("n") < least).drop("n"), "key"), "asked"))
         if former is not None:
             store.drop(former)
         former = table
@@ -607,8 +663,9 @@ def _hot_sums(chunks: DataFrame, shared, hot: Hot) -> DataFrame:
         for level, (at, context, up, is_hot, *_) in zip(range(len(hot.states)), hot.walk(chunk, shared.value, known)):
             own = np.where(is_hot, _find(hot.states[level], context), -1)
             more += np.bincount(chunk.doc[at[own >= 0]], hot.values[level][own[own >= 0]], minlength=len(more))
-            pair = np.where((own >= 0) & (up != 0), _find(known[0], _next(context, up)), -1)
-            more += np.bincount(chunk.doc[at[pair >= 0]], known[1][pair[pair >= 0]], minlength=len(more))
+            inside = (own >= 0) & (up != 0)
+            _, value, _ = hot.known(level, _next(context[inside], up[inside]), known)
+            more += np.bincount(chunk.doc[at[inside]], value, minlength=len(more))
         docs = np.flatnonzero(more)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.full(len(docs), chunk.number)), pa.array(docs.astype(np.int32)), pa.array(more[docs])], names=["chunk", "doc", "more"]
@@ -622,15 +679,14 @@ def _first_messages(chunks: DataFrame, shared, hot: Hot, n_words: int) -> DataFr
 
     def made(chunk: Chunk, row: dict) -> Iterator[pa.RecordBatch]:
         words, out = shared.value, []
-        of_word = np.concatenate([words.bucket, (chunk.rare % np.uint64(words.n_buckets)).astype(np.int32)])
         for level, (at, context, _, is_hot, root, x, q) in enumerate(hot.walk(chunk, words, _known(row))):
             if is_hot.any():
                 at, context, root, x, q = (c[~is_hot] for c in (at, context, root, x, q))
             if level:
                 bucket = words.n_buckets + (context % np.uint64(max(1, hot.n_buckets))).astype(np.int64)
             else:
-                bucket = of_word[chunk.ids[at - 1]]
-            out += chunk.messages(bucket, at, root, x, level, n_words, True, q if level else None)
+                bucket = words.buckets(chunk.ids[at - 1])
+            out += chunk.messages(bucket, at, root, x, level, n_words, q if level else None)
         yield _sent_rows(out)
 
     return _over_chunks(chunks, shared, made, _MESSAGE)
@@ -649,7 +705,7 @@ def _next_messages(chunks: DataFrame, shared, left: DataFrame, n_words: int) ->
             at = np.cumsum(at)
             going = chunk.before(at, depth + 1) > 0
             bucket = np.full(int(going.sum()), part["bucket"])
-            out += chunk.messages(bucket, at[going], root[going], x[going], depth[going], n_words, False)
+            out += chunk.messages(bucket, at[going], root[going], x[going], depth[going], n_words)
         if out:
             yield _sent_rows(out)
 
@@ -657,55 +713,39 @@ def _next_messages(chunks: DataFrame, shared, left: DataFrame, n_words: int) ->
     return sent.unionAll(left.where("kind = 2").select(*sent.columns))
 
 
-def _gathered(batches: Iterator[pa.RecordBatch], words: Words, n_words: int, first: bool):
+def _gathered(batches: list[pa.RecordBatch], words: Words, n_words: int, first: bool):
     """The tokens of a bucket as columns, their chunks, and the log probability of next words after the suffix."""
-    parts, chunks, rare, n_rare, qs, given = [], [], [], [], [], None
-    above, offset, words_from = len(words.counts), 0, 5 if first else 6
+    parts, chunks, given, hot = [], [], None, False
     for batch in batches:
         for row in batch.to_pylist():
-            n, r = row["n"], row["r"]
+            n = row["n"]
             if row["chunk"] < 0:
                 (given,) = _unpacked(row["payload"], [(np.float64, n)])
                 continue
             hot = first and row["bucket"] >= words.n_buckets
-            kinds = [(np.int32, n)] * 2 + [(np.bool_, n)] + [(np.int32, n)] * (3 + n_words)
-            *columns, names, counts = _unpacked(row["payload"], [*kinds, (np.uint64, r), (np.int64, r), *[(np.float64, n)] * hot])[: len(kinds) + 2]
-            if hot:
-                qs.append(_unpacked(row["payload"], [*kinds, (np.uint64, r), (np.int64, r), (np.float64, n)])[-1])
+            columns = _unpacked(row["payload"], [*[(np.int32, n)] * 2, (np.bool_, n), *[(np.int32, n)] * (3 + n_words), *[(np.float64, n)] * hot])
             columns[0], columns[1] = np.cumsum(columns[0], dtype=np.int32), np.cumsum(columns[1], dtype=np.int32)
-            for c in columns[words_from:] if r else []:
-                c[c >= above] += offset
-            offset += r
             parts.append(columns)
-            rare.append(names)
-            n_rare.append(counts)
             chunks.append((row["chunk"], n))
     if not parts:
         return None
-    columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
-    parts.clear()
-    names, inverse = np.unique(np.concatenate(rare), return_inverse=True)
-    if len(names):
-        for k in range(words_from, len(columns)):
-            far = columns[k] >= above
-            columns[k][far] = above + inverse[columns[k][far] - above]
+    columns = [np.concatenate([part.pop(0) for part in parts]) for _ in parts[0][:]]
     x = columns[5]
+    if hot:
+        return columns[:-1], chunks, columns[-1]
     q = np.full(len(x), np.nan)
-    if qs:
-        q = np.concatenate(qs)
-    elif first:
-        counts = np.concatenate([words.counts, np.zeros(len(names), dtype=np.int64)])
-        counts[above + inverse] = np.concatenate(n_rare)
-        q = np.where(x > 0, np.log((counts[x] + 1) / words.size), np.nan)
+    has = np.flatnonzero(x > 0)
+    if first:
+        q[has] = np.log((words.counts(x[has]) + 1) / words.size)
     elif given is not None:
-        q[x > 0] = given[x[x > 0] - 1]
+        q[has] = given[x[has] - 1]
     return columns, chunks, q
 
 
 def _grown(sent: DataFrame, shared, n_buckets: int, n_words: int, first: bool, divergence: float, kappa: float) -> DataFrame:
     """Learns ``n_words`` levels below the states that tokens are in, and applies them, each bucket by itself.
 
-    kind 0: (chunk, doc, more), what the levels add to documents; kind 1: tokens that are in a state of the
+    kind 0: what the levels add to the documents of a chunk; kind 1: tokens that are in a state of the
     last level; kind 2: log probabilities of what is known after those."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -763,50 +803,67 @@ def _grown(sent: DataFrame, shared, n_buckets: int, n_words: int, first: bool, d
         sums = np.add.reduceat(more, begin)
         begin, sums = begin[sums != 0], sums[sums != 0]
         names = np.array([c for c, _ in chunks])
-        for a in range(0, len(begin), 1 << 17):
-            own = begin[a : a + (1 << 17)]
-            yield rows(kind=0, doc=doc[own], more=sums[a : a + (1 << 17)], chunk=names[which[own]], n_rows=len(own))
+        edges = np.flatnonzero(np.diff(which[begin], prepend=-1)).tolist()
+        for a, b in zip(edges, [*edges[1:], len(begin)][: len(edges)], strict=True):
+            payload = _packed(doc[begin[a:b]], sums[a:b])
+            yield rows(kind=0, bucket=[bucket], chunk=[names[which[begin[a]]]], n=[b - a], payload=[payload])
         if not len(at):
             return
         used, place = np.unique(x, return_inverse=True)
         if used[0] > 0:
             used, place = np.append(0, used), place + 1
         _, root = np.unique(root, return_inverse=True)
-        yield rows(kind=2, bucket=[bucket], chunk=[-1], n=[len(used) - 1], r=[0], payload=[_packed(logp[used[1:] - 1])], n_rows=1)
+        yield rows(kind=2, bucket=[bucket], chunk=[-1], n=[len(used) - 1], payload=[_packed(logp[used[1:] - 1])])
         edges = np.flatnonzero(np.diff(which[at], prepend=-1))
         for a, b in zip(edges, [*edges[1:], len(at)], strict=True):
             own = at[a:b]
             payload = _packed(
                 np.diff(pos[own], prepend=0).astype(np.int32), root[a:b].astype(np.int32), place[a:b].astype(np.int32), depth[own] + np.int32(n_words)
             )
-            yield rows(kind=1, bucket=[bucket], chunk=[names[which[own[0]]]], n=[b - a], r=[0], payload=[payload], n_rows=1)
+            yield rows(kind=1, bucket=[bucket], chunk=[names[which[own[0]]]], n=[b - a], payload=[payload])
 
-    kinds = {"kind": pa.int32(), "doc": pa.int32(), "more": pa.float64(), "bucket": pa.int32(), "chunk": pa.int64(), "n": pa.int64(), "r": pa.int64(), "payload": pa.binary()}
-
-    def rows(kind: int, n_rows: int, **given) -> pa.RecordBatch:
-        given["kind"] = np.full(n_rows, kind)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(given[c], type=t) if c in given else pa.nulls(n_rows, t) for c, t in kinds.items()], names=list(kinds)
-        )
+    def rows(kind: int, **given) -> pa.RecordBatch:
+        columns = {"bucket": pa.int32(), "chunk": pa.int64(), "n": pa.int64(), "payload": pa.binary()}
+        made = [pa.array([kind], type=pa.int32()), *(pa.array(given[c], type=t) for c, t in columns.items())]
+        return pa.RecordBatch.from_arrays(made, names=["kind", *columns])
 
     return sent.repartitionById(n_buckets, "bucket").mapInArrow(run, _RESULT)
 
 
+def _summed(grown: DataFrame) -> DataFrame:
+    """(chunk, doc, more): what all buckets add to each document."""
+    each = grown.where("kind = 0").groupBy("chunk").agg(F.collect_list(F.struct("n", "payload")).alias("parts"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, given in zip(batch.column("chunk").to_pylist(), batch.column("parts"), strict=True):
+                parts = [_unpacked(p["payload"], [(np.int32, p["n"]), (np.float64, p["n"])]) for p in given.as_py()]
+                docs, more = (np.concatenate(c) for c in zip(*parts, strict=True))
+                sums = np.bincount(docs, more)
+                docs = np.flatnonzero(sums)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(docs), chunk)), pa.array(docs.astype(np.int32)), pa.array(sums[docs])], names=["chunk", "doc", "more"]
+                )
+
+    return each.mapInArrow(run, "chunk long, doc int, more double")
+
+
 def _tree_sums(
-    store: Store, chunks: DataFrame, counts: DataFrame, words: Words, shared, most: int, bucket_size: int, divergence: float, kappa: float
+    store: Store, chunks: DataFrame, counts: DataFrame, words: Words, shared, most: int, bucket_size: int, divergence: float, kappa: float, n_known: float
 ) -> DataFrame:
     """(chunk, doc, more), several rows a document: what all states, to any depth, add to the root."""
-    hot, chunks = _hot_levels(store, chunks, counts, words, shared, most, bucket_size, kappa, divergence, words.least > 2)
+    hot, chunks = _hot_levels(store, chunks, counts, words, shared, most, bucket_size, kappa, divergence, len(words.values) > 0, n_known)
     n_buckets, n_words = words.n_buckets + hot.n_buckets, _FIRST_LEVELS
     sums = [store.put(_hot_sums(chunks, shared, hot), "sums")] if hot.states else []
     left, first = None, True
     while first or left.where("kind = 1").limit(1).count():
         sent = _first_messages(chunks, shared, hot, n_words) if first else _next_messages(chunks, shared, left, n_words)
         grown = store.put(_grown(sent, shared, n_buckets, n_words, first, divergence, kappa), "grown")
-        sums.append(store.put(grown.where("kind = 0").select("chunk", "doc", "more"), "sums"))
         if left is not None:
             store.drop(left)
-        left, first, n_words = grown, False, min(16, 2 * n_words)
+        sums.append(store.put(_summed(grown), "sums"))
+        left, first, n_words = store.put(grown.where("kind > 0"), "left"), False, min(16, 2 * n_words)
+        store.drop(grown)
     return functools.reduce(DataFrame.unionAll, sums)
 
 
@@ -845,34 +902,26 @@ def score_texts(
     with _freed(spark):
         counts = store.put(_counted(docs.where(~F.col("held")).select("text"), lambda tokens, first: tokens), "words")
         total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-        # At most 1 / p_head words are broadcast, of those seen twice or more; frequent ones first.
-        sizes = counts.where("n > 1").groupBy(F.least("n", F.lit(1 << 14)).alias("n")).count().orderBy(F.desc("n")).collect()
-        least, held_words = 1 << 14, 0
-        for row in sizes:
-            held_words += row["count"]
-            if held_words > 1 / p_head:
-                break
-            least = row["n"]
-        else:
-            least = 2
-        heads, n = _bounded(counts.where(F.col("n") >= F.lit(max(least, p_head * total) if least == 1 << 14 else least)))
+        # At most 1 / p_head words are broadcast.
+        least, sizes = _least(counts, 1 / p_head)
+        heads, n = _bounded(counts.where(F.col("n") >= least))
         tree = Tree(heads.view(np.uint64), n, total, distinct, p_min)
         hot = _bounded(counts.where(F.col("n") > most))[0].view(np.uint64)
-        words = Words(tree, least, hot, bucket_size)
+        words = Words(tree, sizes, hot, bucket_size)
         rows = store.put(_chunks(docs, words), "rows")
         texts = rows.where("doc >= 0")
         chunks = rows.where("doc < 0").select("chunk", "n_tokens", "known", "tokens", "rare")
-        if least > 2:
-            # Each chunk gets the counts of its words that are not broadcast.
-            asked = chunks.select("chunk", F.explode("rare").alias("key")).join(counts.where("n > 1"), "key")
-            asked = asked.groupBy("chunk").agg(F.collect_list(F.struct("key", "n")).alias("counted"))
+        if sizes:
+            # Each chunk gets the numbers of its words that are not broadcast.
+            asked = chunks.select("chunk", F.explode("rare").alias("key")).join(_numbered(store, counts.where((F.col("n") > 1) & (F.col("n") < least)), words), "key")
+            asked = asked.groupBy("chunk").agg(F.collect_list(F.struct("key", "number")).alias("counted"))
             chunks = store.put(chunks.join(asked, "chunk", "left"), "chunks")
             texts = store.put(texts, "texts")
             store.drop(rows)
         else:
-            chunks = chunks.withColumn("counted", F.lit(None).cast("array<struct<key:long,n:long>>"))
+            chunks = chunks.withColumn("counted", F.lit(None).cast("array<struct<key:long,number:int>>"))
         shared = spark.sparkContext.broadcast(words)
-        more = _tree_sums(store, chunks, counts, words, shared, most, bucket_size, divergence, kappa)
+        more = _tree_sums(store, chunks, counts, words, shared, most, bucket_size, divergence, kappa, 2 / p_head)
     rare = texts.select("chunk", "doc", F.explode(F.arrays_zip("words", "times")).alias("w"))
     rare = rare.select("chunk", "doc", F.col("w.words").alias("key"), F.col("w.times").alias("times"))
     # Words that are not broadcast count as unknown in the rows; this is what the known ones have above that.
