@@ -339,10 +339,9 @@ class Words:
         return found.astype(np.int32)[inverse]
 
 
-def _chunks(docs: DataFrame, words: Words) -> DataFrame:
+def _chunks(docs: DataFrame, shared) -> DataFrame:
     """Two kinds of rows. Documents (doc >= 0) with the sum of their broadcast words' root probabilities, and their
     other words with their numbers; and chunks (doc < 0) of whole documents' tokens as word numbers."""
-    shared = docs.sparkSession.sparkContext.broadcast(words)
     id_type = docs.schema["id"].dataType.simpleString()
     schema = (
         f"id {id_type}, held boolean, chunk long, doc int, n_tokens long, known long, root double, "
@@ -864,6 +863,8 @@ def _tree_sums(
         sums.append(store.put(_summed(grown), "sums"))
         left, first, n_words = store.put(grown.where("kind > 0"), "left"), False, min(16, 2 * n_words)
         store.drop(grown)
+    for table in hot.tables:
+        table.destroy()
     return functools.reduce(DataFrame.unionAll, sums)
 
 
@@ -908,7 +909,8 @@ def score_texts(
         tree = Tree(heads.view(np.uint64), n, total, distinct, p_min)
         hot = _bounded(counts.where(F.col("n") > most))[0].view(np.uint64)
         words = Words(tree, sizes, hot, bucket_size)
-        rows = store.put(_chunks(docs, words), "rows")
+        shared = spark.sparkContext.broadcast(words)
+        rows = store.put(_chunks(docs, shared), "rows")
         texts = rows.where("doc >= 0")
         chunks = rows.where("doc < 0").select("chunk", "n_tokens", "known", "tokens", "rare")
         if sizes:
@@ -920,8 +922,8 @@ def score_texts(
             store.drop(rows)
         else:
             chunks = chunks.withColumn("counted", F.lit(None).cast("array<struct<key:long,number:int>>"))
-        shared = spark.sparkContext.broadcast(words)
         more = _tree_sums(store, chunks, counts, words, shared, most, bucket_size, divergence, kappa, 2 / p_head)
+        shared.destroy()
     rare = texts.select("chunk", "doc", F.explode(F.arrays_zip("words", "times")).alias("w"))
     rare = rare.select("chunk", "doc", F.col("w.words").alias("key"), F.col("w.times").alias("times"))
     # Words that are not broadcast count as unknown in the rows; this is what the known ones have above that.
