@@ -30,24 +30,50 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 class Store:
-    """Interim tables of one run, below one new folder. A table survives lost executors."""
+    """Interim tables of one run, below one new folder. A table survives lost executors.
 
-    def __init__(self, spark: SparkSession, name: str):
+    ``apart`` tells by which columns the tables of a name are kept in folders of their own.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, apart: dict[str, tuple[str, ...]] | None = None):
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-        self._n = 0
+        self._n, self._apart = 0, apart or {}
+        self._tables: dict[str, str] = {}
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
         """The rows of ``df``, written once as Parquet and read again without lineage."""
         self._n += 1
         path = f"{self.folder}/{self._n:02d}-{name}"
-        df.write.parquet(path)
+        df.write.partitionBy(*self._apart.get(name, ())).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def put_by(self, df: DataFrame, name: str, column: str, n: int) -> DataFrame:
+        """The same in ``n`` parts by ``column``: joins on it read these tables where they lie. They are in the session's
+        catalog until `forget`; their files stay."""
+        self._n += 1
+        path, table = f"{self.folder}/{self._n:02d}-{name}", f"{name}_{uuid.uuid4().hex}"
+        df.write.format("parquet").bucketBy(n, column).option("path", path).saveAsTable(table)
+        self._tables[table] = path
+        return self.spark.table(table)
+
+    def path_of(self, df: DataFrame) -> DataFrame:
+        """The files of a table that `put_by` made, without the catalog."""
+        folders = {name.rsplit("/", 1)[0] for name in df.inputFiles()}
+        return self.spark.read.schema(df.schema).parquet(*folders)
+
+    def forget(self) -> None:
+        """Take the tables that `put_by` made out of the catalog."""
+        for table in self._tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self._tables.clear()
+
     def drop(self, df: DataFrame) -> None:
         """Delete a table made by `put` that nothing reads any more."""
-        for path in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
-            if path.startswith(("file:", "hdfs:")) and self.folder.rsplit("/", 1)[1] in path:
+        run = f"/{self.folder.rsplit('/', 1)[1]}/"
+        for head, _, rest in {name.partition(run) for name in df.inputFiles()}:
+            path = f"{head}{run}{rest.split('/')[0]}"
+            if rest and path.startswith(("file:", "hdfs:")):
                 target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
                 conf = self.spark.sparkContext._jsc.hadoopConfiguration()
                 target.getFileSystem(conf).delete(target, True)

@@ -28,6 +28,8 @@ from __future__ import annotations
 
 import contextlib
 import functools
+import itertools
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,8 +49,10 @@ MOST, BUCKET_SIZE = 1 << 20, 3 << 18
 END = np.uint64(0x9E6C63D0676A9A99)
 _COUNTED = 1 << 22
 # Tokens of a chunk, and levels that the first pass learns; later ones learn twice as many each, 16 at most.
-_CHUNK = 1 << 19
+_CHUNK = 1 << 20
 _FIRST_LEVELS = 3
+# Buckets that a task takes at most if they are many, and numbers for what has no bucket.
+_TOGETHER, _SPREAD = 8, 1 << 10
 _CONTEXT = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -282,21 +286,66 @@ def _tested(store: Store, rows: DataFrame, above: DataFrame, divergence: float,
     return level
 
 
+def _runs(values: np.ndarray) -> list[tuple[int, int]]:
+    """Where each run of equal values, none below 0, begins and ends."""
+    edges = np.flatnonzero(np.diff(values, prepend=-1)).tolist()
+    return list(itertools.pairwise([*edges, len(values)])) if edges else []
+
+
+_KINDS = [np.dtype(kind) for kind in (np.bool_, np.uint8, np.int32, np.int64, np.float64)]
+_HEAD, _SIZE = struct.Struct("<BBI"), struct.Struct("<I")
+# Bytes from which a plane is compressed by itself: each has its own distribution.
+_ALONE = 1 << 9
+
+
 def _packed(*columns: np.ndarray) -> bytes:
-    """Columns of fixed width compressed together, all first bytes of a column before its second ones."""
-    planes = [np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1).T.tobytes() for c in columns if len(c)]
-    return pa.compress(b"".join(planes), codec="zstd", asbytes=True) if planes else b""
-
-
-def _unpacked(data: bytes, columns: list[tuple[type, int]]) -> list[np.ndarray]:
-    """The columns that `_packed` was given, of these types and lengths."""
-    sizes = [np.dtype(kind).itemsize * n for kind, n in columns]
-    raw = np.frombuffer(pa.decompress(data, sum(sizes), codec="zstd", asbytes=True) if sum(sizes) else b"", np.uint8)
-    out, at = [], 0
-    for (kind, n), size in zip(columns, sizes, strict=True):
-        part = raw[at : at + size].reshape(np.dtype(kind).itemsize, n).T
-        out.append(part.copy(order="C").view(kind).reshape(n))
-        at += size
+    """Columns compressed as planes, the lowest bytes of a column, its second ones and so on; planes above the highest
+    byte that is not zero are left out."""
+    head, streams, small = [bytes([len(columns)])], [], []
+    for c in columns:
+        kind = _KINDS.index(c.dtype)
+        if c.dtype.kind == "f":
+            planes = list(np.ascontiguousarray(c).view(np.uint8).reshape(len(c), 8).T)
+        else:
+            c = c.view(f"u{c.dtype.itemsize}")
+            n_planes = (int(c.max()).bit_length() + 7) // 8 if len(c) else 0
+            planes = [(c >> (8 * k) if k else c).astype(np.uint8) for k in range(n_planes)]
+        head.append(_HEAD.pack(kind, len(planes), len(c)))
+        (streams if len(c) >= _ALONE else small).extend(p.tobytes() for p in planes)
+    for raw in [*streams, b"".join(small)]:
+        data = pa.compress(raw, codec="zstd", asbytes=True) if raw else raw
+        data = data if len(data) < len(raw) else raw
+        head += [_SIZE.pack(len(data)), data]
+    return b"".join(head)
+
+
+def _unpacked(data: bytes) -> list[np.ndarray]:
+    """The columns that `_packed` was given."""
+    heads = [_HEAD.unpack_from(data, 1 + _HEAD.size * k) for k in range(data[0])]
+    buffer, at = pa.py_buffer(data), 1 + _HEAD.size * data[0]
+
+    def stream(n: int) -> np.ndarray:
+        nonlocal at
+        (size,) = _SIZE.unpack_from(data, at)
+        part = buffer.slice(at + _SIZE.size, size)
+        at += _SIZE.size + size
+        return np.frombuffer(part if size == n else pa.decompress(part, n, codec="zstd"), np.uint8)
+
+    planes = [[stream(n) for _ in range(n_planes)] if n >= _ALONE else None for _, n_planes, n in heads]
+    small, taken = stream(sum(n_planes * n for _, n_planes, n in heads if n < _ALONE)), 0
+    out = []
+    for (kind, n_planes, n), own in zip(heads, planes, strict=True):
+        kind = _KINDS[kind]
+        if own is None:
+            own = list(small[taken : taken + n_planes * n].reshape(n_planes, n))
+            taken += n_planes * n
+        if kind.kind == "f":
+            out.append(np.stack(own, axis=1).view(kind).reshape(n))
+            continue
+        c = own[0].astype(f"u{kind.itemsize}") if n_planes else np.zeros(n, dtype=f"u{kind.itemsize}")
+        for k in range(1, n_planes):
+            c |= own[k].astype(c.dtype) << c.dtype.type(8 * k)
+        out.append(c.view(kind))
     return out
 
 
@@ -437,55 +486,61 @@ class Chunk:
     """A chunk's tokens: word numbers, the place of each in its document, the document, and whether it is learned."""
 
     def __init__(self, row: dict, words: Words):
-        self.number = row["chunk"]
-        self.ids, lengths, train = _unpacked(
-            row["tokens"], [(np.int32, row["n_tokens"]), (np.int32, row["known"]), (np.bool_, row["known"])]
-        )
+        self.number, self.words = row["chunk"], words
+        self.ids, lengths, train = _unpacked(row["tokens"])
         self.doc = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
         self.train = np.repeat(train, lengths)
         starts = np.cumsum(lengths) - lengths
-        self.age = (np.arange(len(self.ids)) - np.repeat(starts, lengths)).astype(np.int32)
+        self.age = np.arange(len(self.ids), dtype=np.int32) - np.repeat(starts.astype(np.int32), lengths)
+        # Tokens at or above the first number tell the place in the chunk's list of words that are not broadcast.
+        self.places, self.rare, self.given = self.ids, np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int32)
         if len(row["rare"]):
-            # The tokens tell the place in the chunk's list of words that are not broadcast; the number was joined.
-            place = self.ids - words.first
-            far = place >= 0
-            rare = row["rare"].to_numpy().view(np.uint64)
-            number = np.zeros(len(rare), dtype=np.int32)
+            self.rare = row["rare"].to_numpy().view(np.uint64)
+            self.given = np.zeros(len(self.rare), dtype=np.int32)
             if row["counted"] is not None:
                 key, given = (row["counted"].field(c).to_numpy() for c in ("key", "number"))
-                number[_find(rare, key.view(np.uint64))] = given
-            self.ids[far] = number[place[far]]
-            self.far, self.far_keys = far, rare[place[far]]
-        else:
-            self.far, self.far_keys = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
-
-    def keys(self, words: Words) -> np.ndarray:
-        """Hash of each token, 0 if it is seen less than twice."""
-        keys = words.keys[np.minimum(self.ids, words.first - 1)]
-        keys[self.far] = np.where(self.ids[self.far] > 0, self.far_keys, np.uint64(0))
+                self.given[_find(self.rare, key.view(np.uint64))] = given
+            self.ids = self.places.copy()
+            far = np.flatnonzero(self.places >= words.first)
+            self.ids[far] = self.given[self.places[far] - words.first]
+
+    def keys(self, at: np.ndarray) -> np.ndarray:
+        """Hash of each of these tokens, 0 if it is seen less than twice."""
+        place = self.places[at]
+        keys = self.words.keys[np.minimum(place, self.words.first - 1)]
+        far = np.flatnonzero(place >= self.words.first)
+        if len(far):
+            place = place[far] - self.words.first
+            keys[far] = np.where(self.given[place] > 0, self.rare[place], np.uint64(0))
         return keys
 
     def before(self, at: np.ndarray, distance: np.ndarray | int) -> np.ndarray:
-        """The word so far before each token, 0 where the text begins after it."""
+        """The word so far before each of these tokens, 0 where the text begins after it."""
         return np.where(self.age[at] >= distance, self.ids[np.maximum(at - distance, 0)], np.int32(0))
 
-    def messages(self, bucket: np.ndarray, at: np.ndarray, root, x: np.ndarray, depth, n_words: int, q=None) -> list[dict]:
-        """A message for each bucket with the tokens that it takes: their state so far, and the next words of their
-        contexts. ``x`` is the next word in the first messages, and then the number of what was known of it."""
-        if not len(at):
-            return []
-        order = np.argsort(bucket.astype(np.uint16) if bucket.max() < 1 << 16 else bucket, kind="stable")
-        bucket, at, root, x = bucket[order], at[order], root[order].astype(np.int32), x[order].astype(np.int32)
-        depth = depth if np.ndim(depth) == 0 else depth[order]
-        columns = [at.astype(np.int32), self.doc[at], self.train[at], root, np.broadcast_to(np.asarray(depth, dtype=np.int32), len(at)), x]
-        columns += [self.before(at, depth + 1 + k) for k in range(n_words)]
-        edges = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
-        out = []
-        for a, b in zip(edges, [*edges[1:], len(at)], strict=True):
-            own = [c[a:b] for c in columns]
-            own[0], own[1] = np.diff(own[0], prepend=np.int32(0)), np.diff(own[1], prepend=np.int32(0))
-            more = [] if q is None else [q[order[a:b]]]
-            out.append({"bucket": int(bucket[a]), "chunk": self.number, "n": b - a, "payload": _packed(*own, *more)})
+    def all_before(self, distance: int) -> np.ndarray:
+        """The same for every token."""
+        out = np.zeros_like(self.ids)
+        out[distance:] = self.ids[: max(0, len(out) - distance)]
+        out *= self.age >= distance
+        return out
+
+    def messages(self, bucket: np.ndarray, at: np.ndarray, columns: list[np.ndarray], q: np.ndarray | None = None) -> list[dict]:
+        """A message for each bucket with the tokens that it takes: their documents, how many each has and whether it is
+        learned, these columns, and of ``q`` what is not missing. Tokens are in the order of buckets, and in a bucket of
+        their places."""
+        doc, out = self.doc[at], []
+        opens = np.ones(len(at), dtype=bool)
+        opens[1:] = (doc[1:] != doc[:-1]) | (bucket[1:] != bucket[:-1])
+        begin = np.flatnonzero(opens)
+        doc, train, times = doc[begin], self.train[at[begin]], np.diff(np.append(begin, len(at))).astype(np.int32)
+        edges = _runs(bucket)
+        docs = np.append(np.searchsorted(begin, [a for a, _ in edges]), len(begin))
+        for (a, b), lo, hi in zip(edges, docs[:-1], docs[1:], strict=True):
+            own = [np.diff(doc[lo:hi], prepend=np.int32(0)), times[lo:hi], train[lo:hi], *(c[a:b] for c in columns)]
+            if q is not None:
+                own.append(q[a:b][~np.isnan(q[a:b])])
+            out.append({"bucket": int(bucket[a]), "chunk": self.number, "n": b - a, "payload": _packed(*own)})
         return out
 
 
@@ -500,49 +555,56 @@ def _sent_rows(rows: list[dict]) -> pa.RecordBatch:
 
 class Hot:
     """Contexts with more tokens than a bucket takes, level by level: their keys, of the states their value, and of
-    what is known after those the most frequent: keys, values and log probabilities."""
+    what is known after those the most frequent: keys, their places by count, values and log probabilities by place."""
 
-    def __init__(self):
-        self.keys, self.states, self.values, self.tables, self.n_buckets = [], [], [], [], 0
+    def __init__(self, n_first: int):
+        # Words are numbered by falling counts, so those that are such contexts have the first numbers.
+        self.n_first = n_first
+        self.keys, self.states, self.values, self.tables, self.starts, self.n_buckets = [], [], [], [], [0], 0
 
     def known(self, level: int, keys: np.ndarray, own: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Which next words are known, their values and log probabilities; ``own`` is what `_known` gives."""
-        found, value, logp = np.zeros(len(keys), dtype=bool), np.zeros(len(keys)), np.full(len(keys), np.nan)
-        for names, values, logps in (self.tables[level].value, own):
-            at = np.where(keys != 0, _find(names, keys), -1)
-            new = at >= 0
-            found |= new
-            value[new], logp[new] = values[at[new]], logps[at[new]]
-        return found, value, logp
-
-    def walk(self, chunk: Chunk, words: Words, known=None) -> Iterator[tuple]:
-        """For each level the tokens whose context so far is a state: their places, contexts, keys of next words after
-        the suffix, which of them are hot, and the states above: number, word and log probability known there."""
-        at = np.flatnonzero(chunk.before(np.arange(len(chunk.ids)), 1))
-        root, x, q = np.zeros(len(at), dtype=np.int32), chunk.ids[at], np.zeros(len(at))
-        context = np.zeros(len(at), dtype=np.uint64)
+        """Of next words their values; their numbers in all tables together, or -1 if they are known from ``own``, which
+        is what `_known` gives, and 0 if they are not known; and of those in ``own`` the log probabilities."""
+        value, number, q = np.zeros(len(keys)), np.zeros(len(keys), dtype=np.int32), np.full(len(keys), np.nan)
+        names, places, values, _ = self.tables[level].value
+        at = np.where(keys != 0, _find(names, keys), -1)
+        new = np.flatnonzero(at >= 0)
+        value[new], number[new] = values[places[at[new]]], self.starts[level] + 1 + places[at[new]]
+        names, values, logps = own
+        if len(names):
+            at = np.where((keys != 0) & (number == 0), _find(names, keys), -1)
+            new = np.flatnonzero(at >= 0)
+            value[new], number[new], q[new] = values[at[new]], -1, logps[at[new]]
+        return value, number, q
+
+    def walk(self, chunk: Chunk, known=None) -> Iterator[tuple]:
+        """For each level the tokens whose context so far is a state, at first those after a word that is hot: their
+        places, contexts, keys of next words after the suffix, which of them are hot, and the states above: number, next
+        word and log probability known there."""
         if not self.keys:
-            yield at, context, context, np.zeros(len(at), dtype=bool), root, x, q
             return
-        keys = chunk.keys(words)
-        up = keys[at]
+        word = chunk.all_before(1)
+        at = np.flatnonzero((word > 0) & (word <= self.n_first))
+        root, x, q = np.zeros(len(at), dtype=np.int32), chunk.ids[at], np.full(len(at), np.nan)
+        context, up = np.zeros(len(at), dtype=np.uint64), chunk.keys(at)
         for level in range(len(self.keys) + 1):
-            usable = chunk.before(at, level + 1) > 0
-            at, context, up, root, x, q = (c[usable] for c in (at, context, up, root, x, q))
-            context = _longer(context, keys[at - level - 1])
+            if level:
+                usable = chunk.before(at, level + 1) > 0
+                at, context, up, root, x, q = (c[usable] for c in (at, context, up, root, x, q))
+            context = _longer(context, chunk.keys(at - level - 1))
             hot = _find(self.keys[level], context) >= 0 if level < len(self.keys) else np.zeros(len(at), dtype=bool)
             yield at, context, up, hot, root, x, q
             if level >= len(self.states):
                 return
             own = np.where(hot, _find(self.states[level], context), -1)
             state = own >= 0
-            at, context, up, own, x = (c[state] for c in (at, context, up, own, x))
-            root = own + sum(len(s) for s in self.states[:level])
+            at, context, up, own = (c[state] for c in (at, context, up, own))
+            root = (own + sum(len(s) for s in self.states[:level])).astype(np.int32)
             up = np.where(up != 0, _next(context, up), np.uint64(0))
-            q = np.full(len(at), np.nan)
+            x, q = np.zeros(len(at), dtype=np.int32), np.full(len(at), np.nan)
             if known is not None:
-                found, _, q = self.known(level, up, known)
-                x = np.where(found, x, 0)
+                _, x, q = self.known(level, up, known)
+                x = np.where(x < 0, self.starts[-1] + chunk.ids[at], x).astype(np.int32)
 
 
 def _known(row: dict) -> tuple[np.ndarray, ...]:
@@ -578,43 +640,46 @@ def _least(counted: DataFrame, limit: float) -> tuple[int, list[tuple[int, int]]
     return sizes[near][0] + 1, sizes[near:]
 
 
-def _hot_levels(store: Store, chunks: DataFrame, counts: DataFrame, words: Words, shared, most: int, bucket_size: int, kappa: float, divergence: float, own_table: bool, n_known: float):
+def _hot_levels(store: Store, chunks: DataFrame, counts: DataFrame, words: Words, shared, most: int, bucket_size: int, kappa: float, divergence: float, n_known: float, n_parts: int):
     """States among contexts that more than ``most`` tokens follow, and the chunks with what is known after them."""
-    hot = Hot()
     end = int(END.view(np.int64))
-    above = counts.select(F.col("key").alias("up"), F.log((F.col("n") + 1) / F.lit(float(words.size))).alias("logq"))
-    found = _bounded(counts.where((F.col("n") > most) & (F.col("key") != F.lit(end))))
-    keys = np.sort(_longer(np.zeros(len(found[0]), dtype=np.uint64), found[0].view(np.uint64)))
+    above = counts.where("n > 1").select(F.col("key").alias("up"), F.log((F.col("n") + 1) / F.lit(float(words.size))).alias("logq"))
+    found = _bounded(counts.where(F.col("n") > most))[0]
+    hot = Hot(len(found))
+    found = found[found != end].view(np.uint64)
+    keys = np.sort(_longer(np.zeros(len(found), dtype=np.uint64), found))
     asked, spread, former = [], 0, None
 
-    def rows_of(kind: str):
-        def made(chunk: Chunk, row: dict) -> Iterator[pa.RecordBatch]:
-            at, context, up, is_hot, *_ = list(hot.walk(chunk, shared.value))[level]
-            if kind == "asked":
-                inside = np.where(is_hot & (up != 0), _find(hot.states[level], context), -1) >= 0
-                keys = np.unique(_next(context[inside], up[inside]))
-                keys = keys[_find(hot.tables[level].value[0], keys) < 0]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), chunk.number)), pa.array(keys.view(np.int64))], names=["chunk", "key"])
-                return
-            learned = chunk.train[at] if kind == "longer" else chunk.train[at] & is_hot
-            context, up = context[learned], up[learned]
-            contexts, n = np.unique(context, return_counts=True)
-            columns = [contexts, np.zeros_like(contexts), n]
-            if kind == "pairs":
-                context, up = context[up != 0], up[up != 0]
-                _, first, n = np.unique(_next(context, up), return_index=True, return_counts=True)
-                columns = [np.concatenate(c) for c in zip(columns, (context[first], up[first], n), strict=True)]
-            arrays = [pa.array(c.view(np.int64)) for c in columns]
-            yield pa.RecordBatch.from_arrays(arrays, names=["ctx", "up", "n"])
-
-        return made
+    def asking(chunk: Chunk, row: dict) -> Iterator[pa.RecordBatch]:
+        at, context, up, is_hot, *_ = next(itertools.islice(hot.walk(chunk), level, None))
+        inside = np.where(is_hot & (up != 0), _find(hot.states[level], context), -1) >= 0
+        keys = np.unique(_next(context[inside], up[inside]))
+        keys = keys[_find(hot.tables[level].value[0], keys) < 0]
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), chunk.number)), pa.array(keys.view(np.int64))], names=["chunk", "key"])
+
+    def counting(chunk: Chunk, row: dict) -> Iterator[pa.RecordBatch]:
+        at, context, up, is_hot, *_ = next(itertools.islice(hot.walk(chunk), level, None))
+        learned = chunk.train[at] & is_hot
+        at, context, up = at[learned], context[learned], up[learned]
+        known = np.flatnonzero(up != 0)
+        # A context is not more frequent than its first word.
+        before = chunk.before(at, level + 2)
+        wide = np.flatnonzero((before > 0) & (before <= hot.n_first))
+        longer = _longer(context[wide], chunk.keys(at[wide] - level - 2))
+        columns = []
+        for kind, ctx, key in ((0, context, np.zeros_like(context)), (0, context[known], up[known]), (1, context[wide], longer)):
+            _, first, n = np.unique(_next(ctx, key), return_index=True, return_counts=True)
+            columns.append((np.full(len(first), kind, dtype=np.int32), ctx[first].view(np.int64), key[first].view(np.int64), n))
+        arrays = [pa.array(np.concatenate(c)) for c in zip(*columns, strict=True)]
+        yield pa.RecordBatch.from_arrays(arrays, names=["kind", "ctx", "up", "n"])
 
     while len(keys) and (not hot.states or len(hot.states[-1])):
         level = len(hot.keys)
         hot.keys.append(keys)
-        rows = _over_chunks(chunks, shared, rows_of("pairs"), "ctx long, up long, n long")
-        rows = store.put(rows.groupBy("ctx", "up").agg(F.sum("n").alias("n")).where("n > 1"), "hot")
-        table = _tested(store, rows, above, divergence, kappa)
+        rows = _over_chunks(chunks, shared, counting, "kind int, ctx long, up long, n long")
+        rows = store.put(rows.groupBy("kind", "ctx", "up").agg(F.sum("n").alias("n")).where("n > 1"), "hot")
+        table = _tested(store, rows.where("kind = 0"), above, divergence, kappa)
+        longer = rows.where((F.col("kind") == 1) & (F.col("n") > most)).select("ctx", "up").toArrow()
         store.drop(rows)
         states = table.where("is_state").select("key", "value", "n").toArrow()
         own = states["key"].to_numpy().view(np.uint64)
@@ -624,220 +689,281 @@ def _hot_levels(store: Store, chunks: DataFrame, counts: DataFrame, words: Words
         spread = max(spread, int(states["n"].to_numpy().sum()))
         given = table.where("not is_state").select("key", "value", "logp", "n")
         least, n_rest = _least(given, n_known)
-        near = given.where(F.col("n") >= least).select("key", "value", "logp").toArrow()
+        # Frequent pairs have low numbers.
+        near = given.where(F.col("n") >= least).select("key", "value", "logp", "n").toArrow().sort_by([("n", "descending")])
         names = near["key"].to_numpy().view(np.uint64)
         order = np.argsort(names)
-        near = (names[order], near["value"].to_numpy()[order], near["logp"].to_numpy()[order])
+        near = (names[order], order.astype(np.int32), near["value"].to_numpy(), near["logp"].to_numpy())
         hot.tables.append(chunks.sparkSession.sparkContext.broadcast(near))
+        hot.starts.append(hot.starts[-1] + len(names))
         if n_rest:
-            ask = _over_chunks(chunks, shared, rows_of("asked"), "chunk long, key long")
+            ask = _over_chunks(chunks, shared, asking, "chunk long, key long")
             asked.append(store.put(ask.join(given.where(F.col("n") < least).drop("n"), "key"), "asked"))
         if former is not None:
             store.drop(former)
         former = table
         above = given.select(F.col("key").alias("up"), F.col("logp").alias("logq"))
-        level += 1
-        longer = _over_chunks(chunks, shared, rows_of("longer"), "ctx long, up long, n long").groupBy(F.col("ctx").alias("key"))
-        keys = np.sort(_bounded(longer.agg(F.sum("n").alias("n")).where(F.col("n") > most))[0].view(np.uint64))
+        suffix, longer = (longer[c].to_numpy().view(np.uint64) for c in ("ctx", "up"))
+        keys = np.sort(longer[_find(hot.states[-1], suffix) >= 0])
     hot.n_buckets = -(-spread // bucket_size)
     if asked:
         parts = functools.reduce(DataFrame.unionAll, asked).groupBy("chunk")
-        former = chunks
-        chunks = store.put(chunks.join(parts.agg(F.collect_list(F.struct("key", "value", "logp")).alias("hot")), "chunk", "left"), "chunks")
+        parts = store.put_by(parts.agg(F.collect_list(F.struct("key", "value", "logp")).alias("hot")), "hot", "chunk", n_parts)
+        chunks = chunks.drop("hot").join(parts, "chunk", "left")
         for table in asked:
             store.drop(table)
-        if own_table:
-            store.drop(former)
-    else:
-        chunks = chunks.withColumn("hot", F.lit(None).cast("array<struct<key:long,value:double,logp:double>>"))
     return hot, chunks
 
 
-def _hot_sums(chunks: DataFrame, shared, hot: Hot) -> DataFrame:
-    """(chunk, doc, more): what hot states and known next words after them add to the documents."""
-
-    def made(chunk: Chunk, row: dict) -> Iterator[pa.RecordBatch]:
-        known = _known(row)
-        more = np.zeros(int(chunk.doc[-1]) + 1)
-        for level, (at, context, up, is_hot, *_) in zip(range(len(hot.states)), hot.walk(chunk, shared.value, known)):
-            own = np.where(is_hot, _find(hot.states[level], context), -1)
-            more += np.bincount(chunk.doc[at[own >= 0]], hot.values[level][own[own >= 0]], minlength=len(more))
-            inside = (own >= 0) & (up != 0)
-            _, value, _ = hot.known(level, _next(context[inside], up[inside]), known)
-            more += np.bincount(chunk.doc[at[inside]], value, minlength=len(more))
-        docs = np.flatnonzero(more)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(docs), chunk.number)), pa.array(docs.astype(np.int32)), pa.array(more[docs])], names=["chunk", "doc", "more"]
-        )
-
-    return _over_chunks(chunks, shared, made, "chunk long, doc int, more double")
+def _hot_sums(chunk: Chunk, hot: Hot, known: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """Documents and what hot states and known next words after them add to them."""
+    more = np.zeros(int(chunk.doc[-1]) + 1)
+    for level, (at, context, up, is_hot, *_) in zip(range(len(hot.states)), hot.walk(chunk)):
+        own = np.where(is_hot, _find(hot.states[level], context), -1)
+        more += np.bincount(chunk.doc[at[own >= 0]], hot.values[level][own[own >= 0]], minlength=len(more))
+        inside = (own >= 0) & (up != 0)
+        value, _, _ = hot.known(level, _next(context[inside], up[inside]), known)
+        more += np.bincount(chunk.doc[at[inside]], value, minlength=len(more))
+    docs = np.flatnonzero(more)
+    return docs.astype(np.int32), more[docs]
+
+
+def _routes(chunk: Chunk, words: Words, hot: Hot, known=None) -> Iterator[tuple]:
+    """Buckets and places of the tokens sent first to those of a word, then to those of a context: in the order of
+    buckets, and in a bucket of places. Of the latter also level, and number, next word and log probability of the state."""
+
+    def order(bucket: np.ndarray) -> np.ndarray:
+        return np.argsort(bucket.astype(np.uint16) if len(bucket) and bucket.max() < 1 << 16 else bucket, kind="stable")
+
+    word = chunk.all_before(1)
+    at = np.flatnonzero(word > (hot.n_first if hot.keys else 0)).astype(np.int32)
+    bucket = words.buckets(word[at])
+    by = order(bucket)
+    yield bucket[by], at[by], None
+    parts = []
+    for level, (at, context, _, is_hot, root, x, q) in enumerate(hot.walk(chunk, known)):
+        at, context, root, x, q = (c[~is_hot] for c in (at, context, root, x, q))
+        bucket = words.n_buckets + (context % np.uint64(max(1, hot.n_buckets))).astype(np.int32)
+        parts.append((bucket, at.astype(np.int32), np.full(len(at), level, dtype=np.int32), root, x, q))
+    if parts:
+        bucket, at, *more = (np.concatenate(c) for c in zip(*parts, strict=True))
+        by = np.lexsort((at, bucket))
+        yield bucket[by], at[by], tuple(c[by] for c in more)
 
 
 def _first_messages(chunks: DataFrame, shared, hot: Hot, n_words: int) -> DataFrame:
-    """Each token to the bucket of the word before it, or of its shortest context that is not hot."""
+    """Each token to the bucket of the word before it, or of its shortest context that is not hot; and, numbered above
+    the buckets, what hot states add to the documents."""
 
     def made(chunk: Chunk, row: dict) -> Iterator[pa.RecordBatch]:
-        words, out = shared.value, []
-        for level, (at, context, _, is_hot, root, x, q) in enumerate(hot.walk(chunk, words, _known(row))):
-            if is_hot.any():
-                at, context, root, x, q = (c[~is_hot] for c in (at, context, root, x, q))
-            if level:
-                bucket = words.n_buckets + (context % np.uint64(max(1, hot.n_buckets))).astype(np.int64)
+        known = _known(row)
+        if hot.states:
+            docs, more = _hot_sums(chunk, hot, known)
+            above = shared.value.n_buckets + hot.n_buckets + (chunk.number >> 32) % _SPREAD
+            yield _sent_rows([{"bucket": above, "chunk": chunk.number, "n": len(docs), "payload": _packed(docs, more)}])
+        for bucket, at, state in _routes(chunk, shared.value, hot, known):
+            if state is None:
+                columns = [chunk.ids[at], *(chunk.all_before(1 + k)[at] for k in range(n_words))]
+                yield _sent_rows(chunk.messages(bucket, at, columns))
             else:
-                bucket = words.buckets(chunk.ids[at - 1])
-            out += chunk.messages(bucket, at, root, x, level, n_words, q if level else None)
-        yield _sent_rows(out)
+                level, root, x, q = state
+                columns = [x, root, *(chunk.before(at, level + 1 + k) for k in range(n_words))]
+                yield _sent_rows(chunk.messages(bucket, at, columns, q))
 
     return _over_chunks(chunks, shared, made, _MESSAGE)
 
 
-def _next_messages(chunks: DataFrame, shared, left: DataFrame, n_words: int) -> DataFrame:
-    """The tokens that are ``left`` to the same buckets, with what is known there and the next words of their contexts."""
-    columns = [c for c in _MESSAGE.replace(",", "").split()[::2] if c != "chunk"]
-    each = left.where("kind = 1").groupBy("chunk").agg(F.collect_list(F.struct(*columns)).alias("left"))
+def _next_messages(chunks: DataFrame, shared, hot: Hot, left: DataFrame, depth: int, n_words: int) -> DataFrame:
+    """For the tokens that are ``left`` in a state the next words of their contexts, to the same buckets."""
+    each = left.where("kind = 1").groupBy("chunk").agg(F.collect_list(F.struct("bucket", "payload")).alias("left"))
 
     def made(chunk: Chunk, row: dict) -> Iterator[pa.RecordBatch]:
-        out = []
-        for part in row["left"].to_pylist():
-            n = part["n"]
-            at, root, x, depth = _unpacked(part["payload"], [(np.int32, n)] * 4)
-            at = np.cumsum(at)
-            going = chunk.before(at, depth + 1) > 0
-            bucket = np.full(int(going.sum()), part["bucket"])
-            out += chunk.messages(bucket, at[going], root[going], x[going], depth[going], n_words)
-        if out:
-            yield _sent_rows(out)
+        bits = {part["bucket"]: part["payload"] for part in row["left"].to_pylist()}
+        for bucket, at, state in _routes(chunk, shared.value, hot):
+            going = np.zeros(len(at), dtype=bool)
+            for a, b in _runs(bucket):
+                if int(bucket[a]) in bits:
+                    (mask,) = _unpacked(bits[int(bucket[a])])
+                    going[a:b] = np.unpackbits(mask, count=b - a)
+            bucket, at = bucket[going], at[going]
+            done = depth if state is None else depth + state[0][going]
+            yield _sent_rows(chunk.messages(bucket, at, [chunk.before(at, done + 1 + k) for k in range(n_words)]))
 
     sent = _over_chunks(chunks.join(each, "chunk"), shared, made, _MESSAGE)
     return sent.unionAll(left.where("kind = 2").select(*sent.columns))
 
 
-def _gathered(batches: list[pa.RecordBatch], words: Words, n_words: int, first: bool):
-    """The tokens of a bucket as columns, their chunks, and the log probability of next words after the suffix."""
-    parts, chunks, given, hot = [], [], None, False
-    for batch in batches:
-        for row in batch.to_pylist():
-            n = row["n"]
-            if row["chunk"] < 0:
-                (given,) = _unpacked(row["payload"], [(np.float64, n)])
-                continue
-            hot = first and row["bucket"] >= words.n_buckets
-            columns = _unpacked(row["payload"], [*[(np.int32, n)] * 2, (np.bool_, n), *[(np.int32, n)] * (3 + n_words), *[(np.float64, n)] * hot])
-            columns[0], columns[1] = np.cumsum(columns[0], dtype=np.int32), np.cumsum(columns[1], dtype=np.int32)
-            parts.append(columns)
-            chunks.append((row["chunk"], n))
-    if not parts:
-        return None
-    columns = [np.concatenate([part.pop(0) for part in parts]) for _ in parts[0][:]]
-    x = columns[5]
-    if hot:
-        return columns[:-1], chunks, columns[-1]
-    q = np.full(len(x), np.nan)
-    has = np.flatnonzero(x > 0)
-    if first:
-        q[has] = np.log((words.counts(x[has]) + 1) / words.size)
-    elif given is not None:
-        q[has] = given[x[has] - 1]
-    return columns, chunks, q
-
-
-def _grown(sent: DataFrame, shared, n_buckets: int, n_words: int, first: bool, divergence: float, kappa: float) -> DataFrame:
-    """Learns ``n_words`` levels below the states that tokens are in, and applies them, each bucket by itself.
-
-    kind 0: what the levels add to the documents of a chunk; kind 1: tokens that are in a state of the
-    last level; kind 2: log probabilities of what is known after those."""
+def _grouped(root: np.ndarray | None, word: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order of tokens by state, word and next word; in it where a pair of context and next word opens, and whether
+    a context opens there."""
+
+    def width(c) -> int:
+        return int(c.max()).bit_length() if c is not None and len(c) else 0
+
+    if width(root) + width(word) + width(x) > 63:
+        # There are fewer values than tokens.
+        word, x = (np.unique(c, return_inverse=True)[1] for c in (word, x))
+    key = word.astype(np.int64)
+    if root is not None:
+        key |= root.astype(np.int64) << width(word)
+    n_bits = width(x)
+    key <<= n_bits
+    key |= x
+    order = np.argsort(key)
+    key = key[order]
+    opens = np.ones(len(key), dtype=bool)
+    opens[1:] = key[1:] != key[:-1]
+    pairs = np.flatnonzero(opens)
+    context = key[pairs] >> n_bits
+    opens = np.ones(len(pairs), dtype=bool)
+    opens[1:] = context[1:] != context[:-1]
+    return order, pairs, opens
+
+
+def _grown(sent: DataFrame, shared, hot: Hot, n_buckets: int, divergence: float, kappa: float) -> DataFrame:
+    """Learns the levels below the states that tokens are in whose words were sent, and applies them, each bucket by itself.
+
+    kind 0: what the levels add to the documents of a chunk; kind 1: which of the tokens that a chunk sent first
+    are in a state of the last level; kind 2: for the bucket itself these states and what is known after them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbered = [(k, b) for b in batches for k in pc.unique(b.column("bucket")).to_pylist()]
+        sums: list[tuple[np.ndarray, ...]] = []
         for bucket in sorted({k for k, _ in numbered}):
             own = [b.filter(pc.equal(b.column("bucket"), bucket)) for k, b in numbered if k == bucket]
-            yield from grown(bucket, own)
-
-    def grown(bucket: int, batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gathered = _gathered(batches, shared.value, n_words, first)
-        if gathered is None:
+            own = [row for b in own for row in b.to_pylist()]
+            if bucket < n_buckets:
+                yield from grown(bucket, own, sums)
+            else:
+                sums += [(np.full(row["n"], row["chunk"]), *_unpacked(row["payload"])) for row in own]
+        if not sums:
+            return
+        chunk, doc, more = (np.concatenate(c) for c in zip(*sums, strict=True))
+        names, which = np.unique(chunk, return_inverse=True)
+        keys, which = np.unique(which << 32 | doc, return_inverse=True)
+        more = np.bincount(which, more, minlength=len(keys))
+        which, doc = keys >> 32, keys.astype(np.int32)
+        for a, b in _runs(which):
+            payload = _packed(np.diff(doc[a:b], prepend=np.int32(0)), more[a:b])
+            yield rows(kind=0, bucket=[-1], chunk=[names[which[a]]], n=[b - a], payload=[payload])
+
+    def grown(bucket: int, sent: list[dict], sums_of: list) -> Iterator[pa.RecordBatch]:
+        words, is_hot = shared.value, bucket >= shared.value.n_buckets
+        held = next((_unpacked(row["payload"]) for row in sent if row["chunk"] < 0), None)
+        parts = {row["chunk"]: (row["n"], *_unpacked(row["payload"])) for row in sent if row["chunk"] >= 0}
+        sent.clear()
+        if not parts:
             return
-        (pos, doc, train, root, depth, x, *before), chunks, q = gathered
-        more = np.zeros(len(pos))
-        at, logp = np.arange(len(pos)), np.zeros(0)
-        for word in before:
-            usable = word[at] > 0
-            at, root, x, q = at[usable], root[usable], x[usable], q[usable]
-            _, context = np.unique(root.astype(np.int64) << 32 | word[at], return_inverse=True)
-            c = np.bincount(context, train[at]).astype(np.float64)
-            again = c[context] > 1
-            at, context, x, q = at[again], context[again], x[again], q[again]
-            has = np.flatnonzero(x > 0)
-            pairs, pair = np.unique(context[has].astype(np.int64) << 32 | x[has], return_inverse=True)
-            one = np.empty(len(pairs), dtype=np.int64)
-            one[pair] = has
-            n = np.bincount(pair, train[at[has]], minlength=len(pairs))
-            known = np.flatnonzero(n > 1)
-            n, logq, state = n[known], q[one[known]], pairs[known] >> 32
+        q = root = None
+        if held is None:
+            names = sorted(parts)
+            sizes = np.array([parts[c][0] for c in names])
+            place = np.arange(sizes.sum(), dtype=np.int32)
+        else:
+            names, sizes, bits, root, x, n_known, logp = held
+            names, starts = names.tolist(), np.cumsum(n_known, dtype=np.int32) - n_known
+            x[x > 0] += starts[root[x > 0]]
+            place = np.flatnonzero(np.unpackbits(bits, count=int(sizes.sum()))).astype(np.int32)
+        which = np.repeat(np.arange(len(names), dtype=np.int32), sizes)[place]
+        parts = [list(parts.pop(c)[1:]) for c in names if c in parts]
+        doc, times, train = ([part.pop(0) for part in parts] for _ in range(3))
+        doc, times, train = np.concatenate([np.cumsum(c, dtype=np.int32) for c in doc]), np.concatenate(times), np.concatenate(train)
+        doc, train = np.repeat(doc, times), np.repeat(train, times)
+        if held is None and is_hot:
+            given = np.concatenate([part.pop() for part in parts])
+        before = [np.concatenate([part.pop(0) for part in parts]) for _ in parts[0][:]]
+        if held is None:
+            x = before.pop(0)
+            if is_hot:
+                # Words after a hot context have numbers of the tables, or come with their log probability.
+                root = before.pop(0)
+                tables = np.concatenate([table.value[3] for table in hot.tables])
+                q = np.full(len(x), np.nan)
+                near, far = (x > 0) & (x <= len(tables)), x > len(tables)
+                q[near], q[far] = tables[x[near] - 1], given
+        more, at = np.zeros(len(place)), np.arange(len(place), dtype=np.int32)
+        for level, word in enumerate(before):
+            word = word[at] if level else word
+            usable = np.flatnonzero(word > 0)
+            if len(usable) < len(word):
+                at, word, x = at[usable], word[usable], x[usable]
+                root = root if root is None else root[usable]
+            order, pairs, opens = _grouped(root, word, x)
+            sums = np.concatenate([np.zeros(1, dtype=np.int32), np.cumsum(train[at[order]], dtype=np.int32)])
+            lengths = np.diff(np.append(pairs, len(order)))
+            n, one = np.diff(sums[np.append(pairs, len(order))]), order[pairs]
+            context = np.cumsum(opens) - 1
+            c = np.add.reduceat(n, np.flatnonzero(opens)) if len(n) else n
+            # Only pairs that were learned twice are known, and only contexts with such pairs can be states.
+            known = np.flatnonzero((n > 1) & (x[one] > 0))
+            tried, state = np.unique(context[known], return_inverse=True)
+            n, c, one = n[known].astype(np.float64), c[tried].astype(np.float64), one[known]
+            if level or held is not None:
+                logq = logp[x[one] - 1]
+            else:
+                logq = np.log((words.counts(x[one]) + 1) / words.size) if q is None else q[at[one]]
             size = len(c)
             share = (c - np.bincount(state, n - 1, minlength=size) + kappa) / (c + kappa)
             logp = np.log((n - 1) / (c[state] + kappa) + share[state] * np.exp(logq))
             gained = np.bincount(state, np.exp(logp) * (logp - logq), minlength=size)
             rest = np.maximum(0.0, 1 - np.bincount(state, np.exp(logq), minlength=size))
             kept = gained + rest * share * np.log(share) >= divergence
-            kept &= np.bincount(state, minlength=size) > 0
-            # From here on a next word is the number of its pair, 0 if it is not known after this context.
-            number = np.zeros(len(pairs), dtype=np.int64)
-            number[known] = np.arange(1, len(known) + 1)
-            x = np.zeros(len(at), dtype=np.int64)
-            x[has] = number[pair]
-            inside = kept[context]
-            at, root, x = at[inside], context[inside], x[inside]
-            more[at] += np.log10(share[root])
-            seen = x > 0
-            value = (logp - logq - np.log(share[state])) / np.log(10)
-            more[at[seen]] += value[x[seen] - 1]
-            q = np.full(len(at), np.nan)
-            q[seen] = logp[x[seen] - 1]
-        sizes = [n for _, n in chunks]
-        which = np.repeat(np.arange(len(chunks)), sizes)
-        opens = np.ones(len(pos), dtype=bool)
+            # From here on a state is its number among those kept, and a next word the number of its pair, 0 if it is not known.
+            states = np.full(len(opens), -1, dtype=np.int32)
+            states[tried[kept]] = np.arange(int(kept.sum()))
+            states = states[context]
+            numbers, values, own = np.zeros(len(pairs), dtype=np.int32), np.zeros(len(pairs)), kept[state]
+            numbers[known[own]] = np.arange(1, int(own.sum()) + 1)
+            logp, logq = logp[own], logq[own]
+            inside = np.flatnonzero(states >= 0)
+            shares = np.log10(share[kept])
+            values[inside] = shares[states[inside]]
+            values[known[own]] += (logp - logq) / np.log(10) - shares[states[known[own]]]
+            at = at[order[np.repeat(states >= 0, lengths)]]
+            lengths = lengths[inside]
+            root, x = np.repeat(states[inside], lengths), np.repeat(numbers[inside], lengths)
+            more[at] += np.repeat(values[inside], lengths)
+        opens = np.ones(len(place), dtype=bool)
         opens[1:] = (which[1:] != which[:-1]) | (doc[1:] != doc[:-1])
         begin = np.flatnonzero(opens)
         sums = np.add.reduceat(more, begin)
         begin, sums = begin[sums != 0], sums[sums != 0]
-        names = np.array([c for c, _ in chunks])
-        edges = np.flatnonzero(np.diff(which[begin], prepend=-1)).tolist()
-        for a, b in zip(edges, [*edges[1:], len(begin)][: len(edges)], strict=True):
-            payload = _packed(doc[begin[a:b]], sums[a:b])
-            yield rows(kind=0, bucket=[bucket], chunk=[names[which[begin[a]]]], n=[b - a], payload=[payload])
+        sums_of.append((np.array(names)[which[begin]], doc[begin], sums))
         if not len(at):
             return
-        used, place = np.unique(x, return_inverse=True)
-        if used[0] > 0:
-            used, place = np.append(0, used), place + 1
-        _, root = np.unique(root, return_inverse=True)
-        yield rows(kind=2, bucket=[bucket], chunk=[-1], n=[len(used) - 1], payload=[_packed(logp[used[1:] - 1])])
-        edges = np.flatnonzero(np.diff(which[at], prepend=-1))
-        for a, b in zip(edges, [*edges[1:], len(at)], strict=True):
-            own = at[a:b]
-            payload = _packed(
-                np.diff(pos[own], prepend=0).astype(np.int32), root[a:b].astype(np.int32), place[a:b].astype(np.int32), depth[own] + np.int32(n_words)
-            )
-            yield rows(kind=1, bucket=[bucket], chunk=[names[which[own[0]]]], n=[b - a], payload=[payload])
+        order = np.argsort(at)
+        at, root, x = at[order], root[order], x[order]
+        mask = np.zeros(int(sizes.sum()), dtype=bool)
+        mask[place[at]] = True
+        # Pairs of a state are numbered one after another.
+        n_known = np.bincount(states[known[own]], minlength=int(kept.sum())).astype(np.int32)
+        x[x > 0] -= (np.cumsum(n_known, dtype=np.int32) - n_known)[root[x > 0]]
+        payload = _packed(np.array(names), sizes, np.packbits(mask), root, x, n_known, logp)
+        yield rows(kind=2, bucket=[bucket], chunk=[-1], n=[len(at)], payload=[payload])
+        ends = np.cumsum(sizes)
+        for k in np.unique(which[at]).tolist():
+            bits = np.packbits(mask[ends[k] - sizes[k] : ends[k]])
+            yield rows(kind=1, bucket=[bucket], chunk=[names[k]], n=[int(sizes[k])], payload=[_packed(bits)])
 
     def rows(kind: int, **given) -> pa.RecordBatch:
         columns = {"bucket": pa.int32(), "chunk": pa.int64(), "n": pa.int64(), "payload": pa.binary()}
         made = [pa.array([kind], type=pa.int32()), *(pa.array(given[c], type=t) for c, t in columns.items())]
         return pa.RecordBatch.from_arrays(made, names=["kind", *columns])
 
-    return sent.repartitionById(n_buckets, "bucket").mapInArrow(run, _RESULT)
+    # What buckets add to a document is summed where they are learned in one task.
+    n = min(n_buckets, max(2 * sent.sparkSession.sparkContext.defaultParallelism, -(-n_buckets // _TOGETHER)))
+    return sent.repartitionById(n, F.col("bucket") % n).mapInArrow(run, _RESULT)
 
 
 def _summed(grown: DataFrame) -> DataFrame:
     """(chunk, doc, more): what all buckets add to each document."""
-    each = grown.where("kind = 0").groupBy("chunk").agg(F.collect_list(F.struct("n", "payload")).alias("parts"))
+    each = grown.where("kind = 0").groupBy("chunk").agg(F.collect_list("payload").alias("parts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, given in zip(batch.column("chunk").to_pylist(), batch.column("parts"), strict=True):
-                parts = [_unpacked(p["payload"], [(np.int32, p["n"]), (np.float64, p["n"])]) for p in given.as_py()]
-                docs, more = (np.concatenate(c) for c in zip(*parts, strict=True))
+                parts = [_unpacked(payload) for payload in given.as_py()]
+                docs, more = np.concatenate([np.cumsum(docs) for docs, _ in parts]), np.concatenate([more for _, more in parts])
                 sums = np.bincount(docs, more)
                 docs = np.flatnonzero(sums)
                 yield pa.RecordBatch.from_arrays(
@@ -848,21 +974,20 @@ def _summed(grown: DataFrame) -> DataFrame:
 
 
 def _tree_sums(
-    store: Store, chunks: DataFrame, counts: DataFrame, words: Words, shared, most: int, bucket_size: int, divergence: float, kappa: float, n_known: float
+    store: Store, chunks: DataFrame, counts: DataFrame, words: Words, shared, most: int, bucket_size: int, divergence: float, kappa: float, n_known: float, n_parts: int
 ) -> DataFrame:
     """(chunk, doc, more), several rows a document: what all states, to any depth, add to the root."""
-    hot, chunks = _hot_levels(store, chunks, counts, words, shared, most, bucket_size, kappa, divergence, len(words.values) > 0, n_known)
-    n_buckets, n_words = words.n_buckets + hot.n_buckets, _FIRST_LEVELS
-    sums = [store.put(_hot_sums(chunks, shared, hot), "sums")] if hot.states else []
-    left, first = None, True
-    while first or left.where("kind = 1").limit(1).count():
-        sent = _first_messages(chunks, shared, hot, n_words) if first else _next_messages(chunks, shared, left, n_words)
-        grown = store.put(_grown(sent, shared, n_buckets, n_words, first, divergence, kappa), "grown")
-        if left is not None:
+    hot, chunks = _hot_levels(store, chunks, counts, words, shared, most, bucket_size, kappa, divergence, n_known, n_parts)
+    n_buckets, n_words, depth = words.n_buckets + hot.n_buckets, _FIRST_LEVELS, 0
+    sums, left = [], None
+    while not depth or left.where("kind = 1").limit(1).count():
+        sent = _next_messages(chunks, shared, hot, left, depth, n_words) if depth else _first_messages(chunks, shared, hot, n_words)
+        grown = store.put(_grown(sent, shared, hot, n_buckets, divergence, kappa), "grown")
+        if depth:
             store.drop(left)
         sums.append(store.put(_summed(grown), "sums"))
-        left, first, n_words = store.put(grown.where("kind > 0"), "left"), False, min(16, 2 * n_words)
-        store.drop(grown)
+        left, depth, n_words = grown, depth + n_words, min(16, 2 * n_words)
+    store.drop(left)
     for table in hot.tables:
         table.destroy()
     return functools.reduce(DataFrame.unionAll, sums)
@@ -894,7 +1019,7 @@ def score_texts(
     if not 0 < p_head <= p_min:
         raise ValueError("p_head must be positive and not above p_min")
     spark = docs.sparkSession
-    store = Store(spark, "suffixes")
+    store = Store(spark, "suffixes", {"grown": ("kind",)})
     docs = docs.select(
         F.col(id_col).alias("id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
@@ -910,24 +1035,28 @@ def score_texts(
         hot = _bounded(counts.where(F.col("n") > most))[0].view(np.uint64)
         words = Words(tree, sizes, hot, bucket_size)
         shared = spark.sparkContext.broadcast(words)
-        rows = store.put(_chunks(docs, shared), "rows")
-        texts = rows.where("doc >= 0")
-        chunks = rows.where("doc < 0").select("chunk", "n_tokens", "known", "tokens", "rare")
-        if sizes:
-            # Each chunk gets the numbers of its words that are not broadcast.
-            asked = chunks.select("chunk", F.explode("rare").alias("key")).join(_numbered(store, counts.where((F.col("n") > 1) & (F.col("n") < least)), words), "key")
-            asked = asked.groupBy("chunk").agg(F.collect_list(F.struct("key", "number")).alias("counted"))
-            chunks = store.put(chunks.join(asked, "chunk", "left"), "chunks")
-            texts = store.put(texts, "texts")
-            store.drop(rows)
-        else:
-            chunks = chunks.withColumn("counted", F.lit(None).cast("array<struct<key:long,number:int>>"))
-        more = _tree_sums(store, chunks, counts, words, shared, most, bucket_size, divergence, kappa, 2 / p_head)
+        # Tables by chunk are joined where they lie, so that the chunks' tokens are not shuffled.
+        n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (2 * _CHUNK)))
+        try:
+            rows = store.put_by(_chunks(docs, shared), "rows", "chunk", n_parts)
+            texts = store.path_of(rows).where("doc >= 0")
+            chunks = rows.where("doc < 0").select("chunk", "n_tokens", "tokens", "rare")
+            chunks = chunks.withColumn("hot", F.lit(None).cast("array<struct<key:long,value:double,logp:double>>"))
+            if sizes:
+                # Each chunk gets the numbers of its words that are not broadcast.
+                asked = chunks.select("chunk", F.explode("rare").alias("key")).join(_numbered(store, counts.where((F.col("n") > 1) & (F.col("n") < least)), words), "key")
+                asked = asked.groupBy("chunk").agg(F.collect_list(F.struct("key", "number")).alias("counted"))
+                chunks = chunks.join(store.put_by(asked, "counted", "chunk", n_parts), "chunk", "left")
+            else:
+                chunks = chunks.withColumn("counted", F.lit(None).cast("array<struct<key:long,number:int>>"))
+            more = _tree_sums(store, chunks, counts, words, shared, most, bucket_size, divergence, kappa, 2 / p_head, n_parts)
+        finally:
+            store.forget()
         shared.destroy()
     rare = texts.select("chunk", "doc", F.explode(F.arrays_zip("words", "times")).alias("w"))
     rare = rare.select("chunk", "doc", F.col("w.words").alias("key"), F.col("w.times").alias("times"))
     # Words that are not broadcast count as unknown in the rows; this is what the known ones have above that.
-    parts = rare.join(counts, "key").select(
+    parts = rare.join(counts.where(F.col("n") < least), "key").select(
         "chunk", "doc", (F.col("times") * F.log10(F.col("n") + 1)).alias("_root"), F.col("times").cast("long").alias("_known"), F.lit(0.0).alias("_more")
     )
     parts = parts.unionAll(more.select("chunk", "doc", F.lit(0.0), F.lit(0).cast("long"), "more"))

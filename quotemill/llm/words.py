@@ -17,6 +17,8 @@ import pyarrow.compute as pc
 # Bytes of text that are hashed at once; a longer text is a slice of its own.
 SLICE_BYTES = 1 << 20
 _POSITIONS = 1 << 14
+# Bytes of a word that are hashed together with those of the other words.
+_LONG = 48
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -62,21 +64,31 @@ class Slice(NamedTuple):
 
 
 def _hash_words(data: np.ndarray, bounds: np.ndarray, between: np.ndarray) -> tuple[np.ndarray, ...]:
-    inside = np.flatnonzero(~between[data])
-    if not len(inside):
-        none = np.zeros(0, dtype=np.int64)
-        return np.zeros(0, dtype=np.uint64), none, none
-    opens = np.ones(len(inside), dtype=bool)
-    opens[1:] = np.diff(inside) > 1
-    edges = np.searchsorted(inside, bounds[:-1])
-    opens[edges[edges < len(inside)]] = True
-    begin = np.flatnonzero(opens)
-    lengths = np.diff(np.append(begin, len(inside)))
-    place = np.arange(len(inside)) - np.repeat(begin, lengths)
-    terms = _OF_BYTE[data[inside]] * _OF_POSITION[place % _POSITIONS]
-    hashes = mix(np.add.reduceat(terms, begin) + lengths.astype(np.uint64))
-    starts = inside[begin]
-    return hashes, starts, starts + lengths
+    outside = between[data]
+    opens, closes = ~outside, ~outside
+    opens[1:] &= outside[:-1]
+    closes[:-1] &= outside[1:]
+    first, last = bounds[:-1][bounds[:-1] < len(data)], bounds[1:][bounds[1:] > 0] - 1
+    opens[first], closes[last] = ~outside[first], ~outside[last]
+    starts, ends = np.flatnonzero(opens), np.flatnonzero(closes) + 1
+    lengths = ends - starts
+    # Longest words first, so those with a byte at a place are the first ones; what is above _LONG bytes, word by word.
+    short = np.minimum(lengths, _LONG + 1).astype(np.uint8)
+    order = np.argsort(_LONG + 1 - short, kind="stable")
+    at = starts[order]
+    longer = len(at) - np.cumsum(np.bincount(short, minlength=_LONG + 2))
+    sums = np.zeros(len(at), dtype=np.uint64)
+    for place in range(_LONG):
+        n = longer[place]
+        if not n:
+            break
+        sums[:n] += _OF_BYTE[data[at[:n] + place]] * _OF_POSITION[place]
+    for k in range(longer[_LONG]):
+        rest = data[at[k] + _LONG : ends[order[k]]]
+        sums[k : k + 1] += (_OF_BYTE[rest] * _OF_POSITION[np.arange(_LONG, _LONG + len(rest)) % _POSITIONS]).sum(dtype=np.uint64)
+    total = np.empty_like(sums)
+    total[order] = sums
+    return mix(total + lengths.astype(np.uint64)), starts, ends
 
 
 def slices(column: pa.Array, limit: int = SLICE_BYTES, between: np.ndarray = _SPACE) -> Iterator[Slice]:

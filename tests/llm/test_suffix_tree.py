@@ -4,11 +4,14 @@ import collections
 import math
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from quotemill.llm import words
 from quotemill.llm.store import Store
-from quotemill.llm.suffix_tree_lm import score_texts
+from quotemill.llm.suffix_tree_lm import _packed, _unpacked, score_texts
 
 
 @pytest.fixture(scope="module", autouse=True)
@@ -124,3 +127,55 @@ def test_several_levels_in_one_pass(spark, monkeypatch):
     monkeypatch.setattr(Store, "put", lambda self, df, name: tables.append(name) or put(self, df, name))
     score_texts(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") % 5 == 2).collect()
     assert longest >= 6 and len(tables) <= 12
+
+
+def test_tokens_of_chunks_are_not_shuffled(spark, monkeypatch):
+    """Tables by chunk were joined with the chunks' tokens on either side of a shuffle."""
+    rows = corpus(7) + [(100 + k, "so it goes on and on and on") for k in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    tables, moved, put = [], [], Store.put
+
+    def seen(self, df, name):
+        nodes = [df._jdf.queryExecution().executedPlan()]
+        while nodes:
+            node = nodes.pop()
+            if node.nodeName().startswith("AdaptiveSparkPlan"):
+                node = node.executedPlan()
+            if node.nodeName().startswith("Exchange"):
+                output = node.output()
+                moved.extend(output.apply(k).name() for k in range(output.size()))
+            children = node.children()
+            nodes += [children.apply(k) for k in range(children.size())]
+        tables.append(name)
+        return put(self, df, name)
+
+    monkeypatch.setattr(Store, "put", seen)
+    score_texts(df, F.col("doc_id") % 5 == 2, p_head=0.1, p_min=1.0, most=20, bucket_size=50).collect()
+    assert {"hot", "grown", "sums"} <= set(tables) and "payload" in moved
+    assert "tokens" not in moved
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith(("rows_", "counted_", "hot_"))]
+
+
+def test_packed_columns():
+    draw = np.random.default_rng(3)
+    for n in (0, 1, 511, 512, 5000):
+        columns = [
+            draw.integers(0, 1 << 20, n).astype(np.int32), np.full(n, -3, dtype=np.int32), np.zeros(n, dtype=np.int32),
+            draw.random(n) < 0.5, draw.normal(size=n), draw.integers(-9, 1 << 60, n), draw.integers(0, 256, n // 3).astype(np.uint8),
+        ]
+        for got, column in zip(_unpacked(_packed(*columns)), columns, strict=True):
+            assert got.dtype == column.dtype and np.array_equal(got, column)
+
+
+def test_words_of_any_length():
+    """Hashes as a sum over the bytes of each word, made word by word."""
+    draw = random.Random(4)
+    texts = ["", " ", "x" * 20_000, "Ab " + "y" * 48 + " " + "z" * 49, "é" * 40, None]
+    texts += [" ".join("q" * draw.randrange(60) for _ in range(draw.randrange(9))) for _ in range(50)]
+    got = [w for part in words.slices(pa.array(texts), limit=400) for w in part.words.tolist()]
+    want = []
+    for text in texts:
+        for word in (text or "").encode().split():
+            terms = [int(words._OF_BYTE[b]) * int(words._OF_POSITION[k % (1 << 14)]) for k, b in enumerate(word)]
+            want.append(int(words.mix(np.array([(sum(terms) + len(word)) % (1 << 64)], dtype=np.uint64))[0]))
+    assert got == want
