@@ -26,7 +26,9 @@ broadcast as numbers; others are sent as hashes with their counts. The result is
 
 from __future__ import annotations
 
+import collections
 import contextlib
+import ctypes
 import functools
 import itertools
 import struct
@@ -51,8 +53,8 @@ _COUNTED = 1 << 22
 # Tokens of a chunk, and levels that the first pass learns; later ones learn twice as many each, 16 at most.
 _CHUNK = 1 << 20
 _FIRST_LEVELS = 3
-# Buckets that a task takes at most if they are many, and numbers for what has no bucket.
-_TOGETHER, _SPREAD = 8, 1 << 10
+# Buckets that a task takes if they are many.
+_TOGETHER = 4
 _CONTEXT = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -240,6 +242,13 @@ def _next_key() -> Column:
     return F.col("ctx").bitwiseXOR(turned)
 
 
+def _trimmed() -> None:
+    """Gives memory that is free in this process back to the system; workers live on and share an executor's memory."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 @contextlib.contextmanager
 def _freed(spark):
     """Within, a query's shuffle files are removed when it ends; its results are in the store by then."""
@@ -252,13 +261,14 @@ def _freed(spark):
         spark.conf.set(name, before)
 
 
-def _tested(store: Store, rows: DataFrame, above: DataFrame, divergence: float, kappa: float) -> DataFrame:
+def _tested(store: Store, rows: DataFrame, above: DataFrame | None, divergence: float, kappa: float) -> DataFrame:
     """The states of a level and what is known after them: (key, is_state, value, logp, n).
 
     ``rows`` are counts of `_candidates`; ``above`` gives the log probability of next words after the suffixes,
-    as (up, logq). It lacks those of contexts that extend no state, so they go here.
+    as (up, logq). It lacks those of contexts that extend no state, so they go here. Without it rows have a ``logq``.
     """
-    e = rows.where("up != 0").join(above, "up")
+    e = rows.where("up != 0")
+    e = e if above is None else e.drop("logq").join(above, "up")
     c = rows.where("up = 0").select("ctx", F.col("n").alias("c"))
     share = (F.col("c") - F.col("given") + kappa) / (F.col("c") + kappa)
     shares = e.groupBy("ctx").agg(F.sum(F.col("n") - 1).alias("given")).join(c, "ctx")
@@ -319,17 +329,18 @@ def _packed(*columns: np.ndarray) -> bytes:
     return b"".join(head)
 
 
-def _unpacked(data: bytes) -> list[np.ndarray]:
+def _unpacked(data: bytes | pa.Buffer) -> list[np.ndarray]:
     """The columns that `_packed` was given."""
+    buffer, data = pa.py_buffer(data), memoryview(data)
     heads = [_HEAD.unpack_from(data, 1 + _HEAD.size * k) for k in range(data[0])]
-    buffer, at = pa.py_buffer(data), 1 + _HEAD.size * data[0]
+    at = 1 + _HEAD.size * len(heads)
 
     def stream(n: int) -> np.ndarray:
         nonlocal at
         (size,) = _SIZE.unpack_from(data, at)
         part = buffer.slice(at + _SIZE.size, size)
         at += _SIZE.size + size
-        return np.frombuffer(part if size == n else pa.decompress(part, n, codec="zstd"), np.uint8)
+        return np.frombuffer(part if size == n else pa.decompress(part, n, codec="zstd", asbytes=True), np.uint8)
 
     planes = [[stream(n) for _ in range(n_planes)] if n >= _ALONE else None for _, n_planes, n in heads]
     small, taken = stream(sum(n_planes * n for _, n_planes, n in heads if n < _ALONE)), 0
@@ -525,31 +536,40 @@ class Chunk:
         out *= self.age >= distance
         return out
 
-    def messages(self, bucket: np.ndarray, at: np.ndarray, columns: list[np.ndarray], q: np.ndarray | None = None) -> list[dict]:
-        """A message for each bucket with the tokens that it takes: their documents, how many each has and whether it is
-        learned, these columns, and of ``q`` what is not missing. Tokens are in the order of buckets, and in a bucket of
-        their places."""
-        doc, out = self.doc[at], []
+    def messages(self, kind: int, bucket: np.ndarray, n_parts: int, at: np.ndarray, columns: list[np.ndarray], q: np.ndarray | None = None) -> list[dict]:
+        """A message for each part with the tokens that its buckets take: the buckets, how many tokens and documents each
+        has; the documents, how many tokens each has and whether it is learned; these columns, and of ``q`` what is not
+        missing. Tokens are in the order of `_routes`."""
+        doc, part, out = self.doc[at], bucket % n_parts, []
         opens = np.ones(len(at), dtype=bool)
-        opens[1:] = (doc[1:] != doc[:-1]) | (bucket[1:] != bucket[:-1])
+        opens[1:] = bucket[1:] != bucket[:-1]
+        own = np.flatnonzero(opens)
+        opens[1:] |= doc[1:] != doc[:-1]
         begin = np.flatnonzero(opens)
         doc, train, times = doc[begin], self.train[at[begin]], np.diff(np.append(begin, len(at))).astype(np.int32)
-        edges = _runs(bucket)
-        docs = np.append(np.searchsorted(begin, [a for a, _ in edges]), len(begin))
-        for (a, b), lo, hi in zip(edges, docs[:-1], docs[1:], strict=True):
-            own = [np.diff(doc[lo:hi], prepend=np.int32(0)), times[lo:hi], train[lo:hi], *(c[a:b] for c in columns)]
+        step, place = np.diff(doc, prepend=np.int32(0)), np.searchsorted(begin, own)
+        step[place] = doc[place]
+        sizes = np.diff(np.append(own, len(at))).astype(np.int32)
+        n_docs = np.diff(np.append(place, len(begin))).astype(np.int32)
+        for a, b in _runs(part):
+            first, last = np.searchsorted(own, [a, b])
+            lo, hi = np.searchsorted(begin, [a, b])
+            given = [bucket[own[first:last]], sizes[first:last], n_docs[first:last], step[lo:hi], times[lo:hi], train[lo:hi]]
+            given += [c[a:b] for c in columns]
             if q is not None:
-                own.append(q[a:b][~np.isnan(q[a:b])])
-            out.append({"bucket": int(bucket[a]), "chunk": self.number, "n": b - a, "payload": _packed(*own)})
+                given.append(q[a:b][~np.isnan(q[a:b])])
+            out.append({"kind": kind, "part": int(part[a]), "chunk": self.number, "payload": _packed(*given)})
         return out
 
 
-_MESSAGE = "bucket int, chunk long, n long, payload binary"
-_RESULT = f"kind int, {_MESSAGE}"
+# What messages to buckets hold: tokens after words, tokens after hot contexts, what hot states add to documents;
+# and what buckets tell: what they add to documents, which tokens are left in a state, and their states.
+_PLAIN, _AFTER_HOT, _HOT_SUMS, _SUMS, _LEFT, _STATES = range(6)
+_MESSAGE = "kind int, part int, chunk long, payload binary"
 
 
 def _sent_rows(rows: list[dict]) -> pa.RecordBatch:
-    schema = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("n", pa.int64()), ("payload", pa.binary())])
+    schema = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("chunk", pa.int64()), ("payload", pa.binary())])
     return pa.RecordBatch.from_pylist(rows, schema=schema)
 
 
@@ -643,7 +663,7 @@ def _least(counted: DataFrame, limit: float) -> tuple[int, list[tuple[int, int]]
 def _hot_levels(store: Store, chunks: DataFrame, counts: DataFrame, words: Words, shared, most: int, bucket_size: int, kappa: float, divergence: float, n_known: float, n_parts: int):
     """States among contexts that more than ``most`` tokens follow, and the chunks with what is known after them."""
     end = int(END.view(np.int64))
-    above = counts.where("n > 1").select(F.col("key").alias("up"), F.log((F.col("n") + 1) / F.lit(float(words.size))).alias("logq"))
+    above = None
     found = _bounded(counts.where(F.col("n") > most))[0]
     hot = Hot(len(found))
     found = found[found != end].view(np.uint64)
@@ -666,18 +686,22 @@ def _hot_levels(store: Store, chunks: DataFrame, counts: DataFrame, words: Words
         before = chunk.before(at, level + 2)
         wide = np.flatnonzero((before > 0) & (before <= hot.n_first))
         longer = _longer(context[wide], chunk.keys(at[wide] - level - 2))
+        # After a hot word the next word's count gives its probability after the suffix.
+        of = np.zeros(len(at), dtype=np.int64) if level else shared.value.counts(chunk.ids[at])
         columns = []
-        for kind, ctx, key in ((0, context, np.zeros_like(context)), (0, context[known], up[known]), (1, context[wide], longer)):
-            _, first, n = np.unique(_next(ctx, key), return_index=True, return_counts=True)
-            columns.append((np.full(len(first), kind, dtype=np.int32), ctx[first].view(np.int64), key[first].view(np.int64), n))
+        for kind, ctx, key, of in ((0, context, np.zeros_like(context), of), (0, context[known], up[known], of[known]), (1, context[wide], longer, of[wide])):
+            _, one, n = np.unique(_next(ctx, key), return_index=True, return_counts=True)
+            columns.append((np.full(len(one), kind, dtype=np.int32), ctx[one].view(np.int64), key[one].view(np.int64), n, of[one]))
         arrays = [pa.array(np.concatenate(c)) for c in zip(*columns, strict=True)]
-        yield pa.RecordBatch.from_arrays(arrays, names=["kind", "ctx", "up", "n"])
+        yield pa.RecordBatch.from_arrays(arrays, names=["kind", "ctx", "up", "n", "of"])
 
     while len(keys) and (not hot.states or len(hot.states[-1])):
         level = len(hot.keys)
         hot.keys.append(keys)
-        rows = _over_chunks(chunks, shared, counting, "kind int, ctx long, up long, n long")
-        rows = store.put(rows.groupBy("kind", "ctx", "up").agg(F.sum("n").alias("n")).where("n > 1"), "hot")
+        rows = _over_chunks(chunks, shared, counting, "kind int, ctx long, up long, n long, of long")
+        rows = rows.groupBy("kind", "ctx", "up").agg(F.sum("n").alias("n"), F.max("of").alias("of")).where("n > 1")
+        rows = rows.select("kind", "ctx", "up", "n", F.log((F.col("of") + 1) / F.lit(float(words.size))).alias("logq"))
+        rows = store.put(rows, "hot")
         table = _tested(store, rows.where("kind = 0"), above, divergence, kappa)
         longer = rows.where((F.col("kind") == 1) & (F.col("n") > most)).select("ctx", "up").toArrow()
         store.drop(rows)
@@ -728,17 +752,20 @@ def _hot_sums(chunk: Chunk, hot: Hot, known: tuple) -> tuple[np.ndarray, np.ndar
     return docs.astype(np.int32), more[docs]
 
 
-def _routes(chunk: Chunk, words: Words, hot: Hot, known=None) -> Iterator[tuple]:
-    """Buckets and places of the tokens sent first to those of a word, then to those of a context: in the order of
-    buckets, and in a bucket of places. Of the latter also level, and number, next word and log probability of the state."""
+def _routes(chunk: Chunk, words: Words, hot: Hot, n_parts: int, known=None) -> Iterator[tuple]:
+    """Buckets and places of the tokens sent first to those of a word, then to those of a context: in the order of parts,
+    in a part of buckets, and in a bucket of places. Of the latter also level, and number, next word and log probability
+    of the state."""
+    n_buckets = words.n_buckets + hot.n_buckets
 
-    def order(bucket: np.ndarray) -> np.ndarray:
-        return np.argsort(bucket.astype(np.uint16) if len(bucket) and bucket.max() < 1 << 16 else bucket, kind="stable")
+    def rank(bucket: np.ndarray) -> np.ndarray:
+        ranks = bucket % n_parts * (n_buckets // n_parts + 1) + bucket // n_parts
+        return ranks.astype(np.uint16) if n_buckets + n_parts < 1 << 16 else ranks
 
     word = chunk.all_before(1)
     at = np.flatnonzero(word > (hot.n_first if hot.keys else 0)).astype(np.int32)
     bucket = words.buckets(word[at])
-    by = order(bucket)
+    by = np.argsort(rank(bucket), kind="stable")
     yield bucket[by], at[by], None
     parts = []
     for level, (at, context, _, is_hot, root, x, q) in enumerate(hot.walk(chunk, known)):
@@ -747,50 +774,52 @@ def _routes(chunk: Chunk, words: Words, hot: Hot, known=None) -> Iterator[tuple]
         parts.append((bucket, at.astype(np.int32), np.full(len(at), level, dtype=np.int32), root, x, q))
     if parts:
         bucket, at, *more = (np.concatenate(c) for c in zip(*parts, strict=True))
-        by = np.lexsort((at, bucket))
+        by = np.lexsort((at, rank(bucket)))
         yield bucket[by], at[by], tuple(c[by] for c in more)
 
 
-def _first_messages(chunks: DataFrame, shared, hot: Hot, n_words: int) -> DataFrame:
-    """Each token to the bucket of the word before it, or of its shortest context that is not hot; and, numbered above
-    the buckets, what hot states add to the documents."""
+def _first_messages(chunks: DataFrame, shared, hot: Hot, n_parts: int, n_words: int) -> DataFrame:
+    """Each token to the bucket of the word before it, or of its shortest context that is not hot; and what hot states
+    add to the documents."""
 
     def made(chunk: Chunk, row: dict) -> Iterator[pa.RecordBatch]:
         known = _known(row)
         if hot.states:
-            docs, more = _hot_sums(chunk, hot, known)
-            above = shared.value.n_buckets + hot.n_buckets + (chunk.number >> 32) % _SPREAD
-            yield _sent_rows([{"bucket": above, "chunk": chunk.number, "n": len(docs), "payload": _packed(docs, more)}])
-        for bucket, at, state in _routes(chunk, shared.value, hot, known):
+            payload = _packed(*_hot_sums(chunk, hot, known))
+            yield _sent_rows([{"kind": _HOT_SUMS, "part": (chunk.number >> 32) % n_parts, "chunk": chunk.number, "payload": payload}])
+        for bucket, at, state in _routes(chunk, shared.value, hot, n_parts, known):
             if state is None:
                 columns = [chunk.ids[at], *(chunk.all_before(1 + k)[at] for k in range(n_words))]
-                yield _sent_rows(chunk.messages(bucket, at, columns))
+                yield _sent_rows(chunk.messages(_PLAIN, bucket, n_parts, at, columns))
             else:
                 level, root, x, q = state
                 columns = [x, root, *(chunk.before(at, level + 1 + k) for k in range(n_words))]
-                yield _sent_rows(chunk.messages(bucket, at, columns, q))
+                yield _sent_rows(chunk.messages(_AFTER_HOT, bucket, n_parts, at, columns, q))
 
     return _over_chunks(chunks, shared, made, _MESSAGE)
 
 
-def _next_messages(chunks: DataFrame, shared, hot: Hot, left: DataFrame, depth: int, n_words: int) -> DataFrame:
+def _next_messages(chunks: DataFrame, shared, hot: Hot, n_parts: int, left: DataFrame, depth: int, n_words: int) -> DataFrame:
     """For the tokens that are ``left`` in a state the next words of their contexts, to the same buckets."""
-    each = left.where("kind = 1").groupBy("chunk").agg(F.collect_list(F.struct("bucket", "payload")).alias("left"))
+    each = left.where(F.col("kind") == _LEFT).groupBy("chunk").agg(F.collect_list("payload").alias("left"))
 
     def made(chunk: Chunk, row: dict) -> Iterator[pa.RecordBatch]:
-        bits = {part["bucket"]: part["payload"] for part in row["left"].to_pylist()}
-        for bucket, at, state in _routes(chunk, shared.value, hot):
+        bits = {}
+        for payload in row["left"].to_pylist():
+            buckets, sizes, given = _unpacked(payload)
+            bits |= zip(buckets.tolist(), np.split(given, np.cumsum(sizes)[:-1]), strict=True)
+        for bucket, at, state in _routes(chunk, shared.value, hot, n_parts):
             going = np.zeros(len(at), dtype=bool)
             for a, b in _runs(bucket):
                 if int(bucket[a]) in bits:
-                    (mask,) = _unpacked(bits[int(bucket[a])])
-                    going[a:b] = np.unpackbits(mask, count=b - a)
+                    going[a:b] = np.unpackbits(bits[int(bucket[a])], count=b - a)
             bucket, at = bucket[going], at[going]
             done = depth if state is None else depth + state[0][going]
-            yield _sent_rows(chunk.messages(bucket, at, [chunk.before(at, done + 1 + k) for k in range(n_words)]))
+            columns = [chunk.before(at, done + 1 + k) for k in range(n_words)]
+            yield _sent_rows(chunk.messages(_PLAIN if state is None else _AFTER_HOT, bucket, n_parts, at, columns))
 
     sent = _over_chunks(chunks.join(each, "chunk"), shared, made, _MESSAGE)
-    return sent.unionAll(left.where("kind = 2").select(*sent.columns))
+    return sent.unionAll(left.where(F.col("kind") == _STATES).select(*sent.columns))
 
 
 def _grouped(root: np.ndarray | None, word: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -803,13 +832,13 @@ def _grouped(root: np.ndarray | None, word: np.ndarray, x: np.ndarray) -> tuple[
     if width(root) + width(word) + width(x) > 63:
         # There are fewer values than tokens.
         word, x = (np.unique(c, return_inverse=True)[1] for c in (word, x))
-    key = word.astype(np.int64)
-    if root is not None:
-        key |= root.astype(np.int64) << width(word)
+    key = np.zeros(len(word), dtype=np.int64) if root is None else root.astype(np.int64)
     n_bits = width(x)
+    key <<= width(word)
+    key |= word
     key <<= n_bits
     key |= x
-    order = np.argsort(key)
+    order = np.argsort(key).astype(np.int32)
     key = key[order]
     opens = np.ones(len(key), dtype=bool)
     opens[1:] = key[1:] != key[:-1]
@@ -820,22 +849,33 @@ def _grouped(root: np.ndarray | None, word: np.ndarray, x: np.ndarray) -> tuple[
     return order, pairs, opens
 
 
-def _grown(sent: DataFrame, shared, hot: Hot, n_buckets: int, divergence: float, kappa: float) -> DataFrame:
+def _grown(sent: DataFrame, shared, hot: Hot, n_parts: int, first: bool, divergence: float, kappa: float) -> DataFrame:
     """Learns the levels below the states that tokens are in whose words were sent, and applies them, each bucket by itself.
 
-    kind 0: what the levels add to the documents of a chunk; kind 1: which of the tokens that a chunk sent first
-    are in a state of the last level; kind 2: for the bucket itself these states and what is known after them."""
+    Tells what they add to the documents of each chunk; which of the tokens that a chunk sent first are in a state of
+    the last level; and to the buckets these states and what is known after them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbered = [(k, b) for b in batches for k in pc.unique(b.column("bucket")).to_pylist()]
-        sums: list[tuple[np.ndarray, ...]] = []
-        for bucket in sorted({k for k, _ in numbered}):
-            own = [b.filter(pc.equal(b.column("bucket"), bucket)) for k, b in numbered if k == bucket]
-            own = [row for b in own for row in b.to_pylist()]
-            if bucket < n_buckets:
-                yield from grown(bucket, own, sums)
-            else:
-                sums += [(np.full(row["n"], row["chunk"]), *_unpacked(row["payload"])) for row in own]
+        # Of each bucket what its chunks sent, and the states it had; what is added to documents, and what is left of chunks.
+        taken, held, sums, left = collections.defaultdict(dict), {}, [], collections.defaultdict(list)
+        for batch in batches:
+            for kind, chunk, payload in zip(batch["kind"].to_pylist(), batch["chunk"].to_pylist(), batch["payload"], strict=True):
+                columns = _unpacked(payload.as_buffer())
+                if kind == _STATES:
+                    held[int(columns.pop()[0])] = columns
+                elif kind == _HOT_SUMS:
+                    sums.append((np.full(len(columns[0]), chunk), *columns))
+                else:
+                    split(taken, chunk, columns, first and kind == _AFTER_HOT)
+            # Only copies of what was sent are held.
+            columns = payload = batch = None
+        for bucket in sorted(taken):
+            yield from grown(bucket, taken.pop(bucket), held.pop(bucket, None), sums, left)
+            _trimmed()
+        for chunk, parts in left.items():
+            buckets, bits = zip(*parts, strict=True)
+            sizes = np.array([len(b) for b in bits], dtype=np.int32)
+            yield told(_LEFT, chunk, np.array(buckets, dtype=np.int32), sizes, np.concatenate(bits))
         if not sums:
             return
         chunk, doc, more = (np.concatenate(c) for c in zip(*sums, strict=True))
@@ -844,20 +884,26 @@ def _grown(sent: DataFrame, shared, hot: Hot, n_buckets: int, divergence: float,
         more = np.bincount(which, more, minlength=len(keys))
         which, doc = keys >> 32, keys.astype(np.int32)
         for a, b in _runs(which):
-            payload = _packed(np.diff(doc[a:b], prepend=np.int32(0)), more[a:b])
-            yield rows(kind=0, bucket=[-1], chunk=[names[which[a]]], n=[b - a], payload=[payload])
-
-    def grown(bucket: int, sent: list[dict], sums_of: list) -> Iterator[pa.RecordBatch]:
-        words, is_hot = shared.value, bucket >= shared.value.n_buckets
-        held = next((_unpacked(row["payload"]) for row in sent if row["chunk"] < 0), None)
-        parts = {row["chunk"]: (row["n"], *_unpacked(row["payload"])) for row in sent if row["chunk"] >= 0}
-        sent.clear()
-        if not parts:
-            return
+            yield told(_SUMS, int(names[which[a]]), np.diff(doc[a:b], prepend=np.int32(0)), more[a:b])
+        del chunk, doc, more, which, keys
+        _trimmed()
+
+    def split(taken: dict, chunk: int, columns: list[np.ndarray], after_hot: bool) -> None:
+        buckets, sizes, n_docs, step, times, train, *columns = columns
+        q = columns.pop() if after_hot else None
+        far = np.append(0, np.cumsum(columns[0] > hot.starts[-1])) if after_hot else None
+        a = lo = 0
+        for bucket, b, hi in zip(buckets.tolist(), np.cumsum(sizes).tolist(), np.cumsum(n_docs).tolist(), strict=True):
+            own = [np.cumsum(step[lo:hi], dtype=np.int32), *(c.copy() for c in (times[lo:hi], train[lo:hi], *(c[a:b] for c in columns)))]
+            taken[bucket][chunk] = own if q is None else [*own, q[far[a] : far[b]]]
+            a, lo = b, hi
+
+    def grown(bucket: int, taken: dict, held: list | None, sums_of: list, left: dict) -> Iterator[pa.RecordBatch]:
+        words, after_hot = shared.value, first and bucket >= shared.value.n_buckets
         q = root = None
-        if held is None:
-            names = sorted(parts)
-            sizes = np.array([parts[c][0] for c in names])
+        if first:
+            names = sorted(taken)
+            sizes = np.array([len(taken[c][3]) for c in names])
             place = np.arange(sizes.sum(), dtype=np.int32)
         else:
             names, sizes, bits, root, x, n_known, logp = held
@@ -865,24 +911,22 @@ def _grown(sent: DataFrame, shared, hot: Hot, n_buckets: int, divergence: float,
             x[x > 0] += starts[root[x > 0]]
             place = np.flatnonzero(np.unpackbits(bits, count=int(sizes.sum()))).astype(np.int32)
         which = np.repeat(np.arange(len(names), dtype=np.int32), sizes)[place]
-        parts = [list(parts.pop(c)[1:]) for c in names if c in parts]
-        doc, times, train = ([part.pop(0) for part in parts] for _ in range(3))
-        doc, times, train = np.concatenate([np.cumsum(c, dtype=np.int32) for c in doc]), np.concatenate(times), np.concatenate(train)
+        parts = [taken.pop(c) for c in names if c in taken]
+        doc, times, train, *before = (np.concatenate([part.pop(0) for part in parts]) for _ in parts[0][:])
         doc, train = np.repeat(doc, times), np.repeat(train, times)
-        if held is None and is_hot:
-            given = np.concatenate([part.pop() for part in parts])
-        before = [np.concatenate([part.pop(0) for part in parts]) for _ in parts[0][:]]
-        if held is None:
+        if first:
+            given = before.pop() if after_hot else None
             x = before.pop(0)
-            if is_hot:
-                # Words after a hot context have numbers of the tables, or come with their log probability.
-                root = before.pop(0)
-                tables = np.concatenate([table.value[3] for table in hot.tables])
-                q = np.full(len(x), np.nan)
-                near, far = (x > 0) & (x <= len(tables)), x > len(tables)
-                q[near], q[far] = tables[x[near] - 1], given
+        if after_hot:
+            # Words after a hot context have numbers of the tables, or come with their log probability.
+            root = before.pop(0)
+            tables = np.concatenate([table.value[3] for table in hot.tables])
+            q = np.full(len(x), np.nan)
+            near, far = (x > 0) & (x <= len(tables)), x > len(tables)
+            q[near], q[far] = tables[x[near] - 1], given
         more, at = np.zeros(len(place)), np.arange(len(place), dtype=np.int32)
-        for level, word in enumerate(before):
+        for level in range(len(before)):
+            word = before.pop(0)
             word = word[at] if level else word
             usable = np.flatnonzero(word > 0)
             if len(usable) < len(word):
@@ -898,7 +942,7 @@ def _grown(sent: DataFrame, shared, hot: Hot, n_buckets: int, divergence: float,
             known = np.flatnonzero((n > 1) & (x[one] > 0))
             tried, state = np.unique(context[known], return_inverse=True)
             n, c, one = n[known].astype(np.float64), c[tried].astype(np.float64), one[known]
-            if level or held is not None:
+            if level or not first:
                 logq = logp[x[one] - 1]
             else:
                 logq = np.log((words.counts(x[one]) + 1) / words.size) if q is None else q[at[one]]
@@ -920,6 +964,7 @@ def _grown(sent: DataFrame, shared, hot: Hot, n_buckets: int, divergence: float,
             values[inside] = shares[states[inside]]
             values[known[own]] += (logp - logq) / np.log(10) - shares[states[known[own]]]
             at = at[order[np.repeat(states >= 0, lengths)]]
+            del order, word
             lengths = lengths[inside]
             root, x = np.repeat(states[inside], lengths), np.repeat(numbers[inside], lengths)
             more[at] += np.repeat(values[inside], lengths)
@@ -938,26 +983,21 @@ def _grown(sent: DataFrame, shared, hot: Hot, n_buckets: int, divergence: float,
         # Pairs of a state are numbered one after another.
         n_known = np.bincount(states[known[own]], minlength=int(kept.sum())).astype(np.int32)
         x[x > 0] -= (np.cumsum(n_known, dtype=np.int32) - n_known)[root[x > 0]]
-        payload = _packed(np.array(names), sizes, np.packbits(mask), root, x, n_known, logp)
-        yield rows(kind=2, bucket=[bucket], chunk=[-1], n=[len(at)], payload=[payload])
+        columns = [np.array(names), sizes, np.packbits(mask), root, x, n_known, logp, np.array([bucket])]
+        yield told(_STATES, -1, *columns, part=bucket % n_parts)
         ends = np.cumsum(sizes)
         for k in np.unique(which[at]).tolist():
-            bits = np.packbits(mask[ends[k] - sizes[k] : ends[k]])
-            yield rows(kind=1, bucket=[bucket], chunk=[names[k]], n=[int(sizes[k])], payload=[_packed(bits)])
+            left[names[k]].append((bucket, np.packbits(mask[ends[k] - sizes[k] : ends[k]])))
 
-    def rows(kind: int, **given) -> pa.RecordBatch:
-        columns = {"bucket": pa.int32(), "chunk": pa.int64(), "n": pa.int64(), "payload": pa.binary()}
-        made = [pa.array([kind], type=pa.int32()), *(pa.array(given[c], type=t) for c, t in columns.items())]
-        return pa.RecordBatch.from_arrays(made, names=["kind", *columns])
+    def told(kind: int, chunk: int, *columns: np.ndarray, part: int = -1) -> pa.RecordBatch:
+        return _sent_rows([{"kind": kind, "part": part, "chunk": chunk, "payload": _packed(*columns)}])
 
-    # What buckets add to a document is summed where they are learned in one task.
-    n = min(n_buckets, max(2 * sent.sparkSession.sparkContext.defaultParallelism, -(-n_buckets // _TOGETHER)))
-    return sent.repartitionById(n, F.col("bucket") % n).mapInArrow(run, _RESULT)
+    return sent.repartitionById(n_parts, "part").mapInArrow(run, _MESSAGE)
 
 
 def _summed(grown: DataFrame) -> DataFrame:
     """(chunk, doc, more): what all buckets add to each document."""
-    each = grown.where("kind = 0").groupBy("chunk").agg(F.collect_list("payload").alias("parts"))
+    each = grown.where(F.col("kind") == _SUMS).groupBy("chunk").agg(F.collect_list("payload").alias("parts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -979,10 +1019,15 @@ def _tree_sums(
     """(chunk, doc, more), several rows a document: what all states, to any depth, add to the root."""
     hot, chunks = _hot_levels(store, chunks, counts, words, shared, most, bucket_size, kappa, divergence, n_known, n_parts)
     n_buckets, n_words, depth = words.n_buckets + hot.n_buckets, _FIRST_LEVELS, 0
+    # Buckets of a part share messages, and sum up what they add to a document.
+    n_parts = min(n_buckets, max(2 * chunks.sparkSession.sparkContext.defaultParallelism, -(-n_buckets // _TOGETHER)))
     sums, left = [], None
-    while not depth or left.where("kind = 1").limit(1).count():
-        sent = _next_messages(chunks, shared, hot, left, depth, n_words) if depth else _first_messages(chunks, shared, hot, n_words)
-        grown = store.put(_grown(sent, shared, hot, n_buckets, divergence, kappa), "grown")
+    while not depth or left.where(F.col("kind") == _LEFT).limit(1).count():
+        if depth:
+            sent = _next_messages(chunks, shared, hot, n_parts, left, depth, n_words)
+        else:
+            sent = _first_messages(chunks, shared, hot, n_parts, n_words)
+        grown = store.put(_grown(sent, shared, hot, n_parts, not depth, divergence, kappa), "grown")
         if depth:
             store.drop(left)
         sums.append(store.put(_summed(grown), "sums"))
