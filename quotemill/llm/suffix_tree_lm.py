@@ -103,6 +103,8 @@ def _counted(docs: DataFrame, keys_of) -> DataFrame:
                     held, size = [], 0
         if held:
             yield from summed()
+        held = []
+        _trimmed()
 
     return docs.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
@@ -477,6 +479,8 @@ def _chunks(docs: DataFrame, shared) -> DataFrame:
                     held, size, n_docs, n_chunks = [], 0, 0, n_chunks + 1
         if held:
             yield chunk(*closed())
+        held = []
+        _trimmed()
 
     return docs.mapInArrow(run, schema)
 
@@ -646,6 +650,7 @@ def _over_chunks(chunks: DataFrame, words, made, schema: str) -> DataFrame:
                 row = {name: batch.column(name)[k] for name in batch.schema.names}
                 row = {name: x.values if isinstance(x, pa.ListScalar) else x.as_py() for name, x in row.items()}
                 yield from made(Chunk(row, words.value), row)
+        _trimmed()
 
     return chunks.mapInArrow(run, schema)
 
